@@ -86,3 +86,12 @@ def require_no_orphans(
     if not orphan_rows(child, child_key, parent, parent_key).isEmpty():
         raise JoinGuardError(f"{relationship}: {child_key} holds values missing from {parent_key}")
     return child
+
+
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, small: bool) -> DataFrame:
+    """Inner equi-join to a lookup; rows without one drop out.
+
+    The hint is given only for a lookup whose checked size is ``small``. A
+    larger one is left to the planner, which splits skewed partitions.
+    """
+    return rows.join(F.broadcast(lookup) if small else lookup, key)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from starloom.sources.store import TableStore
+from starloom.sources.store import TableStore, moment
 
 Tables = Callable[[str], DataFrame]
 
@@ -373,6 +373,6 @@ def load_audit(
         F.lit(profile).alias("scale_profile"),
         "table_name",
         "row_count",
-        F.lit(loaded_at).alias("load_timestamp"),
+        moment(loaded_at).alias("load_timestamp"),
         F.lit("Succeeded").alias("status"),
     )

@@ -146,6 +146,10 @@ class Warehouse:
             list(pool.map(self.table, GOLD_ENTITIES))
         self.store.get("gold.dim_date", lambda: self._build("dim_date"))
 
+    def sibling_store(self, name: str) -> TableStore:
+        """A store beside this one, for jobs that must not touch the published tables."""
+        return TableStore(self.spark, f"{self.store.folder}-{name}")
+
     def calendar_ranges(self) -> list[DataFrame]:
         published = {entity: gold for gold, entity in GOLD_ENTITIES.items()}
         return calendar_ranges(lambda entity: self.table(published[entity]))

@@ -56,13 +56,18 @@ def fingerprint(spark: SparkSession, *paths: str) -> str:
     return "-".join(str(value) for value in row).replace("--", "-n")
 
 
+def moment(when: datetime) -> Column:
+    """A naive time as a timestamp of the session's zone."""
+    return F.lit(when.isoformat(sep=" ")).cast("timestamp")
+
+
 def stamp_lineage(
     df: DataFrame, source: str | Column, run_id: str, loaded_at: datetime
 ) -> DataFrame:
     """Add when, by which run and from where a row was loaded."""
     origin = F.lit(source) if isinstance(source, str) else source
     when, run, system = LINEAGE_COLUMNS
-    return df.withColumns({when: F.lit(loaded_at), run: F.lit(run_id), system: origin})
+    return df.withColumns({when: moment(loaded_at), run: F.lit(run_id), system: origin})
 
 
 class TableStore:
