@@ -22,9 +22,7 @@ def clustered(df: DataFrame, date_key: str, spread_by: str, files: int) -> DataF
     )
 
 
-def rewrite_clustered(
-    store: TableStore, name: str, date_key: str, spread_by: str, target: str
-) -> DataFrame:
-    """Rewrite stored table ``name`` as ``target`` in files of about 256 MB by date."""
+def rewrite_clustered(store: TableStore, name: str, date_key: str, spread_by: str) -> DataFrame:
+    """Replace stored table ``name`` by the same rows in files of about 256 MB by date."""
     files = max(1, math.ceil(store.size_in_bytes(name) / TARGET_FILE_BYTES))
-    return store.write(target, clustered(store.read(name), date_key, spread_by, files))
+    return store.write(name, clustered(store.read(name), date_key, spread_by, files))

@@ -226,6 +226,9 @@ class MetricModel:
         far = [e for e in edges if e not in near]
 
         rows = reduce(DataFrame.where, limits.pop(home, []), self.table(home))
+        for edge in edges:
+            if edge.child == home and edge.parent == "date" and limits.get("date"):
+                rows = self._within_days(rows, edge, limits["date"])
         for a in axis:
             if a.table == home:
                 rows = rows.withColumn(a.inner, F.col(a.column))
@@ -298,6 +301,19 @@ class MetricModel:
         match = F.col(self._key_column(home, edge)) == F.col(key)
         return rows.join(F.broadcast(parent) if small else parent, match, how).drop(key)
 
+    def _within_days(
+        self, rows: DataFrame, edge: Relationship, limits: Sequence[Column]
+    ) -> DataFrame:
+        """Rows whose date key is between the first and last day that the calendar filter keeps.
+
+        The join would drop the others anyway. As a range on the fact's own
+        column the filter reaches the scan, which skips files written by date.
+        """
+        days = reduce(DataFrame.where, limits, self.table("date"))
+        first = days.agg(F.min(edge.parent_key)).scalar()
+        last = days.agg(F.max(edge.parent_key)).scalar()
+        return rows.where(F.col(edge.child_key).between(first, last))
+
     # -- attributes out of reach ---------------------------------------------
 
     def _members(self, apart: Sequence[Attribute], filters: Filters) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
@@ -27,6 +26,7 @@ from starloom.sources.store import (
     TableStore,
     fingerprint,
     shared_folder,
+    side_by_side,
     stamp_lineage,
 )
 
@@ -142,8 +142,7 @@ class Warehouse:
     def publish_all(self) -> None:
         """Publish every gold table; jobs of independent tables share the cluster."""
         self.line()
-        with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as pool:
-            list(pool.map(self.table, GOLD_ENTITIES))
+        side_by_side(self.table, GOLD_ENTITIES)
         self.store.get("gold.dim_date", lambda: self._build("dim_date"))
 
     def sibling_store(self, name: str) -> TableStore:
@@ -199,38 +198,37 @@ def load_bronze(
     Returns the manifest: table, source system, run and rows stored.
     """
     sources = {name: source for name, (_, _, source) in ENTITIES.items()} | {"date": "calendar"}
-    stored = []
-    for name, source in sources.items():
+    warehouse.publish_all()
+
+    def load(name: str) -> DataFrame:
         raw = warehouse.table("dim_date") if name == "date" else warehouse.entity(name)
-        system = f"landing.{source}"
+        system = f"landing.{sources[name]}"
         table = store.write(f"bronze.{name}_raw", stamp_lineage(raw, system, run_id, loaded_at))
-        stored.append(
+        return (
             table.groupBy("source_system", "pipeline_run_id")
             .agg(F.count("*").alias("row_count"))
             .select(F.lit(f"bronze.{name}_raw").alias("table_name"), "*")
         )
-    return reduce(DataFrame.unionByName, stored)
+
+    return reduce(DataFrame.unionByName, side_by_side(load, sources))
 
 
 def load_silver(store: TableStore) -> DataFrame:
     """Conform every raw table on its key, write it and verify the key; returns rows in and out."""
     keys = {name: key for name, (_, key, _) in ENTITIES.items()} | {"date": "date_key"}
-    counts = []
-    for name, key in keys.items():
-        raw = store.read(f"bronze.{name}_raw")
+
+    def load(name: str) -> DataFrame:
+        key, raw = keys[name], store.read(f"bronze.{name}_raw")
         clean = store.write(f"silver.{name}", conform(raw, [key]))
         require_unique(clean, [key], f"silver.{name}")
-        rows_in = raw.agg(F.count("*").alias("raw_rows"), F.count_if(F.col(key).isNull()).alias("null_keys"))
         rows_out = clean.agg(F.count("*").alias("conformed_rows"))
-        counts.append(
-            rows_in.select(
-                F.lit(f"silver.{name}").alias("table_name"),
-                "raw_rows",
-                "null_keys",
-                rows_out.scalar().alias("conformed_rows"),
-            )
-        )
-    return reduce(DataFrame.unionByName, counts)
+        return raw.agg(
+            F.lit(f"silver.{name}").alias("table_name"),
+            F.count("*").alias("raw_rows"),
+            F.count_if(F.col(key).isNull()).alias("null_keys"),
+        ).withColumn("conformed_rows", rows_out.scalar())
+
+    return reduce(DataFrame.unionByName, side_by_side(load, keys))
 
 
 def load_gold(store: TableStore) -> None:

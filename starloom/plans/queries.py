@@ -113,7 +113,8 @@ def bronze_load(w: Warehouse) -> DataFrame:
 
 
 def silver_load(w: Warehouse) -> DataFrame:
-    load_bronze(w, w.store, RUN_ID, LOADED_AT)
+    if "bronze.date_raw" not in w.store:
+        load_bronze(w, w.store, RUN_ID, LOADED_AT)
     return load_silver(w.store)
 
 
@@ -122,7 +123,7 @@ def clustered_rewrite(w: Warehouse) -> DataFrame:
     reports = []
     for name, (day, row) in CLUSTERED_FACTS.items():
         w.table(name)
-        table = rewrite_clustered(w.store, f"gold.{name}", day, row, f"clustered.{name}")
+        table = rewrite_clustered(w.store, f"gold.{name}", day, row)
         reports.append(
             table.agg(
                 F.lit(name).alias("table_name"),

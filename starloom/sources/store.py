@@ -1,22 +1,21 @@
-"""The run's table store: Parquet tables in the cluster's shared folder.
-
-A store belongs to one application and one state of the landing files. Every
-table is written once to a path of its own, so an overwrite never reads what
-it replaces and a failed job leaves nothing that a reader would pick up.
-"""
+"""The run's table store: Parquet tables in the cluster's shared folder."""
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import threading
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+T = TypeVar("T")
+JOBS_AT_ONCE = 8
 LINEAGE_COLUMNS = ("ingestion_timestamp", "pipeline_run_id", "source_system")
 
 _LOCAL_ROOT: list[str] = []
@@ -71,31 +70,36 @@ def stamp_lineage(
 
 
 class TableStore:
-    """Named tables below one folder, each written once and then read back."""
+    """Named tables below one folder.
+
+    Each write goes to a new version directory and then becomes the table, so a
+    job may replace a table it reads and a failed one replaces nothing.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self._written: dict[str, StructType] = {}
+        self._tables: dict[str, DataFrame] = {}
+        self._paths: dict[str, str] = {}
         self._bytes: dict[str, int] = {}
+        self._versions = itertools.count(1)
         self._locks: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
 
-    def path(self, name: str) -> str:
-        return f"{self.folder}/{name.replace('.', '/')}"
+    def __contains__(self, name: str) -> bool:
+        return name in self._tables
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Write ``df`` as table ``name`` and return the stored table."""
-        df.write.mode("overwrite").parquet(self.path(name))
-        self._written[name] = df.schema
-        self._bytes.pop(name, None)
-        return self.read(name)
+        """Write ``df`` as the table ``name`` and return the stored table."""
+        path = f"{self.folder}/{name.replace('.', '/')}/v{next(self._versions)}"
+        df.write.mode("overwrite").parquet(path)
+        with self._locks[name]:
+            self._paths[name] = path
+            self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
+            self._bytes.pop(name, None)
+        return self._tables[name]
 
     def read(self, name: str) -> DataFrame:
-        """The stored table. A table this run wrote needs no look at its files for a schema."""
-        reader = self.spark.read
-        if name in self._written:
-            reader = reader.schema(self._written[name])
-        return reader.parquet(self.path(name))
+        return self._tables[name]
 
     def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The stored table, built and written first if this run has not done so.
@@ -103,22 +107,28 @@ class TableStore:
         Tables have a lock each: independent ones may be built side by side.
         """
         with self._locks[name]:
-            if name not in self._written:
-                return self.write(name, build())
-            return self.read(name)
+            if name not in self._tables:
+                self.write(name, build())
+            return self._tables[name]
 
     def size_in_bytes(self, name: str) -> int:
         """Bytes on storage, from a file listing."""
         if name not in self._bytes:
-            total = file_listing(self.spark, self.path(name)).agg(F.sum("length")).first()[0]
+            total = file_listing(self.spark, self._paths[name]).agg(F.sum("length")).first()[0]
             self._bytes[name] = total or 0
         return self._bytes[name]
 
-    def register(self, database: str) -> None:
-        """Make the written tables of the layer queryable by SQL as ``database.table``."""
+    def register(self, layer: str, database: str) -> None:
+        """Make the tables of a layer queryable by SQL as ``database.table``."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        for name in sorted(self._written):
-            layer, _, table = name.partition(".")
-            if layer == database:
+        for name, path in sorted(self._paths.items()):
+            of_layer, _, table = name.partition(".")
+            if of_layer == layer:
                 self.spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-                self.spark.catalog.createTable(f"{database}.{table}", path=self.path(name))
+                self.spark.catalog.createTable(f"{database}.{table}", path=path, source="parquet")
+
+
+def side_by_side(job: Callable[[str], T], names: Iterable[str]) -> list[T]:
+    """``job`` for every name, some at a time: small jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=JOBS_AT_ONCE) as pool:
+        return list(pool.map(job, names))
