@@ -184,52 +184,54 @@ def _references(
 ) -> DataFrame:
     """Rows per child column whose non-null key its parent lacks.
 
-    Each child is scanned once: its key columns become (column, parent, key)
-    rows and are counted before the shuffle. All of them meet all parents in a
-    single anti join on (parent, key).
+    Each child is scanned once: its key columns become rows of numbers (check,
+    parent, key) and are counted before the shuffle. All of them meet all
+    parents in a single anti join on (parent, key).
     """
+    parents = sorted({parent for columns in wanted.values() for parent in columns.values()})
+    listed = [
+        (table, column, parent)
+        for table, columns in wanted.items()
+        for column, parent in columns.items()
+    ]
     children = []
-    for table, columns in wanted.items():
-        pairs = F.array(
+    for table in wanted:
+        keys = F.array(
             *(
                 F.struct(
-                    F.lit(column).alias("column_name"),
-                    F.lit(parent).alias("parent"),
+                    F.lit(number).alias("check_no"),
+                    F.lit(parents.index(parent)).alias("parent_no"),
                     F.col(column).cast("bigint").alias("key"),
                 )
-                for column, parent in columns.items()
+                for number, (child, column, parent) in enumerate(listed)
+                if child == table
             )
         )
         children.append(
             tables(table)
-            .select(F.lit(table).alias("child"), F.explode(pairs).alias("pair"))
-            .select("child", "pair.*")
+            .select(F.inline(keys))
             .where("key IS NOT NULL")
-            .groupBy("child", "column_name", "parent", "key")
+            .groupBy("check_no", "parent_no", "key")
             .agg(F.count("*").alias("held"))
         )
     known = [
         tables(parent).select(
-            F.lit(parent).alias("parent"), F.col(parent_keys[parent]).cast("bigint").alias("key")
+            F.lit(number).alias("parent_no"), F.col(parent_keys[parent]).cast("bigint").alias("key")
         )
-        for parent in sorted({p for columns in wanted.values() for p in columns.values()})
+        for number, parent in enumerate(parents)
     ]
     missing = (
         _stack(children)
-        .join(_stack(known), ["parent", "key"], "left_anti")
-        .groupBy("child", "column_name")
+        .join(_stack(known), ["parent_no", "key"], "left_anti")
+        .groupBy("check_no")
         .agg(F.sum("held").alias("missing"))
     )
     checks = spark.createDataFrame(
-        [
-            (table, column, name(column, parent))
-            for table, columns in wanted.items()
-            for column, parent in columns.items()
-        ],
-        "child string, column_name string, check_name string",
+        [(no, child, column, name(column, parent)) for no, (child, column, parent) in enumerate(listed)],
+        "check_no int, child string, column_name string, check_name string",
     )
     failed = F.coalesce("missing", F.lit(0)).cast("bigint")
-    return checks.join(missing, ["child", "column_name"], "left").select(
+    return checks.join(missing, "check_no", "left").select(
         F.concat(F.lit("gold."), F.col("child")).alias("table_name"),
         F.col("check_name").alias("validation_name"),
         F.when(failed == 0, "PASS").otherwise("FAIL").alias("status"),

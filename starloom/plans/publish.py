@@ -20,13 +20,20 @@ from starloom.operators.calendar import calendar_bounds, date_dimension, date_ra
 from starloom.operators.conform import conform, require_unique
 from starloom.operators.joins import join_guard, safe_left_join
 from starloom.sources import landing as bind
-from starloom.sources.landing import DATE_COLUMNS, ENTITIES, LANDING_TABLES, Landing
+from starloom.sources.landing import (
+    DATE_COLUMNS,
+    ENTITIES,
+    LANDING_TABLES,
+    ConformedLanding,
+    Landing,
+)
 from starloom.sources.store import (
     LINEAGE_COLUMNS,
     TableStore,
-    fingerprint,
+    folder_state,
     shared_folder,
     side_by_side,
+    size_shuffles,
     stamp_lineage,
 )
 
@@ -118,15 +125,16 @@ class Warehouse:
         self.spark = spark
         self.landing = landing
         self.store = store
+        self.sources = ConformedLanding(landing, store)
 
     def line(self) -> DataFrame:
         """The conformed order line that most entities are bound to."""
-        return self.store.get("silver.line", lambda: bind.line(self.landing))
+        return self.store.get("silver.line", lambda: bind.line(self.sources))
 
     def entity(self, name: str) -> DataFrame:
         """A bound entity before publishing. Its columns are computed when read."""
         build, _, _ = ENTITIES[name]
-        return build(self.landing, self.line())
+        return build(self.sources, self.line())
 
     def table(self, name: str) -> DataFrame:
         """A gold table. The calendar covers all dates there are, so it needs all others first."""
@@ -141,6 +149,7 @@ class Warehouse:
 
     def publish_all(self) -> None:
         """Publish every gold table; jobs of independent tables share the cluster."""
+        side_by_side(self.sources, LANDING_TABLES)
         self.line()
         side_by_side(self.table, GOLD_ENTITIES)
         self.store.get("gold.dim_date", lambda: self._build("dim_date"))
@@ -177,12 +186,13 @@ def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     Files that changed since give a new fingerprint and so a new warehouse.
     """
     landing = Landing(spark, folder)
-    state = fingerprint(spark, *(landing.path(t) for t in LANDING_TABLES))
+    state = folder_state(spark, *(landing.path(t) for t in LANDING_TABLES))
     root = f"{shared_folder(spark)}/starloom/{spark.conf.get('spark.app.id')}"
     with _OPEN_LOCK:
-        place = (root, f"{landing.folder}@{state}")
+        place = (root, f"{landing.folder}@{state.name}")
         if place not in _OPEN:
-            store = TableStore(spark, f"{root}/warehouse-{len(_OPEN)}-{state}")
+            size_shuffles(spark, state.bytes)
+            store = TableStore(spark, f"{root}/warehouse-{len(_OPEN)}-{state.name}")
             _OPEN[place] = Warehouse(spark, landing, store)
         return _OPEN[place]
 

@@ -34,7 +34,7 @@ from starloom.plans.publish import (
     refresh_calendar,
 )
 from starloom.sources import landing as bind
-from starloom.sources.store import stamp_lineage
+from starloom.sources.store import side_by_side, stamp_lineage
 
 Query = Callable[[Warehouse], DataFrame]
 
@@ -120,20 +120,19 @@ def silver_load(w: Warehouse) -> DataFrame:
 
 def clustered_rewrite(w: Warehouse) -> DataFrame:
     """Rewrite the seven large facts by date; report what each holds afterwards."""
-    reports = []
-    for name, (day, row) in CLUSTERED_FACTS.items():
+
+    def rewrite(name: str) -> DataFrame:
+        day, row = CLUSTERED_FACTS[name]
         w.table(name)
-        table = rewrite_clustered(w.store, f"gold.{name}", day, row)
-        reports.append(
-            table.agg(
-                F.lit(name).alias("table_name"),
-                F.count("*").alias("row_count"),
-                F.min(day).alias("first_date_key"),
-                F.max(day).alias("last_date_key"),
-                F.sum(F.col(row) % 1000003).alias("row_key_sum"),
-            )
+        return rewrite_clustered(w.store, f"gold.{name}", day, row).agg(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("row_count"),
+            F.min(day).alias("first_date_key"),
+            F.max(day).alias("last_date_key"),
+            F.sum(F.col(row) % 1000003).alias("row_key_sum"),
         )
-    return reduce(DataFrame.unionByName, reports)
+
+    return reduce(DataFrame.unionByName, side_by_side(rewrite, CLUSTERED_FACTS))
 
 
 # -- column rules ------------------------------------------------------------

@@ -7,18 +7,30 @@ rules it applies are those of ``starloom.functions.columns``.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import columns as c
-from starloom.operators.conform import conform
+from starloom.operators.conform import conform, duplicate_keys, has_key
+from starloom.sources.store import TableStore
 
 LANDING_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
 )
 
+LANDING_KEYS = {
+    "region": ["r_regionkey"],
+    "nation": ["n_nationkey"],
+    "customer": ["c_custkey"],
+    "supplier": ["s_suppkey"],
+    "part": ["p_partkey"],
+    "orders": ["o_orderkey"],
+    "events": ["event_id"],
+}
+
 # Fixed values of the binding.
 AS_OF = "2001-08-01"
 THIS_YEAR = 2024
@@ -57,6 +69,39 @@ class Landing:
         return self._tables[table]
 
 
+class ConformedLanding:
+    """Landing tables with complete, unique keys, as the entities are bound to them.
+
+    A table is rewritten only if a key repeats, which its key column alone can
+    tell; otherwise dropping rows without a key is all there is to do. Lines are
+    conformed where they are bound (``line``).
+    """
+
+    def __init__(self, landing: Landing, store: TableStore):
+        self.spark = landing.spark
+        self.landing = landing
+        self.store = store
+        self._tables: dict[str, DataFrame] = {}
+        self._locks = {table: threading.Lock() for table in LANDING_TABLES}
+
+    def __call__(self, table: str) -> DataFrame:
+        with self._locks[table]:
+            if table not in self._tables:
+                self._tables[table] = self._conform(table)
+            return self._tables[table]
+
+    def _conform(self, table: str) -> DataFrame:
+        raw, keys = self.landing(table), LANDING_KEYS.get(table)
+        if keys is None:
+            return raw
+        if duplicate_keys(raw, keys).isEmpty():
+            return raw.where(has_key(keys))
+        return self.store.write(f"conformed.{table}", conform(raw, keys))
+
+
+Tables = Landing | ConformedLanding
+
+
 def as_of() -> Column:
     return F.lit(AS_OF).cast("date")
 
@@ -84,7 +129,7 @@ def criticality(order_priority: str) -> Column:
     return F.coalesce(c.code_lookup(rank - 1, ("Critical", "High", "Medium")), F.lit("Low"))
 
 
-def places(landing: Landing) -> DataFrame:
+def places(landing: Tables) -> DataFrame:
     """Nation with its region."""
     region = landing("region").select("r_regionkey", F.col("r_name").alias("region_code"))
     nation = landing("nation")
@@ -96,11 +141,11 @@ def places(landing: Landing) -> DataFrame:
 # -- the conformed line ------------------------------------------------------
 
 
-def conformed_lineitem(landing: Landing) -> DataFrame:
+def conformed_lineitem(landing: Tables) -> DataFrame:
     return conform(landing("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-def line(landing: Landing) -> DataFrame:
+def line(landing: Tables) -> DataFrame:
     """Conformed order lines with the few parent columns that every fact takes.
 
     Stored once: the lookups are joined here a single time instead of once per
@@ -156,7 +201,7 @@ def shipped_between(lines: DataFrame, key: str) -> DataFrame:
 # -- dimensions --------------------------------------------------------------
 
 
-def facility(landing: Landing, lines: DataFrame) -> DataFrame:
+def facility(landing: Tables, lines: DataFrame) -> DataFrame:
     supplier = landing("supplier").select("s_suppkey", "s_nationkey")
     seen = shipped_between(lines, "l_suppkey")
     active = (
@@ -185,7 +230,7 @@ def facility(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def customer(landing: Landing, lines: DataFrame) -> DataFrame:
+def customer(landing: Tables, lines: DataFrame) -> DataFrame:
     ordered = landing("orders").groupBy("o_custkey").agg(
         F.min(day("o_orderdate")).alias("created_on"), F.max(day("o_orderdate")).alias("modified_on")
     )
@@ -214,7 +259,7 @@ def customer(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def product(landing: Landing, lines: DataFrame) -> DataFrame:
+def product(landing: Tables, lines: DataFrame) -> DataFrame:
     base, seen = landing("part"), shipped_between(lines, "l_partkey")
     cost = c.money("p_retailprice")
     return with_date_keys(
@@ -239,7 +284,7 @@ def product(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def supplier(landing: Landing, lines: DataFrame) -> DataFrame:
+def supplier(landing: Tables, lines: DataFrame) -> DataFrame:
     base, nation, seen = landing("supplier"), places(landing), shipped_between(lines, "l_suppkey")
     balance = c.money("s_acctbal")
     tiers = ((2000, "Conditional"), (6000, "Approved"))
@@ -264,7 +309,7 @@ def supplier(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def employee(landing: Landing, lines: DataFrame) -> DataFrame:
+def employee(landing: Tables, lines: DataFrame) -> DataFrame:
     seen = landing("events").groupBy("user_id").agg(
         F.min(day("ts")).alias("created_on"), F.max(day("ts")).alias("modified_on")
     )
@@ -290,7 +335,7 @@ def employee(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def technician(landing: Landing, lines: DataFrame) -> DataFrame:
+def technician(landing: Tables, lines: DataFrame) -> DataFrame:
     base, seen = landing("supplier"), shipped_between(lines, "l_suppkey")
     key = F.col("s_suppkey")
     return with_date_keys(
@@ -314,7 +359,7 @@ def technician(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def sales_channel(landing: Landing, lines: DataFrame) -> DataFrame:
+def sales_channel(landing: Tables, lines: DataFrame) -> DataFrame:
     rows = landing.spark.createDataFrame(
         SALES_CHANNELS, "sales_channel_key bigint, sales_channel_name string, channel_group string"
     )
@@ -327,7 +372,7 @@ def sales_channel(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def asset(landing: Landing, lines: DataFrame) -> DataFrame:
+def asset(landing: Tables, lines: DataFrame) -> DataFrame:
     content = lines.groupBy("l_orderkey").agg(
         F.min("l_partkey").alias("product_key"), F.max("ship_date").alias("last_ship_date")
     )
@@ -367,7 +412,7 @@ def asset(landing: Landing, lines: DataFrame) -> DataFrame:
 # -- facts and the bridge ----------------------------------------------------
 
 
-def sales_order_line(landing: Landing, lines: DataFrame) -> DataFrame:
+def sales_order_line(landing: Tables, lines: DataFrame) -> DataFrame:
     return lines.where("is_priced").select(
         F.col("line_key").alias("sales_order_line_key"),
         row_id("SOL", "line_key").alias("sales_order_line_id"),
@@ -397,7 +442,7 @@ def order_totals(lines: DataFrame) -> DataFrame:
     )
 
 
-def sales_order(landing: Landing, lines: DataFrame) -> DataFrame:
+def sales_order(landing: Tables, lines: DataFrame) -> DataFrame:
     """Orders that have lines, with their totals; orders without any line drop out."""
     channel = F.substring("o_orderpriority", 1, 1).cast("bigint")
     orders = landing("orders").select(
@@ -423,7 +468,7 @@ def sales_order(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def supplier_product(landing: Landing, lines: DataFrame) -> DataFrame:
+def supplier_product(landing: Tables, lines: DataFrame) -> DataFrame:
     """One row per product and supplier; the one with the largest quantity is preferred.
 
     The preferred supplier is a ``min`` over (quantity descending, supplier), so
@@ -450,7 +495,7 @@ def supplier_product(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def purchase_order_line(landing: Landing, lines: DataFrame) -> DataFrame:
+def purchase_order_line(landing: Tables, lines: DataFrame) -> DataFrame:
     short = F.when(F.col("l_returnflag") == "R", F.col("l_linenumber")).otherwise(0)
     received = c.received_quantity("quantity", short)
     return with_date_keys(
@@ -480,7 +525,7 @@ def purchase_order_line(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def shipment(landing: Landing, lines: DataFrame) -> DataFrame:
+def shipment(landing: Tables, lines: DataFrame) -> DataFrame:
     hold = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
     promised = c.offset_date("ship_date", F.col("l_linenumber") + 2)
     actual = c.offset_date(promised, F.pmod("part_size", F.lit(9)) - 3)
@@ -506,7 +551,7 @@ def shipment(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def inventory_snapshot(landing: Landing, lines: DataFrame) -> DataFrame:
+def inventory_snapshot(landing: Tables, lines: DataFrame) -> DataFrame:
     return with_date_keys(
         lines.select(
             F.col("line_key").alias("inventory_snapshot_key"),
@@ -526,7 +571,7 @@ def inventory_snapshot(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def work_order(landing: Landing, lines: DataFrame) -> DataFrame:
+def work_order(landing: Tables, lines: DataFrame) -> DataFrame:
     hours = c.repair_hours("quantity", "priority")
     resolved = c.offset_date("ship_date", c.resolve_days(hours))
     kind = c.code_lookup(F.pmod("l_linenumber", F.lit(4)), WORK_ORDER_TYPES)
@@ -552,7 +597,7 @@ def work_order(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def work_order_part(landing: Landing, lines: DataFrame) -> DataFrame:
+def work_order_part(landing: Tables, lines: DataFrame) -> DataFrame:
     """Lines returned as parts, each on the first work order of its order."""
     first = (
         lines.where("l_returnflag = 'R'")
@@ -572,7 +617,7 @@ def work_order_part(landing: Landing, lines: DataFrame) -> DataFrame:
     )
 
 
-def asset_daily_status(landing: Landing, lines: DataFrame) -> DataFrame:
+def asset_daily_status(landing: Tables, lines: DataFrame) -> DataFrame:
     """Events per user and day. The hours seen are bits of one number, so one
     pre-aggregated shuffle counts them, not a distinct of every event."""
     hour_bit = F.expr("shiftleft(1, hour(ts))")
@@ -604,7 +649,7 @@ def asset_daily_status(landing: Landing, lines: DataFrame) -> DataFrame:
 
 
 # Entity name → how it is bound, its key, and the landing table it mostly comes from.
-ENTITIES: dict[str, tuple[Callable[[Landing, DataFrame], DataFrame], str, str]] = {
+ENTITIES: dict[str, tuple[Callable[[Tables, DataFrame], DataFrame], str, str]] = {
     "facility": (facility, "facility_key", "nation"),
     "customer": (customer, "customer_key", "customer"),
     "product": (product, "product_key", "part"),

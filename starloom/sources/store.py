@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import itertools
+import math
 import tempfile
 import threading
 from collections import defaultdict
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
-from typing import TypeVar
+from typing import NamedTuple, TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 T = TypeVar("T")
 JOBS_AT_ONCE = 8
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 40_000
 LINEAGE_COLUMNS = ("ingestion_timestamp", "pipeline_run_id", "source_system")
 
 _LOCAL_ROOT: list[str] = []
@@ -47,12 +50,35 @@ def file_listing(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
-def fingerprint(spark: SparkSession, *paths: str) -> str:
-    """A short name for the present state of the files below ``paths``."""
-    row = file_listing(spark, *paths).agg(
-        F.count("*"), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))
-    ).first()
-    return "-".join(str(value) for value in row).replace("--", "-n")
+class FolderState(NamedTuple):
+    """A short name for files as they are now, and their size."""
+
+    name: str
+    bytes: int
+
+
+def folder_state(spark: SparkSession, *paths: str) -> FolderState:
+    files = file_listing(spark, *paths).agg(
+        F.count("*").alias("count"),
+        F.sum("length").alias("bytes"),
+        F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("mark"),
+    )
+    count, size, mark = files.first()
+    return FolderState(f"{count}-{size}-{mark % 2**64:x}", size)
+
+
+def size_shuffles(spark: SparkSession, landing_bytes: int) -> None:
+    """Let adaptive execution start from enough shuffle partitions for the input.
+
+    It merges small partitions but never splits an ordinary one, so a default of
+    a few hundred would leave terabytes to each task. Smaller inputs keep the
+    session's own number, and so does a session that names a starting number.
+    """
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    wanted = min(MOST_SHUFFLE_PARTITIONS, math.ceil(landing_bytes / SHUFFLE_PARTITION_BYTES))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current and spark.conf.get(setting, None) is None:
+        spark.conf.set(setting, str(wanted))
 
 
 def moment(when: datetime) -> Column:

@@ -7,7 +7,7 @@ from starloom.operators.joins import JoinGuardError
 from starloom.operators.layout import rewrite_clustered
 from starloom.plans import publish as p
 from starloom.sources.landing import Landing
-from starloom.sources.store import TableStore, fingerprint, stamp_lineage
+from starloom.sources.store import TableStore, folder_state, size_shuffles, stamp_lineage
 
 LOADED = datetime(2024, 1, 31, 6)
 
@@ -53,10 +53,10 @@ def test_publish_refuses_orphans_and_repeated_parents(spark, warehouse):
 
 def test_warehouse_follows_the_files(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/t.parquet")
-    before = fingerprint(spark, f"{tmp_path}/t.parquet")
-    assert fingerprint(spark, f"{tmp_path}/t.parquet") == before
+    before = folder_state(spark, f"{tmp_path}/t.parquet")
+    assert folder_state(spark, f"{tmp_path}/t.parquet") == before
     spark.range(4).write.mode("append").parquet(f"{tmp_path}/t.parquet")
-    assert fingerprint(spark, f"{tmp_path}/t.parquet") != before
+    assert folder_state(spark, f"{tmp_path}/t.parquet") != before
 
 
 def test_open_warehouse_is_reused(spark, warehouse):
@@ -88,3 +88,30 @@ def test_lineage_columns(spark):
         F.col("ingestion_timestamp").cast("string"), "pipeline_run_id", "source_system"
     ).first()
     assert tuple(row) == ("2024-01-31 06:00:00", "run-1", "src")
+
+
+def test_landing_tables_with_repeated_and_missing_keys(spark, warehouse, tmp_path):
+    """Copies of whole landing tables and rows without keys change nothing."""
+    folder = warehouse.landing.folder
+    for table in p.LANDING_TABLES:
+        raw = spark.read.parquet(f"{folder}/{table}.parquet")
+        keyless = raw.limit(5).withColumn(raw.columns[0], F.lit(None).cast(raw.schema[0].dataType))
+        dirty = raw.union(raw).union(keyless) if table != "lineitem" else raw.union(keyless)
+        dirty.write.parquet(f"{tmp_path}/{table}.parquet")
+    store = TableStore(spark, f"{tmp_path}/store")
+    dirty = p.Warehouse(spark, Landing(spark, str(tmp_path)), store)
+    for name in ("dim_customer", "dim_asset", "dim_employee", "fact_sales_order_line", "fact_asset_daily_status"):
+        assert content(dirty.table(name)) == content(warehouse.table(name)), name
+
+
+def test_shuffles_are_sized_for_large_inputs_only(spark):
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    size_shuffles(spark, 10**6)
+    assert spark.conf.get(setting, None) is None
+    try:
+        size_shuffles(spark, 100 * 10**12)
+        assert int(spark.conf.get(setting)) == 40_000
+        size_shuffles(spark, 10**13)
+        assert int(spark.conf.get(setting)) == 40_000
+    finally:
+        spark.conf.unset(setting)
