@@ -59,6 +59,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("starloom-bench")
         .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")

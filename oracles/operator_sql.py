@@ -37,6 +37,97 @@ STAR_JOIN = with_star(
 )
 
 
+def _star(fact: str, date: str | None, joins: dict[str, str], keys: list[str], values: str) -> str:
+    """Measures of one fact by attributes; ``joins`` maps alias to (table, fact key, its key)."""
+    on = " ".join(
+        f"LEFT JOIN {table} {alias} ON f.{child} = {alias}.{parent}"
+        for alias, (table, child, parent) in joins.items()
+    )
+    day = f"LEFT JOIN dim_date d ON f.{date} = d.date_key" if date else ""
+    groups = ", ".join(str(i + 1) for i in range(len(keys)))
+    return with_star(f"SELECT {', '.join(keys)}, {values} FROM {fact} f {day} {on} GROUP BY {groups}")
+
+
+CUSTOMER = ("dim_customer", "customer_key", "customer_key")
+PRODUCT = ("dim_product", "product_key", "product_key")
+FACILITY = ("dim_facility", "facility_key", "facility_key")
+SUPPLIER = ("dim_supplier", "supplier_key", "supplier_key")
+CHANNEL = ("dim_sales_channel", "sales_channel_key", "sales_channel_key")
+ASSET = ("dim_asset", "asset_key", "asset_key")
+TECHNICIAN = ("dim_technician", "technician_key", "technician_key")
+
+
+def star_sql() -> dict[str, str]:
+    delivered = "f.shipment_status = 'Delivered'"
+    in_time = f"{delivered} AND f.actual_delivery_date <= f.promised_delivery_date"
+    done = "f.work_order_status = 'Completed'"
+    return {
+        "star_orders": _star(
+            "fact_sales_order", "order_date_key", {"c": CUSTOMER, "h": CHANNEL},
+            ["calendar_year", "country_code", "sales_channel_name"],
+            f"count(*) AS n_orders, {div('sum(f.order_revenue)', 'count(f.order_revenue)')} AS average_order_value",
+        ),
+        "star_purchases": _star(
+            "fact_purchase_order_line", "order_date_key", {"s": SUPPLIER, "p": PRODUCT, "x": FACILITY},
+            ["calendar_year", "supplier_tier", "product_category", "facility_type"],
+            "CAST(sum(purchased_value) AS DOUBLE) AS purchased_value, "
+            "count(DISTINCT purchase_order_id) AS n_purchase_orders, "
+            f"{div('sum(received_quantity)', 'sum(ordered_quantity)')} AS supplier_fill_rate, "
+            f"{div(n(CLOSED + ' AND f.received_date <= f.expected_date'), n(CLOSED))} AS on_time_receipt_rate",
+        ),
+        "star_shipments": _star(
+            "fact_shipment", "ship_date_key", {"x": FACILITY, "c": CUSTOMER, "h": CHANNEL},
+            ["calendar_year", "x.region_code", "customer_segment", "channel_group"],
+            "count(*) AS n_shipments, CAST(sum(freight_cost) AS DOUBLE) AS freight_cost, "
+            f"{div(n(in_time), n(delivered))} AS on_time_delivery_rate, "
+            f"{div(n('f.quality_hold'), n())} AS quality_hold_rate",
+        ),
+        "star_inventory": _star(
+            "fact_inventory_snapshot", "snapshot_date_key", {"p": PRODUCT, "x": FACILITY},
+            ["calendar_year", "product_family", "facility_type"],
+            "CAST(sum(quantity_on_hand) - sum(quantity_allocated) AS BIGINT) AS available_quantity, "
+            "CAST(sum(inventory_value) AS DOUBLE) AS inventory_value, "
+            f"{div(n('f.stockout_flag'), n())} AS stockout_rate",
+        ),
+        "star_assignments": _star(
+            "bridge_supplier_product", None, {"s": SUPPLIER, "p": PRODUCT},
+            ["supplier_tier", "product_category"],
+            f"{n()} AS n_supplier_product_assignments, {n('f.preferred_supplier')} AS n_preferred_assignments",
+        ),
+        "star_work_orders": _star(
+            "fact_work_order", "opened_date_key",
+            {"a": ASSET, "t": TECHNICIAN, "c": CUSTOMER, "x": FACILITY, "p": PRODUCT},
+            ["calendar_year", "asset_type", "specialty", "customer_segment", "facility_type", "product_category"],
+            "count(*) AS n_work_orders, "
+            f"{div(f'sum(f.duration_hours) FILTER ({done})', n(done))} AS mean_time_to_repair_hours, "
+            f"{div(n(IN_TARGET), n(done))} AS service_level_compliance",
+        ),
+        "star_work_order_parts": _star(
+            "fact_work_order_part", "opened_date_key",
+            {
+                "a": ASSET, "t": TECHNICIAN, "c": CUSTOMER, "x": FACILITY, "q": PRODUCT,
+                "p": ("dim_product", "asset_product_key", "product_key"),
+            },
+            ["calendar_year", "asset_type", "skill_level", "risk_tier", "facility_type",
+             "q.critical_spare", "p.product_category"],
+            "CAST(sum(part_cost) AS DOUBLE) AS parts_cost, CAST(sum(quantity_used) AS BIGINT) AS parts_used, "
+            "count(*) AS n_work_order_part_lines",
+        ),
+        "star_asset_status": _star(
+            "fact_asset_daily_status", "status_date_key", {"a": ASSET, "c": CUSTOMER, "x": FACILITY, "p": PRODUCT},
+            ["CAST(full_date AS VARCHAR) AS full_date", "criticality", "customer_segment", "facility_type",
+             "product_category"],
+            div("sum(f.operating_hours)", "(sum(f.operating_hours) + sum(f.downtime_hours))")
+            + f" AS asset_availability, {div('sum(f.health_score)', 'count(f.health_score)')} "
+            "AS average_health_score, CAST(sum(f.alert_count) AS BIGINT) AS n_alerts",
+        ),
+        "star_technicians": _star(
+            "dim_technician", None, {"e": ("dim_employee", "employee_key", "employee_key")},
+            ["department", "specialty"], f"{n('f.status = ' + repr('Active'))} AS n_active_technicians",
+        ),
+    }
+
+
 def _dates_of_shipments() -> str:
     names = {
         "n_shipments": "ship_date_key",
@@ -707,4 +798,4 @@ def operator_sql() -> dict[str, str]:
     }
     for table in (*GOLD, "dim_date"):
         found[table] = shown(table)
-    return found
+    return found | star_sql()

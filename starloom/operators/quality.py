@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from starloom.sources.store import TableStore, moment
+from starloom.sources.store import TableStore, literal_rows, moment
 
 Tables = Callable[[str], DataFrame]
 
@@ -226,9 +226,10 @@ def _references(
         .groupBy("check_no")
         .agg(F.sum("held").alias("missing"))
     )
-    checks = spark.createDataFrame(
+    checks = literal_rows(
+        spark,
+        ("check_no", "child", "column_name", "check_name"),
         [(no, child, column, name(column, parent)) for no, (child, column, parent) in enumerate(listed)],
-        "check_no int, child string, column_name string, check_name string",
     )
     failed = F.coalesce("missing", F.lit(0)).cast("bigint")
     return checks.join(missing, "check_no", "left").select(

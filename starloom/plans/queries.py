@@ -360,15 +360,86 @@ def calendar_refresh(w: Warehouse) -> DataFrame:
 SALES_MEASURES = ["total_revenue", "gross_margin", "gross_margin_pct", "n_orders_with_sales"]
 
 
+SALES_STAR = [
+    "date.calendar_year",
+    "customer.region_code",
+    "product.product_category",
+    "sales_channel.channel_group",
+]
+
+
 def star_join(w: Warehouse) -> DataFrame:
-    axis = ["date.calendar_year", "customer.region_code", "product.product_category", "sales_channel.channel_group"]
-    return model(w, "commercial").rollup(SALES_MEASURES, axis)
+    return model(w, "commercial").rollup(SALES_MEASURES, SALES_STAR)
+
+
+# Every active relationship of a fact in one query: model, measures, attributes.
+STARS = {
+    "star_orders": (
+        "commercial",
+        ["n_orders", "average_order_value"],
+        ["date.calendar_year", "customer.country_code", "sales_channel.sales_channel_name"],
+    ),
+    "star_purchases": (
+        "supply_chain",
+        ["purchased_value", "n_purchase_orders", "supplier_fill_rate", "on_time_receipt_rate"],
+        ["date.calendar_year", "supplier.supplier_tier", "product.product_category", "facility.facility_type"],
+    ),
+    "star_shipments": (
+        "supply_chain",
+        ["n_shipments", "freight_cost", "on_time_delivery_rate", "quality_hold_rate"],
+        ["date.calendar_year", "facility.region_code", "customer.customer_segment", "sales_channel.channel_group"],
+    ),
+    "star_inventory": (
+        "supply_chain",
+        ["available_quantity", "inventory_value", "stockout_rate"],
+        ["date.calendar_year", "product.product_family", "facility.facility_type"],
+    ),
+    "star_assignments": (
+        "supply_chain",
+        ["n_supplier_product_assignments", "n_preferred_assignments"],
+        ["supplier.supplier_tier", "product.product_category"],
+    ),
+    "star_work_orders": (
+        "service",
+        ["n_work_orders", "mean_time_to_repair_hours", "service_level_compliance"],
+        [
+            "date.calendar_year", "asset.asset_type", "technician.specialty",
+            "customer.customer_segment", "facility.facility_type", "product.product_category",
+        ],
+    ),
+    "star_work_order_parts": (
+        "service",
+        ["parts_cost", "parts_used", "n_work_order_part_lines"],
+        [
+            "date.calendar_year", "asset.asset_type", "technician.skill_level",
+            "customer.risk_tier", "facility.facility_type", "part_product.critical_spare",
+            "product.product_category",
+        ],
+    ),
+    "star_asset_status": (
+        "service",
+        ["asset_availability", "average_health_score", "n_alerts"],
+        [
+            "date.full_date", "asset.criticality", "customer.customer_segment",
+            "facility.facility_type", "product.product_category",
+        ],
+    ),
+    "star_technicians": (
+        "service",
+        ["n_active_technicians"],
+        ["employee.department", "technician.specialty"],
+    ),
+}
+
+
+def star_query(name: str) -> Query:
+    where, measures, axis = STARS[name]
+    return lambda w: model(w, where).rollup(measures, axis)
 
 
 def far_star_join(w: Warehouse) -> DataFrame:
     """The same star with no dimension small enough to broadcast."""
-    axis = ["date.calendar_year", "customer.region_code", "product.product_category", "sales_channel.channel_group"]
-    return model(w, "commercial", broadcast_bytes=0).rollup(SALES_MEASURES, axis)
+    return model(w, "commercial", broadcast_bytes=0).rollup(SALES_MEASURES, SALES_STAR)
 
 
 def filtered_rollup(w: Warehouse) -> DataFrame:
@@ -617,6 +688,7 @@ def table_query(name: str) -> Query:
 QUERIES: dict[str, Query] = {
     **OPERATORS,
     **{name: table_query(name) for name in ("dim_date", *DIMENSIONS, *FACTS)},
+    **{name: star_query(name) for name in STARS},
     **{f"m_{name}": measure_query(name) for name in MEASURES},
 }
 

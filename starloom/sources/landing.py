@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import columns as c
 from starloom.operators.conform import conform, duplicate_keys, has_key
-from starloom.sources.store import TableStore
+from starloom.sources.store import TableStore, literal_rows
 
 LANDING_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -360,8 +360,9 @@ def technician(landing: Tables, lines: DataFrame) -> DataFrame:
 
 
 def sales_channel(landing: Tables, lines: DataFrame) -> DataFrame:
-    rows = landing.spark.createDataFrame(
-        SALES_CHANNELS, "sales_channel_key bigint, sales_channel_name string, channel_group string"
+    names = ("channel_number", "sales_channel_name", "channel_group")
+    rows = literal_rows(landing.spark, names, SALES_CHANNELS).withColumn(
+        "sales_channel_key", F.col("channel_number").cast("bigint")
     )
     return rows.select(
         "sales_channel_key",

@@ -7,7 +7,7 @@ import math
 import tempfile
 import threading
 from collections import defaultdict
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from typing import NamedTuple, TypeVar
@@ -154,6 +154,12 @@ class TableStore:
                 self.spark.catalog.createTable(f"{database}.{table}", path=path, source="parquet")
 
 
+def literal_rows(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence]) -> DataFrame:
+    """A short code table written in the query itself; no Python worker makes its rows."""
+    structs = (F.struct(*(F.lit(v).alias(c) for c, v in zip(columns, row))) for row in rows)
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def side_by_side(job: Callable[[str], T], names: Iterable[str]) -> list[T]:
     """``job`` for every name, some at a time: small jobs share the cluster."""
     with ThreadPoolExecutor(max_workers=JOBS_AT_ONCE) as pool:

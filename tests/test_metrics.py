@@ -16,7 +16,7 @@ from starloom.plans.models import (
     path_to,
     visible_columns,
 )
-from starloom.plans.queries import model
+from starloom.plans.queries import SALES_STAR, STARS, model
 
 MONTHLY = ["date.calendar_year", "date.calendar_month", "customer.customer_segment"]
 
@@ -42,6 +42,16 @@ def test_every_inactive_relationship_is_some_measures_role():
                 ), (name, edge)
 
 
+def test_every_active_relationship_is_in_a_registered_star():
+    used = set()
+    stars = [*STARS.values(), ("commercial", ["total_revenue"], SALES_STAR)]
+    for name, measures, axis in stars:
+        for attribute in axis:
+            hops = path_to(name, MEASURES[measures[0]].home, attribute.split(".")[0], None)
+            used |= {(name, e) for e in hops}
+    assert {(name, e) for name, edges in RELATIONSHIPS.items() for e in edges if e.active} == used
+
+
 def test_paths():
     hops = path_to("service", "work_orders", "employee", None)
     assert [h.parent for h in hops] == ["technician", "employee"]
