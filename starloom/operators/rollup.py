@@ -118,6 +118,7 @@ class MetricModel:
         """
         asked = [MEASURES[name] for name in measures]
         axis = attributes(by)
+        self._check(asked, date_role, [*by, *(filters or {})])
         frames, formulas = [], []
         for (home, role, shift), group in self._passes(asked, date_role).items():
             used = Aggregates(f"{home}__{role or 'active'}__{shift or 'now'}")
@@ -143,11 +144,13 @@ class MetricModel:
         """
         asked = [MEASURES[name] for name in measures]
         axis = attributes([*by, *hierarchy])
+        self._check(asked, None, [*by, *hierarchy, *(filters or {})])
         fixed, steps = len(by), len(hierarchy)
         frames, formulas = [], []
         for (home, role, shift), group in self._passes(asked, None).items():
             if shift:
                 raise ValueError("subtotals of a shifted measure: ask for each level by itself")
+            self._require_related(home, role, axis)
             used = Aggregates(f"{home}__{role or 'active'}__now")
             formulas += [m.formula(used).alias(m.name) for m in group]
             frames.append(
@@ -158,6 +161,22 @@ class MetricModel:
         labels = [*(a.label for a in axis), "level"]
         return self._side_by_side(frames, labels).select(*labels, *formulas)
 
+    def _check(self, asked: Sequence[Measure], date_role: str | None, names: Sequence[str]) -> None:
+        """Refuse tables, measures and date roles that the model does not have."""
+        known = MODEL_TABLES[self.name]
+        for table in [m.home for m in asked] + [name.split(".")[0] for name in names]:
+            if table not in known:
+                raise ValueError(f"model {self.name} has no table {table}")
+        for m in asked:
+            role = m.date_role or date_role
+            if role and path_to(self.name, m.home, "date", role) is None:
+                raise ValueError(f"{m.home} has no relationship to the calendar by {role}")
+
+    def _require_related(self, home: str, role: str | None, axis: Sequence[Attribute]) -> None:
+        apart = {a.table for a in axis if path_to(self.name, home, a.table, role) is None}
+        if apart:
+            raise UnrelatedError(f"{home} is not related to {', '.join(sorted(apart))}")
+
     @staticmethod
     def _passes(
         asked: Sequence[Measure], date_role: str | None
@@ -190,10 +209,10 @@ class MetricModel:
         filters: Filters,
         unrelated: str,
     ) -> DataFrame:
+        if unrelated == "error" or shift:
+            self._require_related(home, role, axis)
         related = [a for a in axis if path_to(self.name, home, a.table, role) is not None]
         apart = [a for a in axis if a not in related]
-        if apart and (unrelated == "error" or shift):
-            raise UnrelatedError(f"{home} is not related to {', '.join(a.table for a in apart)}")
         if shift:
             return self._shifted(home, role, shift, bases, related, filters)
         frame = self._aggregate(home, role, bases, related, filters)

@@ -203,24 +203,27 @@ def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
 def load_bronze(
     warehouse: Warehouse, store: TableStore, run_id: str, loaded_at: datetime
 ) -> DataFrame:
-    """Write every bound entity and the calendar as raw tables with lineage columns.
+    """Write every bound entity, then the calendar over their dates, as raw tables with lineage.
 
     Returns the manifest: table, source system, run and rows stored.
     """
-    sources = {name: source for name, (_, _, source) in ENTITIES.items()} | {"date": "calendar"}
-    warehouse.publish_all()
 
-    def load(name: str) -> DataFrame:
-        raw = warehouse.table("dim_date") if name == "date" else warehouse.entity(name)
-        system = f"landing.{sources[name]}"
-        table = store.write(f"bronze.{name}_raw", stamp_lineage(raw, system, run_id, loaded_at))
+    def load(name: str, rows: DataFrame, source: str) -> DataFrame:
+        stamped = stamp_lineage(rows, f"landing.{source}", run_id, loaded_at)
         return (
-            table.groupBy("source_system", "pipeline_run_id")
+            store.write(f"bronze.{name}_raw", stamped)
+            .groupBy("source_system", "pipeline_run_id")
             .agg(F.count("*").alias("row_count"))
             .select(F.lit(f"bronze.{name}_raw").alias("table_name"), "*")
         )
 
-    return reduce(DataFrame.unionByName, side_by_side(load, sources))
+    warehouse.line()
+    stored = side_by_side(
+        lambda name: load(name, warehouse.entity(name), ENTITIES[name][2]), ENTITIES
+    )
+    ranges = calendar_ranges(lambda entity: store.read(f"bronze.{entity}_raw"))
+    stored.append(load("date", date_dimension(ranges, bind.THIS_YEAR), "calendar"))
+    return reduce(DataFrame.unionByName, stored)
 
 
 def load_silver(store: TableStore) -> DataFrame:

@@ -146,6 +146,21 @@ def test_unrelated_attribute_repeats_or_is_refused(warehouse):
     assert path_to("service", "technician", "facility", None) is None
 
 
+def test_unknown_names_are_refused(warehouse):
+    com = model(warehouse, "commercial")
+    for measures, by, role in (
+        (["n_work_orders"], [], None),
+        (["n_orders"], ["facility.region_code"], None),
+        (["n_orders"], ["date.calendar_year"], "received_date_key"),
+    ):
+        with pytest.raises(ValueError):
+            com.rollup(measures, by, date_role=role)
+    with pytest.raises(ValueError):
+        com.rollup(["n_orders"], [], filters={"custmer.risk_tier": "High"})
+    with pytest.raises(UnrelatedError):
+        com.subtotals(["n_active_customers"], ["date.calendar_year"])
+
+
 def test_filters_on_unrelated_dimensions_do_not_filter(warehouse):
     service = model(warehouse, "service")
     every = service.rollup(["n_assets"], ["asset.asset_type"])
