@@ -272,7 +272,6 @@ class MetricModel:
         else:
             finish = [first_stage(b) for b in bases]
 
-        rows = rows.withColumns({a.inner: F.col(a.inner) for a in axis})
         names = [F.col(a.inner).alias(a.label) for a in axis]
         if not levels:
             return rows.groupBy(*names).agg(*finish)

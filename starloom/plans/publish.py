@@ -110,7 +110,7 @@ def publish(name: str, entity: DataFrame, gold: Tables) -> DataFrame:
     if name in EXTENDED_AMOUNTS:
         amount, quantity, unit = EXTENDED_AMOUNTS[name]
         published = published.withColumn(amount, c.extended(quantity, unit))
-    return published
+    return bind.with_text_ids(published, GOLD_ENTITIES[name])
 
 
 def calendar_ranges(entities: Tables) -> list[DataFrame]:
@@ -133,6 +133,9 @@ class Warehouse:
 
     def entity(self, name: str) -> DataFrame:
         """A bound entity before publishing. Its columns are computed when read."""
+        return bind.with_text_ids(self._bound(name), name)
+
+    def _bound(self, name: str) -> DataFrame:
         build, _, _ = ENTITIES[name]
         return build(self.sources, self.line())
 
@@ -145,7 +148,7 @@ class Warehouse:
     def _build(self, name: str) -> DataFrame:
         if name == "dim_date":
             return date_dimension(self.calendar_ranges(), bind.THIS_YEAR)
-        return publish(name, self.entity(GOLD_ENTITIES[name]), self.table)
+        return publish(name, self._bound(GOLD_ENTITIES[name]), self.table)
 
     def publish_all(self) -> None:
         """Publish every gold table; jobs of independent tables share the cluster."""

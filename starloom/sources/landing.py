@@ -416,11 +416,8 @@ def asset(landing: Tables, lines: DataFrame) -> DataFrame:
 def sales_order_line(landing: Tables, lines: DataFrame) -> DataFrame:
     return lines.where("is_priced").select(
         F.col("line_key").alias("sales_order_line_key"),
-        row_id("SOL", "line_key").alias("sales_order_line_id"),
         F.col("l_orderkey").alias("sales_order_key"),
-        row_id("SO", "l_orderkey").alias("sales_order_id"),
         F.col("l_partkey").alias("product_key"),
-        dim_id("PRD", "l_partkey").alias("product_id"),
         "quantity",
         F.try_divide("extended_price", "quantity").cast(c.MONEY).alias("unit_price"),
         F.col("discount").alias("discount_percent"),
@@ -533,11 +530,8 @@ def shipment(landing: Tables, lines: DataFrame) -> DataFrame:
     return with_date_keys(
         lines.select(
             F.col("line_key").alias("shipment_key"),
-            row_id("SHP", "line_key").alias("shipment_id"),
             F.col("l_orderkey").alias("sales_order_key"),
-            row_id("SO", "l_orderkey").alias("sales_order_id"),
             "facility_key",
-            dim_id("FAC", "facility_key").alias("facility_id"),
             F.col("l_returnflag").alias("carrier_name"),
             "ship_date",
             promised.alias("promised_delivery_date"),
@@ -556,12 +550,9 @@ def inventory_snapshot(landing: Tables, lines: DataFrame) -> DataFrame:
     return with_date_keys(
         lines.select(
             F.col("line_key").alias("inventory_snapshot_key"),
-            row_id("INV", "line_key").alias("inventory_snapshot_id"),
             F.col("ship_date").alias("snapshot_date"),
             "facility_key",
-            dim_id("FAC", "facility_key").alias("facility_id"),
             F.col("l_partkey").alias("product_key"),
-            dim_id("PRD", "l_partkey").alias("product_id"),
             F.col("quantity").alias("quantity_on_hand"),
             F.col("l_linenumber").alias("quantity_allocated"),
             F.col("part_size").alias("safety_stock_quantity"),
@@ -579,12 +570,9 @@ def work_order(landing: Tables, lines: DataFrame) -> DataFrame:
     waiting = F.col("l_linestatus") == "O"
     return with_date_keys(
         lines.where("l_returnflag = 'R'").select(
-            row_id("WO", "line_key").alias("work_order_id"),
             F.col("line_key").alias("work_order_key"),
             F.col("l_orderkey").alias("asset_key"),
-            row_id("AST", "l_orderkey").alias("asset_id"),
             F.col("l_suppkey").alias("technician_key"),
-            dim_id("TEC", "l_suppkey").alias("technician_id"),
             F.col("ship_date").alias("opened_date"),
             "priority",
             kind.alias("work_order_type"),
@@ -608,11 +596,8 @@ def work_order_part(landing: Tables, lines: DataFrame) -> DataFrame:
     parts = lines.where("l_returnflag = 'A' AND is_priced")
     return parts.join(first, F.col("l_orderkey") == F.col("job_order")).select(
         F.col("line_key").alias("work_order_part_key"),
-        row_id("WOP", "line_key").alias("work_order_part_id"),
         "work_order_key",
-        row_id("WO", "work_order_key").alias("work_order_id"),
         F.col("l_partkey").alias("product_key"),
-        dim_id("PRD", "l_partkey").alias("product_id"),
         F.col("quantity").alias("quantity_used"),
         c.extended("quantity", "standard_cost").alias("part_cost"),
     )
@@ -635,9 +620,7 @@ def asset_daily_status(landing: Tables, lines: DataFrame) -> DataFrame:
     return with_date_keys(
         daily.withColumn("asset_daily_status_key", row_key).select(
             "asset_daily_status_key",
-            row_id("ADS", "asset_daily_status_key").alias("asset_daily_status_id"),
             "asset_key",
-            row_id("AST", "asset_key").alias("asset_id"),
             "status_date",
             "operating_hours",
             c.downtime_hours("operating_hours").alias("downtime_hours"),
@@ -649,6 +632,56 @@ def asset_daily_status(landing: Tables, lines: DataFrame) -> DataFrame:
     )
 
 
+# Text ids of the facts that are joined to a parent, each made from a key: id → (prefix, key, width).
+TEXT_IDS = {
+    "sales_order_line": {
+        "sales_order_line_id": ("SOL", "sales_order_line_key", ROW_ID_WIDTH),
+        "sales_order_id": ("SO", "sales_order_key", ROW_ID_WIDTH),
+        "product_id": ("PRD", "product_key", DIM_ID_WIDTH),
+    },
+    "shipment": {
+        "shipment_id": ("SHP", "shipment_key", ROW_ID_WIDTH),
+        "sales_order_id": ("SO", "sales_order_key", ROW_ID_WIDTH),
+        "facility_id": ("FAC", "facility_key", DIM_ID_WIDTH),
+    },
+    "inventory_snapshot": {
+        "inventory_snapshot_id": ("INV", "inventory_snapshot_key", ROW_ID_WIDTH),
+        "facility_id": ("FAC", "facility_key", DIM_ID_WIDTH),
+        "product_id": ("PRD", "product_key", DIM_ID_WIDTH),
+    },
+    "work_order": {
+        "work_order_id": ("WO", "work_order_key", ROW_ID_WIDTH),
+        "asset_id": ("AST", "asset_key", ROW_ID_WIDTH),
+        "technician_id": ("TEC", "technician_key", DIM_ID_WIDTH),
+    },
+    "work_order_part": {
+        "work_order_part_id": ("WOP", "work_order_part_key", ROW_ID_WIDTH),
+        "work_order_id": ("WO", "work_order_key", ROW_ID_WIDTH),
+        "product_id": ("PRD", "product_key", DIM_ID_WIDTH),
+    },
+    "asset_daily_status": {
+        "asset_daily_status_id": ("ADS", "asset_daily_status_key", ROW_ID_WIDTH),
+        "asset_id": ("AST", "asset_key", ROW_ID_WIDTH),
+    },
+}
+
+
+def with_text_ids(df: DataFrame, entity: str) -> DataFrame:
+    """Add an entity's text ids, each after its key.
+
+    They are left until after the join to a parent, so that the shuffle carries
+    numbers instead of padded text.
+    """
+    ids = {name: made for name, made in TEXT_IDS.get(entity, {}).items() if name not in df.columns}
+    chosen = []
+    for column in df.columns:
+        chosen.append(F.col(column))
+        for name, (prefix, key, width) in ids.items():
+            if key == column:
+                chosen.append(c.business_id(prefix, key, width).alias(name))
+    return df.select(*chosen)
+
+
 # Entity name → how it is bound, its key, and the landing table it mostly comes from.
 ENTITIES: dict[str, tuple[Callable[[Tables, DataFrame], DataFrame], str, str]] = {
     "facility": (facility, "facility_key", "nation"),

@@ -94,6 +94,17 @@ def test_broadcast_and_preaggregated_joins_agree(warehouse, rows, name):
     assert rows(near) == rows(far)
 
 
+def test_snowflake_with_either_table_too_large_to_broadcast(warehouse, rows):
+    asked = ["n_work_orders", "labor_cost"]
+    axis = ["employee.department", "technician.skill_level"]
+    filters = {"employee.job_level": ["Lead", "Senior"]}
+    results = []
+    for large in ((), ("dim_employee",), ("dim_technician",), ("dim_employee", "dim_technician")):
+        service = MetricModel("service", warehouse.table, lambda t: 2 if t in large else 0, 1)
+        results.append(rows(service.rollup(asked, axis, filters=filters)))
+    assert results[0] and all(r == results[0] for r in results)
+
+
 def test_parts_sum_to_the_whole(warehouse):
     com = model(warehouse, "commercial")
     parts = com.rollup(["total_revenue", "n_orders_with_sales"], MONTHLY)
