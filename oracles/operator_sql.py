@@ -3,7 +3,18 @@
 from __future__ import annotations
 
 from oracles.measure_sql import CLOSED, IN_TARGET, div, n
-from oracles.star_sql import AS_OF, CTES, DATES, DECIMALS, dim_id, key, money, pad, plus_months, shown, with_star
+from oracles.star_sql import (
+    AS_OF,
+    DATES,
+    DECIMALS,
+    dim_id,
+    key,
+    money,
+    pad,
+    plus_months,
+    shown,
+    with_star,
+)
 
 GOLD = [
     "dim_customer", "dim_product", "dim_supplier", "dim_facility", "dim_employee", "dim_technician",

@@ -110,6 +110,11 @@ class TableStore:
         self._bytes: dict[str, int] = {}
         self._versions = itertools.count(1)
         self._locks: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
+        self._guard = threading.Lock()
+
+    def _lock(self, name: str) -> threading.RLock:
+        with self._guard:
+            return self._locks[name]
 
     def __contains__(self, name: str) -> bool:
         return name in self._tables
@@ -118,7 +123,7 @@ class TableStore:
         """Write ``df`` as the table ``name`` and return the stored table."""
         path = f"{self.folder}/{name.replace('.', '/')}/v{next(self._versions)}"
         df.write.mode("overwrite").parquet(path)
-        with self._locks[name]:
+        with self._lock(name):
             self._paths[name] = path
             self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
             self._bytes.pop(name, None)
@@ -132,7 +137,7 @@ class TableStore:
 
         Tables have a lock each: independent ones may be built side by side.
         """
-        with self._locks[name]:
+        with self._lock(name):
             if name not in self._tables:
                 self.write(name, build())
             return self._tables[name]
