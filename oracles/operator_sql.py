@@ -502,7 +502,7 @@ BRONZE = {
     "facility": ("dim_facility", "nation"), "customer": ("dim_customer", "customer"),
     "product": ("dim_product", "part"), "supplier": ("dim_supplier", "supplier"),
     "employee": ("dim_employee", "customer"), "technician": ("dim_technician", "supplier"),
-    "sales_channel": ("dim_sales_channel", "inline"), "asset": ("dim_asset", "orders"),
+    "sales_channel": ("dim_sales_channel", "orders"), "asset": ("dim_asset", "orders"),
     "sales_order": ("fact_sales_order", "orders"),
     "sales_order_line": ("fact_sales_order_line", "lineitem"),
     "supplier_product": ("bridge_supplier_product", "lineitem"),

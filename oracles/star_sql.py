@@ -138,10 +138,12 @@ SELECT s_suppkey AS technician_key, {dim_id('TEC', 's_suppkey')} AS technician_i
 FROM supplier LEFT JOIN supplier_days ON s_suppkey = k"""
 
 CTES["dim_sales_channel"] = """
-SELECT CAST(k AS BIGINT) AS sales_channel_key, 'CH' || lpad(CAST(k AS VARCHAR), 2, '0') AS sales_channel_id,
+SELECT used AS sales_channel_key, 'CH' || lpad(CAST(used AS VARCHAR), 2, '0') AS sales_channel_id,
   n AS sales_channel_name, g AS channel_group, 'Active' AS status
-FROM (VALUES (1, 'Urgent', 'Priority'), (2, 'High', 'Priority'), (3, 'Medium', 'Standard'),
-  (4, 'Not Specified', 'Standard'), (5, 'Low', 'Standard')) AS t(k, n, g)"""
+FROM (SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS used FROM orders
+  WHERE o_orderpriority IS NOT NULL)
+LEFT JOIN (VALUES (1, 'Urgent', 'Priority'), (2, 'High', 'Priority'), (3, 'Medium', 'Standard'),
+  (4, 'Not Specified', 'Standard'), (5, 'Low', 'Standard')) AS t(k, n, g) ON used = k"""
 
 CTES["dim_asset"] = f"""
 SELECT o_orderkey AS asset_key, {row_id('AST', 'o_orderkey')} AS asset_id,

@@ -1,8 +1,8 @@
 """Integrity checks over published tables, as DataFrames of results.
 
 Every check yields a row: table, check, PASS or FAIL, failed rows, details.
-Counts are true counts. Keys are pre-aggregated before any shuffle, and all
-reference checks (foreign keys and calendar keys) share one join.
+Counts are true counts. Keys are pre-aggregated before any shuffle; all foreign
+keys are checked in one join, and all calendar keys in another.
 """
 
 from __future__ import annotations

@@ -129,6 +129,11 @@ def criticality(order_priority: str) -> Column:
     return F.coalesce(c.code_lookup(rank - 1, ("Critical", "High", "Medium")), F.lit("Low"))
 
 
+def channel_key(order_priority: str) -> Column:
+    """The number that the priority's text starts with."""
+    return F.substring(order_priority, 1, 1).cast("bigint")
+
+
 def places(landing: Tables) -> DataFrame:
     """Nation with its region."""
     region = landing("region").select("r_regionkey", F.col("r_name").alias("region_code"))
@@ -360,11 +365,13 @@ def technician(landing: Tables, lines: DataFrame) -> DataFrame:
 
 
 def sales_channel(landing: Tables, lines: DataFrame) -> DataFrame:
+    """The channels that orders use, with their names from a code table."""
+    used = landing("orders").select(channel_key("o_orderpriority").alias("sales_channel_key"))
     names = ("channel_number", "sales_channel_name", "channel_group")
-    rows = literal_rows(landing.spark, names, SALES_CHANNELS).withColumn(
-        "sales_channel_key", F.col("channel_number").cast("bigint")
-    )
-    return rows.select(
+    labels = literal_rows(landing.spark, names, SALES_CHANNELS)
+    codes = used.where(has_key(["sales_channel_key"])).distinct()
+    named = F.col("sales_channel_key") == F.col("channel_number")
+    return codes.join(F.broadcast(labels), named, "left").select(
         "sales_channel_key",
         c.business_id("CH", "sales_channel_key", 2).alias("sales_channel_id"),
         "sales_channel_name",
@@ -442,7 +449,7 @@ def order_totals(lines: DataFrame) -> DataFrame:
 
 def sales_order(landing: Tables, lines: DataFrame) -> DataFrame:
     """Orders that have lines, with their totals; orders without any line drop out."""
-    channel = F.substring("o_orderpriority", 1, 1).cast("bigint")
+    channel = channel_key("o_orderpriority")
     orders = landing("orders").select(
         F.col("o_orderkey").alias("sales_order_key"),
         row_id("SO", "o_orderkey").alias("sales_order_id"),
@@ -690,7 +697,7 @@ ENTITIES: dict[str, tuple[Callable[[Tables, DataFrame], DataFrame], str, str]] =
     "supplier": (supplier, "supplier_key", "supplier"),
     "employee": (employee, "employee_key", "customer"),
     "technician": (technician, "technician_key", "supplier"),
-    "sales_channel": (sales_channel, "sales_channel_key", "inline"),
+    "sales_channel": (sales_channel, "sales_channel_key", "orders"),
     "asset": (asset, "asset_key", "orders"),
     "sales_order": (sales_order, "sales_order_id", "orders"),
     "sales_order_line": (sales_order_line, "sales_order_line_id", "lineitem"),
@@ -703,7 +710,7 @@ ENTITIES: dict[str, tuple[Callable[[Tables, DataFrame], DataFrame], str, str]] =
     "asset_daily_status": (asset_daily_status, "asset_daily_status_id", "events"),
 }
 
-# Date columns of each entity, from which the calendar takes its bounds.
+# Date columns of each entity, from which the calendar takes its bounds.
 DATE_COLUMNS = {
     "facility": ["created_on", "modified_on"],
     "customer": ["created_on", "modified_on"],

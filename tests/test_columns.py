@@ -1,7 +1,9 @@
+import struct
 from datetime import date
 from decimal import Decimal
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from starloom.functions import columns as c
@@ -38,6 +40,20 @@ def test_hash_bucket_is_stable_and_in_range(spark):
     assert any(r.a != r.other for r in rows)
 
 
+def test_hash_bucket_against_another_implementation(spark):
+    """Chained 64-bit xxHash of the key and the salt, each in little-endian bytes."""
+    mask = 2**64
+
+    def expected(key, salt, buckets):
+        first = xxhash.xxh64_intdigest(struct.pack("<q", key), seed=42)
+        mixed = xxhash.xxh64_intdigest(struct.pack("<i", salt), seed=first)
+        signed = mixed - mask if mixed >= mask // 2 else mixed
+        return signed % buckets
+
+    found = spark.range(500).select("id", c.hash_bucket("id", 20, salt=7).alias("bucket")).collect()
+    assert [r.bucket for r in found] == [expected(r.id, 7, 20) for r in found]
+
+
 def test_dates(spark):
     leap = date(2024, 2, 29)
     assert one(spark, c.date_key("d"), d=leap) == 20240229
