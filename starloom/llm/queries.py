@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import simhash
-from starloom.llm.shared import table
+from starloom.llm import language, simhash, tokens, toxicity
+from starloom.llm.shared import held_out, table
 
 
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,7 +16,32 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    seen = docs.where(~held_out("doc_id", 5, 0)).join(labels, "doc_id")
+    score = toxicity.scorer(toxicity.learn(seen))("text")
+    return docs.select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), score.alias("score")
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counts = tokens.token_counts(table(spark, folder, "documents"), "byte_bpe_50k.json")
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    profiles = language.learn(docs.where(~held_out("doc_id", 4, 2)).select("text", "lang"))
+    found = language.identify(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "language.*")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op4_simhash": op4_simhash,
+    "op5_token_counts": op5_token_counts,
+    "op9_language": op9_language,
 }
 LLM_SQL: dict[str, str] = {}
