@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import language, simhash, tokens, toxicity
+from starloom.llm import decontaminate, language, licenses, simhash, tokens, toxicity
 from starloom.llm.shared import held_out, table
+from starloom.llm.sql import CORPUS_SQL
 
 
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,6 +32,20 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        decontaminate.is_contaminated().alias("contaminated"),
+    )
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     profiles = language.learn(docs.where(~held_out("doc_id", 4, 2)).select("text", "lang"))
@@ -38,10 +53,23 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "language.*")
 
 
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = licenses.license_matches(docs, licenses.notices(spark))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_licenses"),
+        F.concat_ws(",", "matches.license").alias("licenses"),
+        F.coalesce(F.array_max("matches.containment"), F.lit(0.0)).alias("containment"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_simhash": op4_simhash,
     "op5_token_counts": op5_token_counts,
+    "op6_decontaminate": op6_decontaminate,
     "op9_language": op9_language,
+    "op10_licenses": op10_licenses,
 }
-LLM_SQL: dict[str, str] = {}
+LLM_SQL: dict[str, str] = CORPUS_SQL
