@@ -37,6 +37,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+SUBSTRING = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+    SELECT doc_id, s, md5(array_to_string(list_slice(w, s, s + 49), ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM d WHERE len(w) >= 50)
+), first AS (
+    SELECT h, min(doc_id) AS least FROM win GROUP BY h
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p
+    FROM win JOIN first USING (h) WHERE doc_id > least
+), lists AS (
+    SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id
+), placed AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS words
+    FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 _NOTICES = ", ".join(f"('{name}', '{text}')" for name, text in NOTICES.items())
 
 LICENSES = rf"""
@@ -80,5 +104,6 @@ FROM d LEFT JOIN listed USING (doc_id)
 
 CORPUS_SQL: dict[str, str] = {
     "op6_decontaminate": DECONTAMINATE,
+    "op8_substring_dedup": SUBSTRING,
     "op10_licenses": LICENSES,
 }
