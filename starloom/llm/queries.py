@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, language, licenses, simhash, substring, tokens, toxicity
+from starloom.llm import decontaminate, fuzzy, language, licenses, simhash, substring, tokens, toxicity
 from starloom.llm.shared import held_out, table
 from starloom.llm.sql import CORPUS_SQL
 
@@ -46,6 +46,10 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_fuzzy_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fuzzy.fingerprints(table(spark, folder, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substring.without_repeats(table(spark, folder, "documents"), window=50)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -74,6 +78,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_token_counts": op5_token_counts,
     "op6_decontaminate": op6_decontaminate,
+    "op7_fuzzy_fingerprints": op7_fuzzy_fingerprints,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language": op9_language,
     "op10_licenses": op10_licenses,

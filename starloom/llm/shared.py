@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +17,19 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 BROADCAST_BYTES = 16 * 1024 * 1024
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster the package is installed, or sent with ``--py-files``, as any other.
+    """
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
