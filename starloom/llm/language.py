@@ -176,3 +176,11 @@ def identify(docs: DataFrame, profiles: Profiles, text: Column | str = "text") -
     """
     column = F.col(text) if isinstance(text, str) else text
     return docs.withColumn("language", predictor(profiles)(column))
+
+
+def with_language(docs: DataFrame, profiles: Profiles) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has an identified language."""
+    if not profiles.languages:
+        return docs
+    found = docs.withColumn("__language", predictor(profiles)("text"))
+    return found.where(F.col("__language.lang_pred") != UNKNOWN).select(*docs.columns)

@@ -7,15 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, fuzzy, language, licenses, simhash, substring, tokens, toxicity
+from starloom.llm import decontaminate, fuzzy, language, licenses, mixture, pii, simhash, substring, tokens, toxicity
+from starloom.llm.settings import MIX_SEED, OTHER_WEIGHT, TARGET_WEIGHTS
 from starloom.llm.shared import held_out, table
 from starloom.llm.sql import CORPUS_SQL
 
 
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", pii.finder(pii.learn(docs))("text").alias("found"))
+    return found.select(
+        "doc_id",
+        *(f"found.n_{kind}" for kind in pii.KINDS),
+        F.sha2("found.base", 256).alias("base_sha256"),
+        "found.spans",
+    )
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(table(spark, folder, "documents"), shingle=4, bits=4)
     return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
 
+def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return mixture.replicated(docs, TARGET_WEIGHTS, OTHER_WEIGHT, epochs=1.0, seed=MIX_SEED)
+
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -74,7 +90,9 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix_sources": op1_mix_sources,
     "op2_toxicity": op2_toxicity,
+    "op3_personal_data": op3_personal_data,
     "op4_simhash": op4_simhash,
     "op5_token_counts": op5_token_counts,
     "op6_decontaminate": op6_decontaminate,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from starloom.llm.licenses import NOTICES
+from starloom.llm.settings import MIX_SEED, OTHER_WEIGHT, TARGET_WEIGHTS
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -61,6 +62,33 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS B
 FROM d LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+_WEIGHTS = ", ".join(f"('{source}', {weight})" for source, weight in TARGET_WEIGHTS.items())
+
+MIXTURE = f"""
+WITH w(name, weight) AS (VALUES {_WEIGHTS}), pooled AS (
+    SELECT documents.*, name AS pool, coalesce(weight, {OTHER_WEIGHT}) AS weight
+    FROM documents LEFT JOIN w ON source = name
+), sizes AS (
+    SELECT pool, any_value(weight) AS weight, sum(coalesce(length(text), 0) + 1) AS size
+    FROM pooled GROUP BY pool
+), rates AS (
+    SELECT pool, weight / sum(weight) OVER () * CAST(sum(size) OVER () AS DOUBLE) / size AS rate FROM sizes
+), terms AS (
+    SELECT pool, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS term
+    FROM rates, (SELECT unnest(range(200)) AS k)
+), chances AS (
+    SELECT pool, sum(term) OVER (PARTITION BY pool ORDER BY k) AS chance FROM terms
+), drawn AS (
+    SELECT *, CAST('0x' || substr(md5('{MIX_SEED}/' || doc_id), 1, 13) AS BIGINT) / 4503599627370496 AS u
+    FROM pooled
+), counted AS (
+    SELECT doc_id, text, lang, source, n_chars, CAST(count(*) FILTER (chance <= u) AS INTEGER) AS copies
+    FROM drawn JOIN chances ON drawn.pool IS NOT DISTINCT FROM chances.pool
+    GROUP BY doc_id, text, lang, source, n_chars
+)
+SELECT *, CAST(unnest(range(1, copies + 1)) AS INTEGER) AS copy FROM counted
+"""
+
 _NOTICES = ", ".join(f"('{name}', '{text}')" for name, text in NOTICES.items())
 
 LICENSES = rf"""
@@ -103,6 +131,7 @@ FROM d LEFT JOIN listed USING (doc_id)
 """
 
 CORPUS_SQL: dict[str, str] = {
+    "op1_mix_sources": MIXTURE,
     "op6_decontaminate": DECONTAMINATE,
     "op8_substring_dedup": SUBSTRING,
     "op10_licenses": LICENSES,
