@@ -69,6 +69,13 @@ def exact(column: str) -> str:
     return f"sum(f.{column})"
 
 
+def count_distinct(column: str) -> str:
+    """Distinct values, the blank counted as one."""
+    return (
+        f"nullif(count(DISTINCT f.{column}) + CAST(count(*) > count(f.{column}) AS BIGINT), 0)"
+    )
+
+
 def average(column: str) -> str:
     return div(f"sum(f.{column})", f"count(f.{column})")
 
@@ -78,7 +85,8 @@ IN_TARGET = (
     f"{DONE} AND date_diff('day', f.opened_date, f.resolved_date) <= "
     "CASE f.priority WHEN 'Critical' THEN 2 WHEN 'High' THEN 3 ELSE 5 END"
 )
-CLOSED = "f.purchase_order_status <> 'Open'"
+CLOSED = "f.purchase_order_status IS DISTINCT FROM 'Open'"
+BLANK_DAY = "DATE '0001-01-01'"
 DELIVERED = "f.shipment_status = 'Delivered'"
 
 # measure → (home, expression, date key other than the active one)
@@ -99,44 +107,45 @@ MEASURES = {
     "gross_margin_pct": (
         "sales", div("(sum(f.line_revenue) - sum(f.line_cost))", exact("line_revenue")), None,
     ),
-    "units_sold": ("sales", int_sum("quantity"), None),
+    "units_sold": ("sales", money_sum("quantity"), None),
     "n_sales_lines": ("sales", n(), None),
-    "n_orders_with_sales": ("sales", "nullif(count(DISTINCT f.sales_order_key), 0)", None),
+    "n_orders_with_sales": ("sales", count_distinct("sales_order_key"), None),
     "average_selling_price": ("sales", div(exact("line_revenue"), exact("quantity")), None),
     "total_revenue_by_requested_date": ("sales", money_sum("line_revenue"), "requested_date_key"),
-    "units_sold_by_requested_date": ("sales", int_sum("quantity"), "requested_date_key"),
+    "units_sold_by_requested_date": ("sales", money_sum("quantity"), "requested_date_key"),
     "n_facilities_created": ("facility", n(), "created_on_key"),
     "n_facilities_modified": ("facility", n(), "modified_on_key"),
-    "quantity_on_hand": ("inventory", int_sum("quantity_on_hand"), None),
+    "quantity_on_hand": ("inventory", money_sum("quantity_on_hand"), None),
     "allocated_quantity": ("inventory", int_sum("quantity_allocated"), None),
     "available_quantity": (
-        "inventory", "CAST(sum(f.quantity_on_hand) - sum(f.quantity_allocated) AS BIGINT)", None,
+        "inventory", "CAST(sum(f.quantity_on_hand) - sum(f.quantity_allocated) AS DOUBLE)", None,
     ),
     "inventory_value": ("inventory", money_sum("inventory_value"), None),
     "n_stockout_snapshots": ("inventory", n("f.stockout_flag"), None),
     "stockout_rate": ("inventory", div(n("f.stockout_flag"), n()), None),
     "purchased_value": ("purchase_orders", money_sum("purchased_value"), None),
-    "n_purchase_orders": ("purchase_orders", "nullif(count(DISTINCT f.purchase_order_id), 0)", None),
-    "total_ordered_quantity": ("purchase_orders", int_sum("ordered_quantity"), None),
-    "total_received_quantity": ("purchase_orders", int_sum("received_quantity"), None),
+    "n_purchase_orders": ("purchase_orders", count_distinct("purchase_order_id"), None),
+    "total_ordered_quantity": ("purchase_orders", money_sum("ordered_quantity"), None),
+    "total_received_quantity": ("purchase_orders", money_sum("received_quantity"), None),
     "supplier_fill_rate": (
         "purchase_orders", div(exact("received_quantity"), exact("ordered_quantity")), None,
     ),
     "on_time_receipt_rate": (
         "purchase_orders",
-        div(n(f"{CLOSED} AND f.received_date <= f.expected_date"), n(CLOSED)), None,
+        div(n(f"{CLOSED} AND coalesce(f.received_date, {BLANK_DAY}) <= coalesce(f.expected_date, {BLANK_DAY})"), n(CLOSED)), None,
     ),
     "n_purchase_orders_by_expected_date": (
-        "purchase_orders", "nullif(count(DISTINCT f.purchase_order_id), 0)", "expected_date_key",
+        "purchase_orders", count_distinct("purchase_order_id"), "expected_date_key",
     ),
     "n_purchase_orders_by_received_date": (
-        "purchase_orders", "nullif(count(DISTINCT f.purchase_order_id), 0)", "received_date_key",
+        "purchase_orders", count_distinct("purchase_order_id"), "received_date_key",
     ),
     "n_shipments": ("shipments", n(), None),
     "n_delivered_shipments": ("shipments", n(DELIVERED), None),
     "on_time_delivery_rate": (
         "shipments",
-        div(n(f"{DELIVERED} AND f.actual_delivery_date <= f.promised_delivery_date"), n(DELIVERED)),
+        div(n(f"{DELIVERED} AND coalesce(f.actual_delivery_date, {BLANK_DAY}) <= "
+            f"coalesce(f.promised_delivery_date, {BLANK_DAY})"), n(DELIVERED)),
         None,
     ),
     "freight_cost": ("shipments", money_sum("freight_cost"), None),
@@ -168,7 +177,7 @@ MEASURES = {
     "n_technicians_created": ("technician", n(), "created_on_key"),
     "n_technicians_modified": ("technician", n(), "modified_on_key"),
     "parts_cost": ("work_order_parts", money_sum("part_cost"), None),
-    "parts_used": ("work_order_parts", int_sum("quantity_used"), None),
+    "parts_used": ("work_order_parts", money_sum("quantity_used"), None),
     "n_work_order_part_lines": ("work_order_parts", n(), None),
     "n_work_order_part_lines_by_resolved_date": ("work_order_parts", n(), "resolved_date_key"),
     "n_work_orders": ("work_orders", n(), None),
@@ -249,6 +258,10 @@ LY = with_star(
 def measure_sql() -> dict[str, str]:
     found = {f"m_{name}": _dated(name) for name in MEASURES}
     found |= {f"m_{name}": _timeless(name) for name in TIMELESS}
+    for name in ("n_customers_created", "n_customers_modified", "n_products_created", "n_products_modified"):
+        found[f"m_{name}_supply_chain"] = found[f"m_{name}_service"] = _dated(name)
+    for name in ("n_facilities_created", "n_facilities_modified"):
+        found[f"m_{name}_service"] = _dated(name)
     found["m_n_supplier_product_assignments"] = _bridge("n_supplier_product_assignments", None)
     found["m_n_preferred_assignments"] = _bridge("n_preferred_assignments", "f.preferred_supplier")
     found["m_total_revenue_ytd"] = YTD

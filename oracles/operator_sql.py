@@ -96,7 +96,7 @@ def star_sql() -> dict[str, str]:
         "star_inventory": _star(
             "fact_inventory_snapshot", "snapshot_date_key", {"p": PRODUCT, "x": FACILITY},
             ["calendar_year", "product_family", "facility_type"],
-            "CAST(sum(quantity_on_hand) - sum(quantity_allocated) AS BIGINT) AS available_quantity, "
+            "CAST(sum(quantity_on_hand) - sum(quantity_allocated) AS DOUBLE) AS available_quantity, "
             "CAST(sum(inventory_value) AS DOUBLE) AS inventory_value, "
             f"{div(n('f.stockout_flag'), n())} AS stockout_rate",
         ),
@@ -121,7 +121,7 @@ def star_sql() -> dict[str, str]:
             },
             ["calendar_year", "asset_type", "skill_level", "risk_tier", "facility_type",
              "q.critical_spare", "p.product_category"],
-            "CAST(sum(part_cost) AS DOUBLE) AS parts_cost, CAST(sum(quantity_used) AS BIGINT) AS parts_used, "
+            "CAST(sum(part_cost) AS DOUBLE) AS parts_cost, CAST(sum(quantity_used) AS DOUBLE) AS parts_used, "
             "count(*) AS n_work_order_part_lines",
         ),
         "star_asset_status": _star(
@@ -270,13 +270,13 @@ def _sales_dashboard() -> str:
             "fact_sales_order_line", "order_date_key",
             f"{REVENUE} AS total_revenue, CAST(sum(f.line_cost) AS DOUBLE) AS total_cost, "
             f"CAST({MARGIN} AS DOUBLE) AS gross_margin, {MARGIN_PCT} AS gross_margin_pct, "
-            f"CAST(sum(f.quantity) AS BIGINT) AS units_sold, {n()} AS n_sales_lines, "
+            f"CAST(sum(f.quantity) AS DOUBLE) AS units_sold, {n()} AS n_sales_lines, "
             f"count(DISTINCT f.sales_order_key) AS n_orders_with_sales, {PRICE} AS average_selling_price",
         ),
         "lq": by(
             "fact_sales_order_line", "requested_date_key",
             f"{REVENUE} AS total_revenue_by_requested_date, "
-            "CAST(sum(f.quantity) AS BIGINT) AS units_sold_by_requested_date",
+            "CAST(sum(f.quantity) AS DOUBLE) AS units_sold_by_requested_date",
         ),
         "ytd": "SELECT calendar_year AS y, calendar_month AS m, customer_segment AS s, total_revenue_ytd "
         "FROM ytd_rows",
@@ -444,7 +444,7 @@ DIM_CHECKS = [
     for t, k in DIM_KEYS.items()
 ]
 GRAIN_CHECKS = [
-    _check(t, f"grain_unique_{k}", _dup(t, k), "dup", "'duplicate grain rows=' || dup")
+    _check(t, f"grain_unique_{k}", _dup(t, k), "dup", "'repeated_ids=' || dup")
     for t, k in GRAINS.items()
 ]
 
@@ -461,14 +461,14 @@ REFERENCE_CHECKS = [
     _check(
         child, f"fk_{column}_to_gold.{parent}.{PARENT_KEYS[parent]}",
         _missing(child, column, parent, PARENT_KEYS[parent]), "bad",
-        f"'unmatched non-null {column} values=' || bad",
+        f"'rows whose {column} no {parent} has: ' || bad",
     )
     for child, column, parent in REFERENCES
 ]
 DATE_CHECKS = [
     _check(
         child, f"datekey_{column}_in_dim_date", _missing(child, column, "dim_date", "date_key"), "bad",
-        f"'non-null {column} values missing from gold.dim_date=' || bad",
+        f"'rows whose {column} is no day of the calendar: ' || bad",
     )
     for child, column in DATE_KEYS
 ]
@@ -533,7 +533,7 @@ CLUSTERED = {
 }
 CLUSTERED_REWRITE = union([
     f"SELECT '{t}' AS table_name, count(*) AS row_count, min({d}) AS first_date_key, "
-    f"max({d}) AS last_date_key, CAST(sum({k} % 1000003) AS BIGINT) AS row_key_sum FROM {t}"
+    f"max({d}) AS last_date_key, max({k}) AS last_row_key FROM {t}"
     for t, (d, k) in CLUSTERED.items()
 ])
 GUARDS = union([
@@ -609,7 +609,9 @@ def operator_sql() -> dict[str, str]:
         "bronze_load": BRONZE_LOAD,
         "silver_load": SILVER_LOAD,
         "clustered_rewrite": CLUSTERED_REWRITE,
-        "code_lookup": "SELECT o_orderkey, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Urgent' "
+        "digest_bucket_assign": "SELECT c_custkey, CAST(CAST('0x' || substr(md5('7:' || c_custkey), 1, 15) AS BIGINT) "
+        "% 20 AS INTEGER) AS bucket FROM customer",
+        "code_lookup": "SELECT o_orderkey, CASE regexp_extract(o_orderpriority, '^([0-9]+)-', 1) WHEN '1' THEN 'Urgent' "
         "WHEN '2' THEN 'High' WHEN '3' THEN 'Medium' WHEN '4' THEN 'Not Specified' WHEN '5' THEN 'Low' END "
         "AS channel_name FROM orders",
         "business_id": f"SELECT o_orderkey, {dim_id('SO', 'o_orderkey')} AS order_id FROM orders",
@@ -630,7 +632,7 @@ def operator_sql() -> dict[str, str]:
         "risk_tier_banding": "SELECT c_custkey, CASE WHEN c_acctbal < 2000 THEN 'High' "
         "WHEN c_acctbal < 5000 THEN 'Medium' ELSE 'Low' END AS risk_tier FROM customer",
         "broadcast_price_join": with_star(
-            "SELECT line_key, l_partkey AS product_key, qty AS quantity, "
+            "SELECT line_key, l_partkey AS product_key, CAST(qty AS DOUBLE) AS quantity, "
             f"CAST(p.standard_cost AS DOUBLE) AS standard_cost, CAST(list_price AS DOUBLE) AS list_price FROM {PRICED}"
         ),
         "line_revenue": with_star(
@@ -645,7 +647,8 @@ def operator_sql() -> dict[str, str]:
             + f" AS DOUBLE) AS unit_cost FROM {PRICED}"
         ),
         "received_quantity": with_star(
-            "SELECT purchase_order_line_id, ordered_quantity, received_quantity FROM fact_purchase_order_line"
+            "SELECT purchase_order_line_id, CAST(ordered_quantity AS DOUBLE) AS ordered_quantity, "
+            "CAST(received_quantity AS DOUBLE) AS received_quantity FROM fact_purchase_order_line"
         ),
         "stockout_flag": with_star(
             "SELECT inventory_snapshot_id, safety_stock_quantity, reorder_point, stockout_flag "
@@ -660,7 +663,7 @@ def operator_sql() -> dict[str, str]:
             "SELECT work_order_id, CAST(labor_cost AS DOUBLE) AS labor_cost FROM fact_work_order"
         ),
         "part_cost": with_star(
-            "SELECT work_order_part_id, quantity_used, CAST(part_cost AS DOUBLE) AS part_cost FROM fact_work_order_part"
+            "SELECT work_order_part_id, CAST(quantity_used AS DOUBLE) AS quantity_used, CAST(part_cost AS DOUBLE) AS part_cost FROM fact_work_order_part"
         ),
         "downtime_hours": with_star(
             "SELECT asset_daily_status_id, CAST(operating_hours AS DOUBLE) AS operating_hours, "
@@ -683,7 +686,7 @@ def operator_sql() -> dict[str, str]:
             f"{pad('', 'customer_key', 9)}) AS display_name FROM dim_customer"
         ),
         "preferred_supplier": with_star(
-            "SELECT product_key, supplier_key, minimum_order_quantity FROM bridge_supplier_product "
+            "SELECT product_key, supplier_key, CAST(minimum_order_quantity AS DOUBLE) AS minimum_order_quantity FROM bridge_supplier_product "
             "WHERE preferred_supplier"
         ),
         "order_header_totals": with_star(
@@ -697,11 +700,21 @@ def operator_sql() -> dict[str, str]:
         "far_star_join": STAR_JOIN,
         "filtered_rollup": with_star(
             f"SELECT calendar_year, product_category, {REVENUE} AS total_revenue, "
-            f"CAST(sum(quantity) AS BIGINT) AS units_sold, count(*) AS n_sales_lines "
+            f"CAST(sum(quantity) AS DOUBLE) AS units_sold, count(*) AS n_sales_lines "
             f"FROM fact_sales_order_line f {SALES_DATE} {SALES_CUSTOMER} {SALES_PRODUCT} "
             "WHERE customer_segment IN ('BUILDING', 'MACHINERY') AND risk_tier = 'High' "
             "AND calendar_year BETWEEN 1996 AND 1999 AND quantity >= 10 GROUP BY 1, 2"
         ),
+        "filtered_rollup_blank": with_star(
+            "SELECT kept, criticality, nullif(sum(alert_count), 0) AS n_alerts FROM ("
+            "SELECT 'blank' AS kept, criticality, alert_count FROM fact_asset_daily_status f "
+            "LEFT JOIN dim_asset a ON f.asset_key = a.asset_key LEFT JOIN dim_product p "
+            "ON f.product_key = p.product_key WHERE p.product_category IS NULL UNION ALL "
+            "SELECT 'all but the first', criticality, alert_count FROM fact_asset_daily_status f "
+            "LEFT JOIN dim_asset a ON f.asset_key = a.asset_key LEFT JOIN dim_product p "
+            "ON f.product_key = p.product_key WHERE p.product_category IS DISTINCT FROM "
+            "(SELECT min(product_category) FROM dim_product)) GROUP BY 1, 2"
+        ),
         "status_rollup": with_star(
             f"SELECT order_status, count(*) AS n_orders, {n('order_status = ' + repr('Open'))} AS n_open_orders, "
             f"{n('order_status = ' + repr('Completed'))} AS n_completed_orders, "
@@ -727,7 +740,7 @@ def operator_sql() -> dict[str, str]:
         "two_role_product": with_star(
             "SELECT p.product_category AS product_product_category, q.product_category AS "
             "part_product_product_category, CAST(sum(part_cost) AS DOUBLE) AS parts_cost, "
-            "CAST(sum(quantity_used) AS BIGINT) AS parts_used FROM fact_work_order_part f "
+            "CAST(sum(quantity_used) AS DOUBLE) AS parts_used FROM fact_work_order_part f "
             "LEFT JOIN dim_product p ON f.asset_product_key = p.product_key "
             "LEFT JOIN dim_product q ON f.product_key = q.product_key GROUP BY 1, 2"
         ),

@@ -17,6 +17,12 @@ def row_id(prefix: str, value: str) -> str:
     return pad(prefix, value, 16)
 
 
+def pair_id(prefix: str, value: str) -> str:
+    return (
+        f"'{prefix}' || lpad(split_part({value}, ':', 1), 16, '0') || ':' || split_part({value}, ':', 2)"
+    )
+
+
 def key(day: str) -> str:
     return f"CAST(strftime({day}, '%Y%m%d') AS INTEGER)"
 
@@ -34,8 +40,9 @@ def plus_months(day: str, months: int) -> str:
 
 
 AS_OF = "DATE '2001-08-01'"
-CRITICALITY = """CASE substr({0}, 1, 1) WHEN '1' THEN 'Critical' WHEN '2' THEN 'High'
-    WHEN '3' THEN 'Medium' ELSE 'Low' END"""
+CHANNEL = "TRY_CAST(regexp_extract({0}, '^([0-9]+)-', 1) AS BIGINT)"
+CRITICALITY = f"""CASE {CHANNEL} WHEN 1 THEN 'Critical' WHEN 2 THEN 'High'
+    WHEN 3 THEN 'Medium' ELSE 'Low' END"""
 
 
 def _pick(value: str, labels: list[str]) -> str:
@@ -55,8 +62,8 @@ SELECT * EXCLUDE (rn) FROM (
 WHERE rn = 1"""
 
 CTES["lines"] = f"""
-SELECT li.l_orderkey * 10 + li.l_linenumber AS line_key, li.l_orderkey, li.l_linenumber, li.l_partkey,
-  li.l_suppkey, CAST(l_quantity AS INTEGER) AS qty, {money('l_extendedprice')} AS ext,
+SELECT li.l_orderkey || ':' || li.l_linenumber AS line_key, li.l_orderkey, li.l_linenumber, li.l_partkey,
+  li.l_suppkey, CAST(l_quantity AS DECIMAL(12,2)) AS qty, {money('l_extendedprice')} AS ext,
   {rate('l_discount')} AS disc, {rate('l_tax')} AS tax, l_returnflag, l_linestatus,
   CAST(l_shipdate AS DATE) AS ship_date, CAST(o_orderdate AS DATE) AS order_date,
   {CRITICALITY.format('o_orderpriority')} AS priority, {money('p_retailprice')} AS cost,
@@ -140,7 +147,7 @@ FROM supplier LEFT JOIN supplier_days ON s_suppkey = k"""
 CTES["dim_sales_channel"] = """
 SELECT used AS sales_channel_key, 'CH' || lpad(CAST(used AS VARCHAR), 2, '0') AS sales_channel_id,
   n AS sales_channel_name, g AS channel_group, 'Active' AS status
-FROM (SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS used FROM orders
+FROM (SELECT DISTINCT TRY_CAST(regexp_extract(o_orderpriority, '^([0-9]+)-', 1) AS BIGINT) AS used FROM orders
   WHERE o_orderpriority IS NOT NULL)
 LEFT JOIN (VALUES (1, 'Urgent', 'Priority'), (2, 'High', 'Priority'), (3, 'Medium', 'Standard'),
   (4, 'Not Specified', 'Standard'), (5, 'Low', 'Standard')) AS t(k, n, g) ON used = k"""
@@ -176,8 +183,8 @@ FROM order_lines GROUP BY 1"""
 CTES["fact_sales_order"] = f"""
 SELECT o_orderkey AS sales_order_key, {row_id('SO', 'o_orderkey')} AS sales_order_id,
   o_custkey AS customer_key, {dim_id('CUS', 'o_custkey')} AS customer_id,
-  CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS sales_channel_key,
-  'CH0' || substr(o_orderpriority, 1, 1) AS sales_channel_id,
+  {CHANNEL.format('o_orderpriority')} AS sales_channel_key,
+  'CH' || lpad(CAST({CHANNEL.format('o_orderpriority')} AS VARCHAR), 2, '0') AS sales_channel_id,
   CAST(o_orderdate AS DATE) AS order_date, {key('o_orderdate')} AS order_date_key,
   requested_date, {key('requested_date')} AS requested_date_key, 'USD' AS currency_code,
   CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Open' ELSE 'Cancelled' END AS order_status,
@@ -185,10 +192,10 @@ SELECT o_orderkey AS sales_order_key, {row_id('SO', 'o_orderkey')} AS sales_orde
 FROM orders JOIN totals ON o_orderkey = l_orderkey"""
 
 CTES["fact_sales_order_line"] = f"""
-SELECT line_key AS sales_order_line_key, {row_id('SOL', 'line_key')} AS sales_order_line_id,
+SELECT line_key AS sales_order_line_key, {pair_id('SOL', 'line_key')} AS sales_order_line_id,
   l_orderkey AS sales_order_key, {row_id('SO', 'l_orderkey')} AS sales_order_id,
   l_partkey AS product_key, {dim_id('PRD', 'l_partkey')} AS product_id, qty AS quantity,
-  {money('((2 * CAST(ext * 100 AS BIGINT) + qty) // (2 * qty)) / 100.0')} AS unit_price,
+  {money('((200 * CAST(ext * 100 AS BIGINT) + CAST(qty * 100 AS BIGINT)) // (2 * CAST(qty * 100 AS BIGINT))) / 100.0')} AS unit_price,
   disc AS discount_percent, line_revenue, line_cost,
   customer_key, sales_channel_key, order_date_key, requested_date_key
 FROM order_lines LEFT JOIN fact_sales_order ON l_orderkey = sales_order_key"""
@@ -205,7 +212,7 @@ SELECT {dim_id('SP', 'l_partkey')} || '-' || {dim_id('', 'l_suppkey')} AS suppli
 FROM pairs"""
 
 CTES["fact_purchase_order_line"] = f"""
-SELECT line_key AS purchase_order_line_key, {row_id('POL', 'line_key')} AS purchase_order_line_id,
+SELECT line_key AS purchase_order_line_key, {pair_id('POL', 'line_key')} AS purchase_order_line_id,
   {row_id('PO', 'l_orderkey')} AS purchase_order_id, l_suppkey AS supplier_key,
   {dim_id('SUP', 'l_suppkey')} AS supplier_id, l_partkey AS product_key,
   {dim_id('PRD', 'l_partkey')} AS product_id, facility_key, {dim_id('FAC', 'facility_key')} AS facility_id,
@@ -220,7 +227,7 @@ FROM (SELECT *, greatest(0, qty - CASE WHEN l_returnflag = 'R' THEN l_linenumber
   FROM lines WHERE priced)"""
 
 CTES["fact_shipment"] = f"""
-SELECT line_key AS shipment_key, {row_id('SHP', 'line_key')} AS shipment_id,
+SELECT line_key AS shipment_key, {pair_id('SHP', 'line_key')} AS shipment_id,
   l_orderkey AS sales_order_key, {row_id('SO', 'l_orderkey')} AS sales_order_id,
   facility_key, {dim_id('FAC', 'facility_key')} AS facility_id, l_returnflag AS carrier_name,
   ship_date, {key('ship_date')} AS ship_date_key,
@@ -236,7 +243,7 @@ FROM (SELECT *, ship_date + 2 + l_linenumber AS promised,
 LEFT JOIN fact_sales_order o ON s.l_orderkey = o.sales_order_key"""
 
 CTES["fact_inventory_snapshot"] = f"""
-SELECT line_key AS inventory_snapshot_key, {row_id('INV', 'line_key')} AS inventory_snapshot_id,
+SELECT line_key AS inventory_snapshot_key, {pair_id('INV', 'line_key')} AS inventory_snapshot_id,
   ship_date AS snapshot_date, {key('ship_date')} AS snapshot_date_key,
   facility_key, {dim_id('FAC', 'facility_key')} AS facility_id,
   l_partkey AS product_key, {dim_id('PRD', 'l_partkey')} AS product_id,
@@ -246,7 +253,7 @@ SELECT line_key AS inventory_snapshot_key, {row_id('INV', 'line_key')} AS invent
 FROM lines"""
 
 CTES["fact_work_order"] = f"""
-SELECT {row_id('WO', 'line_key')} AS work_order_id, line_key AS work_order_key,
+SELECT {pair_id('WO', 'line_key')} AS work_order_id, line_key AS work_order_key,
   l_orderkey AS asset_key, {row_id('AST', 'l_orderkey')} AS asset_id,
   l_suppkey AS technician_key, {dim_id('TEC', 'l_suppkey')} AS technician_id,
   ship_date AS opened_date, {key('ship_date')} AS opened_date_key, priority,
@@ -256,30 +263,30 @@ SELECT {row_id('WO', 'line_key')} AS work_order_id, line_key AS work_order_key,
   CASE WHEN resolved > {AS_OF} THEN 'Open' WHEN l_linestatus = 'O' THEN 'Waiting for Parts'
     ELSE 'Completed' END AS work_order_status,
   {money('65 * hours')} AS labor_cost, a.customer_key, a.facility_key, a.product_key
-FROM (SELECT *, ship_date + (hours + 23) // 24 AS resolved FROM (
+FROM (SELECT *, ship_date + CAST(ceil(hours / 24) AS INTEGER) AS resolved FROM (
     SELECT * EXCLUDE (facility_key), 1 + qty + CASE WHEN priority = 'Critical' THEN 24 ELSE 0 END AS hours
     FROM lines WHERE l_returnflag = 'R')) w
 LEFT JOIN dim_asset a ON w.l_orderkey = a.asset_key"""
 
 CTES["fact_work_order_part"] = f"""
-SELECT line_key AS work_order_part_key, {row_id('WOP', 'line_key')} AS work_order_part_id,
-  f.work_order_key, {row_id('WO', 'f.work_order_key')} AS work_order_id,
+SELECT line_key AS work_order_part_key, {pair_id('WOP', 'line_key')} AS work_order_part_id,
+  f.work_order_key, {pair_id('WO', 'f.work_order_key')} AS work_order_id,
   l_partkey AS product_key, {dim_id('PRD', 'l_partkey')} AS product_id, qty AS quantity_used,
   {money('qty * cost')} AS part_cost, o.asset_key, o.technician_key, o.opened_date_key,
   o.resolved_date_key, o.customer_key, o.facility_key, o.product_key AS asset_product_key
-FROM lines JOIN (SELECT l_orderkey AS ok, min(line_key) AS work_order_key FROM lines
+FROM lines JOIN (SELECT l_orderkey AS ok, arg_min(line_key, l_linenumber) AS work_order_key FROM lines
   WHERE l_returnflag = 'R' GROUP BY 1) f ON l_orderkey = ok
 LEFT JOIN fact_work_order o ON f.work_order_key = o.work_order_key
 WHERE l_returnflag = 'A' AND priced"""
 
 CTES["fact_asset_daily_status"] = f"""
-SELECT status_key AS asset_daily_status_key, {row_id('ADS', 'status_key')} AS asset_daily_status_id,
+SELECT status_key AS asset_daily_status_key, {pair_id('ADS', 'status_key')} AS asset_daily_status_id,
   s.asset_key, {row_id('AST', 's.asset_key')} AS asset_id, status_date, {key('status_date')} AS status_date_key,
   CAST(hours AS DECIMAL(5,1)) AS operating_hours, CAST(24 - hours AS DECIMAL(5,1)) AS downtime_hours,
   CAST(hi AS DECIMAL(5,1)) AS health_score, CAST(lo AS DECIMAL(5,1)) AS temperature_c,
   CAST(alerts AS INTEGER) AS alert_count, a.customer_key, a.facility_key, a.product_key
 FROM (SELECT user_id AS asset_key, CAST(ts AS DATE) AS status_date,
-    user_id * 100000 + date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS status_key,
+    user_id || ':' || CAST(CAST(ts AS DATE) AS VARCHAR) AS status_key,
     count(DISTINCT hour(ts)) AS hours, max({money('value')}) AS hi, min({money('value')}) AS lo,
     count(*) FILTER (event_type = 'error') AS alerts
   FROM events GROUP BY 1, 2, 3) s
@@ -304,12 +311,13 @@ DECIMALS = {
     "dim_customer": ["annual_revenue"],
     "dim_product": ["standard_cost", "list_price", "weight_kg"],
     "fact_sales_order": ["order_revenue", "order_cost", "gross_margin"],
-    "fact_sales_order_line": ["unit_price", "discount_percent", "line_revenue", "line_cost"],
-    "fact_purchase_order_line": ["unit_cost", "purchased_value"],
+    "fact_sales_order_line": ["quantity", "unit_price", "discount_percent", "line_revenue", "line_cost"],
+    "bridge_supplier_product": ["minimum_order_quantity"],
+    "fact_purchase_order_line": ["ordered_quantity", "received_quantity", "unit_cost", "purchased_value"],
     "fact_shipment": ["freight_cost"],
-    "fact_inventory_snapshot": ["standard_cost", "inventory_value"],
+    "fact_inventory_snapshot": ["quantity_on_hand", "standard_cost", "inventory_value"],
     "fact_work_order": ["duration_hours", "labor_cost"],
-    "fact_work_order_part": ["part_cost"],
+    "fact_work_order_part": ["quantity_used", "part_cost"],
     "fact_asset_daily_status": ["operating_hours", "downtime_hours", "health_score", "temperature_c"],
 }
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+QUANTITY = "decimal(12,2)"
 FRACTION = "decimal(5,4)"
 
 # Warranty length, service hours surcharge, target days.
@@ -46,6 +47,12 @@ def hash_bucket(value: Column | str, buckets: int, salt: int = 0) -> Column:
     return F.pmod(hashed, F.lit(buckets)).cast("int")
 
 
+def digest_bucket(value: Column | str, buckets: int, salt: str = "") -> Column:
+    """A bucket that any engine with md5 can repeat: 60 bits of the digest of salt and value."""
+    digest = F.md5(F.concat(F.lit(f"{salt}:"), _col(value).cast("string")).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), F.lit(buckets)).cast("int")
+
+
 def code_lookup(code: Column | str, labels: Sequence[str]) -> Column:
     """Label of a zero-based code; an unknown code is NULL, not an error."""
     return F.get(F.array(*(F.lit(label) for label in labels)), _col(code).cast("int"))
@@ -60,6 +67,23 @@ def business_id(prefix: str, number: Column | str, width: int) -> Column:
     ).otherwise(F.concat(F.lit(prefix), F.lpad(digits, width, "0")))
 
 
+def pair_key(first: Column | str, second: Column | str) -> Column:
+    """Key of a row known by two keys, as text; no two pairs share one, however large they are."""
+    return F.concat_ws(":", _col(first).cast("string"), _col(second).cast("string"))
+
+
+def pair_id(prefix: str, key: Column | str, width: int) -> Column:
+    """Business id of a pair key: the first part padded, the second as it is."""
+    first, second = (F.substring_index(_col(key), ":", place) for place in (1, -1))
+    return F.concat(business_id(prefix, first, width), F.lit(":"), second)
+
+
+def leading_number(value: Column | str) -> Column:
+    """The whole number before the first hyphen of a text such as ``10-SPARE``; NULL without one."""
+    digits = F.regexp_extract(_col(value), r"^\s*([0-9]+)\s*-", 1)
+    return F.when(digits != "", digits.try_cast("bigint"))
+
+
 def display_name(*parts: Column | str, number: Column | str, width: int) -> Column:
     """Name made of its non-null parts and a padded number."""
     return F.concat_ws(" ", *(_col(p) for p in parts), business_id("", number, width))
@@ -150,7 +174,7 @@ def unit_cost(standard_cost: Column | str, factor: Column) -> Column:
 
 
 def received_quantity(ordered: Column | str, short: Column) -> Column:
-    return F.greatest(F.lit(0), _col(ordered) - short).cast("int")
+    return F.greatest(F.lit(0), _col(ordered) - short).cast(QUANTITY)
 
 
 def reorder_point(safety_stock: Column | str, margin: Column | int) -> Column:

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Repeated keys that are few enough to send to every task.
+MOST_BROADCAST_KEYS = 200_000
+
+
 def has_key(keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, (F.col(key).isNotNull() for key in keys))
 
@@ -16,21 +20,30 @@ def has_key(keys: Sequence[str]) -> Column:
 def conform(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with a complete key, one per key: the smallest by all other columns in order.
 
-    The choice is a total order, so reruns agree. It is taken by ``min`` over a
-    struct, which combines before the shuffle: a key that holds a third of all
-    rows travels as one row per input partition, where a window would sort the
-    whole group in one task.
+    Keys that repeat are found first, on the key columns alone, by a hash aggregate.
+    Rows of all other keys pass through as they are; only among repeated ones a row
+    is chosen. The choice is a total order, so reruns agree. It is taken by ``min``
+    over a struct, which combines before the shuffle: a key that holds a third of all
+    rows travels as one row per input partition, where a window would sort the whole
+    group in one task.
     """
     payload = [name for name in df.columns if name not in keys]
     complete = df.where(has_key(keys))
     if not payload:
         return complete.distinct()
-    first = F.min(F.struct(*payload)).alias("first_row")
-    return (
-        complete.groupBy(*keys)
-        .agg(first)
+    repeated = duplicate_keys(complete, keys).select(*(F.col(k).alias(f"repeated_{k}") for k in keys))
+    count = repeated.count()
+    if not count:
+        return complete
+    listed = F.broadcast(repeated) if count <= MOST_BROADCAST_KEYS else repeated
+    same = reduce(Column.__and__, (F.col(k) == F.col(f"repeated_{k}") for k in keys))
+    chosen = (
+        complete.join(listed, same, "left_semi")
+        .groupBy(*keys)
+        .agg(F.min(F.struct(*payload)).alias("first_row"))
         .select(*(name if name in keys else f"first_row.{name}" for name in df.columns))
     )
+    return complete.join(listed, same, "left_anti").unionByName(chosen)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

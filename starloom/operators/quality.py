@@ -1,8 +1,8 @@
 """Integrity checks over published tables, as DataFrames of results.
 
 Every check yields a row: table, check, PASS or FAIL, failed rows, details.
-Counts are true counts. Keys are pre-aggregated before any shuffle; all foreign
-keys are checked in one join, and all calendar keys in another.
+Counts are true counts, and keys are pre-aggregated before any shuffle. One grouping
+checks all references, foreign and calendar keys alike, without a join.
 """
 
 from __future__ import annotations
@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StringType
 
 from starloom.sources.store import TableStore, literal_rows, moment
 
@@ -114,240 +115,300 @@ def _stack(results: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 
 
+# -- one pass over a table ---------------------------------------------------
+
+
+class RowCheck(NamedTuple):
+    """A result that one pass over a table gives, from the counts of the pass."""
+
+    table: str
+    name: str
+    bad: Mapping[str, Column]
+    failed: Column
+    details: Column
+
+
+def _passes(tables: Tables, keys: Mapping[str, str], checks: Sequence[RowCheck]) -> DataFrame:
+    """Results of all checks, each table read once.
+
+    A keyed table is grouped by its key, which counts repeated and missing keys; the
+    counts of bad rows are summed along. Other tables are summed as they are read.
+    """
+    results = []
+    for table in dict.fromkeys(c.table for c in checks):
+        own = [c for c in checks if c.table == table]
+        bad = {name: F.count_if(value).alias(name) for c in own for name, value in c.bad.items()}
+        df = tables(table)
+        if table in keys:
+            held = df.groupBy(F.col(keys[table]).alias("key")).agg(F.count("*").alias("held"), *bad.values())
+            no_key = F.when(F.col("key").isNull(), F.col("held"))
+            counts = held.agg(
+                F.count_if(F.col("held") > 1).alias("duplicates"),
+                F.coalesce(F.sum(no_key), F.lit(0)).alias("null_keys"),
+                *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in bad),
+            )
+        else:
+            counts = df.agg(*bad.values())
+        shown = F.array(
+            *(
+                F.struct(*result(table, c.name, c.failed, c.details))
+                for c in own
+            )
+        )
+        results.append(counts.select(F.inline(shown)))
+    return _stack(results)
+
+
 # -- keys --------------------------------------------------------------------
 
 
-def _key_counts(df: DataFrame, key: str) -> DataFrame:
-    """One row: how many key values repeat, and how many rows have no key."""
-    held = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("held"))
-    no_key = F.when(F.col("key").isNull(), F.col("held"))
-    return held.agg(
-        F.count_if(F.col("held") > 1).alias("duplicates"),
-        F.coalesce(F.sum(no_key), F.lit(0)).alias("null_keys"),
-    )
+def _dim_key_checks(keys: Mapping[str, str]) -> list[RowCheck]:
+    duplicates, nulls = F.col("duplicates"), F.col("null_keys")
+    shown = describe(duplicates=duplicates, null_keys=nulls)
+    return [RowCheck(t, f"unique_nonnull_{k}", {}, duplicates + nulls, shown) for t, k in keys.items()]
+
+
+def _grain_checks(grains: Mapping[str, str]) -> list[RowCheck]:
+    duplicates = F.col("duplicates")
+    shown = describe(repeated_ids=duplicates)
+    return [RowCheck(t, f"grain_unique_{k}", {}, duplicates, shown) for t, k in grains.items()]
 
 
 def check_unique(df: DataFrame, key: str, table: str) -> DataFrame:
     """Whether ``key`` has one row per value."""
     duplicates = F.col("duplicates")
-    return _key_counts(df, key).select(
-        *result(table, f"unique_{key}", duplicates, describe(duplicates=duplicates))
-    )
+    check = RowCheck(table, f"unique_{key}", {}, duplicates, describe(duplicates=duplicates))
+    return _passes(lambda _: df, {table: key}, [check])
 
 
 def check_dim_keys(tables: Tables, keys: Mapping[str, str] = DIMENSION_KEYS) -> DataFrame:
     """Dimension keys are unique and never NULL."""
-    duplicates, nulls = F.col("duplicates"), F.col("null_keys")
-    return _stack(
-        [
-            _key_counts(tables(table), key).select(
-                *result(
-                    table,
-                    f"unique_nonnull_{key}",
-                    duplicates + nulls,
-                    describe(duplicates=duplicates, null_keys=nulls),
-                )
-            )
-            for table, key in keys.items()
-        ]
-    )
+    return _passes(tables, keys, _dim_key_checks(keys))
 
 
 def check_fact_grain(tables: Tables, grains: Mapping[str, str] = FACT_GRAINS) -> DataFrame:
     """Facts have one row per business id."""
-    duplicates = F.col("duplicates")
-    return _stack(
-        [
-            _key_counts(tables(table), key).select(
-                *result(
-                    table,
-                    f"grain_unique_{key}",
-                    duplicates,
-                    describe(**{"duplicate grain rows": duplicates}),
-                )
-            )
-            for table, key in grains.items()
-        ]
-    )
+    return _passes(tables, grains, _grain_checks(grains))
 
 
 # -- references --------------------------------------------------------------
 
 
-def _references(
-    spark: SparkSession,
-    tables: Tables,
-    wanted: Mapping[str, Mapping[str, str]],
-    parent_keys: Mapping[str, str],
-    name: Callable[[str, str], str],
-    details: Callable[[Column, Column], Column],
+class Reference(NamedTuple):
+    """A column whose non-null values must be keys of a parent."""
+
+    child: str
+    column: str
+    parent: str
+    parent_key: str
+    name: str
+    problem: str
+
+
+def _key_parts(df: DataFrame, column: str) -> tuple[Column, Column]:
+    """A key as a number or as text, whichever it is; the other one is NULL."""
+    if isinstance(df.schema[column].dataType, StringType):
+        return F.lit(None).cast("bigint"), F.col(column)
+    return F.col(column).cast("bigint"), F.lit(None).cast("string")
+
+
+def check_references(
+    spark: SparkSession, tables: Tables, references: Sequence[Reference]
 ) -> DataFrame:
-    """Rows per child column whose non-null key its parent lacks.
+    """Rows per reference whose key the parent lacks, of all references in one grouping.
 
-    Each child is scanned once: its key columns become rows of numbers (check,
-    parent, key) and are counted before the shuffle. All of them meet all
-    parents in a single anti join on (parent, key).
+    Each child is scanned once: its key columns become rows (parent, key) with a
+    count in the column of their check, and are summed before the shuffle. Keys of
+    parents join the same rows, so one shuffle by (parent, key) brings together what
+    a join for each child would, and a hot key is one row from each partition.
     """
-    parents = sorted({parent for columns in wanted.values() for parent in columns.values()})
-    listed = [
-        (table, column, parent)
-        for table, columns in wanted.items()
-        for column, parent in columns.items()
-    ]
-    children = []
-    for table in wanted:
-        keys = F.array(
-            *(
-                F.struct(
-                    F.lit(number).alias("check_no"),
-                    F.lit(parents.index(parent)).alias("parent_no"),
-                    F.col(column).cast("bigint").alias("key"),
+    parents = sorted({(r.parent, r.parent_key) for r in references})
+    numbers = {p: n for n, p in enumerate(parents)}
+    slots: dict[tuple[int, int], Reference] = {}
+    places: list[tuple[Reference, int, int]] = []
+    for r in references:
+        parent_no = numbers[(r.parent, r.parent_key)]
+        slot = sum(n == parent_no for n, _ in slots)
+        slots[(parent_no, slot)] = r
+        places.append((r, parent_no, slot))
+    width = 1 + max(slot for _, slot in slots)
+    rows = []
+    for table in dict.fromkeys(r.child for r in references):
+        child = tables(table)
+        keys = []
+        for r, parent_no, slot in places:
+            if r.child == table:
+                number, text = _key_parts(child, r.column)
+                keys.append(
+                    F.struct(
+                        F.lit(parent_no).alias("parent_no"),
+                        number.alias("number"),
+                        text.alias("text"),
+                        F.lit(slot).alias("slot"),
+                    )
                 )
-                for number, (child, column, parent) in enumerate(listed)
-                if child == table
-            )
+        rows.append(
+            child.select(F.inline(F.array(*keys)))
+            .where("number IS NOT NULL OR text IS NOT NULL")
+            .withColumn("known", F.lit(False))
         )
-        children.append(
-            tables(table)
-            .select(F.inline(keys))
-            .where("key IS NOT NULL")
-            .groupBy("check_no", "parent_no", "key")
-            .agg(F.count("*").alias("held"))
-        )
-    known = [
-        tables(parent).select(
-            F.lit(number).alias("parent_no"), F.col(parent_keys[parent]).cast("bigint").alias("key")
+    for (parent, key), parent_no in numbers.items():
+        known = tables(parent)
+        number, text = _key_parts(known, key)
+        rows.append(
+            known.select(
+                F.lit(parent_no).alias("parent_no"),
+                number.alias("number"),
+                text.alias("text"),
+                F.lit(-1).alias("slot"),
+                F.lit(True).alias("known"),
+            )
         )
-        for number, parent in enumerate(parents)
-    ]
+    held = [F.count_if(F.col("slot") == slot).alias(f"held_{slot}") for slot in range(width)]
     missing = (
-        _stack(children)
-        .join(_stack(known), ["parent_no", "key"], "left_anti")
-        .groupBy("check_no")
-        .agg(F.sum("held").alias("missing"))
+        _stack(rows)
+        .groupBy("parent_no", "number", "text")
+        .agg(F.bool_or("known").alias("known"), *held)
+        .where("NOT known")
+        .groupBy("parent_no")
+        .agg(*(F.sum(f"held_{slot}").alias(f"held_{slot}") for slot in range(width)))
+    )
+    counts = missing.select(
+        "parent_no",
+        F.posexplode(F.array(*(F.col(f"held_{slot}") for slot in range(width)))).alias("slot", "missing"),
     )
     checks = literal_rows(
         spark,
-        ("check_no", "child", "column_name", "check_name"),
-        [(no, child, column, name(column, parent)) for no, (child, column, parent) in enumerate(listed)],
+        ("parent_no", "slot", "child", "check_name", "problem"),
+        [(parent_no, slot, r.child, r.name, r.problem) for r, parent_no, slot in places],
     )
     failed = F.coalesce("missing", F.lit(0)).cast("bigint")
-    return checks.join(missing, "check_no", "left").select(
+    return checks.join(F.broadcast(counts), ["parent_no", "slot"], "left").select(
         F.concat(F.lit("gold."), F.col("child")).alias("table_name"),
         F.col("check_name").alias("validation_name"),
         F.when(failed == 0, "PASS").otherwise("FAIL").alias("status"),
         failed.alias("failed_row_count"),
-        details(F.col("column_name"), failed).alias("details"),
+        F.concat(F.col("problem"), F.lit(": "), failed.cast("string")).alias("details"),
     )
 
 
-def check_foreign_keys(
-    spark: SparkSession,
-    tables: Tables,
+def foreign_key_references(
     wanted: Mapping[str, Mapping[str, str]] = FOREIGN_KEYS,
-) -> DataFrame:
-    """Every non-null foreign key exists in its parent."""
+) -> list[Reference]:
     parent_keys = {**DIMENSION_KEYS, "fact_sales_order": "sales_order_key", "fact_work_order": "work_order_key"}
+    return [
+        Reference(
+            child, column, parent, parent_keys[parent],
+            f"fk_{column}_to_gold.{parent}.{parent_keys[parent]}",
+            f"rows whose {column} no {parent} has",
+        )
+        for child, columns in wanted.items()
+        for column, parent in columns.items()
+    ]
 
-    def name(column: str, parent: str) -> str:
-        return f"fk_{column}_to_gold.{parent}.{parent_keys[parent]}"
 
-    def details(column: Column, failed: Column) -> Column:
-        return F.concat(
-            F.lit("unmatched non-null "), column, F.lit(" values="), failed.cast("string")
+def date_references(wanted: Mapping[str, Sequence[str]] = DATE_KEYS) -> list[Reference]:
+    return [
+        Reference(
+            child, column, "dim_date", "date_key", f"datekey_{column}_in_dim_date",
+            f"rows whose {column} is no day of the calendar",
         )
+        for child, columns in wanted.items()
+        for column in columns
+    ]
 
-    return _references(spark, tables, wanted, parent_keys, name, details)
+
+def check_foreign_keys(
+    spark: SparkSession,
+    tables: Tables,
+    wanted: Mapping[str, Mapping[str, str]] = FOREIGN_KEYS,
+) -> DataFrame:
+    """Every non-null foreign key exists in its parent."""
+    return check_references(spark, tables, foreign_key_references(wanted))
 
 
 def check_date_keys(
     spark: SparkSession, tables: Tables, wanted: Mapping[str, Sequence[str]] = DATE_KEYS
 ) -> DataFrame:
     """Every non-null date key of a fact exists in the calendar."""
-    columns = {table: {column: "dim_date" for column in keys} for table, keys in wanted.items()}
-
-    def name(column: str, parent: str) -> str:
-        return f"datekey_{column}_in_{parent}"
-
-    def details(column: Column, failed: Column) -> Column:
-        return F.concat(
-            F.lit("non-null "), column, F.lit(" values missing from gold.dim_date="),
-            failed.cast("string"),
-        )
-
-    return _references(spark, tables, columns, {"dim_date": "date_key"}, name, details)
+    return check_references(spark, tables, date_references(wanted))
 
 
 # -- values ------------------------------------------------------------------
 
 
-def check_amount(df: DataFrame, table: str, amount: str, quantity: str, unit: str) -> DataFrame:
+def amount_check(df: DataFrame, table: str, amount: str, quantity: str, unit: str) -> RowCheck:
     """A stored amount is decimal and equals quantity times unit; a NULL on any side fails."""
     is_decimal = isinstance(df.schema[amount].dataType, DecimalType)
     off = F.abs(F.col(amount) - F.col(quantity) * F.col(unit)) > F.lit(TOLERANCE).cast("decimal(4,3)")
-    mismatched = F.count_if(F.coalesce(off, F.lit(True)))
-    failed = F.greatest(F.col("mismatched"), F.lit(0 if is_decimal else 1))
-    return df.agg(mismatched.alias("mismatched")).select(
-        *result(
-            table,
-            f"{amount}_correctness",
-            failed,
-            describe(decimal_type=F.lit(is_decimal), mismatched_rows=F.col("mismatched")),
-        )
+    found = F.col(f"off_{amount}")
+    return RowCheck(
+        table,
+        f"{amount}_correctness",
+        {f"off_{amount}": F.coalesce(off, F.lit(True))},
+        F.greatest(found, F.lit(0 if is_decimal else 1)),
+        describe(decimal_type=F.lit(is_decimal), mismatched_rows=found),
     )
 
 
-def check_purchased_value(tables: Tables) -> DataFrame:
+def _purchased(tables: Tables) -> RowCheck:
     table = "fact_purchase_order_line"
-    return check_amount(tables(table), table, "purchased_value", "ordered_quantity", "unit_cost")
+    return amount_check(tables(table), table, "purchased_value", "ordered_quantity", "unit_cost")
 
 
-def check_inventory_value(tables: Tables) -> DataFrame:
+def _inventory(tables: Tables) -> RowCheck:
     table = "fact_inventory_snapshot"
-    return check_amount(tables(table), table, "inventory_value", "quantity_on_hand", "standard_cost")
+    return amount_check(tables(table), table, "inventory_value", "quantity_on_hand", "standard_cost")
 
 
-def _check_rows(df: DataFrame, table: str, name: str, label: str, bad: Column) -> DataFrame:
-    found = F.col("found")
-    return df.agg(F.count_if(bad).alias("found")).select(
-        *result(table, name, found, describe(**{label: found}))
+def _positive() -> RowCheck:
+    bad, found = (F.col("line_revenue") <= 0) | (F.col("quantity") <= 0), F.col("nonpositive")
+    return RowCheck(
+        "fact_sales_order_line", "positive_quantity_and_revenue", {"nonpositive": bad}, found,
+        describe(rows_with_nonpositive_quantity_or_revenue=found),
     )
 
 
-def check_positive_sales(tables: Tables) -> DataFrame:
-    table = "fact_sales_order_line"
-    bad = (F.col("line_revenue") <= 0) | (F.col("quantity") <= 0)
-    return _check_rows(
-        tables(table), table, "positive_quantity_and_revenue",
-        "rows_with_nonpositive_quantity_or_revenue", bad,
+def _nonnegative() -> RowCheck:
+    counted = ("quantity_on_hand", "quantity_allocated", "safety_stock_quantity")
+    bad, found = reduce(Column.__or__, (F.col(name) < 0 for name in counted)), F.col("negative")
+    return RowCheck(
+        "fact_inventory_snapshot", "nonnegative_inventory_quantities", {"negative": bad}, found,
+        describe(rows_with_negative_inventory_fields=found),
     )
 
 
+def check_amount(df: DataFrame, table: str, amount: str, quantity: str, unit: str) -> DataFrame:
+    return _passes(lambda _: df, {}, [amount_check(df, table, amount, quantity, unit)])
+
+
+def check_purchased_value(tables: Tables) -> DataFrame:
+    return _passes(tables, {}, [_purchased(tables)])
+
+
+def check_inventory_value(tables: Tables) -> DataFrame:
+    return _passes(tables, {}, [_inventory(tables)])
+
+
+def check_positive_sales(tables: Tables) -> DataFrame:
+    return _passes(tables, {}, [_positive()])
+
+
 def check_nonneg_inventory(tables: Tables) -> DataFrame:
-    table = "fact_inventory_snapshot"
-    counted = ("quantity_on_hand", "quantity_allocated", "safety_stock_quantity")
-    bad = reduce(Column.__or__, (F.col(name) < 0 for name in counted))
-    return _check_rows(
-        tables(table), table, "nonnegative_inventory_quantities",
-        "rows_with_negative_inventory_fields", bad,
-    )
+    return _passes(tables, {}, [_nonnegative()])
 
 
 # -- the suite ---------------------------------------------------------------
 
 
 def validation_summary(spark: SparkSession, tables: Tables) -> DataFrame:
-    """All 63 results."""
+    """All 63 results. A table is read once for its keys and values, and once for its references."""
+    values = [_purchased(tables), _inventory(tables), _positive(), _nonnegative()]
+    checks = [*_dim_key_checks(DIMENSION_KEYS), *_grain_checks(FACT_GRAINS), *values]
     return _stack(
         [
-            check_dim_keys(tables),
-            check_fact_grain(tables),
-            check_foreign_keys(spark, tables),
-            check_date_keys(spark, tables),
-            check_purchased_value(tables),
-            check_inventory_value(tables),
-            check_positive_sales(tables),
-            check_nonneg_inventory(tables),
+            _passes(tables, {**DIMENSION_KEYS, **FACT_GRAINS}, checks),
+            check_references(spark, tables, [*foreign_key_references(), *date_references()]),
         ]
     )
 

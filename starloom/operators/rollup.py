@@ -18,8 +18,9 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from starloom.operators import time_intelligence as periods
 from starloom.plans.measures import MEASURES, Aggregates, Base, Measure
@@ -62,6 +63,14 @@ def condition(column: Column, wanted: object) -> Column:
     return column == wanted
 
 
+def keeps_blank(spark: SparkSession, wanted: object, kind: DataType) -> bool:
+    """Whether a filter keeps the blank member: rows whose key has no match."""
+    if not callable(wanted):
+        return False
+    blank = F.lit(None).cast(kind)
+    return bool(spark.range(0, 1, 1, 1).select(condition(blank, wanted)).first()[0])
+
+
 def first_stage(base: Base) -> Column:
     if base.kind == "sum":
         return F.sum(base.value).alias(base.name)
@@ -114,7 +123,8 @@ class MetricModel:
         ``date_role`` swaps the date key for measures without one of their own.
         An attribute that no relationship reaches does not filter a measure: its
         value repeats over the members (``unrelated="repeat"``) or the query is
-        refused (``"error"``).
+        refused (``"error"``), whether it is grouped by or filtered on. Rows without a
+        match are the blank member, which a filter keeps if it holds for NULL.
         """
         asked = [MEASURES[name] for name in measures]
         axis = attributes(by)
@@ -211,6 +221,8 @@ class MetricModel:
     ) -> DataFrame:
         if unrelated == "error" or shift:
             self._require_related(home, role, axis)
+        if unrelated == "error":
+            self._require_related(home, role, attributes(list(filters)))
         related = [a for a in axis if path_to(self.name, home, a.table, role) is not None]
         apart = [a for a in axis if a not in related]
         if shift:
@@ -230,13 +242,13 @@ class MetricModel:
         """Bases of one home table by related attributes, optionally with subtotals."""
         wanted: dict[str, set[str]] = {}
         edges: list[Relationship] = []
-        limits: dict[str, list[Column]] = {}
+        limits: dict[str, list[tuple[str, object]]] = {}
         for a in axis:
             wanted.setdefault(a.table, set()).add(a.column)
         for name, value in filters.items():
             table, column = name.split(".")
             if path_to(self.name, home, table, role) is not None:
-                limits.setdefault(table, []).append(condition(F.col(column), value))
+                limits.setdefault(table, []).append((column, value))
         for table in [*wanted, *limits]:
             for edge in path_to(self.name, home, table, role) or []:
                 if edge not in edges:
@@ -244,10 +256,11 @@ class MetricModel:
         near = [e for e in edges if self._is_small(e.parent, edges)]
         far = [e for e in edges if e not in near]
 
-        rows = reduce(DataFrame.where, limits.pop(home, []), self.table(home))
+        at_home = [condition(F.col(column), value) for column, value in limits.pop(home, [])]
+        rows = reduce(DataFrame.where, at_home, self.table(home))
         for edge in edges:
-            if edge.child == home and edge.parent == "date" and limits.get("date"):
-                rows = self._within_days(rows, edge, limits["date"])
+            if edge.child == home and edge.parent == "date":
+                rows = self._within_days(rows, edge, limits.get("date", []))
         for a in axis:
             if a.table == home:
                 rows = rows.withColumn(a.inner, F.col(a.column))
@@ -303,31 +316,44 @@ class MetricModel:
         edge: Relationship,
         edges: Sequence[Relationship],
         wanted: Mapping[str, set[str]],
-        limits: Mapping[str, list[Column]],
+        limits: Mapping[str, list[tuple[str, object]]],
         small: bool,
     ) -> DataFrame:
-        """Attach one parent's wanted columns; a filter on the parent drops the rows it does not keep."""
-        parent = reduce(DataFrame.where, limits.get(edge.parent, []), self.table(edge.parent))
+        """Attach one parent's wanted columns; filters on the parent see the blank member too.
+
+        The planner makes a filter that refuses NULL an inner join and moves it to the scan.
+        """
         onward = {e.child_key for e in edges if e.child == edge.parent}
-        columns = sorted(wanted.get(edge.parent, set()) | onward)
+        filtered = limits.get(edge.parent, [])
+        columns = sorted(wanted.get(edge.parent, set()) | onward | {column for column, _ in filtered})
         key = f"{edge.parent}__joined_on"
-        parent = parent.select(
+        parent = self.table(edge.parent).select(
             F.col(edge.parent_key).alias(key),
             *(F.col(name).alias(f"{edge.parent}__{name}") for name in columns),
         )
-        how = "inner" if limits.get(edge.parent) else "left"
         match = F.col(self._key_column(home, edge)) == F.col(key)
-        return rows.join(F.broadcast(parent) if small else parent, match, how).drop(key)
+        joined = rows.join(F.broadcast(parent) if small else parent, match, "left").drop(key)
+        kept = [condition(F.col(f"{edge.parent}__{column}"), value) for column, value in filtered]
+        return reduce(DataFrame.where, kept, joined)
 
     def _within_days(
-        self, rows: DataFrame, edge: Relationship, limits: Sequence[Column]
+        self, rows: DataFrame, edge: Relationship, limits: Sequence[tuple[str, object]]
     ) -> DataFrame:
         """Rows whose date key is between the first and last day that the calendar filter keeps.
 
-        The join would drop the others anyway. As a range on the fact's own
-        column the filter reaches the scan, which skips files written by date.
+        The join drops the others anyway, unless every filter keeps the blank member.
+        As a range on the fact's own column the filter reaches the scan, which skips
+        files written by date.
         """
-        days = reduce(DataFrame.where, limits, self.table("date"))
+        days = self.table("date")
+        refusing = [
+            (column, value)
+            for column, value in limits
+            if not keeps_blank(days.sparkSession, value, days.schema[column].dataType)
+        ]
+        if not refusing:
+            return rows
+        days = reduce(DataFrame.where, [condition(F.col(c), v) for c, v in limits], days)
         first = days.agg(F.min(edge.parent_key)).scalar()
         last = days.agg(F.max(edge.parent_key)).scalar()
         return rows.where(F.col(edge.child_key).between(first, last))

@@ -7,6 +7,10 @@ and prior period is computed from its own rows.
 
 Blank rules: counting nothing is NULL, a ratio without a denominator is NULL,
 and NULL counts as zero when the other side of a sum or difference has a value.
+A distinct count counts the blank as one value beside the others. A blank text
+differs from every named one, and a blank date comes before every date, so a line
+without a date of receipt counts as on time; a duration that lacks a date is no
+duration and meets no target.
 """
 
 from __future__ import annotations
@@ -56,7 +60,8 @@ class Aggregates:
         return self._use("sum", label, F.when(condition, F.col(column)))
 
     def distinct(self, column: str) -> Column:
-        return F.nullif(self._use("distinct", column, F.col(column)), F.lit(0))
+        """Values of a column, blank included: a struct around a NULL is a value of its own."""
+        return F.nullif(self._use("distinct", column, F.struct(column)), F.lit(0))
 
 
 Formula = Callable[[Aggregates], Column]
@@ -138,16 +143,25 @@ def gross_margin_share(a: Aggregates) -> Column:
     return ratio(margin, a.sum("line_revenue"))
 
 
+FIRST_DAY = "0001-01-01"
+
+
+def not_after(left: str, right: str) -> Column:
+    """Whether a date is not later than another; a blank comes before every date."""
+    first = F.lit(FIRST_DAY).cast("date")
+    return F.coalesce(left, first) <= F.coalesce(right, first)
+
+
 def on_time_receipts(a: Aggregates) -> Column:
     """Among lines no longer open, those received by the expected date."""
-    closed = F.col("purchase_order_status") != "Open"
-    in_time = closed & (F.col("received_date") <= F.col("expected_date"))
+    closed = ~F.col("purchase_order_status").eqNullSafe("Open")
+    in_time = closed & not_after("received_date", "expected_date")
     return ratio(a.count_where("closed_in_time", in_time), a.count_where("closed", closed))
 
 
 def on_time_deliveries(a: Aggregates) -> Column:
     delivered = F.col("shipment_status") == "Delivered"
-    in_time = delivered & (F.col("actual_delivery_date") <= F.col("promised_delivery_date"))
+    in_time = delivered & not_after("actual_delivery_date", "promised_delivery_date")
     return ratio(
         a.count_where("delivered_in_time", in_time),
         rows_with("shipment_status", "Delivered")(a),

@@ -147,7 +147,7 @@ class Warehouse:
 
     def _build(self, name: str) -> DataFrame:
         if name == "dim_date":
-            return date_dimension(self.calendar_ranges(), bind.THIS_YEAR)
+            return date_dimension(self.calendar_ranges(), self.landing.this_year)
         return publish(name, self._bound(GOLD_ENTITIES[name]), self.table)
 
     def publish_all(self) -> None:
@@ -166,7 +166,7 @@ class Warehouse:
         return calendar_ranges(lambda entity: self.table(published[entity]))
 
     def calendar_bounds(self) -> DataFrame:
-        return calendar_bounds(self.calendar_ranges(), bind.THIS_YEAR)
+        return calendar_bounds(self.calendar_ranges(), self.landing.this_year)
 
     def join_guards(self) -> DataFrame:
         """What the guards of the six publishing joins count, one row each."""
@@ -225,7 +225,7 @@ def load_bronze(
         lambda name: load(name, warehouse.entity(name), ENTITIES[name][2]), ENTITIES
     )
     ranges = calendar_ranges(lambda entity: store.read(f"bronze.{entity}_raw"))
-    stored.append(load("date", date_dimension(ranges, bind.THIS_YEAR), "calendar"))
+    stored.append(load("date", date_dimension(ranges, warehouse.landing.this_year), "calendar"))
     return reduce(DataFrame.unionByName, stored)
 
 

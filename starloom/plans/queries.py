@@ -83,7 +83,17 @@ def model(warehouse: Warehouse, name: str, broadcast_bytes: int = BROADCAST_BYTE
     return MetricModel(name, warehouse.table, size, broadcast_bytes)
 
 
-def measure_query(name: str) -> Query:
+# Measures that other models than their first have too, over relationships of their own.
+SHARED_MEASURES = {
+    "supply_chain": ("n_customers_created", "n_customers_modified", "n_products_created", "n_products_modified"),
+    "service": (
+        "n_customers_created", "n_customers_modified", "n_products_created", "n_products_modified",
+        "n_facilities_created", "n_facilities_modified",
+    ),
+}
+
+
+def measure_query(name: str, in_model: str | None = None) -> Query:
     """A measure by year, month and one attribute of its neighbourhood."""
     measure = MEASURES[name]
 
@@ -94,7 +104,7 @@ def measure_query(name: str) -> Query:
         where, attribute = MEASURE_AXES[measure.home]
         timeless = measure.home in TIMELESS_HOMES and not measure.date_role
         dates = YEAR_MONTH[:1] if timeless else YEAR_MONTH
-        return model(w, where).rollup([name], [*dates, attribute])
+        return model(w, in_model or where).rollup([name], [*dates, attribute])
 
     return run
 
@@ -129,7 +139,7 @@ def clustered_rewrite(w: Warehouse) -> DataFrame:
             F.count("*").alias("row_count"),
             F.min(day).alias("first_date_key"),
             F.max(day).alias("last_date_key"),
-            F.sum(F.col(row) % 1000003).alias("row_key_sum"),
+            F.max(row).alias("last_row_key"),
         )
 
     return reduce(DataFrame.unionByName, side_by_side(rewrite, CLUSTERED_FACTS))
@@ -144,8 +154,14 @@ def hash_bucket_assign(w: Warehouse) -> DataFrame:
     )
 
 
+def digest_bucket_assign(w: Warehouse) -> DataFrame:
+    return w.landing("customer").select(
+        "c_custkey", c.digest_bucket("c_custkey", 20, salt="7").alias("bucket")
+    )
+
+
 def code_lookup(w: Warehouse) -> DataFrame:
-    code = F.substring("o_orderpriority", 1, 1).cast("int") - 1
+    code = bind.channel_key("o_orderpriority") - 1
     names = tuple(name for _, name, _ in bind.SALES_CHANNELS)
     return w.landing("orders").select("o_orderkey", c.code_lookup(code, names).alias("channel_name"))
 
@@ -175,7 +191,7 @@ def warranty_expiry(w: Warehouse) -> DataFrame:
 
 def order_status_rule(w: Warehouse) -> DataFrame:
     cancelled = F.col("o_orderstatus") == "P"
-    status = c.order_status(bind.day("o_orderdate"), cancelled, bind.as_of())
+    status = c.order_status(bind.day("o_orderdate"), cancelled, w.landing.as_of)
     return w.landing("orders").select("o_orderkey", status.alias("order_status"))
 
 
@@ -351,7 +367,7 @@ def calendar_refresh(w: Warehouse) -> DataFrame:
     published = {entity: gold for gold, entity in GOLD_ENTITIES.items()}
     side = w.sibling_store("calendar_refresh")
     return refresh_calendar(
-        lambda entity: w.table(published[entity]), side, bind.THIS_YEAR, RUN_ID, LOADED_AT
+        lambda entity: w.table(published[entity]), side, w.landing.this_year, RUN_ID, LOADED_AT
     )
 
 
@@ -455,6 +471,20 @@ def filtered_rollup(w: Warehouse) -> DataFrame:
     )
 
 
+def filtered_rollup_blank(w: Warehouse) -> DataFrame:
+    """Alerts of assets without a product, and of all that are not of one named category."""
+    service = model(w, "service")
+    category = "product.product_category"
+    blank = service.rollup(["n_alerts"], ["asset.criticality"], {category: lambda c: c.isNull()})
+    first = w.table("dim_product").agg(F.min("product_category")).scalar()
+    others = service.rollup(
+        ["n_alerts"], ["asset.criticality"], {category: lambda c: ~c.eqNullSafe(first)}
+    )
+    return blank.select(F.lit("blank").alias("kept"), "*").unionByName(
+        others.select(F.lit("all but the first").alias("kept"), "*")
+    )
+
+
 def status_rollup(w: Warehouse) -> DataFrame:
     """Conditional measures grouped by the column they test: other members are blank."""
     return model(w, "commercial").rollup(
@@ -605,6 +635,7 @@ OPERATORS: dict[str, Query] = {
     "silver_load": silver_load,
     "clustered_rewrite": clustered_rewrite,
     "hash_bucket_assign": hash_bucket_assign,
+    "digest_bucket_assign": digest_bucket_assign,
     "code_lookup": code_lookup,
     "business_id": business_id,
     "date_key": date_key,
@@ -637,6 +668,7 @@ OPERATORS: dict[str, Query] = {
     "star_join": star_join,
     "far_star_join": far_star_join,
     "filtered_rollup": filtered_rollup,
+    "filtered_rollup_blank": filtered_rollup_blank,
     "status_rollup": status_rollup,
     "date_role_join": date_role_join,
     "date_role_switch": date_role_switch,
@@ -690,6 +722,11 @@ QUERIES: dict[str, Query] = {
     **{name: table_query(name) for name in ("dim_date", *DIMENSIONS, *FACTS)},
     **{name: star_query(name) for name in STARS},
     **{f"m_{name}": measure_query(name) for name in MEASURES},
+    **{
+        f"m_{name}_{where}": measure_query(name, where)
+        for where, names in SHARED_MEASURES.items()
+        for name in names
+    },
 }
 
 

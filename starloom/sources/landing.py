@@ -31,7 +31,7 @@ LANDING_KEYS = {
     "events": ["event_id"],
 }
 
-# Fixed values of the binding.
+# Fixed values of the binding; the two dates are defaults that a warehouse may replace.
 AS_OF = "2001-08-01"
 THIS_YEAR = 2024
 DIM_ID_WIDTH = 12
@@ -53,11 +53,15 @@ SALES_CHANNELS = (
 
 
 class Landing:
-    """The source files of one folder."""
+    """The source files of one folder, and the day that its statuses are judged on."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(
+        self, spark: SparkSession, folder: str, as_of: str = AS_OF, this_year: int = THIS_YEAR
+    ):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.as_of = F.lit(as_of).cast("date")
+        self.this_year = this_year
         self._tables: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
@@ -80,6 +84,7 @@ class ConformedLanding:
     def __init__(self, landing: Landing, store: TableStore):
         self.spark = landing.spark
         self.landing = landing
+        self.as_of = landing.as_of
         self.store = store
         self._tables: dict[str, DataFrame] = {}
         self._locks = {table: threading.Lock() for table in LANDING_TABLES}
@@ -102,10 +107,6 @@ class ConformedLanding:
 Tables = Landing | ConformedLanding
 
 
-def as_of() -> Column:
-    return F.lit(AS_OF).cast("date")
-
-
 def day(name: str) -> Column:
     return F.col(name).cast("date")
 
@@ -125,13 +126,13 @@ def with_date_keys(df: DataFrame, *dates: str) -> DataFrame:
 
 def criticality(order_priority: str) -> Column:
     """Urgent to Critical, high to High, medium to Medium, all others Low."""
-    rank = F.substring(order_priority, 1, 1).cast("int")
+    rank = channel_key(order_priority)
     return F.coalesce(c.code_lookup(rank - 1, ("Critical", "High", "Medium")), F.lit("Low"))
 
 
 def channel_key(order_priority: str) -> Column:
     """The number that the priority's text starts with."""
-    return F.substring(order_priority, 1, 1).cast("bigint")
+    return c.leading_number(order_priority)
 
 
 def places(landing: Tables) -> DataFrame:
@@ -174,12 +175,12 @@ def line(landing: Tables) -> DataFrame:
         .join(part, li.l_partkey == part.p_partkey, "left")
         .join(supplier, li.l_suppkey == supplier.s_suppkey, "left")
         .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_key"),
+            c.pair_key("l_orderkey", "l_linenumber").alias("line_key"),
             "l_orderkey",
             "l_linenumber",
             "l_partkey",
             "l_suppkey",
-            F.col("l_quantity").cast("int").alias("quantity"),
+            F.col("l_quantity").cast(c.QUANTITY).alias("quantity"),
             c.money("l_extendedprice").alias("extended_price"),
             c.fraction("l_discount").alias("discount"),
             c.fraction("l_tax").alias("tax"),
@@ -506,7 +507,7 @@ def purchase_order_line(landing: Tables, lines: DataFrame) -> DataFrame:
     return with_date_keys(
         lines.where("is_priced").select(
             F.col("line_key").alias("purchase_order_line_key"),
-            row_id("POL", "line_key").alias("purchase_order_line_id"),
+            c.pair_id("POL", "line_key", ROW_ID_WIDTH).alias("purchase_order_line_id"),
             row_id("PO", "l_orderkey").alias("purchase_order_id"),
             F.col("l_suppkey").alias("supplier_key"),
             dim_id("SUP", "l_suppkey").alias("supplier_id"),
@@ -520,7 +521,7 @@ def purchase_order_line(landing: Tables, lines: DataFrame) -> DataFrame:
             F.col("quantity").alias("ordered_quantity"),
             received.alias("received_quantity"),
             F.col("standard_cost").alias("unit_cost"),
-            c.purchase_status("ship_date", received, "quantity", as_of()).alias(
+            c.purchase_status("ship_date", received, "quantity", landing.as_of).alias(
                 "purchase_order_status"
             ),
         ),
@@ -545,7 +546,7 @@ def shipment(landing: Tables, lines: DataFrame) -> DataFrame:
             actual.alias("actual_delivery_date"),
             c.money(F.col("extended_price") * F.col("tax")).alias("freight_cost"),
             hold.alias("quality_hold"),
-            c.shipment_status(hold, actual, as_of()).alias("shipment_status"),
+            c.shipment_status(hold, actual, landing.as_of).alias("shipment_status"),
         ),
         "ship_date",
         "promised_delivery_date",
@@ -585,7 +586,7 @@ def work_order(landing: Tables, lines: DataFrame) -> DataFrame:
             kind.alias("work_order_type"),
             hours.alias("duration_hours"),
             resolved.alias("resolved_date"),
-            c.work_order_status(resolved, waiting, as_of()).alias("work_order_status"),
+            c.work_order_status(resolved, waiting, landing.as_of).alias("work_order_status"),
             c.labor_cost(hours, LABOR_RATE).alias("labor_cost"),
         ),
         "opened_date",
@@ -598,7 +599,7 @@ def work_order_part(landing: Tables, lines: DataFrame) -> DataFrame:
     first = (
         lines.where("l_returnflag = 'R'")
         .groupBy(F.col("l_orderkey").alias("job_order"))
-        .agg(F.min("line_key").alias("work_order_key"))
+        .agg(F.min_by("line_key", "l_linenumber").alias("work_order_key"))
     )
     parts = lines.where("l_returnflag = 'A' AND is_priced")
     return parts.join(first, F.col("l_orderkey") == F.col("job_order")).select(
@@ -623,7 +624,7 @@ def asset_daily_status(landing: Tables, lines: DataFrame) -> DataFrame:
         F.min(value).cast("decimal(5,1)").alias("temperature_c"),
         F.count_if(F.col("event_type") == "error").cast("int").alias("alert_count"),
     )
-    row_key = F.col("asset_key") * 100000 + F.unix_date("status_date")
+    row_key = c.pair_key("asset_key", "status_date")
     return with_date_keys(
         daily.withColumn("asset_daily_status_key", row_key).select(
             "asset_daily_status_key",
@@ -640,6 +641,10 @@ def asset_daily_status(landing: Tables, lines: DataFrame) -> DataFrame:
 
 
 # Text ids of the facts that are joined to a parent, each made from a key: id → (prefix, key, width).
+PAIR_KEYS = {
+    "sales_order_line_key", "shipment_key", "inventory_snapshot_key", "work_order_key",
+    "work_order_part_key", "asset_daily_status_key",
+}
 TEXT_IDS = {
     "sales_order_line": {
         "sales_order_line_id": ("SOL", "sales_order_line_key", ROW_ID_WIDTH),
@@ -679,13 +684,14 @@ def with_text_ids(df: DataFrame, entity: str) -> DataFrame:
     They are left until after the join to a parent, so that the shuffle carries
     numbers instead of padded text.
     """
-    ids = {name: made for name, made in TEXT_IDS.get(entity, {}).items() if name not in df.columns}
+    ids = {name: rule for name, rule in TEXT_IDS.get(entity, {}).items() if name not in df.columns}
     chosen = []
     for column in df.columns:
         chosen.append(F.col(column))
         for name, (prefix, key, width) in ids.items():
             if key == column:
-                chosen.append(c.business_id(prefix, key, width).alias(name))
+                made = c.pair_id if key in PAIR_KEYS else c.business_id
+                chosen.append(made(prefix, key, width).alias(name))
     return df.select(*chosen)
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import itertools
 import math
-import tempfile
 import threading
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Sequence
@@ -18,26 +17,18 @@ from pyspark.sql import functions as F
 T = TypeVar("T")
 JOBS_AT_ONCE = 8
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 40_000
 LINEAGE_COLUMNS = ("ingestion_timestamp", "pipeline_run_id", "source_system")
 
-_LOCAL_ROOT: list[str] = []
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+    """The folder named in ``spark.checkpoint.dir``; where it is unset, one in the warehouse.
 
-    Only a local session without one gets a folder of its own: on a cluster a
-    machine-local path would be lost with its executor.
+    Both are shared by all executors; a machine-local folder would be lost with its machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if not _LOCAL_ROOT:
-        _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="run-starloom-"))
-    return _LOCAL_ROOT[0]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
 def file_listing(spark: SparkSession, *paths: str) -> DataFrame:
@@ -75,7 +66,7 @@ def size_shuffles(spark: SparkSession, landing_bytes: int) -> None:
     session's own number, and so does a session that names a starting number.
     """
     setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    wanted = min(MOST_SHUFFLE_PARTITIONS, math.ceil(landing_bytes / SHUFFLE_PARTITION_BYTES))
+    wanted = math.ceil(landing_bytes / SHUFFLE_PARTITION_BYTES)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > current and spark.conf.get(setting, None) is None:
         spark.conf.set(setting, str(wanted))

@@ -102,3 +102,17 @@ def test_positions(spark):
     found = spark.range(7).select(c.batch_id("id", 3).alias("b"), c.spread_id("id", 2, 7).alias("s")).collect()
     assert [r.b for r in found] == [1, 1, 1, 2, 2, 2, 3]
     assert [r.s for r in found] == [1, 1, 1, 1, 2, 2, 2]
+
+
+def test_pair_keys_never_collide(spark):
+    rows = spark.createDataFrame([(1, 12), (2, 2), (11, 2), (1, 2), (10**18, 7), (-1, 3)], "a long, b int")
+    keys = [r.k for r in rows.select(c.pair_key("a", "b").alias("k")).collect()]
+    assert keys == ["1:12", "2:2", "11:2", "1:2", "1000000000000000000:7", "-1:3"]
+    made = rows.where("a = 11").select(c.pair_id("SOL", c.pair_key("a", "b"), 6).alias("i")).first().i
+    assert made == "SOL000011:2"
+
+
+def test_leading_number(spark):
+    rows = spark.createDataFrame([("1-URGENT",), ("10-SPARE",), ("none",), (None,), ("-5",)], "t string")
+    found = [r.n for r in rows.select(c.leading_number("t").alias("n")).collect()]
+    assert found == [1, 10, None, None, None]

@@ -265,3 +265,58 @@ def test_formats(spark):
         formatted(F.col("p"), "0.00%"), formatted(F.col("v"), "#,##0.0"), formatted(F.col("n"), "#,##0"),
     ).first()
     assert tuple(row) == ("$1,234.50", "-$1,234.50", "1234.57%", "1,234.5", None)
+
+
+def test_filters_see_the_blank_member(spark, warehouse):
+    """Orders without a customer row are the blank member, with and without broadcasts."""
+    facts = warehouse.table("fact_sales_order").limit(4).select("*")
+    rows = facts.collect()
+    lost = [r.customer_key for r in rows[:2]]
+
+    def tables(name):
+        if name == "fact_sales_order":
+            return spark.createDataFrame(rows, facts.schema)
+        if name == "dim_customer":
+            return warehouse.table(name).where(~F.col("customer_key").isin(lost))
+        return warehouse.table(name)
+
+    kept = sum(r.customer_key not in lost for r in rows)
+    for limit in (10**9, 0):
+        com = MetricModel("commercial", tables, lambda _: 1, limit)
+
+        def count(wanted):
+            return com.rollup(["n_orders"], [], {"customer.risk_tier": wanted}).first().n_orders
+
+        assert count(lambda t: t.isNull()) == 4 - kept
+        high = count("High") or 0
+        assert count(lambda t: ~t.eqNullSafe("High")) == 4 - high
+
+
+def test_strict_queries_refuse_filters_out_of_reach(warehouse):
+    service = model(warehouse, "service")
+    with pytest.raises(UnrelatedError):
+        service.rollup(["n_assets"], [], {"customer.risk_tier": "High"}, unrelated="error")
+
+
+def test_blank_rules(spark, warehouse):
+    """A blank key is one more value; a blank date of receipt is early, a blank status not open."""
+    facts = warehouse.table("fact_purchase_order_line")
+    two = facts.where("purchase_order_status != 'Open'").limit(2)
+    blank = facts.limit(1).withColumns(
+        {name: F.lit(None).cast(facts.schema[name].dataType)
+         for name in ("purchase_order_id", "received_date", "purchase_order_status")}
+    )
+    rows = two.union(blank).union(blank)
+    later = rows.withColumn(
+        "received_date", F.when(F.col("received_date").isNotNull(), F.date_add("expected_date", 1))
+    ).collect()
+
+    def tables(name):
+        return spark.createDataFrame(later, rows.schema) if name == "fact_purchase_order_line" else warehouse.table(name)
+
+    found = MetricModel("supply_chain", tables, lambda _: 1).rollup(
+        ["n_purchase_orders", "on_time_receipt_rate"], []
+    ).first()
+    known = {r.purchase_order_id for r in later} - {None}
+    assert found.n_purchase_orders == len(known) + 1
+    assert found.on_time_receipt_rate == 0.5

@@ -38,7 +38,7 @@ def test_scan_reads_only_the_columns_asked_for(warehouse):
 
 def test_filters_reach_the_scans(warehouse):
     text = plan(QUERIES["filtered_rollup"](warehouse), "formatted")
-    assert "GreaterThanOrEqual(quantity,10)" in text
+    assert "GreaterThanOrEqual(quantity,10.00)" in text
     assert "In(customer_segment, [BUILDING,MACHINERY])" in text
     assert re.search(r"order_date_key#\d+ >= .*[Ss]ubquery", text)
 

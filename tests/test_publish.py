@@ -110,8 +110,8 @@ def test_shuffles_are_sized_for_large_inputs_only(spark):
     assert spark.conf.get(setting, None) is None
     try:
         size_shuffles(spark, 100 * 10**12)
-        assert int(spark.conf.get(setting)) == 40_000
+        assert int(spark.conf.get(setting)) == 745_059
         size_shuffles(spark, 10**13)
-        assert int(spark.conf.get(setting)) == 40_000
+        assert int(spark.conf.get(setting)) == 745_059
     finally:
         spark.conf.unset(setting)
