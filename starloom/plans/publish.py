@@ -1,8 +1,10 @@
 """Publish jobs: the gold tables of one state of the landing files.
 
-``Warehouse`` is what queries read. A gold table is built, guarded and written
-to the shared folder the first time it is asked for, together with the tables it
-depends on, and scanned from there afterwards.
+``Warehouse`` is what queries read. ``publish_warehouse`` loads a warehouse that stays: it
+builds, guards and writes all gold tables below a named folder, and ``open_published``
+opens them in any later application, without building anything. ``open_warehouse`` gives an
+application a warehouse of its own, whose gold tables are written the first time they are
+asked for.
 """
 
 from __future__ import annotations
@@ -118,17 +120,30 @@ def calendar_ranges(entities: Tables) -> list[DataFrame]:
     return [date_range(entities(name), dates, name) for name, dates in DATE_COLUMNS.items()]
 
 
+class NotPublishedError(LookupError):
+    """A published warehouse lacks a table."""
+
+
 class Warehouse:
-    """Gold tables over one landing folder, published on first use."""
+    """Gold tables over one landing folder.
 
-    def __init__(self, spark: SparkSession, landing: Landing, store: TableStore):
+    They are published on first use; a ``published`` warehouse only reads, and refuses a
+    table that it does not have.
+    """
+
+    def __init__(
+        self, spark: SparkSession, landing: Landing, store: TableStore, published: bool = False
+    ):
         self.spark = spark
+        self.published = published
         self.landing = landing
         self.store = store
         self.sources = ConformedLanding(landing, store)
 
     def line(self) -> DataFrame:
         """The conformed order line that most entities are bound to."""
+        if self.published and "silver.line" not in self.store:
+            raise NotPublishedError(f"silver.line is not in {self.store.folder}: publish it first")
         return self.store.get("silver.line", lambda: bind.line(self.sources))
 
     def entity(self, name: str) -> DataFrame:
@@ -141,6 +156,10 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """A gold table. The calendar covers all dates there are, so it needs all others first."""
+        if f"gold.{name}" in self.store:
+            return self.store.read(f"gold.{name}")
+        if self.published:
+            raise NotPublishedError(f"gold.{name} is not in {self.store.folder}: publish it first")
         if name == "dim_date":
             self.publish_all()
         return self.store.get(f"gold.{name}", lambda: self._build(name))
@@ -200,6 +219,39 @@ def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
         return _OPEN[place]
 
 
+def publish_warehouse(
+    spark: SparkSession, folder: str, home: str, as_of: str = bind.AS_OF, this_year: int = bind.THIS_YEAR
+) -> Warehouse:
+    """Publish all tables of the landing folder as it is now below ``home``, to stay there.
+
+    A load that was broken off goes on with the tables it lacks. Statuses and the
+    calendar are those of ``as_of`` and ``this_year``.
+    """
+    landing = Landing(spark, folder, as_of, this_year)
+    place, size = _place(spark, landing, home, as_of, this_year)
+    size_shuffles(spark, size)
+    warehouse = Warehouse(spark, landing, TableStore(spark, place, reopen=True))
+    warehouse.publish_all()
+    return warehouse
+
+
+def open_published(
+    spark: SparkSession, folder: str, home: str, as_of: str = bind.AS_OF, this_year: int = bind.THIS_YEAR
+) -> Warehouse:
+    """What ``publish_warehouse`` has published of the landing folder as it is now; never builds."""
+    landing = Landing(spark, folder, as_of, this_year)
+    place, _ = _place(spark, landing, home, as_of, this_year)
+    return Warehouse(spark, landing, TableStore(spark, place, reopen=True), published=True)
+
+
+def _place(
+    spark: SparkSession, landing: Landing, home: str, as_of: str, this_year: int
+) -> tuple[str, int]:
+    """Where one state of a landing folder is published, and its size."""
+    state = folder_state(spark, *(landing.path(t) for t in LANDING_TABLES))
+    return f"{home.rstrip('/')}/{state.name}-{as_of}-{this_year}", state.bytes
+
+
 # -- the layered load --------------------------------------------------------
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 import threading
+import time
+import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -90,18 +91,51 @@ class TableStore:
     """Named tables below one folder.
 
     Each write goes to a new version directory and then becomes the table, so a
-    job may replace a table it reads and a failed one replaces nothing.
+    job may replace a table it reads and a failed one replaces nothing. A version is
+    complete once its success marker is written; ``reopen`` takes up the last complete
+    version of every table, whichever application wrote it.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, reopen: bool = False):
         self.spark = spark
         self.folder = folder
         self._tables: dict[str, DataFrame] = {}
         self._paths: dict[str, str] = {}
         self._bytes: dict[str, int] = {}
-        self._versions = itertools.count(1)
         self._locks: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
         self._guard = threading.Lock()
+        if reopen:
+            for name, versions in self._complete().items():
+                self._paths[name] = versions[-1]
+                self._tables[name] = spark.read.parquet(versions[-1])
+
+    def _complete(self) -> dict[str, list[str]]:
+        """Complete versions of each table, oldest first; names sort by the time of writing."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/*/*/v*/_SUCCESS")
+        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        found: dict[str, list[str]] = {}
+        for file in files or []:
+            version = file.getPath().getParent()
+            table = version.getParent()
+            name = f"{table.getParent().getName()}.{table.getName()}"
+            found.setdefault(name, []).append(version.toString())
+        return {name: sorted(paths) for name, paths in found.items()}
+
+    def drop_old_versions(self) -> int:
+        """Delete all complete versions but the current ones; returns how many.
+
+        A job of its own, for when no other application still reads an older version.
+        """
+        dropped = 0
+        for name, paths in self._complete().items():
+            with self._lock(name):
+                current = self._paths.get(name, paths[-1]).rstrip("/").rpartition("/")[2]
+                for path in paths:
+                    if path.rpartition("/")[2] != current:
+                        old = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                        system = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
+                        dropped += bool(system.delete(old, True))
+        return dropped
 
     def _lock(self, name: str) -> threading.RLock:
         with self._guard:
@@ -112,7 +146,8 @@ class TableStore:
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` as the table ``name`` and return the stored table."""
-        path = f"{self.folder}/{name.replace('.', '/')}/v{next(self._versions)}"
+        version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        path = f"{self.folder}/{name.replace('.', '/')}/{version}"
         df.write.mode("overwrite").parquet(path)
         with self._lock(name):
             self._paths[name] = path

@@ -115,3 +115,32 @@ def test_shuffles_are_sized_for_large_inputs_only(spark):
         assert int(spark.conf.get(setting)) == 745_059
     finally:
         spark.conf.unset(setting)
+
+
+def listing(folder):
+    return sorted((str(f), f.stat().st_mtime_ns) for f in folder.rglob("*") if f.is_file())
+
+
+def test_published_tables_outlive_the_session_that_wrote_them(spark, warehouse, tmp_path):
+    from starloom.plans.queries import QUERIES
+
+    folder, home = warehouse.landing.folder, tmp_path / "home"
+    with pytest.raises(p.NotPublishedError):
+        p.open_published(spark, folder, str(home)).table("dim_customer")
+    written = p.publish_warehouse(spark, folder, str(home))
+    before = listing(home)
+    later = p.open_published(spark.newSession(), folder, str(home))
+    for name in ("m_n_orders", "m_total_revenue_ytd", "check_unique"):
+        assert content(QUERIES[name](later)) == content(QUERIES[name](warehouse)), name
+    for name in p.GOLD_TABLES:
+        assert content(later.table(name)) == content(warehouse.table(name)), name
+    assert listing(home) == before
+    p.publish_warehouse(spark, folder, str(home))  # nothing is left to do
+    assert listing(home) == before
+    with pytest.raises(p.NotPublishedError):
+        p.open_published(spark, folder, str(home), as_of="1999-01-01").table("fact_shipment")
+    kept = content(written.table("dim_facility"))
+    written.store.write("gold.dim_facility", written.store.read("gold.dim_facility"))
+    assert written.store.drop_old_versions() == 1
+    again = p.open_published(spark, folder, str(home))
+    assert content(again.table("dim_facility")) == kept
