@@ -565,6 +565,54 @@ FORMATTED = with_star(
 )
 
 
+_SALES_MONTHS = (
+    "SELECT d.calendar_year AS y, d.calendar_quarter AS q, d.calendar_month AS m, x.customer_segment AS s, "
+    "sum(f.line_revenue) AS v FROM fact_sales_order_line f "
+    "LEFT JOIN dim_date d ON f.order_date_key = d.date_key "
+    "LEFT JOIN dim_customer x ON f.customer_key = x.customer_key GROUP BY 1, 2, 3, 4"
+)
+
+
+def _period_levels(segment: bool, shift: str, first: int) -> str:
+    """Revenue and its shifted form at the total, year, quarter and month, level by level."""
+    s = "s" if segment else "NULL"
+    grains = [[], ["y"], ["y", "q"], ["y", "q", "m"]]
+    parts = []
+    for depth, grain in enumerate(grains):
+        own = {c: (c if c in grain else "NULL") for c in "yqm"}
+        now = (
+            f"SELECT {s} AS s, {own['y']} AS y, {own['q']} AS q, {own['m']} AS m, sum(v) AS v, NULL AS w "
+            f"FROM months GROUP BY ALL"
+        )
+        parts.append(f"SELECT s, y, q, m, {depth} AS level, v, w FROM ({now})")
+        if depth < first:
+            continue
+        if shift == "ly":
+            moved = now.replace("y AS y", "y + 1 AS y").replace("sum(v) AS v, NULL AS w", "NULL AS v, sum(v) AS w")
+            parts.append(
+                f"SELECT s, y, q, m, {depth}, v, w FROM ({moved}) WHERE y IN (SELECT calendar_year FROM dim_date)"
+            )
+        else:
+            last = {1: "12", 2: "c.q * 3", 3: "c.m"}[depth]
+            cells = {
+                1: "SELECT DISTINCT calendar_year AS y, NULL AS q, NULL AS m FROM dim_date",
+                2: "SELECT DISTINCT calendar_year AS y, calendar_quarter AS q, NULL AS m FROM dim_date",
+                3: "SELECT DISTINCT calendar_year AS y, calendar_quarter AS q, calendar_month AS m FROM dim_date",
+            }[depth]
+            parts.append(
+                f"SELECT {'months.s' if segment else 'NULL'} AS s, c.y, c.q, c.m, {depth}, NULL, sum(months.v) "
+                f"FROM ({cells}) c JOIN months ON months.y = c.y AND months.m <= {last} GROUP BY ALL"
+            )
+    return with_star(
+        f"SELECT {'s AS customer_segment, ' if segment else ''}CAST(y AS INTEGER) AS calendar_year, "
+        "CAST(q AS INTEGER) AS calendar_quarter, CAST(m AS INTEGER) AS calendar_month, "
+        "CAST(level AS INTEGER) AS level, CAST(max(v) AS DOUBLE) AS total_revenue, "
+        f"CAST(max(w) AS DOUBLE) AS total_revenue_{shift} FROM ({' UNION ALL '.join(parts)}) "
+        f"GROUP BY {'s, ' if segment else ''}y, q, m, level",
+        months=_SALES_MONTHS,
+    )
+
+
 def _captioned(table: str, columns: list[tuple[str, str]]) -> str:
     parts = []
     for source, label in columns:
@@ -799,6 +847,13 @@ def operator_sql() -> dict[str, str]:
         "formatted_metrics": FORMATTED,
         "model_orders": _captioned("fact_sales_order", ORDERS_MODEL),
         "model_part_product": _captioned("dim_product", PART_MODEL),
+        "ytd_subtotals": _period_levels(True, "ytd", 1),
+        "ly_subtotals": _period_levels(False, "ly", 1),
+        "subtotals_by_requested_date": _levels(
+            ["calendar_year", "calendar_month"],
+            f"{n()} AS n_orders, {div('sum(f.order_revenue)', 'count(f.order_revenue)')} AS average_order_value",
+            "fact_sales_order", "LEFT JOIN dim_date d ON f.requested_date_key = d.date_key", [],
+        ),
         "sales_dashboard": _sales_dashboard(),
         "check_unique": with_star(
             _check("line", "unique_line_key", _dup("lines", "line_key"), "dup", "'duplicates=' || dup")

@@ -82,7 +82,7 @@ SELECT l_partkey AS k, min(ship_date) AS lo, max(ship_date) AS hi FROM lines GRO
 CTES["dim_facility"] = f"""
 SELECT CAST(n_nationkey AS BIGINT) AS facility_key, {dim_id('FAC', 'n_nationkey')} AS facility_id,
   n_name AS facility_name,
-  {_pick('n_nationkey % 3', ['Plant', 'Distribution Center', 'Service Hub'])} AS facility_type,
+  {_pick('n_nationkey % 3', ['Factory', 'Depot', 'Workshop'])} AS facility_type,
   r_name AS region_code, n_name AS country_code, n_name AS city,
   CAST(1000 + 100 * n_nationkey AS BIGINT) AS capacity_units, 'Active' AS status,
   lo AS created_on, {key('lo')} AS created_on_key, hi AS modified_on, {key('hi')} AS modified_on_key
@@ -124,7 +124,7 @@ FROM supplier LEFT JOIN places ON s_nationkey = n_nationkey LEFT JOIN supplier_d
 
 CTES["dim_employee"] = f"""
 SELECT c_custkey AS employee_key, {dim_id('EMP', 'c_custkey')} AS employee_id, c_name AS employee_name,
-  c_mktsegment AS department, {_pick('c_custkey % 3', ['Associate', 'Senior', 'Lead'])} AS job_level,
+  c_mktsegment AS department, {_pick('c_custkey % 3', ['Junior', 'Experienced', 'Principal'])} AS job_level,
   CAST(c_nationkey AS BIGINT) AS facility_key, {dim_id('FAC', 'c_nationkey')} AS facility_id,
   lo AS hire_date, {key('lo')} AS hire_date_key,
   CASE WHEN {money('c_acctbal')} < 0 THEN 'Leave' ELSE 'Active' END AS status,
@@ -136,8 +136,8 @@ CTES["dim_technician"] = f"""
 SELECT s_suppkey AS technician_key, {dim_id('TEC', 's_suppkey')} AS technician_id,
   s_suppkey AS employee_key, {dim_id('EMP', 's_suppkey')} AS employee_id,
   CAST(s_nationkey AS BIGINT) AS facility_key, {dim_id('FAC', 's_nationkey')} AS facility_id,
-  {_pick('s_suppkey % 3', ['Level 1', 'Level 2', 'Level 3'])} AS skill_level,
-  {_pick('s_suppkey % 4', ['Electrical', 'Mechanical', 'Hydraulic', 'Controls'])} AS specialty,
+  {_pick('s_suppkey % 3', ['Basic', 'Skilled', 'Expert'])} AS skill_level,
+  {_pick('s_suppkey % 4', ['Power', 'Motion', 'Fluids', 'Software'])} AS specialty,
   {plus_months('lo', 36)} AS certification_expiry,
   {key(plus_months('lo', 36))} AS certification_expiry_key,
   CASE WHEN {money('s_acctbal')} < 0 THEN 'On Leave' ELSE 'Active' END AS status,
@@ -158,7 +158,7 @@ SELECT o_orderkey AS asset_key, {row_id('AST', 'o_orderkey')} AS asset_id,
   {dim_id('CUS', 'o_custkey')} AS customer_id, first_part AS product_key,
   {dim_id('PRD', 'first_part')} AS product_id, CAST(c_nationkey AS BIGINT) AS facility_key,
   {dim_id('FAC', 'c_nationkey')} AS facility_id,
-  {_pick('o_orderkey % 2', ['EquipmentAsset', 'VehicleAsset'])} AS asset_type,
+  {_pick('o_orderkey % 2', ['Machine', 'Vehicle'])} AS asset_type,
   od AS install_date, {key('od')} AS install_date_key,
   {plus_months('od', 36)} AS warranty_expiry, {key(plus_months('od', 36))} AS warranty_expiry_key,
   {CRITICALITY.format('o_orderpriority')} AS criticality,
@@ -257,7 +257,7 @@ SELECT {pair_id('WO', 'line_key')} AS work_order_id, line_key AS work_order_key,
   l_orderkey AS asset_key, {row_id('AST', 'l_orderkey')} AS asset_id,
   l_suppkey AS technician_key, {dim_id('TEC', 'l_suppkey')} AS technician_id,
   ship_date AS opened_date, {key('ship_date')} AS opened_date_key, priority,
-  {_pick('l_linenumber % 4', ['Preventive', 'Corrective', 'Inspection', 'Installation'])} AS work_order_type,
+  {_pick('l_linenumber % 4', ['Planned', 'Repair', 'Survey', 'Setup'])} AS work_order_type,
   CAST(hours AS DECIMAL(10,2)) AS duration_hours, resolved AS resolved_date,
   {key('resolved')} AS resolved_date_key,
   CASE WHEN resolved > {AS_OF} THEN 'Open' WHEN l_linestatus = 'O' THEN 'Waiting for Parts'

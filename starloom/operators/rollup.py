@@ -129,17 +129,29 @@ class MetricModel:
         asked = [MEASURES[name] for name in measures]
         axis = attributes(by)
         self._check(asked, date_role, [*by, *(filters or {})])
-        frames, formulas = [], []
-        for (home, role, shift), group in self._passes(asked, date_role).items():
-            used = Aggregates(f"{home}__{role or 'active'}__{shift or 'now'}")
-            formulas += [m.formula(used).alias(m.name) for m in group]
-            bases = list(used.bases.values())
-            frames.append(self._frame(home, role, shift, bases, axis, filters or {}, unrelated))
+        used, formulas = self._formulas(asked, date_role)
+        frames = []
+        for (home, role, shift), own in used.items():
+            bases = list(own.bases.values())
+            frame = self._frame(home, role, shift, bases, axis, filters or {}, unrelated)
+            frames.append(frame.withColumnsRenamed({b.name: b.name + own.suffix for b in bases}))
         labels = [a.label for a in axis]
-        order = {m.name: i for i, m in enumerate(asked)}
-        named = [m.name for group in self._passes(asked, date_role).values() for m in group]
-        columns = [f for _, f in sorted(zip(named, formulas), key=lambda pair: order[pair[0]])]
-        return self._side_by_side(frames, labels).select(*labels, *columns)
+        return self._side_by_side(frames, labels).select(*labels, *formulas)
+
+    def _formulas(
+        self, asked: Sequence[Measure], date_role: str | None
+    ) -> tuple[dict[tuple[str, str | None, str | None], Aggregates], list[Column]]:
+        """The aggregates of each pass, and the measures as formulas over them, as asked."""
+        used: dict[tuple[str, str | None, str | None], Aggregates] = {}
+        formulas = []
+        for m in asked:
+            role = m.date_role or date_role
+            own = used.setdefault(
+                (m.home, role, m.shift),
+                Aggregates(f"{m.home}__{role or 'active'}", f"__{m.shift or 'now'}"),
+            )
+            formulas.append(m.formula(own).alias(m.name))
+        return used, formulas
 
     def subtotals(
         self,
@@ -147,30 +159,57 @@ class MetricModel:
         hierarchy: Sequence[str],
         by: Sequence[str] = (),
         filters: Filters | None = None,
+        date_role: str | None = None,
     ) -> DataFrame:
         """Measures at every level of a hierarchy, each level computed from its own rows.
 
-        ``level`` counts the hierarchy columns in force; 0 is the total.
+        ``level`` counts the hierarchy columns in force; 0 is the total. ``date_role``
+        swaps the date key as in ``rollup``. A year to date at a level is the running sum
+        at the end of its period, and a prior year that of its period a year before; both
+        are blank where no year is in force.
         """
         asked = [MEASURES[name] for name in measures]
         axis = attributes([*by, *hierarchy])
-        self._check(asked, None, [*by, *hierarchy, *(filters or {})])
+        self._check(asked, date_role, [*by, *hierarchy, *(filters or {})])
         fixed, steps = len(by), len(hierarchy)
-        frames, formulas = [], []
-        for (home, role, shift), group in self._passes(asked, None).items():
-            if shift:
-                raise ValueError("subtotals of a shifted measure: ask for each level by itself")
+        used, formulas = self._formulas(asked, date_role)
+        frames = []
+        for (home, role, shift), own in used.items():
             self._require_related(home, role, axis)
-            used = Aggregates(f"{home}__{role or 'active'}__now")
-            formulas += [m.formula(used).alias(m.name) for m in group]
-            frames.append(
-                self._aggregate(
-                    home, role, list(used.bases.values()), axis, filters or {}, levels=(fixed, steps)
-                )
-            )
+            bases = list(own.bases.values())
+            if shift:
+                frame = self._shifted_levels(home, role, shift, bases, axis, filters or {}, fixed)
+            else:
+                frame = self._aggregate(home, role, bases, axis, filters or {}, levels=(fixed, steps))
+            frames.append(frame.withColumnsRenamed({b.name: b.name + own.suffix for b in bases}))
         labels = [*(a.label for a in axis), "level"]
         return self._side_by_side(frames, labels).select(*labels, *formulas)
 
+    def _shifted_levels(
+        self,
+        home: str,
+        role: str | None,
+        shift: str,
+        bases: Sequence[Base],
+        axis: Sequence[Attribute],
+        filters: Filters,
+        fixed: int,
+    ) -> DataFrame:
+        """A shifted frame for each level at which a year is in force, stacked."""
+        found = []
+        for depth in range(len(axis) - fixed + 1):
+            upper = axis[: fixed + depth]
+            if any(a.table == "date" and a.column in (periods.YEAR, periods.DAY) for a in upper):
+                frame = self._shifted(home, role, shift, bases, upper, filters)
+                lower = {
+                    a.label: F.lit(None).cast(self.table(a.table).schema[a.column].dataType)
+                    for a in axis[fixed + depth :]
+                }
+                found.append(frame.withColumns({**lower, "level": F.lit(depth)}))
+        if not found:
+            raise ValueError("a shifted measure needs the calendar year or the date")
+        return reduce(DataFrame.unionByName, found)
+
     def _check(self, asked: Sequence[Measure], date_role: str | None, names: Sequence[str]) -> None:
         """Refuse tables, measures and date roles that the model does not have."""
         known = MODEL_TABLES[self.name]
@@ -187,16 +226,6 @@ class MetricModel:
         if apart:
             raise UnrelatedError(f"{home} is not related to {', '.join(sorted(apart))}")
 
-    @staticmethod
-    def _passes(
-        asked: Sequence[Measure], date_role: str | None
-    ) -> dict[tuple[str, str | None, str | None], list[Measure]]:
-        """Measures that one scan can compute together."""
-        groups: dict[tuple[str, str | None, str | None], list[Measure]] = {}
-        for m in asked:
-            groups.setdefault((m.home, m.date_role or date_role, m.shift), []).append(m)
-        return groups
-
     @staticmethod
     def _side_by_side(frames: Sequence[DataFrame], labels: Sequence[str]) -> DataFrame:
         """Frames merged on their labels. Grouping puts NULL members together, as a

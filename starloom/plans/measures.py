@@ -32,16 +32,21 @@ class Base:
 
 
 class Aggregates:
-    """Hands a formula the columns of its aggregates, and remembers which it used."""
+    """Hands a formula the columns of its aggregates, and remembers which it used.
 
-    def __init__(self, prefix: str):
+    ``suffix`` tells apart the same aggregate in several periods: it is part of the
+    column a formula sees, not of the aggregate's own name.
+    """
+
+    def __init__(self, prefix: str, suffix: str = ""):
         self.prefix = prefix
+        self.suffix = suffix
         self.bases: dict[str, Base] = {}
 
     def _use(self, kind: str, label: str, value: Column) -> Column:
         name = f"{self.prefix}__{kind}_{label}"
         self.bases.setdefault(name, Base(kind, name, value))
-        return F.col(name)
+        return F.col(name + self.suffix)
 
     def sum(self, column: str) -> Column:
         return self._use("sum", column, F.col(column))

@@ -66,90 +66,90 @@ PRIMARY_KEYS = {
 
 # Child table, child key, parent table, state.
 _RELATIONSHIPS = {
-    "commercial": """
-        orders customer_key customer active
-        orders sales_channel_key sales_channel active
-        sales product_key product active
-        orders order_date_key date active
-        orders requested_date_key date inactive
-        sales customer_key customer active
-        sales sales_channel_key sales_channel active
-        sales order_date_key date active
-        sales requested_date_key date inactive
-        customer created_on_key date inactive
-        customer modified_on_key date inactive
-        product created_on_key date inactive
-        product modified_on_key date inactive
-    """,
-    "supply_chain": """
-        purchase_orders supplier_key supplier active
-        purchase_orders product_key product active
-        purchase_orders facility_key facility active
-        shipments facility_key facility active
-        inventory product_key product active
-        inventory facility_key facility active
-        supplier_products supplier_key supplier active
-        supplier_products product_key product active
-        purchase_orders order_date_key date active
-        shipments ship_date_key date active
-        inventory snapshot_date_key date active
-        purchase_orders expected_date_key date inactive
-        purchase_orders received_date_key date inactive
-        shipments promised_delivery_date_key date inactive
-        shipments actual_delivery_date_key date inactive
-        shipments customer_key customer active
-        shipments sales_channel_key sales_channel active
-        shipments order_date_key date inactive
-        shipments requested_date_key date inactive
-        customer created_on_key date inactive
-        customer modified_on_key date inactive
-        product created_on_key date inactive
-        product modified_on_key date inactive
-        supplier contract_start_date_key date inactive
-        supplier created_on_key date inactive
-        supplier modified_on_key date inactive
-        facility created_on_key date inactive
-        facility modified_on_key date inactive
-    """,
-    "service": """
-        technician employee_key employee active
-        work_orders asset_key asset active
-        work_orders technician_key technician active
-        work_order_parts product_key part_product active
-        asset_daily_status asset_key asset active
-        work_orders opened_date_key date active
-        work_orders resolved_date_key date inactive
-        asset_daily_status status_date_key date active
-        work_orders customer_key customer active
-        work_orders facility_key facility active
-        work_orders product_key product active
-        work_order_parts asset_key asset active
-        work_order_parts technician_key technician active
-        work_order_parts customer_key customer active
-        work_order_parts facility_key facility active
-        work_order_parts asset_product_key product active
-        work_order_parts opened_date_key date active
-        work_order_parts resolved_date_key date inactive
-        asset_daily_status customer_key customer active
-        asset_daily_status facility_key facility active
-        asset_daily_status product_key product active
-        customer created_on_key date inactive
-        customer modified_on_key date inactive
-        product created_on_key date inactive
-        product modified_on_key date inactive
-        facility created_on_key date inactive
-        facility modified_on_key date inactive
-        employee hire_date_key date inactive
-        employee created_on_key date inactive
-        employee modified_on_key date inactive
-        technician certification_expiry_key date inactive
-        technician created_on_key date inactive
-        technician modified_on_key date inactive
-        asset install_date_key date inactive
-        asset warranty_expiry_key date inactive
-        asset created_on_key date inactive
-        asset modified_on_key date inactive
-    """,
+    "commercial": (
+        ("orders", "customer_key", "customer", "active"),
+        ("orders", "sales_channel_key", "sales_channel", "active"),
+        ("sales", "product_key", "product", "active"),
+        ("orders", "order_date_key", "date", "active"),
+        ("orders", "requested_date_key", "date", "inactive"),
+        ("sales", "customer_key", "customer", "active"),
+        ("sales", "sales_channel_key", "sales_channel", "active"),
+        ("sales", "order_date_key", "date", "active"),
+        ("sales", "requested_date_key", "date", "inactive"),
+        ("customer", "created_on_key", "date", "inactive"),
+        ("customer", "modified_on_key", "date", "inactive"),
+        ("product", "created_on_key", "date", "inactive"),
+        ("product", "modified_on_key", "date", "inactive"),
+    ),
+    "supply_chain": (
+        ("purchase_orders", "supplier_key", "supplier", "active"),
+        ("purchase_orders", "product_key", "product", "active"),
+        ("purchase_orders", "facility_key", "facility", "active"),
+        ("shipments", "facility_key", "facility", "active"),
+        ("inventory", "product_key", "product", "active"),
+        ("inventory", "facility_key", "facility", "active"),
+        ("supplier_products", "supplier_key", "supplier", "active"),
+        ("supplier_products", "product_key", "product", "active"),
+        ("purchase_orders", "order_date_key", "date", "active"),
+        ("shipments", "ship_date_key", "date", "active"),
+        ("inventory", "snapshot_date_key", "date", "active"),
+        ("purchase_orders", "expected_date_key", "date", "inactive"),
+        ("purchase_orders", "received_date_key", "date", "inactive"),
+        ("shipments", "promised_delivery_date_key", "date", "inactive"),
+        ("shipments", "actual_delivery_date_key", "date", "inactive"),
+        ("shipments", "customer_key", "customer", "active"),
+        ("shipments", "sales_channel_key", "sales_channel", "active"),
+        ("shipments", "order_date_key", "date", "inactive"),
+        ("shipments", "requested_date_key", "date", "inactive"),
+        ("customer", "created_on_key", "date", "inactive"),
+        ("customer", "modified_on_key", "date", "inactive"),
+        ("product", "created_on_key", "date", "inactive"),
+        ("product", "modified_on_key", "date", "inactive"),
+        ("supplier", "contract_start_date_key", "date", "inactive"),
+        ("supplier", "created_on_key", "date", "inactive"),
+        ("supplier", "modified_on_key", "date", "inactive"),
+        ("facility", "created_on_key", "date", "inactive"),
+        ("facility", "modified_on_key", "date", "inactive"),
+    ),
+    "service": (
+        ("technician", "employee_key", "employee", "active"),
+        ("work_orders", "asset_key", "asset", "active"),
+        ("work_orders", "technician_key", "technician", "active"),
+        ("work_order_parts", "product_key", "part_product", "active"),
+        ("asset_daily_status", "asset_key", "asset", "active"),
+        ("work_orders", "opened_date_key", "date", "active"),
+        ("work_orders", "resolved_date_key", "date", "inactive"),
+        ("asset_daily_status", "status_date_key", "date", "active"),
+        ("work_orders", "customer_key", "customer", "active"),
+        ("work_orders", "facility_key", "facility", "active"),
+        ("work_orders", "product_key", "product", "active"),
+        ("work_order_parts", "asset_key", "asset", "active"),
+        ("work_order_parts", "technician_key", "technician", "active"),
+        ("work_order_parts", "customer_key", "customer", "active"),
+        ("work_order_parts", "facility_key", "facility", "active"),
+        ("work_order_parts", "asset_product_key", "product", "active"),
+        ("work_order_parts", "opened_date_key", "date", "active"),
+        ("work_order_parts", "resolved_date_key", "date", "inactive"),
+        ("asset_daily_status", "customer_key", "customer", "active"),
+        ("asset_daily_status", "facility_key", "facility", "active"),
+        ("asset_daily_status", "product_key", "product", "active"),
+        ("customer", "created_on_key", "date", "inactive"),
+        ("customer", "modified_on_key", "date", "inactive"),
+        ("product", "created_on_key", "date", "inactive"),
+        ("product", "modified_on_key", "date", "inactive"),
+        ("facility", "created_on_key", "date", "inactive"),
+        ("facility", "modified_on_key", "date", "inactive"),
+        ("employee", "hire_date_key", "date", "inactive"),
+        ("employee", "created_on_key", "date", "inactive"),
+        ("employee", "modified_on_key", "date", "inactive"),
+        ("technician", "certification_expiry_key", "date", "inactive"),
+        ("technician", "created_on_key", "date", "inactive"),
+        ("technician", "modified_on_key", "date", "inactive"),
+        ("asset", "install_date_key", "date", "inactive"),
+        ("asset", "warranty_expiry_key", "date", "inactive"),
+        ("asset", "created_on_key", "date", "inactive"),
+        ("asset", "modified_on_key", "date", "inactive"),
+    ),
 }
 
 
@@ -170,9 +170,9 @@ class Relationship:
 RELATIONSHIPS = {
     model: tuple(
         Relationship(child, key, parent, state == "active")
-        for child, key, parent, state in map(str.split, text.strip().splitlines())
+        for child, key, parent, state in edges
     )
-    for model, text in _RELATIONSHIPS.items()
+    for model, edges in _RELATIONSHIPS.items()
 }
 
 

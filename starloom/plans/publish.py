@@ -39,6 +39,7 @@ from starloom.sources.store import (
     stamp_lineage,
 )
 
+# Published tables and the entities they come from.
 DIMENSIONS = {
     "dim_customer": "customer",
     "dim_product": "product",

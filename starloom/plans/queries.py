@@ -621,6 +621,31 @@ def flagship(w: Warehouse) -> DataFrame:
     )
 
 
+def ytd_subtotals(w: Warehouse) -> DataFrame:
+    """Revenue and its year to date in the calendar hierarchy, by segment."""
+    return model(w, "commercial").subtotals(
+        ["total_revenue", "total_revenue_ytd"],
+        ["date.calendar_year", "date.calendar_quarter", "date.calendar_month"],
+        by=["customer.customer_segment"],
+    )
+
+
+def ly_subtotals(w: Warehouse) -> DataFrame:
+    """Revenue of the same period last year in the calendar hierarchy."""
+    return model(w, "commercial").subtotals(
+        ["total_revenue", "total_revenue_ly"],
+        ["date.calendar_year", "date.calendar_quarter", "date.calendar_month"],
+    )
+
+
+def subtotals_by_requested_date(w: Warehouse) -> DataFrame:
+    return model(w, "commercial").subtotals(
+        ["n_orders", "average_order_value"],
+        ["date.calendar_year", "date.calendar_month"],
+        date_role="requested_date_key",
+    )
+
+
 def sales_dashboard(w: Warehouse) -> DataFrame:
     """All measures of sales and orders at once."""
     homes = ("orders", "sales")
@@ -696,6 +721,9 @@ OPERATORS: dict[str, Query] = {
     "formatted_metrics": formatted_metrics,
     "model_orders": model_orders,
     "model_part_product": model_part_product,
+    "ytd_subtotals": ytd_subtotals,
+    "ly_subtotals": ly_subtotals,
+    "subtotals_by_requested_date": subtotals_by_requested_date,
     "sales_dashboard": sales_dashboard,
     "check_unique": lambda w: quality.check_unique(w.line(), "line_key", "line"),
     "check_dim_keys": lambda w: quality.check_dim_keys(w.table),

@@ -37,12 +37,12 @@ THIS_YEAR = 2024
 DIM_ID_WIDTH = 12
 ROW_ID_WIDTH = 16
 LABOR_RATE = 65
-ASSET_TYPES = ("EquipmentAsset", "VehicleAsset")
-FACILITY_TYPES = ("Plant", "Distribution Center", "Service Hub")
-JOB_LEVELS = ("Associate", "Senior", "Lead")
-SKILL_LEVELS = ("Level 1", "Level 2", "Level 3")
-SPECIALTIES = ("Electrical", "Mechanical", "Hydraulic", "Controls")
-WORK_ORDER_TYPES = ("Preventive", "Corrective", "Inspection", "Installation")
+ASSET_TYPES = ("Machine", "Vehicle")
+FACILITY_TYPES = ("Factory", "Depot", "Workshop")
+JOB_LEVELS = ("Junior", "Experienced", "Principal")
+SKILL_LEVELS = ("Basic", "Skilled", "Expert")
+SPECIALTIES = ("Power", "Motion", "Fluids", "Software")
+WORK_ORDER_TYPES = ("Planned", "Repair", "Survey", "Setup")
 SALES_CHANNELS = (
     (1, "Urgent", "Priority"),
     (2, "High", "Priority"),

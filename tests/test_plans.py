@@ -48,3 +48,17 @@ def test_rows_are_counted_before_they_are_shuffled(warehouse):
     for name in ("conform_dedup", "safe_left_join", "check_foreign_keys"):
         text = plan(QUERIES[name](warehouse))
         assert "partial_min" in text or "partial_count" in text
+
+
+def test_references_need_no_join(warehouse):
+    """42 references are one grouping: only the short list of checks is joined."""
+    for name in ("check_foreign_keys", "check_date_keys"):
+        text = plan(QUERIES[name](warehouse))
+        assert text.count("Join") == 1 and "SortMergeJoin" not in text
+
+
+def test_repeated_keys_are_found_without_a_sort(warehouse):
+    from starloom.operators.conform import duplicate_keys
+
+    text = plan(duplicate_keys(warehouse.landing("lineitem"), ["l_orderkey", "l_linenumber"]))
+    assert "Sort" not in text and "partial_count" in text
