@@ -656,6 +656,9 @@ def operator_sql() -> dict[str, str]:
         "'landing.orders' AS source_system FROM orders",
         "bronze_load": BRONZE_LOAD,
         "silver_load": SILVER_LOAD,
+        "gold_load": union([
+            f"SELECT 'gold.{t}' AS table_name, count(*) AS row_count FROM {t}" for t in (*GOLD, "dim_date")
+        ]),
         "clustered_rewrite": CLUSTERED_REWRITE,
         "digest_bucket_assign": "SELECT c_custkey, CAST(CAST('0x' || substr(md5('7:' || c_custkey), 1, 15) AS BIGINT) "
         "% 20 AS INTEGER) AS bucket FROM customer",
@@ -753,6 +756,13 @@ def operator_sql() -> dict[str, str]:
             "WHERE customer_segment IN ('BUILDING', 'MACHINERY') AND risk_tier = 'High' "
             "AND calendar_year BETWEEN 1996 AND 1999 AND quantity >= 10 GROUP BY 1, 2"
         ),
+        "far_filtered_rollup": with_star(
+            f"SELECT calendar_year, product_category, {REVENUE} AS total_revenue, "
+            f"CAST(sum(quantity) AS DOUBLE) AS units_sold, count(*) AS n_sales_lines "
+            f"FROM fact_sales_order_line f {SALES_DATE} {SALES_CUSTOMER} {SALES_PRODUCT} "
+            "WHERE customer_segment IN ('BUILDING', 'MACHINERY') AND risk_tier = 'High' "
+            "AND calendar_year BETWEEN 1996 AND 1999 AND quantity >= 10 GROUP BY 1, 2"
+        ),
         "filtered_rollup_blank": with_star(
             "SELECT kept, criticality, nullif(sum(alert_count), 0) AS n_alerts FROM ("
             "SELECT 'blank' AS kept, criticality, alert_count FROM fact_asset_daily_status f "

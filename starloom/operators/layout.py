@@ -22,7 +22,12 @@ def clustered(df: DataFrame, date_key: str, spread_by: str, files: int) -> DataF
     )
 
 
-def rewrite_clustered(store: TableStore, name: str, date_key: str, spread_by: str) -> DataFrame:
-    """Replace stored table ``name`` by the same rows in files of about 256 MB by date."""
+def rewrite_clustered(
+    store: TableStore, name: str, date_key: str, spread_by: str, into: TableStore | None = None
+) -> DataFrame:
+    """The rows of stored table ``name`` in files of about 256 MB by date.
+
+    They replace the table, or become the table of that name of another store.
+    """
     files = max(1, math.ceil(store.size_in_bytes(name) / TARGET_FILE_BYTES))
-    return store.write(name, clustered(store.read(name), date_key, spread_by, files))
+    return (into or store).write(name, clustered(store.read(name), date_key, spread_by, files))

@@ -5,11 +5,11 @@ that share a home table and date role are computed in one scan; results of
 several facts or roles meet on the attribute values (drill-across), never by
 joining facts. Rows without a dimension match stay under a NULL member.
 
-Join order follows sizes that are checked, not assumed. Dimensions whose stored
-size is within ``broadcast_bytes`` and the calendar (bounded by the range of
-dates) are broadcast to the fact. For larger ones the fact is first aggregated
-by the remaining foreign keys, so a hot key travels as one row per partition
-and the join works on partial sums.
+Join order follows sizes that are checked, not assumed. Dimensions, the calendar among
+them, whose stored size is within ``broadcast_bytes`` are broadcast to the fact. For
+larger ones the fact is first cut to the keys that their filters keep, then aggregated
+by the remaining foreign keys, so a hot key travels as one row per partition and the
+join works on partial sums.
 """
 
 from __future__ import annotations
@@ -296,6 +296,8 @@ class MetricModel:
         for edge in near:
             rows = self._join(rows, home, edge, edges, wanted, limits, small=True)
 
+        for edge in far:
+            rows = self._reached(rows, home, edge, limits.get(edge.parent, []))
         if far or levels:
             joined = {e.parent for e in near} | {home}
             keys = {a.inner: F.col(a.inner) for a in axis if a.table in joined}
@@ -330,8 +332,6 @@ class MetricModel:
 
     def _is_small(self, table: str, edges: Sequence[Relationship]) -> bool:
         """Within the broadcast limit, as is every table it is reached through."""
-        if table == "date":
-            return True
         if self.sizes(MODEL_TABLES[self.name][table]) > self.broadcast_bytes:
             return False
         through = [e.child for e in edges if e.parent == table]
@@ -365,6 +365,30 @@ class MetricModel:
         kept = [condition(F.col(f"{edge.parent}__{column}"), value) for column, value in filtered]
         return reduce(DataFrame.where, kept, joined)
 
+    def _reached(
+        self,
+        rows: DataFrame,
+        home: str,
+        edge: Relationship,
+        limits: Sequence[tuple[str, object]],
+    ) -> DataFrame:
+        """Rows whose key is among those that a far parent's filters keep.
+
+        The join after the grouping would drop the others; dropped before it, they
+        are neither grouped nor shuffled. Filters that keep the blank member can't
+        be asked of keys alone.
+        """
+        parent = self.table(edge.parent)
+        refusing = any(
+            not keeps_blank(parent.sparkSession, value, parent.schema[column].dataType)
+            for column, value in limits
+        )
+        if edge.child != home or not refusing:
+            return rows
+        kept = reduce(DataFrame.where, [condition(F.col(c), v) for c, v in limits], parent)
+        kept = kept.select(F.col(edge.parent_key).alias("kept_key"))
+        return rows.join(kept, F.col(edge.child_key) == F.col("kept_key"), "left_semi")
+
     def _within_days(
         self, rows: DataFrame, edge: Relationship, limits: Sequence[tuple[str, object]]
     ) -> DataFrame:

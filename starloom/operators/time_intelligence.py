@@ -81,10 +81,10 @@ def same_period_last_year(
         days = calendar.select(
             F.col(DAY).alias("seen_from"), F.add_months(DAY, -12).alias("seen_day")
         )
-        moved = frame.join(F.broadcast(days), F.col(DAY) == F.col("seen_day"))
+        moved = frame.join(days, F.col(DAY) == F.col("seen_day"))
         return moved.withColumns({DAY: F.col("seen_from"), **_aligned(columns, grain)}).drop(
             "seen_from", "seen_day"
         )
     years = calendar.select(F.col(YEAR).alias("known_year")).distinct()
     moved = frame.withColumn(YEAR, F.col(YEAR) + 1)
-    return moved.join(F.broadcast(years), F.col(YEAR) == F.col("known_year"), "left_semi")
+    return moved.join(years, F.col(YEAR) == F.col("known_year"), "left_semi")

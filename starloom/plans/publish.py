@@ -300,8 +300,8 @@ def load_silver(store: TableStore) -> DataFrame:
     return reduce(DataFrame.unionByName, side_by_side(load, keys))
 
 
-def load_gold(store: TableStore) -> None:
-    """Publish the gold tables from the silver ones of the same store."""
+def load_gold(store: TableStore) -> DataFrame:
+    """Publish the gold tables from the silver ones of the same store; returns rows per table."""
 
     def gold(name: str) -> DataFrame:
         return store.get(f"gold.{name}", lambda: build(name))
@@ -311,8 +311,11 @@ def load_gold(store: TableStore) -> None:
             return require_unique(store.read("silver.date"), ["date_key"], "gold.dim_date")
         return publish(name, store.read(f"silver.{GOLD_ENTITIES[name]}").drop(*LINEAGE_COLUMNS), gold)
 
-    for name in GOLD_TABLES:
-        gold(name)
+    counts = [
+        gold(name).agg(F.lit(f"gold.{name}").alias("table_name"), F.count("*").alias("row_count"))
+        for name in GOLD_TABLES
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def refresh_calendar(

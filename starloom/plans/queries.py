@@ -29,6 +29,7 @@ from starloom.plans.publish import (
     GOLD_ENTITIES,
     Warehouse,
     load_bronze,
+    load_gold,
     load_silver,
     open_warehouse,
     refresh_calendar,
@@ -119,22 +120,31 @@ def lineage_stamp(w: Warehouse) -> DataFrame:
 
 
 def bronze_load(w: Warehouse) -> DataFrame:
-    return load_bronze(w, w.store, RUN_ID, LOADED_AT)
+    return load_bronze(w, w.sibling_store("bronze"), RUN_ID, LOADED_AT)
 
 
 def silver_load(w: Warehouse) -> DataFrame:
-    if "bronze.date_raw" not in w.store:
-        load_bronze(w, w.store, RUN_ID, LOADED_AT)
-    return load_silver(w.store)
+    store = w.sibling_store("silver")
+    load_bronze(w, store, RUN_ID, LOADED_AT)
+    return load_silver(store)
+
+
+def gold_load(w: Warehouse) -> DataFrame:
+    """The layered load to its end, in a store of its own; rows of each gold table."""
+    store = w.sibling_store("layered")
+    load_bronze(w, store, RUN_ID, LOADED_AT)
+    load_silver(store)
+    return load_gold(store)
 
 
 def clustered_rewrite(w: Warehouse) -> DataFrame:
-    """Rewrite the seven large facts by date; report what each holds afterwards."""
+    """The seven large facts rewritten by date beside the published ones; what each holds."""
+    beside = w.sibling_store("clustered")
 
     def rewrite(name: str) -> DataFrame:
         day, row = CLUSTERED_FACTS[name]
         w.table(name)
-        return rewrite_clustered(w.store, f"gold.{name}", day, row).agg(
+        return rewrite_clustered(w.store, f"gold.{name}", day, row, into=beside).agg(
             F.lit(name).alias("table_name"),
             F.count("*").alias("row_count"),
             F.min(day).alias("first_date_key"),
@@ -458,8 +468,8 @@ def far_star_join(w: Warehouse) -> DataFrame:
     return model(w, "commercial", broadcast_bytes=0).rollup(SALES_MEASURES, SALES_STAR)
 
 
-def filtered_rollup(w: Warehouse) -> DataFrame:
-    return model(w, "commercial").rollup(
+def filtered_rollup(w: Warehouse, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    return model(w, "commercial", broadcast_bytes).rollup(
         ["total_revenue", "units_sold", "n_sales_lines"],
         ["date.calendar_year", "product.product_category"],
         filters={
@@ -471,6 +481,11 @@ def filtered_rollup(w: Warehouse) -> DataFrame:
     )
 
 
+def far_filtered_rollup(w: Warehouse) -> DataFrame:
+    """The same with no dimension small enough to broadcast: filters come before the grouping."""
+    return filtered_rollup(w, broadcast_bytes=0)
+
+
 def filtered_rollup_blank(w: Warehouse) -> DataFrame:
     """Alerts of assets without a product, and of all that are not of one named category."""
     service = model(w, "service")
@@ -658,6 +673,7 @@ OPERATORS: dict[str, Query] = {
     "lineage_stamp": lineage_stamp,
     "bronze_load": bronze_load,
     "silver_load": silver_load,
+    "gold_load": gold_load,
     "clustered_rewrite": clustered_rewrite,
     "hash_bucket_assign": hash_bucket_assign,
     "digest_bucket_assign": digest_bucket_assign,
@@ -693,6 +709,7 @@ OPERATORS: dict[str, Query] = {
     "star_join": star_join,
     "far_star_join": far_star_join,
     "filtered_rollup": filtered_rollup,
+    "far_filtered_rollup": far_filtered_rollup,
     "filtered_rollup_blank": filtered_rollup_blank,
     "status_rollup": status_rollup,
     "date_role_join": date_role_join,

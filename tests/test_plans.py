@@ -9,7 +9,7 @@ import pytest
 from starloom.plans.queries import QUERIES
 
 # These run jobs of their own before they return a plan.
-EAGER = {"bronze_load", "silver_load", "clustered_rewrite", "validation_summary"}
+EAGER = {"bronze_load", "silver_load", "gold_load", "clustered_rewrite", "validation_summary"}
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "PythonUDF", "InPandas")
 
 
@@ -62,3 +62,17 @@ def test_repeated_keys_are_found_without_a_sort(warehouse):
 
     text = plan(duplicate_keys(warehouse.landing("lineitem"), ["l_orderkey", "l_linenumber"]))
     assert "Sort" not in text and "partial_count" in text
+
+
+def test_far_filters_come_before_the_grouping(spark, warehouse):
+    """Without broadcasts, rows that a far filter drops are dropped before they are grouped."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = plan(QUERIES["far_filtered_rollup"](warehouse))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = text.splitlines()
+    grouped = [i for i, x in enumerate(lines) if "HashAggregate" in x and "customer_key" in x]
+    reached = [i for i, x in enumerate(lines) if "LeftSemi" in x]
+    assert reached and min(reached) > max(grouped)  # below, so before
