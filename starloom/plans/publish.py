@@ -95,6 +95,10 @@ EXTENDED_AMOUNTS = {
     "fact_inventory_snapshot": ("inventory_value", "quantity_on_hand", "standard_cost"),
 }
 
+# Entities that are grouped, not just projected: stored, so that their guard and their
+# publishing read one computation.
+GROUPED_ENTITIES = ("work_order_part", "asset_daily_status")
+
 Tables = Callable[[str], DataFrame]
 
 
@@ -168,7 +172,12 @@ class Warehouse:
     def _build(self, name: str) -> DataFrame:
         if name == "dim_date":
             return date_dimension(self.calendar_ranges(), self.landing.this_year)
-        return publish(name, self._bound(GOLD_ENTITIES[name]), self.table)
+        entity = GOLD_ENTITIES[name]
+        if entity in GROUPED_ENTITIES:
+            bound = self.store.get(f"silver.{entity}", lambda: self._bound(entity))
+        else:
+            bound = self._bound(entity)
+        return publish(name, bound, self.table)
 
     def publish_all(self) -> None:
         """Publish every gold table; jobs of independent tables share the cluster."""
