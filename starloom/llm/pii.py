@@ -32,8 +32,8 @@ KINDS = ("email", "ip", "card", "phone")
 LONGEST, CONTEXT = 6, 2
 #: Hashed features, passes over the regions, step size, weight decay.
 FEATURES, PASSES, RATE, DECAY = 1 << 12, 6, 0.4, 1e-4
-#: About so many texts at most are sampled to learn from.
-MAX_TRAIN = 1_000
+#: About so many texts are sampled to learn from, and so many of their words at most.
+MAX_TRAIN, MAX_WORDS = 1_000, 20_000
 
 # The base patterns and their bounds.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -407,14 +407,20 @@ def made_regions(words: list[str], count: int, seed: int) -> list[tuple[Region,
     return out
 
 
-def learn(docs: DataFrame, max_train: int = MAX_TRAIN, regions: int = 900) -> Model:
-    """A model from regions made of the corpus' own words, taken from about ``max_train`` texts."""
-    rows = docs.select(F.substring("text", 1, 2000).alias("part"), F.xxhash64("text").alias("key"))
-    rows = rows.where("part is not null")
-    share = min(1.0, max_train / max(1, rows.count()))
-    sample = rows.where(F.pmod("key", F.lit(1 << 30)) < int(share * (1 << 30))).select("part").collect()
-    found = {w for r in sample for w in re.findall(r"[^\W\d_]{1,20}", r.part)}
-    words = sorted(found)[: 200 * max_train] or ["a", "the", "of"]
+def learn(
+    docs: DataFrame, max_train: int = MAX_TRAIN, max_words: int = MAX_WORDS, regions: int = 900
+) -> Model:
+    """A model from regions made of the corpus' own words.
+
+    The words are ``max_words`` at most, by a hash, of those in about ``max_train`` whole
+    texts; they are found on the executors.
+    """
+    texts = docs.select("text", F.xxhash64("text").alias("key")).where("text is not null")
+    share = min(1.0, max_train / max(1, texts.count()))
+    sample = texts.where(F.pmod("key", F.lit(1 << 30)) < int(share * (1 << 30)))
+    found = F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}{1,20}"), F.lit(0)))
+    chosen = sample.select(found.alias("word")).distinct().orderBy(F.xxhash64("word"), "word").limit(max_words)
+    words = sorted(r.word for r in chosen.collect()) or ["a", "the", "of"]
     return train(made_regions(words, regions, seed=11))
 
 
