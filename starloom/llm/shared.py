@@ -50,21 +50,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.stored_path = path
+    return found
 
 
 def drop_stored(df: DataFrame) -> None:
     """Delete the files of a table made by ``stored`` that no later plan reads."""
     spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def held_out(doc_id: Column | str, folds: int, fold: int) -> Column:
+def held_out(doc_id: str, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text falls into the fold; a row without id does not."""
-    text = F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(None))
-    return F.coalesce(F.crc32(text.cast("string").cast("binary")) % folds == fold, F.lit(False))
+    digest = F.crc32(F.col(doc_id).cast("string").cast("binary"))
+    return F.coalesce(digest % folds == fold, F.lit(False))
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
