@@ -1,5 +1,5 @@
 """Parameters of the registered queries and the pipeline."""
 
 #: Target weights of the mixture by source; all other sources share ``OTHER_WEIGHT``.
-TARGET_WEIGHTS = {f"src{k}": 0.5 if k < 4 else 1.5 for k in range(12)}
-OTHER_WEIGHT, MIX_SEED = 6.0, 1
+TARGET_WEIGHTS = {"src0": 4.0} | {f"src{k}": 1.0 for k in range(1, 12)}
+OTHER_WEIGHT, MIX_SEED = 5.0, 1
