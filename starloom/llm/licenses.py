@@ -44,16 +44,24 @@ def notices(spark: SparkSession) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(F.inline(rows))
 
 
-def _minimum(shingles: str, seed: int) -> Column:
-    return F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, F.lit(seed))))
+def _banded(df: DataFrame) -> DataFrame:
+    """``df`` with ``hashes`` (of shingles) replaced by a row for each band: band, band_key.
 
-
-def _signature(shingles: str) -> Column:
-    """Array of (band, key) of an array of shingle hashes."""
-    rows = [_minimum(shingles, k) for k in range(BANDS * ROWS)]
-    keys = [F.xxhash64(*rows[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)]
-    return F.array(
-        *(F.struct(F.lit(b).alias("band"), k.alias("band_key")) for b, k in enumerate(keys))
+    The minima are one expression over the seeds, not one for each, so the generated
+    code stays small; each row of minima is one explode, each band a hash of its slice.
+    """
+    seeds = F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1))
+    minimum = F.transform(
+        seeds, lambda k: F.array_min(F.transform("hashes", lambda x: F.xxhash64(x, k)))
+    )
+    bands = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
+    key = F.xxhash64(F.slice("minima", F.col("band") * ROWS + 1, ROWS))
+    return (
+        df.withColumn("minima", minimum)
+        .drop("hashes")
+        .withColumn("band", bands)
+        .withColumn("band_key", key)
+        .drop("minima")
     )
 
 
@@ -98,15 +106,14 @@ def _in_windows(docs: DataFrame, templates: DataFrame, size: int) -> list[DataFr
             )
             .distinct()
         )
-        banded = windows.withColumn("hashes", _hashes("window", size)).select(
-            "doc_id", "text_key", "step", "span", "begin", "window", F.inline(_signature("hashes"))
-        )
-        bands = sized.select(
+        banded = _banded(windows.withColumn("hashes", _hashes("window", size)))
+        bands = _banded(sized).select(
             F.col("license_id").alias("license"),
             "template",
             F.col("step").alias("its_step"),
             F.col("span").alias("its_span"),
-            F.inline(_signature("hashes")).alias("its_band", "its_key"),
+            F.col("band").alias("its_band"),
+            F.col("band_key").alias("its_key"),
         )
         row_bytes = F.lit(200) + F.length(F.concat_ws(" ", "template")) * 2
         for some in blocks(bands, row_bytes, "license"):
