@@ -53,7 +53,7 @@ def _rarest(docs: DataFrame, windows_: DataFrame, size: int) -> DataFrame:
     placed = positions(docs, size).where("shingle is not null")
     counts = [
         placed.join(block, F.col("shingle") == F.col("known")).groupBy("known").count()
-        for block in blocks(distinct, F.lit(64), "known")
+        for block in blocks(distinct, F.lit(64))
     ]
     total = counts[0]
     for more in counts[1:]:
@@ -100,7 +100,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         of_size = parts.where(F.least(F.size("words"), F.lit(SHINGLE)) == size)
         prefixes = stored(_rarest(named, of_size, size), "prefixes")
         row_bytes = F.lit(ROW_BYTES) + F.length(F.concat_ws(" ", "window")) * 4
-        for block in blocks(prefixes, row_bytes, "rarest"):
+        for block in blocks(prefixes, row_bytes):
             first = not parts_found
             start = F.col("at") - F.col("offset")
             room = (start >= 0) & (start + F.size("window") <= F.size("doc_words"))

@@ -92,7 +92,7 @@ def _in_windows(docs: DataFrame, templates: DataFrame, size: int) -> list[DataFr
     last = F.floor(F.col("at") / F.col("step")).cast("int")
     placed = positions(docs, size).where("shingle is not null")
     out = []
-    for block in blocks(near, F.lit(64), "known"):
+    for block in blocks(near, F.lit(64)):
         met = placed.join(block, F.col("shingle") == F.col("known"))
         windows = (
             met.withColumn("number", F.explode(F.sequence(first, last)))
@@ -116,7 +116,7 @@ def _in_windows(docs: DataFrame, templates: DataFrame, size: int) -> list[DataFr
             F.col("band_key").alias("its_key"),
         )
         row_bytes = F.lit(200) + F.length(F.concat_ws(" ", "template")) * 2
-        for some in blocks(bands, row_bytes, "license"):
+        for some in blocks(bands, row_bytes):
             agree = (
                 (F.col("band") == F.col("its_band"))
                 & (F.col("band_key") == F.col("its_key"))

@@ -87,22 +87,22 @@ def replicated(
     names = _listed(weights)
     docs = docs.drop("copies", "copy")
     spark = docs.sparkSession
-    known = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "its_source string, pool int")
-    pooled = docs.join(F.broadcast(known), docs["source"] == known["its_source"], "left").withColumn(
-        "pool", F.coalesce("pool", F.lit(-1))
+    known = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "__source string, __pool int")
+    pooled = docs.join(F.broadcast(known), docs["source"] == known["__source"], "left").withColumn(
+        "__pool", F.coalesce("__pool", F.lit(-1))
     )
-    sums = pooled.groupBy("pool").agg(F.sum(size_of()).alias("size")).collect()
+    sums = pooled.groupBy(F.col("__pool").alias("pool")).agg(F.sum(size_of()).alias("size")).collect()
     sizes = {None if r.pool < 0 else names[r.pool]: r.size for r in sums}
     found = rates(sizes, weights, other, epochs)
     chances = spark.createDataFrame(
         [(-1 if s is None else names.index(s), distribution(rate)) for s, rate in found.items()],
-        "chance_pool int, chances array<double>",
+        "__chance_pool int, __chances array<double>",
     )
     named = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     drawn = _hash(F.lit(str(seed)), named) / float(1 << HASH_BITS)
-    passed = F.size(F.filter("chances", lambda c: c <= F.col("__drawn")))
+    passed = F.size(F.filter("__chances", lambda c: c <= F.col("__drawn")))
     numbered = (
-        pooled.join(F.broadcast(chances), F.col("pool") == F.col("chance_pool"))
+        pooled.join(F.broadcast(chances), F.col("__pool") == F.col("__chance_pool"))
         .withColumn("__drawn", drawn)
         .withColumn("copies", passed)
         .where("copies > 0")

@@ -35,11 +35,14 @@ def positions(docs: DataFrame, size: int) -> DataFrame:
     return placed.withColumn("shingle", F.when(fits, hash_at("doc_words", place, size)))
 
 
-def blocks(df: DataFrame, row_bytes: Column, key: str) -> list[DataFrame]:
-    """``df`` in parts that are each small enough to broadcast; at least one."""
+def blocks(df: DataFrame, row_bytes: Column) -> list[DataFrame]:
+    """``df`` in parts that are each small enough to broadcast; at least one.
+
+    Rows are dealt by a hash of the whole row, so rows that share a key part as well.
+    """
     size = df.agg(F.sum(row_bytes)).first()[0] or 0
     count = max(1, math.ceil(size / BROADCAST_BYTES))
     if count == 1:
         return [F.broadcast(df)]
-    part = F.pmod(F.xxhash64(F.col(key), F.lit("block")), F.lit(count))
+    part = F.pmod(F.xxhash64(F.lit("block"), *df.columns), F.lit(count))
     return [F.broadcast(df.where(part == k)) for k in range(count)]

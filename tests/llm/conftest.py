@@ -5,7 +5,7 @@ import pytest
 #: Extra columns with the names of results, to clash with them.
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, score string, "
-    "fingerprint int, copies string, item_id long, n_words string"
+    "fingerprint int, copies string, item_id long, n_words string, pool string"
 )
 
 
@@ -19,7 +19,7 @@ def documents(spark):
     def make(rows):
         full = [(*r, *((None, None)[len(r) - 2 :] if len(r) < 4 else ())) for r in rows]
         return spark.createDataFrame(
-            [(d, t, lang, src, len(t or ""), "x", 7, "y", 9, "z") for d, t, lang, src in full], SCHEMA
+            [(d, t, lang, src, len(t or ""), "x", 7, "y", 9, "z", "p") for d, t, lang, src in full], SCHEMA
         )
 
     return make

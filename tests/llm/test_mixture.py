@@ -66,8 +66,9 @@ def test_odd_rows(documents, odd_rows):
     docs = documents(odd_rows)
     found = mixture.replicated(docs, {"x": 1.0}, other=1.0, epochs=30.0)
     assert set(docs.columns) | {"copy"} == set(found.columns)
-    got = {(r.doc_id, r.text) for r in found.collect()}
-    assert got == set(odd_rows)
+    rows = found.collect()
+    assert {(r.doc_id, r.text) for r in rows} == set(odd_rows)
+    assert {(r.pool, r.score) for r in rows} == {("p", "x")}
     assert mixture.replicated(documents([]), {"x": 1.0}).collect() == []
     assert mixture.replicated(docs, {"x": 1.0}, other=0.0).collect() == []
 
