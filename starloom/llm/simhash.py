@@ -234,10 +234,13 @@ def near_copies(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
     linked = roots.join(classes, F.col("node") == F.col("fp")).select("fp", "root", "first_doc")
     least = linked.groupBy("root").agg(F.min("first_doc").alias("least_doc"))
     named = linked.join(least, "root").select(F.col("fp").alias("linked_fp"), "least_doc")
-    labels = classes.join(named, F.col("fp") == F.col("linked_fp"), "left").select(
-        F.col("fp").alias("class_fp"),
-        F.coalesce("least_doc", "first_doc").alias("component_id"),
-    )
+    labels = stored(
+        classes.join(named, F.col("fp") == F.col("linked_fp"), "left").select(
+            F.col("fp").alias("class_fp"),
+            F.coalesce("least_doc", "first_doc").alias("component_id"),
+        ),
+        "fingerprint-labels",
+    )  # stored, so that the last join is of two scans, whose hot keys Spark can split
     return prints.join(labels, F.col("fp") == F.col("class_fp")).select(
         "doc_id", "fp", "component_id"
     )
