@@ -22,7 +22,7 @@ from starloom.operators.joins import lookup_join, orphan_rows
 from starloom.operators.layout import rewrite_clustered
 from starloom.operators.rollup import BROADCAST_BYTES, MetricModel
 from starloom.plans.measures import MEASURES
-from starloom.plans.models import model_table
+from starloom.plans.models import MODEL_TABLES, model_table
 from starloom.plans.publish import (
     DIMENSIONS,
     FACTS,
@@ -629,6 +629,10 @@ def model_part_product(w: Warehouse) -> DataFrame:
     return model_table("service", "part_product", w.table("dim_product"))
 
 
+def model_table_query(where: str, name: str, gold: str) -> Query:
+    return lambda w: model_table(where, name, w.table(gold))
+
+
 def flagship(w: Warehouse) -> DataFrame:
     return model(w, "commercial").rollup(
         ["total_revenue", "gross_margin_pct", "n_orders_with_sales"],
@@ -766,6 +770,11 @@ QUERIES: dict[str, Query] = {
     **OPERATORS,
     **{name: table_query(name) for name in ("dim_date", *DIMENSIONS, *FACTS)},
     **{name: star_query(name) for name in STARS},
+    **{
+        f"model_{where}_{name}": model_table_query(where, name, gold)
+        for where, tables in MODEL_TABLES.items()
+        for name, gold in tables.items()
+    },
     **{f"m_{name}": measure_query(name) for name in MEASURES},
     **{
         f"m_{name}_{where}": measure_query(name, where)
