@@ -864,6 +864,22 @@ def operator_sql() -> dict[str, str]:
             f"{n()} AS n_orders, {div('sum(f.order_revenue)', 'count(f.order_revenue)')} AS average_order_value",
             "fact_sales_order", "LEFT JOIN dim_date d ON f.requested_date_key = d.date_key", [],
         ),
+        "ly_by_month_name": with_star(
+            "SELECT CAST(y + 1 AS INTEGER) AS calendar_year, monthname(make_date(2000, m, 1)) AS month_name, "
+            "s AS customer_segment, CAST(sum(v) AS DOUBLE) AS total_revenue_ly FROM months "
+            "WHERE y + 1 IN (SELECT calendar_year FROM dim_date) GROUP BY ALL",
+            months=_SALES_MONTHS,
+        ),
+        "ly_of_first_quarter": with_star(
+            "SELECT CAST(y + 1 AS INTEGER) AS calendar_year, CAST(sum(v) AS DOUBLE) AS total_revenue_ly FROM months "
+            "WHERE m <= 3 AND y + 1 IN (SELECT calendar_year FROM dim_date) GROUP BY ALL",
+            months=_SALES_MONTHS,
+        ),
+        "ytd_to_second_quarter": with_star(
+            "SELECT CAST(y AS INTEGER) AS calendar_year, CAST(sum(v) AS DOUBLE) AS total_revenue_ytd FROM months "
+            "WHERE m <= 6 GROUP BY ALL",
+            months=_SALES_MONTHS,
+        ),
         "sales_dashboard": _sales_dashboard(),
         "check_unique": with_star(
             _check("line", "unique_line_key", _dup("lines", "line_key"), "dup", "'duplicates=' || dup")

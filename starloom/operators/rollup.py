@@ -473,23 +473,38 @@ class MetricModel:
         """Bases of the year to date or of the same period a year before.
 
         The shift replaces the date filter by another period, so filters on the
-        calendar choose among the shifted periods and must name a grouped column.
+        calendar choose among the shifted periods. Columns they name are grouped by
+        along and collapsed again: prior periods add up, a year to date is that of the
+        last period chosen. The name of a month follows its number.
         """
-        on_date = {n: v for n, v in filters.items() if n.startswith("date.")}
-        others = {n: v for n, v in filters.items() if n not in on_date}
-        grain = [a.column for a in axis if a.table == "date"]
+        on_date = {n.split(".")[1]: v for n, v in filters.items() if n.startswith("date.")}
+        others = {n: v for n, v in filters.items() if not n.startswith("date.")}
+        asked = {a.column: a.label for a in axis if a.table == "date"}
         rest = [a.label for a in axis if a.table != "date"]
         names = [b.name for b in bases]
-        frame = self._aggregate(home, role, bases, axis, others)
+        grain = [c for c in dict.fromkeys([*asked, *on_date]) if c != periods.MONTH_NAME]
+        if periods.MONTH_NAME in [*asked, *on_date] and periods.MONTH not in grain:
+            grain.append(periods.MONTH)
+        if shift == "ly" and not grain:
+            grain.append(periods.YEAR)
+        dated = [Attribute("date", c, c) for c in grain]
+        frame = self._aggregate(home, role, bases, [*dated, *(a for a in axis if a.table != "date")], others)
         if shift == "ytd":
             if any(b.kind == "distinct" for b in bases):
                 raise ValueError("a distinct count does not add up over the year to date")
             frame = periods.year_to_date(frame, grain, rest, names)
         else:
             frame = periods.same_period_last_year(frame, grain, self.table("date"))
-        for name, value in on_date.items():
-            column = name.split(".")[1]
-            if column not in grain:
-                raise ValueError(f"group by {name} to filter a shifted measure on it")
+        if periods.MONTH in grain:
+            frame = frame.withColumn(periods.MONTH_NAME, periods.month_name(periods.MONTH))
+        for column, value in on_date.items():
             frame = frame.where(condition(F.col(column), value))
-        return frame
+        if set(grain) <= set(asked) or (periods.MONTH_NAME in asked and set(grain) - {periods.MONTH} <= set(asked)):
+            return frame.select(*(F.col(c).alias(label) for c, label in asked.items()), *rest, *names)
+        if any(b.kind == "distinct" for b in bases):
+            raise ValueError("a distinct count does not add up over the periods of a filter")
+        last = F.struct(*(c for c in (periods.YEAR, periods.QUARTER, periods.MONTH, periods.DAY) if c in grain))
+        kept = [
+            (F.max_by(n, last) if shift == "ytd" else F.sum(n)).alias(n) for n in names
+        ]
+        return frame.groupBy(*(F.col(c).alias(label) for c, label in asked.items()), *rest).agg(*kept)

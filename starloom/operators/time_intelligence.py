@@ -13,9 +13,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 YEAR, QUARTER, MONTH, DAY = "calendar_year", "calendar_quarter", "calendar_month", "full_date"
+MONTH_NAME = "month_name"
 _LAST_IN_YEAR = {MONTH: 12, QUARTER: 4}
 
 
+def month_name(month: str) -> Column:
+    """The calendar's name of a month's number."""
+    return F.date_format(F.make_date(F.lit(2000), month, F.lit(1)), "MMMM")
+
+
 def finest(columns: Sequence[str]) -> str:
     unknown = set(columns) - {YEAR, QUARTER, MONTH, DAY}
     if unknown:

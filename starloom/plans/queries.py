@@ -657,6 +657,26 @@ def ly_subtotals(w: Warehouse) -> DataFrame:
     )
 
 
+def ly_by_month_name(w: Warehouse) -> DataFrame:
+    return model(w, "commercial").rollup(
+        ["total_revenue_ly"], ["date.calendar_year", "date.month_name", "customer.customer_segment"]
+    )
+
+
+def ly_of_first_quarter(w: Warehouse) -> DataFrame:
+    """Last year's first three months, by year: the filter names a column that is not grouped."""
+    return model(w, "commercial").rollup(
+        ["total_revenue_ly"], ["date.calendar_year"], {"date.calendar_month": [1, 2, 3]}
+    )
+
+
+def ytd_to_second_quarter(w: Warehouse) -> DataFrame:
+    """The year to date at the end of the second quarter, by year."""
+    return model(w, "commercial").rollup(
+        ["total_revenue_ytd"], ["date.calendar_year"], {"date.calendar_quarter": 2}
+    )
+
+
 def subtotals_by_requested_date(w: Warehouse) -> DataFrame:
     return model(w, "commercial").subtotals(
         ["n_orders", "average_order_value"],
@@ -745,6 +765,9 @@ OPERATORS: dict[str, Query] = {
     "ytd_subtotals": ytd_subtotals,
     "ly_subtotals": ly_subtotals,
     "subtotals_by_requested_date": subtotals_by_requested_date,
+    "ly_by_month_name": ly_by_month_name,
+    "ly_of_first_quarter": ly_of_first_quarter,
+    "ytd_to_second_quarter": ytd_to_second_quarter,
     "sales_dashboard": sales_dashboard,
     "check_unique": lambda w: quality.check_unique(w.line(), "line_key", "line"),
     "check_dim_keys": lambda w: quality.check_dim_keys(w.table),
