@@ -36,8 +36,8 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").select("doc_id", "toxic")
-    seen = docs.where(~held_out("doc_id", 5, 0)).join(labels, "doc_id")
-    score = toxicity.scorer(toxicity.learn(seen))("text")
+    seen = labels.where(~held_out("doc_id", 5, 0))
+    score = toxicity.scorer(toxicity.learn(docs, seen))("text")
     return docs.select(
         "doc_id", held_out("doc_id", 5, 0).alias("held_out"), score.alias("score")
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

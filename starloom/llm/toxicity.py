@@ -157,28 +157,34 @@ class Scorer:
         return float(1 / (1 + np.exp(-min(30.0, max(-30.0, logit)))))
 
 
-def labelled_sample(labelled: DataFrame, max_train: int = MAX_TRAIN) -> tuple:
-    """About ``max_train`` texts at most of either label, by a hash of the text; labels; shares."""
-    rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int"))
-    rows = rows.where("toxic in (0, 1)")
+def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tuple:
+    """About ``max_train`` texts at most of either label, by a hash of the id; labels; shares.
+
+    Labels are counted and sampled by themselves; only the sample, whose size the bound
+    gives, is sent to the texts, which so are read but not shuffled.
+    """
+    rows = labels.select("doc_id", F.col("toxic").cast("int")).where("toxic in (0, 1)")
     sizes = dict(rows.groupBy("toxic").count().collect())
-    parts = [(F.col("toxic") == k) & (_hashed() < min(1.0, max_train / n)) for k, n in sizes.items()]
-    if not parts:
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    share = F.lit(0.0)
+    for label, count in sizes.items():
+        share = F.when(F.col("toxic") == label, min(1.0, max_train / count)).otherwise(share)
+    sample = rows.where(hashed < share)
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    pairs = sorted((r.text, r.toxic) for r in found.join(F.broadcast(sample), "doc_id").collect())
+    if not pairs:
         return [], [], None
-    picked = parts[0] if len(parts) == 1 else parts[0] | parts[1]
-    found = sorted((r.text, r.toxic) for r in rows.where(picked).collect())
     total = sum(sizes.values())
     shares = (sizes.get(0, 0) / total, sizes.get(1, 0) / total)
-    return [t for t, _ in found], [k for _, k in found], shares
+    return [t for t, _ in pairs], [k for _, k in pairs], shares
 
 
-def _hashed():
-    return F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
+    """A model from texts (doc_id, text) and labels (doc_id, toxic 0 or 1).
 
-
-def learn(labelled: DataFrame, max_train: int = MAX_TRAIN) -> Model:
-    """A model from rows (text, toxic 0 or 1); other labels and null are left out."""
-    return train(*labelled_sample(labelled, max_train))
+    Other labels, null, and labels without a document are left out.
+    """
+    return train(*labelled_sample(docs, labels, max_train))
 
 
 def scorer(model: Model):

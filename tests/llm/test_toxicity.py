@@ -57,10 +57,19 @@ def test_rows(spark, documents, odd_rows, scorer):
 
 def test_learning_from_rows(spark):
     texts, labels = sample(4, 400)
+
+    def learn(rows, **options):
+        docs = [(i, t) for i, (t, _) in enumerate(rows)]
+        marks = [(i, k) for i, (_, k) in enumerate(rows)] + [(10**6, 1), (None, 0)]
+        return toxicity.Scorer(
+            toxicity.learn(
+                spark.createDataFrame(docs, "doc_id long, text string"),
+                spark.createDataFrame(marks, "doc_id long, toxic int"),
+                **options,
+            )
+        )
+
     rows = [*zip(texts, labels), (None, 0), ("x", None), ("y", 5)]
-    model = toxicity.learn(spark.createDataFrame(rows, "text string, toxic int"), max_train=150)
-    assert toxicity.Scorer(model).score("river meadow paper stupid worthless stupid") > 0.5
-    constant = toxicity.learn(spark.createDataFrame([], "text string, toxic int"))
-    assert toxicity.Scorer(constant).score("any") == 0.5
-    one = toxicity.learn(spark.createDataFrame([("a", 0)], "text string, toxic int"))
-    assert toxicity.Scorer(one).score("any") < 0.5
+    assert learn(rows, max_train=150).score("river meadow paper stupid worthless stupid") > 0.5
+    assert learn([]).score("any") == 0.5
+    assert learn([("a", 0)]).score("any") < 0.5
