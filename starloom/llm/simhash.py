@@ -60,14 +60,18 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long. Null text is empty."""
+    """(doc_id, text_key, fp) of every row: a hash of the text, the fingerprint as a signed long.
+
+    Null text is empty.
+    """
 
     def per_batch(batch: pa.RecordBatch) -> dict:
         prints = np.array([fingerprint(t, shingle) for t in texts_of(batch)], dtype=np.uint64)
-        return {"doc_id": batch.column(0), "fp": prints.view(np.int64)}
+        return {"doc_id": batch.column(0), "text_key": batch.column(2), "fp": prints.view(np.int64)}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_texts(docs.select("doc_id", "text"), per_batch, f"doc_id {kind}, fp long")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    return map_texts(rows, per_batch, f"doc_id {kind}, text_key long, fp long")
 
 
 def _references() -> np.ndarray:
@@ -219,7 +223,7 @@ def links(prints: DataFrame, bits: int = 4, cell_rows: int = CELL_ROWS) -> DataF
 
 
 def near_copies(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id): the groups of documents linked by near fingerprints.
+    """(doc_id, text_key, fp, component_id): the groups of documents linked by near fingerprints.
 
     component_id is the smallest doc_id reachable, the own included. Null text is
     empty; texts without words have fingerprint zero and are linked like any other.
@@ -242,7 +246,7 @@ def near_copies(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
         "fingerprint-labels",
     )  # stored, so that the last join is of two scans, whose hot keys Spark can split
     return prints.join(labels, F.col("fp") == F.col("class_fp")).select(
-        "doc_id", "fp", "component_id"
+        "doc_id", "text_key", "fp", "component_id"
     )
 
 
@@ -254,24 +258,31 @@ def hex_of(fp: str) -> Column:
 def one_of_each_group(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their group of near copies.
 
-    Of repeated rows (same doc_id and text) one stays. Rows without doc_id stay if
-    their group has no document with one. Only ids that occur more than once take
-    the second path, so the texts are shuffled once.
+    Of repeated rows (same doc_id and text) one stays. Rows without doc_id stay if their
+    group has no document with one. What goes, by far the fewer rows, is joined to the
+    texts; rows that repeat take a path of their own, if there are any.
     """
     groups = near_copies(docs, shingle, bits)
-    kept = stored(
-        groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id").alias("kept_doc"))
-        .count(),
-        "kept",
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    marked = stored(
+        groups.groupBy(F.col("doc_id").alias("its_doc"), F.col("text_key").alias("its_key"))
+        .agg(F.bool_or(stays).alias("stays"), F.count("*").alias("rows"))
+        .where("NOT stays OR rows > 1"),
+        "copies",
     )
-    once = kept.where("count = 1 and kept_doc is not null")
-    often = kept.where("count > 1 or kept_doc is null")
-    single = docs.join(once, docs["doc_id"] == once["kept_doc"], "left_semi")
+    text_key = F.xxhash64(docs["text"])
+
+    def same(marks: DataFrame) -> Column:
+        return docs["doc_id"].eqNullSafe(marks["its_doc"]) & (text_key == marks["its_key"])
+
+    once = docs.join(marked, same(marked), "left_anti")
+    repeating = marked.where("stays")
+    if repeating.isEmpty():
+        return once
     repeated = (
-        docs.join(often, docs["doc_id"].eqNullSafe(often["kept_doc"]), "left_semi")
-        .withColumn("__text_key", F.sha2("text", 256))
+        docs.join(repeating, same(repeating), "left_semi")
+        .withColumn("__text_key", F.xxhash64("text"))
         .dropDuplicates(["doc_id", "__text_key"])
         .drop("__text_key")
     )
-    return single.union(repeated)
+    return once.union(repeated)
