@@ -14,29 +14,28 @@ def _mark(links: DataFrame) -> tuple:
 
 
 def _to_least(links: DataFrame, larger_only: bool) -> DataFrame:
-    """One star step. ``links`` holds (a, b) with a > b.
+    """One star step, stored. ``links`` holds (a, b) with a > b.
 
     Large step: every larger neighbour of a node is linked with the least of the
     node and its neighbours. Small step: a node and its smaller neighbours are
-    linked with the least of these. The least is pre-aggregated, and the join back
-    is a plain equi-join, whose hot nodes adaptive execution splits.
+    linked with the least of these. The least is pre-aggregated and stored, and the
+    join back is of two scans, so adaptive execution can split the rows of a hub.
     """
+    both = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
     if larger_only:
-        both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(
-            links.select(F.col("b").alias("node"), F.col("a").alias("other"))
-        )
-    else:
-        both = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
-    least = both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("least"))
+        both = both.union(links.select(F.col("b").alias("node"), F.col("a").alias("other")))
+    least = stored(
+        both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("least")), "least"
+    )
     if larger_only:
-        reached = both.where("other > node")
-        pairs = reached.join(least, "node").select(F.col("other").alias("a"), F.col("least").alias("b"))
+        joined = both.where("other > node").join(least, "node")
+        pairs = joined.select(F.col("other").alias("a"), F.col("least").alias("b"))
     else:
-        pairs = (
-            both.join(least, "node")
-            .select(F.explode(F.array("other", "node")).alias("a"), F.col("least").alias("b"))
-        )
-    return pairs.where("a > b").distinct()
+        ends = F.explode(F.array("other", "node")).alias("a")
+        pairs = both.join(least, "node").select(ends, F.col("least").alias("b"))
+    step = stored(pairs.where("a > b").distinct(), "links")
+    drop_stored(least)
+    return step
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -55,9 +54,11 @@ def components(links: DataFrame) -> DataFrame:
     now = stored(ordered, "links")
     mark = _mark(now)
     while mark[0]:
-        step = stored(_to_least(_to_least(now, True), False), "links")
+        half = _to_least(now, True)
+        step = _to_least(half, False)
         before, mark = mark, _mark(step)
         drop_stored(now)
+        drop_stored(half)
         now = step
         if mark == before:
             break
