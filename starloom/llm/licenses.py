@@ -17,13 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.llm.license_texts import TEMPLATES
 from starloom.llm.shared import stored
-from starloom.llm.shingles import blocks, hash_at, positions, words
+from starloom.llm.shingles import LOWER, UPPER, blocks, hash_at, positions, words
 
 SHINGLE, CONTAINMENT = 5, 0.8
 BANDS, ROWS = 24, 2
 
-# Notices by which common licenses are named, after their own wording.
+# One-sentence notices by which common licenses are named.
 NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without "
@@ -44,6 +45,18 @@ def notices(spark: SparkSession) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(F.inline(rows))
 
 
+def common_licenses(spark: SparkSession) -> DataFrame:
+    """(license_id, text, required) of ``license_texts.TEMPLATES``."""
+    return spark.createDataFrame(TEMPLATES, "license_id string, text string, required array<string>")
+
+
+def _phrase(text: Column) -> Column:
+    """The words of a text between blanks."""
+    lowered = F.translate(text, UPPER, LOWER)
+    inner = F.trim(F.regexp_replace(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
+    return F.concat(F.lit(" "), inner, F.lit(" "))
+
+
 def _banded(df: DataFrame) -> DataFrame:
     """``df`` with ``hashes`` (of shingles) replaced by a row for each band: band, band_key.
 
@@ -110,6 +123,7 @@ def _in_windows(docs: DataFrame, templates: DataFrame, size: int) -> list[DataFr
         bands = _banded(sized).select(
             F.col("license_id").alias("license"),
             "template",
+            "required",
             F.col("step").alias("its_step"),
             F.col("span").alias("its_span"),
             F.col("band").alias("its_band"),
@@ -125,13 +139,15 @@ def _in_windows(docs: DataFrame, templates: DataFrame, size: int) -> list[DataFr
             )
             candidates = (
                 banded.join(some, agree)
-                .select("doc_id", "text_key", "license", "template", "begin", "window")
+                .select("doc_id", "text_key", "license", "template", "required", "begin", "window")
                 .distinct()
             )
             own = _shingles("template", size)
             held = F.size(F.array_intersect(own, _shingles("window", size))) / F.size(own)
+            in_words = F.concat(F.lit(" "), F.concat_ws(" ", "window"), F.lit(" "))
             out.append(
-                candidates.withColumn("containment", held)
+                candidates.where(F.forall("required", lambda phrase: F.contains(in_words, phrase)))
+                .withColumn("containment", held)
                 .where(F.col("containment") >= CONTAINMENT)
                 .select("doc_id", "text_key", "license", "containment", "begin")
             )
@@ -141,19 +157,29 @@ def _in_windows(docs: DataFrame, templates: DataFrame, size: int) -> list[DataFr
 def license_matches(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """A row per document: doc_id, text_key, matches (array of license, containment, begin).
 
-    ``templates``: (license_id, text). A template is found if a window holds at least
-    ``CONTAINMENT`` of its shingles of ``SHINGLE`` words (all words of a shorter
-    template); ``matches`` has each license once, in order of its name, with the best
-    containment and the first word position of a window that has it. ``text_key`` is a
-    hash of the text; rows that repeat doc_id and text give one row. Null and empty
-    texts, and templates without words, match nothing; null license ids are left out.
+    ``templates``: (license_id, text), any number for a license, and if wanted ``required``:
+    an array of phrases. A template is found if a window holds at least ``CONTAINMENT``
+    of its shingles of ``SHINGLE`` words (all words of a shorter template) and the words
+    of each of its required phrases in a row; ``matches`` has each license once, in order of
+    its name, with the best containment of its templates and the first word position of a
+    window that has it. ``text_key`` is a hash of the text; rows that repeat doc_id and
+    text give one row. Null and empty texts, and templates without words, match nothing;
+    null license ids are left out, and so are null phrases and those without words.
     """
+    phrases = F.lit(None).cast("array<string>")
+    if "required" in templates.columns:
+        phrases = F.transform(F.filter("required", lambda p: p.isNotNull()), _phrase)
+    phrases = F.array_sort(F.array_distinct(F.coalesce(phrases, F.array().cast("array<string>"))))
     named = docs.select(
         "doc_id", F.xxhash64("text").alias("text_key"), words("text").alias("doc_words")
     )
     wanted = stored(
         templates.where("license_id is not null")
-        .select(F.col("license_id").cast("string").alias("license_id"), words("text").alias("template"))
+        .select(
+            F.col("license_id").cast("string").alias("license_id"),
+            words("text").alias("template"),
+            F.filter(phrases, lambda p: F.trim(p) != "").alias("required"),
+        )
         .where(F.size("template") > 0)
         .distinct(),
         "license-words",
@@ -162,18 +188,25 @@ def license_matches(docs: DataFrame, templates: DataFrame) -> DataFrame:
     found = docs.select(
         "doc_id",
         F.xxhash64("text").alias("text_key"),
-        F.lit(None).cast("struct<license: string, containment: double, begin: int>").alias("match"),
+        F.lit(None).cast("struct<license: string, less: double, begin: int>").alias("match"),
     )
     for size in sorted(r[0] for r in wanted.select(size_of).distinct().collect()):
         for part in _in_windows(named, wanted.where(size_of == size), size):
             best = part.groupBy("doc_id", "text_key", "license").agg(
                 F.min(F.struct((-F.col("containment")).alias("less"), "begin")).alias("best")
             )
-            match = F.struct(
-                "license", (-F.col("best.less")).alias("containment"), F.col("best.begin").alias("begin")
-            )
+            match = F.struct("license", F.col("best.less").alias("less"), F.col("best.begin").alias("begin"))
             found = found.union(best.select("doc_id", "text_key", match.alias("match")))
+    # A license may have one row for each size and block; the first of each has the best.
+    first_of_each = F.filter(
+        "all", lambda m, k: (k == 0) | (m["license"] != F.get(F.col("all"), k - 1)["license"])
+    )
+    match = F.transform(
+        first_of_each,
+        lambda m: F.struct(m["license"].alias("license"), (-m["less"]).alias("containment"), m["begin"].alias("begin")),
+    )
     return (
         found.groupBy("doc_id", "text_key")
-        .agg(F.array_sort(F.collect_list("match")).alias("matches"))
+        .agg(F.array_sort(F.collect_list("match")).alias("all"))
+        .select("doc_id", "text_key", match.alias("matches"))
     )

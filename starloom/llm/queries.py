@@ -80,7 +80,7 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    found = licenses.license_matches(docs, licenses.notices(spark))
+    found = licenses.license_matches(docs, licenses.common_licenses(spark))
     return found.select(
         "doc_id",
         F.size("matches").cast("long").alias("n_licenses"),

@@ -60,3 +60,69 @@ def test_notices_and_no_templates(spark, documents):
     none = spark.createDataFrame([], "license_id string, text string")
     assert found_of(licenses.license_matches(docs, none)) == [(1, ()), (2, ())]
     assert licenses.license_matches(documents([]), none).collect() == []
+
+
+def licenses_of(spark, documents, rows):
+    found = licenses.license_matches(documents(rows), licenses.common_licenses(spark)).collect()
+    return {r.doc_id: [m.license for m in r.matches] for r in found}
+
+
+def test_full_texts_and_versions(spark, documents):
+    """Bodies and headers, edited ones too; versions that differ in a word are told apart."""
+    from starloom.llm import license_texts as t
+
+    r = random.Random(9)
+
+    def around(text):
+        prose = [" ".join(r.choices(["alpha", "beta", "gamma", "delta"], k=r.randint(3, 40))) for _ in "ab"]
+        return f"{prose[0]} {text} {prose[1]}"
+
+    def edited(text):
+        words = text.split()
+        for at in (len(words) // 5, len(words) // 2):
+            words[at] = "edited"
+        return " ".join(words)
+
+    mit = t._MIT_GRANT + t._MIT_NOTICE + t._MIT_WARRANTY
+    bsd = t._BSD_CONDITIONS + t._BSD_NAMES + t._BSD_WARRANTY
+    old_fsf = "This program is free software; you can redistribute it" + t._gnu_header("", "2").split("redistribute it")[1]
+    cases = [
+        (mit, ["MIT"]),
+        (edited(mit), ["MIT"]),
+        (mit.replace(t._MIT_NOTICE, ""), ["MIT-0"]),
+        (mit[:250], []),
+        (bsd, ["BSD-3-Clause"]),
+        (edited(bsd), ["BSD-3-Clause"]),
+        (bsd.replace(t._BSD_NAMES, ""), ["BSD-2-Clause"]),
+        (t._gnu_header("", "3"), ["GPL-3.0"]),
+        (old_fsf, ["GPL-2.0"]),
+        (t._gnu_header("Affero ", "3"), ["AGPL-3.0"]),
+        (t._gnu_header("Lesser ", "3"), ["LGPL-3.0"]),
+        (t._gnu_header("Lesser ", "2.1", "This library"), ["LGPL-2.1"]),
+        (t._GPL3, ["GPL-3.0"]),
+        (t._GPL2, ["GPL-2.0"]),
+        ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+        ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0"]),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.", []),
+        (t._APACHE, ["Apache-2.0"]),
+        (t._APACHE_OPENING + " " + mit, ["Apache-2.0", "MIT"]),
+        ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+    ]
+    rows = [(k, around(text)) for k, (text, _) in enumerate(cases)]
+    assert licenses_of(spark, documents, rows) == {k: names for k, (_, names) in enumerate(cases)}
+
+
+def test_one_match_for_a_license_of_several_sizes(spark, documents):
+    templates = spark.createDataFrame(
+        [("x", "one two"), ("x", "one two three four five six"), ("x", "nine ten")], "license_id string, text string"
+    )
+    found = licenses.license_matches(documents([(1, "zero one two three four five six"), (2, "ten")]), templates)
+    assert found_of(found) == [(1, (("x", 1.0),)), (2, ())]
+
+
+def test_each_template_finds_its_own_license(spark, documents):
+    from starloom.llm.license_texts import TEMPLATES
+
+    rows = [(k, t.text) for k, t in enumerate(TEMPLATES)]
+    found = licenses_of(spark, documents, rows)
+    assert found == {k: [t.license_id] for k, t in enumerate(TEMPLATES)}
