@@ -23,8 +23,8 @@ from starloom.llm.shared import map_texts, strings_of
 DIMENSIONS = 1024
 #: Trigram vectors that a worker remembers; beyond it they are made anew.
 REMEMBERED = 32_768
-#: About so many labelled documents are learned from.
-MAX_TRAIN = 20_000
+#: About so many labelled texts are learned from, of each language ``LEAST_TRAIN`` at least.
+MAX_TRAIN, LEAST_TRAIN = 20_000, 100
 #: Code points of a text that are counted at a time.
 BLOCK = 1 << 20
 UNKNOWN = "und"
@@ -112,15 +112,45 @@ class Bundler:
         return total / length if length else None
 
 
+def most_of_each(counts: list[int], total: int) -> int:
+    """The largest bound for which the sum of min(count, bound) is within ``total``."""
+    left, ordered = total, sorted(counts)
+    for k, count in enumerate(ordered):
+        bound = left // (len(ordered) - k)
+        if count > bound:
+            return bound
+        left -= count
+    return total
+
+
+def sample_of(labelled: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """Distinct (text, lang) to learn from, chosen within each language by a hash of the text.
+
+    Languages share ``max_train`` evenly; what small ones leave goes to the others. A language
+    whose distinct texts are within its part, or ``LEAST_TRAIN``, is taken whole; of the others
+    about the larger of the two is taken, so more than ``max_train`` only with many languages.
+    """
+    rows = labelled.select("text", "lang").where("lang is not null and text is not null")
+    key = F.xxhash64("text")
+    sizes = rows.select("lang", key.alias("key")).distinct().groupBy("lang").count().collect()
+    bound = max(LEAST_TRAIN, most_of_each([r["count"] for r in sizes], max_train))
+    limits = [(r.lang, int(bound / r["count"] * (1 << 30))) for r in sizes if r["count"] > bound]
+    limited = labelled.sparkSession.createDataFrame(limits, "limited string, below long")
+    return (
+        rows.join(F.broadcast(limited), F.col("lang") == F.col("limited"), "left")
+        .where(F.col("below").isNull() | (F.pmod(key, F.lit(1 << 30)) < F.col("below")))
+        .select("text", "lang")
+        .distinct()
+    )
+
+
 def learn(labelled: DataFrame, max_train: int = MAX_TRAIN) -> Profiles:
     """Profiles from (text, lang) rows; rows without a language are left out.
 
-    Learns from about ``max_train`` rows, chosen by a hash of the text. Their bundles
-    are summed on the executors; a few rows a language come back.
+    Learns from ``sample_of`` the rows: every language has texts in it, and a repeated text
+    counts once. Their bundles are summed on the executors; a few rows a language come back.
     """
-    rows = labelled.select("text", "lang").where("lang is not null and text is not null")
-    share = min(1.0, max_train / max(1, rows.count()))
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = sample_of(labelled, max_train)
     bundler: list[Bundler] = []
 
     def bundle(batch: pa.RecordBatch) -> dict:

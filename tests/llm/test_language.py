@@ -54,3 +54,24 @@ def test_nothing_learned(documents):
     found = language.identify(documents([(1, "words")]), profiles).collect()
     assert found[0].language.lang_pred == "und"
     assert language.identify(documents([]), profiles).collect() == []
+
+
+def test_small_languages_and_repeated_texts(documents):
+    """Beside a large language five rows are learned whole; a text in a third of the rows counts once."""
+    r = random.Random(7)
+    rows = [(k, text_of("xa", r), "xa", None) for k in range(1500)]
+    rows += [(2000 + k, text_of("yb", r), "yb", None) for k in range(5)]
+    rows += [(3000 + k, "miru toka " * 9, "xa", None) for k in range(750)]
+    docs = documents(rows)
+    sample = language.sample_of(docs, 300).collect()
+    assert len({(s.text, s.lang) for s in sample}) == len(sample)
+    assert sum(s.lang == "yb" for s in sample) == 5
+    assert 200 < sum(s.lang == "xa" for s in sample) < 400
+    assert language.learn(docs, 300).languages == ["xa", "yb"]
+
+
+def test_bound_of_each_language():
+    assert language.most_of_each([5, 1500], 300) == 295
+    assert language.most_of_each([5, 10], 300) == 300
+    assert language.most_of_each([100, 100, 100], 30) == 10
+    assert language.most_of_each([], 30) == 30
