@@ -208,9 +208,22 @@ def identify(docs: DataFrame, profiles: Profiles, text: Column | str = "text") -
     return docs.withColumn("language", predictor(profiles)(column))
 
 
+def has_letter(text: str) -> Column:
+    """Whether a text column has a letter, as ``trigrams`` sees it; null has none."""
+
+    def check(texts: pa.Array) -> pa.Array:
+        return pa.array([any(map(str.isalpha, (t or "").lower())) for t in texts.to_pylist()], pa.bool_())
+
+    return F.arrow_udf(check, "boolean")(text)
+
+
 def with_language(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has an identified language."""
+    """The rows of ``docs``, all columns, whose text has a letter.
+
+    These are the rows that ``identify`` gives a language if any was learned; they stay
+    if none was. Which language, and its cosine, decide nothing.
+    """
     if not profiles.languages:
-        return docs
+        return docs.where(has_letter("text"))
     found = docs.withColumn("__language", predictor(profiles)("text"))
     return found.where(F.col("__language.lang_pred") != UNKNOWN).select(*docs.columns)

@@ -75,3 +75,14 @@ def test_bound_of_each_language():
     assert language.most_of_each([5, 10], 300) == 300
     assert language.most_of_each([100, 100, 100], 30) == 10
     assert language.most_of_each([], 30) == 30
+
+
+def test_letterless_rows_go_whatever_was_learned(documents, odd_rows):
+    docs = documents(odd_rows + [(99, "12 ... 34"), (98, "٠ ǅ")])
+    learned = language.learn(documents([(1, "some words", "xa", None)]))
+    kept = [
+        sorted(((x.doc_id, x.text) for x in language.with_language(docs, p).collect()), key=repr)
+        for p in (learned, language.learn(documents([])))
+    ]
+    assert kept[0] == kept[1] and (98, "٠ ǅ") in kept[0]
+    assert not {1, 2, 3, 99} & {d for d, _ in kept[1]}
