@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, fuzzy, language, licenses, mixture, pii, simhash, substring, tokens, toxicity
+from starloom.llm import (
+    decontaminate,
+    fuzzy,
+    language,
+    licenses,
+    mixture,
+    pii,
+    resampling,
+    secrets,
+    simhash,
+    substring,
+    tokens,
+    toxicity,
+    whitening,
+)
 from starloom.llm.settings import MIX_SEED, OTHER_WEIGHT, TARGET_WEIGHTS
 from starloom.llm.shared import held_out, table
 from starloom.llm.sql import CORPUS_SQL
@@ -89,6 +103,34 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """``deviation`` is null where it is beyond a long; ``deviation_exact`` has it to 38 digits."""
+    found = whitening.whitened(table(spark, folder, "embeddings"), "vec_id", "embedding", components=8)
+    return found.select(
+        "vec_id",
+        "component",
+        "n",
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+        F.col("deviation").alias("deviation_exact"),
+    )
+
+
+def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    found = resampling.resampled(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), percent=25
+    )
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.secrets(table(spark, folder, "documents"), repository="doc_id", owner="source")
+    counts = [f"n_{kind}" for kind in secrets.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans", "live", "copied")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_toxicity": op2_toxicity,
@@ -100,5 +142,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language": op9_language,
     "op10_licenses": op10_licenses,
+    "op11_whitening": op11_whitening,
+    "op12_resampling": op12_resampling,
+    "op13_secrets": op13_secrets,
 }
 LLM_SQL: dict[str, str] = CORPUS_SQL
