@@ -5,6 +5,7 @@ from __future__ import annotations
 from oracles.measure_sql import CLOSED, IN_TARGET, div, n
 from oracles.star_sql import (
     AS_OF,
+    CHANNEL as CHANNEL_NUMBER,
     DATES,
     DECIMALS,
     dim_id,
@@ -512,16 +513,75 @@ BRONZE = {
     "work_order": ("fact_work_order", "lineitem"), "work_order_part": ("fact_work_order_part", "lineitem"),
     "asset_daily_status": ("fact_asset_daily_status", "events"), "date": ("dim_date", "calendar"),
 }
+# Landing tables: their keys, and what a code must be, if it is not null, to have a meaning.
+LANDING = {
+    "region": (["r_regionkey"], {}), "nation": (["n_nationkey"], {}), "customer": (["c_custkey"], {}),
+    "supplier": (["s_suppkey"], {}), "part": (["p_partkey"], {}),
+    "orders": (["o_orderkey"], {
+        "o_orderstatus": "o_orderstatus IN ('F', 'O', 'P')",
+        "o_orderpriority": f"coalesce({CHANNEL_NUMBER.format('o_orderpriority')} BETWEEN 1 AND 5, false)",
+    }),
+    "lineitem": (["l_orderkey", "l_linenumber"], {
+        "l_returnflag": "l_returnflag IN ('A', 'N', 'R')", "l_linestatus": "l_linestatus IN ('F', 'O')",
+    }),
+    "events": (["event_id"], {}),
+}
+_KEYS = {
+    "facility": "facility_key", "customer": "customer_key", "product": "product_key",
+    "supplier": "supplier_key", "employee": "employee_key", "technician": "technician_key",
+    "sales_channel": "sales_channel_key", "asset": "asset_key", "date": "date_key",
+}
+
+
+def _told(name: str, table: str, null_key: str, unbound: str, fit: str, keys: str) -> str:
+    """Rows of a table by what becomes of them: one row a key stays of those with key and codes."""
+    return (
+        f"SELECT '{name}' AS table_name, count(*) AS raw_rows, count(*) FILTER ({null_key}) AS null_keys, "
+        f"count(*) FILTER (NOT ({null_key}) AND ({unbound})) AS unbound_codes, "
+        f"count(*) FILTER ({fit}) - count(DISTINCT {keys}) FILTER ({fit}) AS repeated_rows, "
+        f"count(DISTINCT {keys}) FILTER ({fit}) AS conformed_rows FROM {table}"
+    )
+
+
+def _landing(table: str) -> tuple[str, str, str, str]:
+    keys, codes = LANDING[table]
+    null_key = " OR ".join(f"{k} IS NULL" for k in keys)
+    unbound = " OR ".join(f"({c} IS NOT NULL AND NOT ({ok}))" for c, ok in codes.items()) or "false"
+    return null_key, unbound, f"NOT ({null_key}) AND NOT ({unbound})", f"({', '.join(keys)})"
+
+
 BRONZE_LOAD = union([
+    f"SELECT 'raw.{table}' AS table_name, 'landing.{table}' AS source_system, "
+    f"'run-0001' AS pipeline_run_id, count(*) AS row_count FROM {table}"
+    for table in LANDING
+] + [
     f"SELECT 'bronze.{name}_raw' AS table_name, 'landing.{source}' AS source_system, "
     f"'run-0001' AS pipeline_run_id, count(*) AS row_count FROM {table}"
     for name, (table, source) in BRONZE.items()
 ])
 SILVER_LOAD = union([
-    f"SELECT 'silver.{name}' AS table_name, count(*) AS raw_rows, CAST(0 AS BIGINT) AS null_keys, "
-    f"count(*) AS conformed_rows FROM {table}"
+    _told(f"conformed.{table}", table, *_landing(table)) for table in LANDING
+] + [
+    _told(f"silver.{name}", table, f"{k} IS NULL", "false", f"{k} IS NOT NULL", k)
     for name, (table, _) in BRONZE.items()
+    for k in [_KEYS.get(name, f"{name}_id")]
 ])
+
+
+def _reasons(table: str) -> str:
+    keys, codes = LANDING[table]
+    null_key, _, fit, both = _landing(table)
+    arms = "".join(f" WHEN {c} IS NOT NULL AND NOT ({ok}) THEN 'unbound code: {c}'" for c, ok in codes.items())
+    return (
+        f"SELECT '{table}' AS table_name, '{table}.parquet' AS source_file, reason AS reject_reason, "
+        f"count(*) AS row_count FROM (SELECT CASE WHEN {null_key} THEN 'null key'{arms} END AS reason "
+        f"FROM {table}) WHERE reason IS NOT NULL GROUP BY ALL UNION ALL "
+        f"SELECT '{table}', '{table}.parquet', 'repeated key', n FROM (SELECT count(*) FILTER ({fit}) "
+        f"- count(DISTINCT {both}) FILTER ({fit}) AS n FROM {table}) WHERE n > 0"
+    )
+
+
+QUARANTINE_REPORT = " UNION ALL ".join(map(_reasons, LANDING))
 CLUSTERED = {
     "fact_sales_order_line": ("order_date_key", "sales_order_line_key"),
     "fact_purchase_order_line": ("order_date_key", "purchase_order_line_key"),
@@ -531,11 +591,20 @@ CLUSTERED = {
     "fact_work_order_part": ("opened_date_key", "work_order_part_key"),
     "fact_asset_daily_status": ("status_date_key", "asset_daily_status_key"),
 }
+def key_digest(column: str) -> str:
+    return f"sum(CAST('0x' || substr(md5(':' || {column}), 1, 15) AS BIGINT) % 1000003)"
+
+
 CLUSTERED_REWRITE = union([
     f"SELECT '{t}' AS table_name, count(*) AS row_count, min({d}) AS first_date_key, "
-    f"max({d}) AS last_date_key, max({k}) AS last_row_key FROM {t}"
+    f"max({d}) AS last_date_key, CAST({key_digest(k)} AS BIGINT) AS row_key_digest FROM {t}"
     for t, (d, k) in CLUSTERED.items()
 ])
+CURVE_SCAN = with_star(
+    "SELECT product_key, count(*) AS n_lines, CAST(sum(quantity) AS DOUBLE) AS units_sold, "
+    f"CAST({key_digest('sales_order_line_key')} AS BIGINT) AS row_key_digest "
+    "FROM fact_sales_order_line WHERE product_key BETWEEN 100 AND 199 GROUP BY product_key"
+)
 GUARDS = union([
     f"SELECT '{child} to {parent}' AS relationship, count(*) AS child_rows, count(*) AS joined_rows, "
     f"(SELECT count(*) - count(DISTINCT {k}) FROM {parent}) AS duplicate_parent_keys, "
@@ -655,11 +724,14 @@ def operator_sql() -> dict[str, str]:
         "lineage_stamp": f"SELECT o_orderkey, {LOADED} AS ingestion_timestamp, 'run-0001' AS pipeline_run_id, "
         "'landing.orders' AS source_system FROM orders",
         "bronze_load": BRONZE_LOAD,
+        "quarantine_report": QUARANTINE_REPORT,
         "silver_load": SILVER_LOAD,
         "gold_load": union([
             f"SELECT 'gold.{t}' AS table_name, count(*) AS row_count FROM {t}" for t in (*GOLD, "dim_date")
         ]),
         "clustered_rewrite": CLUSTERED_REWRITE,
+        "compacted_facts": CLUSTERED_REWRITE,
+        "curve_clustered_scan": CURVE_SCAN,
         "digest_bucket_assign": "SELECT c_custkey, CAST(CAST('0x' || substr(md5('7:' || c_custkey), 1, 15) AS BIGINT) "
         "% 20 AS INTEGER) AS bucket FROM customer",
         "code_lookup": "SELECT o_orderkey, CASE regexp_extract(o_orderpriority, '^([0-9]+)-', 1) WHEN '1' THEN 'Urgent' "

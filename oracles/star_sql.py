@@ -52,13 +52,19 @@ def _pick(value: str, labels: list[str]) -> str:
 
 CTES: dict[str, str] = {}
 
+# Rows with a code that has no meaning are rejected.
+CTES["bound_orders"] = f"""
+SELECT * FROM orders WHERE coalesce(o_orderstatus IN ('F', 'O', 'P'), true)
+  AND (o_orderpriority IS NULL OR coalesce({CHANNEL.format('o_orderpriority')} BETWEEN 1 AND 5, false))"""
+
 CTES["li"] = """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
     l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST,
     l_discount NULLS FIRST, l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST,
     l_shipdate NULLS FIRST) AS rn
-  FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL)
+  FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+    AND coalesce(l_returnflag IN ('A', 'N', 'R'), true) AND coalesce(l_linestatus IN ('F', 'O'), true))
 WHERE rn = 1"""
 
 CTES["lines"] = f"""
@@ -68,7 +74,7 @@ SELECT li.l_orderkey || ':' || li.l_linenumber AS line_key, li.l_orderkey, li.l_
   CAST(l_shipdate AS DATE) AS ship_date, CAST(o_orderdate AS DATE) AS order_date,
   {CRITICALITY.format('o_orderpriority')} AS priority, {money('p_retailprice')} AS cost,
   p_size, p_partkey IS NOT NULL AS priced, CAST(s_nationkey AS BIGINT) AS facility_key
-FROM li LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey
+FROM li LEFT JOIN bound_orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey
 LEFT JOIN supplier ON l_suppkey = s_suppkey"""
 
 CTES["places"] = """
@@ -99,7 +105,7 @@ SELECT c_custkey AS customer_key, {dim_id('CUS', 'c_custkey')} AS customer_id, c
   lo AS created_on, {key('lo')} AS created_on_key, hi AS modified_on, {key('hi')} AS modified_on_key
 FROM customer LEFT JOIN places ON c_nationkey = n_nationkey
 LEFT JOIN (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi
-  FROM orders GROUP BY 1) ON c_custkey = o_custkey"""
+  FROM bound_orders GROUP BY 1) ON c_custkey = o_custkey"""
 
 CTES["dim_product"] = f"""
 SELECT p_partkey AS product_key, {dim_id('PRD', 'p_partkey')} AS product_id,
@@ -147,7 +153,7 @@ FROM supplier LEFT JOIN supplier_days ON s_suppkey = k"""
 CTES["dim_sales_channel"] = """
 SELECT used AS sales_channel_key, 'CH' || lpad(CAST(used AS VARCHAR), 2, '0') AS sales_channel_id,
   n AS sales_channel_name, g AS channel_group, 'Active' AS status
-FROM (SELECT DISTINCT TRY_CAST(regexp_extract(o_orderpriority, '^([0-9]+)-', 1) AS BIGINT) AS used FROM orders
+FROM (SELECT DISTINCT TRY_CAST(regexp_extract(o_orderpriority, '^([0-9]+)-', 1) AS BIGINT) AS used FROM bound_orders
   WHERE o_orderpriority IS NOT NULL)
 LEFT JOIN (VALUES (1, 'Urgent', 'Priority'), (2, 'High', 'Priority'), (3, 'Medium', 'Standard'),
   (4, 'Not Specified', 'Standard'), (5, 'Low', 'Standard')) AS t(k, n, g) ON used = k"""
@@ -165,7 +171,7 @@ SELECT o_orderkey AS asset_key, {row_id('AST', 'o_orderkey')} AS asset_id,
   CASE WHEN o_orderstatus = 'P' THEN 'Out of Service' ELSE 'Active' END AS status,
   od AS created_on, {key('od')} AS created_on_key,
   coalesce(hi, od) AS modified_on, {key('coalesce(hi, od)')} AS modified_on_key
-FROM (SELECT *, CAST(o_orderdate AS DATE) AS od FROM orders)
+FROM (SELECT *, CAST(o_orderdate AS DATE) AS od FROM bound_orders)
 LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS first_part, max(ship_date) AS hi FROM lines GROUP BY 1)
   ON o_orderkey = l_orderkey
 LEFT JOIN customer ON o_custkey = c_custkey"""
@@ -189,7 +195,7 @@ SELECT o_orderkey AS sales_order_key, {row_id('SO', 'o_orderkey')} AS sales_orde
   requested_date, {key('requested_date')} AS requested_date_key, 'USD' AS currency_code,
   CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Open' ELSE 'Cancelled' END AS order_status,
   order_revenue, order_cost, {money('order_revenue - order_cost')} AS gross_margin
-FROM orders JOIN totals ON o_orderkey = l_orderkey"""
+FROM bound_orders JOIN totals ON o_orderkey = l_orderkey"""
 
 CTES["fact_sales_order_line"] = f"""
 SELECT line_key AS sales_order_line_key, {pair_id('SOL', 'line_key')} AS sales_order_line_id,

@@ -1,9 +1,10 @@
-"""Conform a raw table: complete keys, one row per key."""
+"""Conform a raw table: complete keys, known codes, one row per key; and what is rejected."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,32 +12,50 @@ from pyspark.sql import functions as F
 
 #: Repeated keys that are few enough to send to every task.
 MOST_BROADCAST_KEYS = 200_000
+#: Columns of rejected rows beside their own: why, and how many rows were alike in all columns.
+REASON, COPIES = "reject_reason", "copies"
+NULL_KEY, REPEATED_KEY, UNBOUND_CODE = "null key", "repeated key", "unbound code"
+
+#: Writes an intermediate table under a name and returns it as stored.
+Keep = Callable[[str, DataFrame], DataFrame]
 
 
 def has_key(keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, (F.col(key).isNotNull() for key in keys))
 
 
-def conform(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with a complete key, one per key: the smallest by all other columns in order.
+def fault(keys: Sequence[str], bound: Mapping[str, Column]) -> Column:
+    """Why a row can't be used by itself: a key that is null, or the first code without a meaning.
 
-    Keys that repeat are found first, on the key columns alone, by a hash aggregate.
-    Rows of all other keys pass through as they are; only among repeated ones a row
-    is chosen. The choice is a total order, so reruns agree. It is taken by ``min``
-    over a struct, which combines before the shuffle: a key that holds a third of all
-    rows travels as one row per input partition, where a window would sort the whole
-    group in one task.
+    ``bound`` tells for each code column whether its value has one; null codes are blanks and pass.
+    """
+    reason = F.when(~has_key(keys), NULL_KEY)
+    for name, known in bound.items():
+        unknown = F.col(name).isNotNull() & ~F.coalesce(known, F.lit(False))
+        reason = reason.when(unknown, f"{UNBOUND_CODE}: {name}")
+    return reason
+
+
+def conform(
+    df: DataFrame, keys: Sequence[str], bound: Mapping[str, Column] | None = None, keep: Keep | None = None
+) -> DataFrame:
+    """Rows with a complete key and known codes, one per key: the smallest by all other columns in order.
+
+    Keys that repeat are found first, on the key columns alone, by a hash aggregate, and
+    stored if ``keep`` is given, so that they are found once. Rows of all other keys pass
+    through as they are; only among repeated ones a row is chosen. The choice is a total
+    order, so reruns agree. It is taken by ``min`` over a struct, which combines before the
+    shuffle: a key that holds a third of all rows travels as one row per input partition,
+    where a window would sort the whole group in one task.
     """
     payload = [name for name in df.columns if name not in keys]
-    complete = df.where(has_key(keys))
+    complete = df.where(fault(keys, bound or {}).isNull())
     if not payload:
         return complete.distinct()
-    repeated = duplicate_keys(complete, keys).select(*(F.col(k).alias(f"repeated_{k}") for k in keys))
-    count = repeated.count()
-    if not count:
+    repeated = _repeated(complete, keys, keep)
+    if repeated is None:
         return complete
-    listed = F.broadcast(repeated) if count <= MOST_BROADCAST_KEYS else repeated
-    same = reduce(Column.__and__, (F.col(k) == F.col(f"repeated_{k}") for k in keys))
+    listed, same = repeated
     chosen = (
         complete.join(listed, same, "left_semi")
         .groupBy(*keys)
@@ -46,6 +65,60 @@ def conform(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return complete.join(listed, same, "left_anti").unionByName(chosen)
 
 
+def _repeated(df: DataFrame, keys: Sequence[str], keep: Keep | None) -> tuple[DataFrame, Column] | None:
+    """Keys that repeat, broadcast if they are few, and the condition that a row has one."""
+    names = {key: f"repeated_{key}" for key in keys}
+    repeated = duplicate_keys(df, keys).select(*(F.col(k).alias(n) for k, n in names.items()))
+    if keep is not None:
+        repeated = keep("repeated_keys", repeated)
+    count = repeated.count()
+    if not count:
+        return None
+    same = reduce(Column.__and__, (F.col(k) == F.col(n) for k, n in names.items()))
+    return (F.broadcast(repeated) if count <= MOST_BROADCAST_KEYS else repeated), same
+
+
+class Screened(NamedTuple):
+    """Rows that are kept, and all others with ``REASON`` and ``COPIES``."""
+
+    kept: DataFrame
+    rejected: DataFrame
+
+
+def screen(
+    df: DataFrame, keys: Sequence[str], bound: Mapping[str, Column], keep: Keep, place: Sequence[str] = ()
+) -> Screened:
+    """What ``conform`` keeps, and every other row with the reason why it is not kept.
+
+    Rows that are alike in all columns are one rejected row with their number, so raw rows
+    are kept rows plus the sum of copies, and a hot key of equal rows is one row. Rivals for
+    a key are grouped by all their columns, which no key makes hot; the winner of a key, a
+    ``min`` that combines before its shuffle, is joined to them. Columns in ``place`` (where
+    a row came from) only decide between rows that are alike in all others.
+    """
+    own = [name for name in df.columns if name not in place]
+    payload = [name for name in [*own, *place] if name not in keys]
+    told = df.withColumn(REASON, fault(keys, bound))
+    fit = told.where(F.col(REASON).isNull()).drop(REASON)
+    faulty = told.where(F.col(REASON).isNotNull()).withColumn(COPIES, F.lit(1).cast("bigint"))
+    repeated = _repeated(fit, keys, keep)
+    if repeated is None:
+        return Screened(fit, faulty)
+    listed, same = repeated
+    rivals = fit.join(listed, same, "left_semi").groupBy(*df.columns).agg(F.count("*").alias(COPIES))
+    if payload:
+        best = rivals.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("__best"))
+        wins = F.struct(*payload).eqNullSafe(F.col("__best"))
+        rivals = rivals.join(best, list(keys)).withColumn("__wins", wins).drop("__best")
+    else:
+        rivals = rivals.withColumn("__wins", F.lit(True))
+    rivals = keep("rivals", rivals)
+    losers = rivals.withColumn(COPIES, F.col(COPIES) - F.col("__wins").cast("bigint")).where(F.col(COPIES) > 0)
+    lost = losers.select(*df.columns, F.lit(REPEATED_KEY).alias(REASON), COPIES)
+    kept = fit.join(listed, same, "left_anti").unionByName(rivals.where("__wins").select(*df.columns))
+    return Screened(kept, faulty.unionByName(lost))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with how many rows hold them."""
     return df.groupBy(*keys).agg(F.count("*").alias("row_count")).where("row_count > 1")

@@ -8,10 +8,14 @@ both sides, so a hot key or a third of NULL keys costs no more than any other.
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from starloom.operators.conform import duplicate_keys
+
 
 class JoinGuardError(ValueError):
     """A guarded join would repeat or lose rows, or misses mandatory parents."""
@@ -60,13 +64,59 @@ def safe_left_join(
         raise JoinGuardError(
             f"{relationship}: {guard.child_rows} rows would become {guard.joined_rows}"
         )
-    if guard.unmatched_rows:
-        problem = f"{relationship}: {guard.unmatched_rows} rows have a {key} the parent lacks"
+    _judge_unmatched(guard.unmatched_rows, key, relationship, mandatory)
+    added = [name for name in parent.columns if name != key]
+    return child.join(parent, key, "left").select(*child.columns, *added)
+
+
+def _judge_unmatched(rows: int, key: str, relationship: str, mandatory: bool) -> None:
+    if rows:
+        problem = f"{relationship}: {rows} rows have a {key} the parent lacks"
         if mandatory:
             raise JoinGuardError(problem)
-        warnings.warn(problem, UnmatchedKeysWarning, stacklevel=2)
+        warnings.warn(problem, UnmatchedKeysWarning, stacklevel=3)
+
+
+class Guarded(NamedTuple):
+    """Rows whose guard is counted while they are written, and what judges the counts afterwards.
+
+    ``verify`` raises or warns; it must be called after the first action on ``rows``, and
+    what was written counts only if it returns.
+    """
+
+    rows: DataFrame
+    verify: Callable[[], None]
+
+
+def require_unique_parent(parent: DataFrame, key: str, relationship: str) -> None:
+    """Refuse a parent in which a key, used or not, repeats; reads its key column only."""
+    repeated = duplicate_keys(parent.select(key), [key]).count()
+    if repeated:
+        raise JoinGuardError(f"{relationship}: {repeated} values of {key} repeat in the parent")
+
+
+def guarded_left_join(
+    child: DataFrame, parent: DataFrame, key: str, relationship: str, mandatory: bool = True
+) -> Guarded:
+    """``safe_left_join`` whose child is read and shuffled once: its guard is counted on the joined rows.
+
+    Repeated parent keys are looked for first, in the parent alone. With none of them, no row
+    can become two; what is left, children without a parent, an observation counts as the
+    rows pass by. A task that runs
+    again may count a row twice, so the number in the message is at least that of the rows;
+    whether there are any is exact.
+    """
+    require_unique_parent(parent, key, relationship)
+    observation = Observation()
+    there = parent.withColumn("__there", F.lit(True))
+    lacking = F.col(key).isNotNull() & F.col("__there").isNull()
+    joined = child.join(there, key, "left").observe(observation, F.count_if(lacking).alias("unmatched_rows"))
     added = [name for name in parent.columns if name != key]
-    return child.join(parent, key, "left").select(*child.columns, *added)
+
+    def verify() -> None:
+        _judge_unmatched(observation.get["unmatched_rows"], key, relationship, mandatory)
+
+    return Guarded(joined.select(*child.columns, *added), verify)
 
 
 def orphan_rows(

@@ -1,17 +1,17 @@
 """Publish jobs: the gold tables of one state of the landing files.
 
 ``Warehouse`` is what queries read. ``publish_warehouse`` loads a warehouse that stays: it
-builds, guards and writes all gold tables below a named folder, and ``open_published``
-opens them in any later application, without building anything. ``open_warehouse`` gives an
-application a warehouse of its own, whose gold tables are written the first time they are
-asked for.
+builds, guards and writes all gold tables below a named home and then commits them all at
+once by a manifest. ``open_published`` opens what was committed of a landing folder, and
+``open_snapshot`` the newest load that was committed, whatever a load is writing meanwhile;
+neither builds anything. ``open_warehouse`` gives an application a warehouse of its own,
+whose gold tables are written the first time they are asked for.
 """
 
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
-from datetime import datetime
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from starloom.functions import columns as c
 from starloom.operators.calendar import calendar_bounds, date_dimension, date_range
-from starloom.operators.conform import conform, require_unique
-from starloom.operators.joins import join_guard, safe_left_join
+from starloom.operators.joins import Guarded, guarded_left_join, join_guard, safe_left_join
+from starloom.operators.layout import TARGET_FILE_BYTES, compact
 from starloom.sources import landing as bind
 from starloom.sources.landing import (
     DATE_COLUMNS,
@@ -29,14 +29,14 @@ from starloom.sources.landing import (
     ConformedLanding,
     Landing,
 )
+from starloom.sources.manifest import Manifest, Manifests
 from starloom.sources.store import (
-    LINEAGE_COLUMNS,
+    StoredTable,
     TableStore,
     folder_state,
     shared_folder,
     side_by_side,
     size_shuffles,
-    stamp_lineage,
 )
 
 # Published tables and the entities they come from.
@@ -95,9 +95,6 @@ EXTENDED_AMOUNTS = {
     "fact_inventory_snapshot": ("inventory_value", "quantity_on_hand", "standard_cost"),
 }
 
-# Entities that are grouped, not just projected: stored, so that their guard and their
-# publishing read one computation.
-GROUPED_ENTITIES = ("work_order_part", "asset_daily_status")
 
 Tables = Callable[[str], DataFrame]
 
@@ -109,11 +106,24 @@ def parent_keys(name: str, gold: Tables) -> DataFrame:
 
 
 def publish(name: str, entity: DataFrame, gold: Tables) -> DataFrame:
-    """Gold table ``name`` from its conformed entity and other gold tables."""
-    published = entity
+    """Gold table ``name`` from its conformed entity and other gold tables, guarded before it is read."""
     if name in PARENT_KEYS:
         key, parent, _ = PARENT_KEYS[name]
-        published = safe_left_join(published, parent_keys(name, gold), key, f"{name} to {parent}")
+        entity = safe_left_join(entity, parent_keys(name, gold), key, f"{name} to {parent}")
+    return _with_amounts(name, entity)
+
+
+def publish_guarded(name: str, entity: DataFrame, gold: Tables) -> Guarded:
+    """The same, guarded while it is written: the entity is read and shuffled once."""
+    if name not in PARENT_KEYS:
+        return Guarded(_with_amounts(name, entity), lambda: None)
+    key, parent, _ = PARENT_KEYS[name]
+    joined = guarded_left_join(entity, parent_keys(name, gold), key, f"{name} to {parent}")
+    return joined._replace(rows=_with_amounts(name, joined.rows))
+
+
+def _with_amounts(name: str, published: DataFrame) -> DataFrame:
+    """The amounts and text ids of a gold table."""
     if name in EXTENDED_AMOUNTS:
         amount, quantity, unit = EXTENDED_AMOUNTS[name]
         published = published.withColumn(amount, c.extended(quantity, unit))
@@ -169,15 +179,10 @@ class Warehouse:
             self.publish_all()
         return self.store.get(f"gold.{name}", lambda: self._build(name))
 
-    def _build(self, name: str) -> DataFrame:
+    def _build(self, name: str) -> DataFrame | Guarded:
         if name == "dim_date":
             return date_dimension(self.calendar_ranges(), self.landing.this_year)
-        entity = GOLD_ENTITIES[name]
-        if entity in GROUPED_ENTITIES:
-            bound = self.store.get(f"silver.{entity}", lambda: self._bound(entity))
-        else:
-            bound = self._bound(entity)
-        return publish(name, bound, self.table)
+        return publish_guarded(name, self._bound(GOLD_ENTITIES[name]), self.table)
 
     def publish_all(self) -> None:
         """Publish every gold table; jobs of independent tables share the cluster."""
@@ -186,6 +191,11 @@ class Warehouse:
         side_by_side(self.table, GOLD_ENTITIES)
         self.store.get("gold.dim_date", lambda: self._build("dim_date"))
 
+    def published_tables(self) -> dict[str, StoredTable]:
+        """Stored versions of all gold tables and of the lines, without intermediate tables."""
+        layers = ("gold.", "silver.")
+        return {name: t for name, t in self.store.snapshot().items() if name.startswith(layers)}
+
     def sibling_store(self, name: str) -> TableStore:
         """A store beside this one, for jobs that must not touch the published tables."""
         return TableStore(self.spark, f"{self.store.folder}-{name}")
@@ -234,14 +244,22 @@ def publish_warehouse(
 ) -> Warehouse:
     """Publish all tables of the landing folder as it is now below ``home``, to stay there.
 
-    A load that was broken off goes on with the tables it lacks. Statuses and the
-    calendar are those of ``as_of`` and ``this_year``.
+    Readers see them when the last one is written and the manifest names all of them. A load
+    that was broken off goes on with the tables it lacks; one that is committed already does
+    nothing. Statuses and the calendar are those of ``as_of`` and ``this_year``.
     """
     landing = Landing(spark, folder, as_of, this_year)
-    place, size = _place(spark, landing, home, as_of, this_year)
+    state, size = _state(spark, landing, as_of, this_year)
     size_shuffles(spark, size)
-    warehouse = Warehouse(spark, landing, TableStore(spark, place, reopen=True))
-    warehouse.publish_all()
+    manifests = Manifests(spark, home)
+    before = max(manifests.numbers(), default=0)
+    done = manifests.latest(state=state)
+    store = TableStore(spark, f"{manifests.home}/{state}", reopen=done is None, at=done and done.tables)
+    warehouse = Warehouse(spark, landing, store)
+    if done is None:
+        warehouse.publish_all()
+        properties = {"state": state, "landing": landing.folder, "as_of": as_of, "this_year": str(this_year)}
+        manifests.commit(warehouse.published_tables(), properties, after=before)
     return warehouse
 
 
@@ -250,90 +268,45 @@ def open_published(
 ) -> Warehouse:
     """What ``publish_warehouse`` has published of the landing folder as it is now; never builds."""
     landing = Landing(spark, folder, as_of, this_year)
-    place, _ = _place(spark, landing, home, as_of, this_year)
-    return Warehouse(spark, landing, TableStore(spark, place, reopen=True), published=True)
-
-
-def _place(
-    spark: SparkSession, landing: Landing, home: str, as_of: str, this_year: int
-) -> tuple[str, int]:
-    """Where one state of a landing folder is published, and its size."""
-    state = folder_state(spark, *(landing.path(t) for t in LANDING_TABLES))
-    return f"{home.rstrip('/')}/{state.name}-{as_of}-{this_year}", state.bytes
-
+    state, _ = _state(spark, landing, as_of, this_year)
+    found = Manifests(spark, home).latest(state=state)
+    store = TableStore(spark, f"{home.rstrip('/')}/{state}", at=found and found.tables)
+    return Warehouse(spark, landing, store, published=True)
 
-# -- the layered load --------------------------------------------------------
 
+def open_snapshot(spark: SparkSession, home: str, number: int | None = None) -> Warehouse:
+    """The newest committed load below ``home``, or that of a manifest's number; never builds.
 
-def load_bronze(
-    warehouse: Warehouse, store: TableStore, run_id: str, loaded_at: datetime
-) -> DataFrame:
-    """Write every bound entity, then the calendar over their dates, as raw tables with lineage.
-
-    Returns the manifest: table, source system, run and rows stored.
+    The landing folder is not looked at. Loads that commit later are not seen.
+    """
+    manifests = Manifests(spark, home)
+    found = manifests.latest() if number is None else manifests.read(number)
+    if found is None:
+        raise NotPublishedError(f"nothing is committed below {home}")
+    made = found.properties
+    landing = Landing(spark, made["landing"], made["as_of"], int(made["this_year"]))
+    store = TableStore(spark, f"{manifests.home}/{made['state']}", at=found.tables)
+    return Warehouse(spark, landing, store, published=True)
+
+
+def compact_published(
+    spark: SparkSession, home: str, tables: Iterable[str], file_bytes: int = TARGET_FILE_BYTES
+) -> Manifest:
+    """Merge small files of published gold tables and commit them as the newest manifest.
+
+    Files of the target's size stay in place; readers of earlier manifests notice nothing.
+    A load or compaction that commits meanwhile wins, and this one raises.
     """
+    manifests = Manifests(spark, home)
+    found = manifests.latest()
+    if found is None:
+        raise NotPublishedError(f"nothing is committed below {home}")
+    store = TableStore(spark, f"{manifests.home}/{found.properties['state']}", at=found.tables)
+    side_by_side(lambda name: compact(store, f"gold.{name}", file_bytes=file_bytes), list(tables))
+    return manifests.commit(store.snapshot(), found.properties, after=found.number)
 
-    def load(name: str, rows: DataFrame, source: str) -> DataFrame:
-        stamped = stamp_lineage(rows, f"landing.{source}", run_id, loaded_at)
-        return (
-            store.write(f"bronze.{name}_raw", stamped)
-            .groupBy("source_system", "pipeline_run_id")
-            .agg(F.count("*").alias("row_count"))
-            .select(F.lit(f"bronze.{name}_raw").alias("table_name"), "*")
-        )
-
-    warehouse.line()
-    stored = side_by_side(
-        lambda name: load(name, warehouse.entity(name), ENTITIES[name][2]), ENTITIES
-    )
-    ranges = calendar_ranges(lambda entity: store.read(f"bronze.{entity}_raw"))
-    stored.append(load("date", date_dimension(ranges, warehouse.landing.this_year), "calendar"))
-    return reduce(DataFrame.unionByName, stored)
-
-
-def load_silver(store: TableStore) -> DataFrame:
-    """Conform every raw table on its key, write it and verify the key; returns rows in and out."""
-    keys = {name: key for name, (_, key, _) in ENTITIES.items()} | {"date": "date_key"}
-
-    def load(name: str) -> DataFrame:
-        key, raw = keys[name], store.read(f"bronze.{name}_raw")
-        clean = store.write(f"silver.{name}", conform(raw, [key]))
-        require_unique(clean, [key], f"silver.{name}")
-        rows_out = clean.agg(F.count("*").alias("conformed_rows"))
-        return raw.agg(
-            F.lit(f"silver.{name}").alias("table_name"),
-            F.count("*").alias("raw_rows"),
-            F.count_if(F.col(key).isNull()).alias("null_keys"),
-        ).withColumn("conformed_rows", rows_out.scalar())
-
-    return reduce(DataFrame.unionByName, side_by_side(load, keys))
-
-
-def load_gold(store: TableStore) -> DataFrame:
-    """Publish the gold tables from the silver ones of the same store; returns rows per table."""
-
-    def gold(name: str) -> DataFrame:
-        return store.get(f"gold.{name}", lambda: build(name))
-
-    def build(name: str) -> DataFrame:
-        if name == "dim_date":
-            return require_unique(store.read("silver.date"), ["date_key"], "gold.dim_date")
-        return publish(name, store.read(f"silver.{GOLD_ENTITIES[name]}").drop(*LINEAGE_COLUMNS), gold)
-
-    counts = [
-        gold(name).agg(F.lit(f"gold.{name}").alias("table_name"), F.count("*").alias("row_count"))
-        for name in GOLD_TABLES
-    ]
-    return reduce(DataFrame.unionByName, counts)
-
-
-def refresh_calendar(
-    entities: Tables, store: TableStore, this_year: int, run_id: str, loaded_at: datetime
-) -> DataFrame:
-    """Rebuild only the calendar: raw, conformed and published; returns the published table."""
-    days = date_dimension(calendar_ranges(entities), this_year)
-    raw = store.write("bronze.date_raw", stamp_lineage(days, "calendar", run_id, loaded_at))
-    clean = store.write("silver.date", conform(raw, ["date_key"]))
-    require_unique(clean, ["date_key"], "silver.date")
-    published = store.write("gold.dim_date", clean.drop(*LINEAGE_COLUMNS))
-    return require_unique(published, ["date_key"], "gold.dim_date")
+
+def _state(spark: SparkSession, landing: Landing, as_of: str, this_year: int) -> tuple[str, int]:
+    """A name for one state of a landing folder and the dates it is judged on, and its size."""
+    state = folder_state(spark, *(landing.path(t) for t in LANDING_TABLES))
+    return f"{state.name}-{as_of}-{this_year}", state.bytes

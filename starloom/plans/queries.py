@@ -19,8 +19,17 @@ from starloom.operators.calendar import calendar_days
 from starloom.operators.conform import duplicate_keys, has_duplicates
 from starloom.operators.formatting import format_metrics, plain
 from starloom.operators.joins import lookup_join, orphan_rows
-from starloom.operators.layout import rewrite_clustered
+from starloom.operators.layout import compact, read_where, rewrite_clustered, rewrite_curved
 from starloom.operators.rollup import BROADCAST_BYTES, MetricModel
+from starloom.plans.layers import (
+    load_bronze,
+    load_gold,
+    load_raw,
+    load_silver,
+    refresh_calendar,
+    rejected_rows,
+    screen_sources,
+)
 from starloom.plans.measures import MEASURES
 from starloom.plans.models import MODEL_TABLES, model_table
 from starloom.plans.publish import (
@@ -28,11 +37,7 @@ from starloom.plans.publish import (
     FACTS,
     GOLD_ENTITIES,
     Warehouse,
-    load_bronze,
-    load_gold,
-    load_silver,
     open_warehouse,
-    refresh_calendar,
 )
 from starloom.sources import landing as bind
 from starloom.sources.store import side_by_side, stamp_lineage
@@ -54,6 +59,10 @@ CLUSTERED_FACTS = {
     "fact_asset_daily_status": ("status_date_key", "asset_daily_status_key"),
 }
 
+#: Keys are summed as residues below this, so that a sum over any table stays exact.
+KEY_RESIDUES = 1_000_003
+CURVE_COLUMNS, CURVE_FILE_BYTES, PRODUCT_RANGE = ("order_date_key", "customer_key", "product_key"), 32 * 1024 * 1024, (100, 199)
+
 YEAR_MONTH = ("date.calendar_year", "date.calendar_month")
 # Home table → model and the attribute its measures are shown by.
 MEASURE_AXES = {
@@ -120,23 +129,44 @@ def lineage_stamp(w: Warehouse) -> DataFrame:
 
 
 def bronze_load(w: Warehouse) -> DataFrame:
-    return load_bronze(w, w.sibling_store("bronze"), RUN_ID, LOADED_AT)
+    return load_bronze(w.landing, w.sibling_store("bronze"), RUN_ID, LOADED_AT)
 
 
 def silver_load(w: Warehouse) -> DataFrame:
+    """What became of all rows: kept, or rejected for their keys or codes."""
     store = w.sibling_store("silver")
-    load_bronze(w, store, RUN_ID, LOADED_AT)
+    load_bronze(w.landing, store, RUN_ID, LOADED_AT)
     return load_silver(store)
 
 
 def gold_load(w: Warehouse) -> DataFrame:
     """The layered load to its end, in a store of its own; rows of each gold table."""
     store = w.sibling_store("layered")
-    load_bronze(w, store, RUN_ID, LOADED_AT)
+    load_bronze(w.landing, store, RUN_ID, LOADED_AT)
     load_silver(store)
     return load_gold(store)
 
 
+def quarantine_report(w: Warehouse) -> DataFrame:
+    """Rejected rows of the landing tables by source file and reason."""
+    store = w.sibling_store("quarantine")
+    load_raw(w.landing, store, RUN_ID, LOADED_AT)
+    screen_sources(store)
+    return rejected_rows(store)
+
+
+def content_of(name: str, rows: DataFrame) -> DataFrame:
+    """What a rewritten fact holds: rows, days, and a sum over all row keys that no lost or doubled row keeps."""
+    day, row = CLUSTERED_FACTS[name]
+    return rows.agg(
+        F.lit(name).alias("table_name"),
+        F.count("*").alias("row_count"),
+        F.min(day).alias("first_date_key"),
+        F.max(day).alias("last_date_key"),
+        F.sum(c.digest_bucket(row, KEY_RESIDUES)).alias("row_key_digest"),
+    )
+
+
 def clustered_rewrite(w: Warehouse) -> DataFrame:
     """The seven large facts rewritten by date beside the published ones; what each holds."""
     beside = w.sibling_store("clustered")
@@ -144,17 +174,42 @@ def clustered_rewrite(w: Warehouse) -> DataFrame:
     def rewrite(name: str) -> DataFrame:
         day, row = CLUSTERED_FACTS[name]
         w.table(name)
-        return rewrite_clustered(w.store, f"gold.{name}", day, row, into=beside).agg(
-            F.lit(name).alias("table_name"),
-            F.count("*").alias("row_count"),
-            F.min(day).alias("first_date_key"),
-            F.max(day).alias("last_date_key"),
-            F.max(row).alias("last_row_key"),
-        )
+        return content_of(name, rewrite_clustered(w.store, f"gold.{name}", day, row, into=beside))
 
     return reduce(DataFrame.unionByName, side_by_side(rewrite, CLUSTERED_FACTS))
 
 
+def compacted_facts(w: Warehouse) -> DataFrame:
+    """The seven large facts with their small files merged, beside the published ones; what each holds."""
+    beside = w.sibling_store("compacted")
+
+    def merge(name: str) -> DataFrame:
+        w.table(name)
+        compact(w.store, f"gold.{name}", into=beside)
+        return content_of(name, beside.read(f"gold.{name}"))
+
+    return reduce(DataFrame.unionByName, side_by_side(merge, CLUSTERED_FACTS))
+
+
+def curve_clustered_scan(w: Warehouse) -> DataFrame:
+    """Sales of some products from a fact laid along a curve through day, customer and product.
+
+    Files whose own range of products does not meet the filter are not opened.
+    """
+    name, beside = "gold.fact_sales_order_line", w.sibling_store("curved")
+    w.table("fact_sales_order_line")
+    rewrite_curved(w.store, name, CURVE_COLUMNS, "sales_order_line_key", into=beside, file_bytes=CURVE_FILE_BYTES)
+    return (
+        read_where(beside, name, {"product_key": PRODUCT_RANGE})
+        .groupBy("product_key")
+        .agg(
+            F.count("*").alias("n_lines"),
+            F.sum("quantity").cast("double").alias("units_sold"),
+            F.sum(c.digest_bucket("sales_order_line_key", KEY_RESIDUES)).alias("row_key_digest"),
+        )
+    )
+
+
 # -- column rules ------------------------------------------------------------
 
 
@@ -323,7 +378,7 @@ def preferred_supplier(w: Warehouse) -> DataFrame:
 
 
 def conform_dedup(w: Warehouse) -> DataFrame:
-    lines = bind.conformed_lineitem(w.landing)
+    lines = bind.conformed_lineitem(w.landing, w.sibling_store("conform"))
     return lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
 
 
@@ -698,7 +753,10 @@ OPERATORS: dict[str, Query] = {
     "bronze_load": bronze_load,
     "silver_load": silver_load,
     "gold_load": gold_load,
+    "quarantine_report": quarantine_report,
     "clustered_rewrite": clustered_rewrite,
+    "compacted_facts": compacted_facts,
+    "curve_clustered_scan": curve_clustered_scan,
     "hash_bucket_assign": hash_bucket_assign,
     "digest_bucket_assign": digest_bucket_assign,
     "code_lookup": code_lookup,

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import columns as c
-from starloom.operators.conform import conform, duplicate_keys, has_key
-from starloom.sources.store import TableStore, literal_rows
+from starloom.operators.conform import conform, has_key
+from starloom.sources.store import LINEAGE_COLUMNS, SOURCE_FILE, TableStore, literal_rows
 
 LANDING_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -28,6 +28,7 @@ LANDING_KEYS = {
     "supplier": ["s_suppkey"],
     "part": ["p_partkey"],
     "orders": ["o_orderkey"],
+    "lineitem": ["l_orderkey", "l_linenumber"],
     "events": ["event_id"],
 }
 
@@ -52,6 +53,21 @@ SALES_CHANNELS = (
 )
 
 
+# The codes that the binding gives a meaning to; rows with others are rejected.
+BOUND_CODES = {
+    "orders": {"o_orderstatus": ("F", "O", "P")},
+    "lineitem": {"l_returnflag": ("A", "N", "R"), "l_linestatus": ("F", "O")},
+}
+
+
+def bound_codes(table: str) -> dict[str, Column]:
+    """Whether the codes of a landing table are bound, by column."""
+    known = {name: F.col(name).isin(*codes) for name, codes in BOUND_CODES.get(table, {}).items()}
+    if table == "orders":
+        known["o_orderpriority"] = channel_key("o_orderpriority").isin(*(row[0] for row in SALES_CHANNELS))
+    return known
+
+
 class Landing:
     """The source files of one folder, and the day that its statuses are judged on."""
 
@@ -74,11 +90,11 @@ class Landing:
 
 
 class ConformedLanding:
-    """Landing tables with complete, unique keys, as the entities are bound to them.
+    """Landing tables with complete, unique keys and known codes, as the entities are bound to them.
 
-    A table is rewritten only if a key repeats, which its key column alone can
-    tell; otherwise dropping rows without a key is all there is to do. Lines are
-    conformed where they are bound (``line``).
+    A table is rewritten only if a key repeats, which its key columns alone can tell;
+    otherwise a filter is all there is to do. Lines are read once, where they are bound
+    (``line``), so they are not written before.
     """
 
     def __init__(self, landing: Landing, store: TableStore):
@@ -96,15 +112,30 @@ class ConformedLanding:
             return self._tables[table]
 
     def _conform(self, table: str) -> DataFrame:
-        raw, keys = self.landing(table), LANDING_KEYS.get(table)
-        if keys is None:
-            return raw
-        if duplicate_keys(raw, keys).isEmpty():
-            return raw.where(has_key(keys))
-        return self.store.write(f"conformed.{table}", conform(raw, keys))
+        clean = conform(
+            self.landing(table),
+            LANDING_KEYS[table],
+            bound_codes(table),
+            lambda name, df: self.store.get(f"work.{table}_{name}", lambda: df),
+        )
+        if table == "lineitem" or self.store.read(f"work.{table}_repeated_keys").isEmpty():
+            return clean
+        return self.store.get(f"conformed.{table}", lambda: clean)
+
+
+class StoredSources:
+    """Landing tables as an earlier load conformed them in a store."""
+
+    def __init__(self, store: TableStore, as_of: Column):
+        self.spark = store.spark
+        self.store = store
+        self.as_of = as_of
+
+    def __call__(self, table: str) -> DataFrame:
+        return self.store.read(f"conformed.{table}").drop(*LINEAGE_COLUMNS, SOURCE_FILE)
 
 
-Tables = Landing | ConformedLanding
+Tables = Landing | ConformedLanding | StoredSources
 
 
 def day(name: str) -> Column:
@@ -147,17 +178,18 @@ def places(landing: Tables) -> DataFrame:
 # -- the conformed line ------------------------------------------------------
 
 
-def conformed_lineitem(landing: Tables) -> DataFrame:
-    return conform(landing("lineitem"), ["l_orderkey", "l_linenumber"])
+def conformed_lineitem(landing: Landing, store: TableStore) -> DataFrame:
+    """Order lines of the landing folder, one per order and line number."""
+    return ConformedLanding(landing, store)("lineitem")
 
 
 def line(landing: Tables) -> DataFrame:
-    """Conformed order lines with the few parent columns that every fact takes.
+    """Order lines with the few parent columns that every fact takes.
 
     Stored once: the lookups are joined here a single time instead of once per
     fact, and all facts become scans of this table.
     """
-    li = conformed_lineitem(landing)
+    li = landing("lineitem")
     orders = landing("orders").select(
         "o_orderkey", day("o_orderdate").alias("order_date"), criticality("o_orderpriority").alias("priority")
     )

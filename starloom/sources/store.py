@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+import json
 import math
+import re
 import threading
 import time
 import uuid
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from typing import NamedTuple, TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 T = TypeVar("T")
 JOBS_AT_ONCE = 8
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 LINEAGE_COLUMNS = ("ingestion_timestamp", "pipeline_run_id", "source_system")
+#: An empty file in a version whose rows were all written and found right.
+VERIFIED = "_VERIFIED"
+#: The file that a raw row was read from.
+SOURCE_FILE = "source_file"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -87,31 +94,72 @@ def stamp_lineage(
     return df.withColumns({when: moment(loaded_at), run: F.lit(run_id), system: origin})
 
 
+def version_of(path: str) -> str:
+    """The name of the version folder that a table's folder or file belongs to."""
+    parts = [part for part in path.split("/") if re.fullmatch(r"(v|p|files-)[0-9]{20}-[0-9a-f]{8}", part)]
+    return parts[-1] if parts else path
+
+
+class StoredTable(NamedTuple):
+    """A table as a manifest names it: a folder of files or a list of files, and its schema."""
+
+    path: str
+    schema: str
+    listed: bool = False
+
+
 class TableStore:
     """Named tables below one folder.
 
-    Each write goes to a new version directory and then becomes the table, so a
-    job may replace a table it reads and a failed one replaces nothing. A version is
-    complete once its success marker is written; ``reopen`` takes up the last complete
-    version of every table, whichever application wrote it.
+    Each write goes to a new version directory and then becomes the table, so a job may
+    replace a table it reads and a failed one replaces nothing. ``snapshot`` says which
+    version of each table this store has now; a load that commits it as a manifest
+    (``starloom.sources.manifest``) makes all its tables visible at once, and ``at`` opens
+    just these. ``reopen`` takes up the last complete version of every table, committed or
+    not, so that a load that was broken off can go on.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, reopen: bool = False):
+    def __init__(
+        self, spark: SparkSession, folder: str, reopen: bool = False, at: Mapping[str, StoredTable] | None = None
+    ):
         self.spark = spark
-        self.folder = folder
+        self.folder = folder.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
-        self._paths: dict[str, str] = {}
+        self._stored: dict[str, StoredTable] = {}
         self._bytes: dict[str, int] = {}
         self._locks: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
         self._guard = threading.Lock()
+        for name, stored in (at or {}).items():
+            self._become(name, stored)
         if reopen:
-            for name, versions in self._complete().items():
-                self._paths[name] = versions[-1]
-                self._tables[name] = spark.read.parquet(versions[-1])
-
-    def _complete(self) -> dict[str, list[str]]:
-        """Complete versions of each table, oldest first; names sort by the time of writing."""
-        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/*/*/v*/_SUCCESS")
+            for name, versions in self._versions(f"v*/{VERIFIED}").items():
+                if name not in self._stored:
+                    found = spark.read.parquet(versions[-1])
+                    self._become(name, StoredTable(versions[-1], found.schema.json()), found)
+
+    def _become(self, name: str, stored: StoredTable, df: DataFrame | None = None) -> None:
+        self._stored[name] = stored
+        self._bytes.pop(name, None)
+        if df is None:
+            self._tables.pop(name, None)  # opened when it is read
+        else:
+            self._tables[name] = df
+
+    def _open(self, stored: StoredTable) -> DataFrame:
+        schema = StructType.fromJson(json.loads(stored.schema))
+        if not stored.listed:
+            return self.spark.read.schema(schema).parquet(stored.path)
+        return self.files_as_table([r.path for r in self.spark.read.parquet(stored.path).collect()], schema)
+
+    def files_as_table(self, paths: Sequence[str], schema: StructType) -> DataFrame:
+        """Files of a table as one DataFrame; none are an empty one."""
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def _versions(self, marked: str) -> dict[str, list[str]]:
+        """Versions of each table that hold a marker, oldest first; names sort by the time of writing."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/*/*/{marked}")
         files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
         found: dict[str, list[str]] = {}
         for file in files or []:
@@ -121,17 +169,23 @@ class TableStore:
             found.setdefault(name, []).append(version.toString())
         return {name: sorted(paths) for name, paths in found.items()}
 
-    def drop_old_versions(self) -> int:
-        """Delete all complete versions but the current ones; returns how many.
+    def drop_old_versions(self, named: Iterable[str] = ()) -> int:
+        """Delete all written versions but the current ones; returns how many.
 
-        A job of its own, for when no other application still reads an older version.
+        ``named`` are folders that other manifests still name. A version of which the
+        current list of a table holds a file stays whole. A job of its own, for when no
+        other application still reads an older version.
         """
+        kept = {version_of(path) for path in named}
+        for stored in self._stored.values():
+            kept.add(version_of(stored.path))
+            if stored.listed:
+                kept |= {version_of(r.path) for r in self.spark.read.parquet(stored.path).collect()}
         dropped = 0
-        for name, paths in self._complete().items():
+        for name, paths in self._versions("{v,p,files-}*/_SUCCESS").items():
             with self._lock(name):
-                current = self._paths.get(name, paths[-1]).rstrip("/").rpartition("/")[2]
                 for path in paths:
-                    if path.rpartition("/")[2] != current:
+                    if version_of(path) not in kept and name in self._stored:
                         old = self.spark._jvm.org.apache.hadoop.fs.Path(path)
                         system = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
                         dropped += bool(system.delete(old, True))
@@ -142,47 +196,89 @@ class TableStore:
             return self._locks[name]
 
     def __contains__(self, name: str) -> bool:
-        return name in self._tables
+        return name in self._stored
+
+    def snapshot(self) -> dict[str, StoredTable]:
+        """Which stored version each table is at this moment."""
+        with self._guard:
+            return dict(self._stored)
+
+    def new_version(self, name: str, kind: str = "v") -> str:
+        """A folder for a new version of a table; later ones sort after earlier ones.
+
+        ``v`` holds all rows of a table, ``p`` a part of them, ``files-`` a list of files.
+        """
+        return f"{self.folder}/{name.replace('.', '/')}/{kind}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Write ``df`` as the table ``name`` and return the stored table."""
-        version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        path = f"{self.folder}/{name.replace('.', '/')}/{version}"
+    def write(self, name: str, df: DataFrame, verify: Callable[[], None] | None = None) -> DataFrame:
+        """Write ``df`` as the table ``name`` and return the stored table.
+
+        ``verify`` is called when all rows are written. If it raises, the table stays what it
+        was; the version that was written is not marked as verified and never taken up.
+        """
+        path = self.new_version(name)
         df.write.mode("overwrite").parquet(path)
+        if verify is not None:
+            verify()
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERIFIED}")
+        marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(marker, True).close()
+        with self._lock(name):
+            found = self.spark.read.schema(df.schema).parquet(path)
+            self._become(name, StoredTable(path, df.schema.json()), found)
+        return found
+
+    def write_work(self, name: str, df: DataFrame) -> DataFrame:
+        """Write an intermediate table, which no snapshot for readers has to name."""
+        return self.write(f"work.{name}", df)
+
+    def adopt(self, name: str, stored: StoredTable) -> DataFrame:
+        """Let files that are stored already be the table ``name``."""
         with self._lock(name):
-            self._paths[name] = path
-            self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
-            self._bytes.pop(name, None)
-        return self._tables[name]
+            self._become(name, stored)
+            return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        return self._tables[name]
+        with self._lock(name):
+            if name not in self._tables:
+                self._tables[name] = self._open(self._stored[name])
+            return self._tables[name]
+
+    def stored(self, name: str) -> StoredTable:
+        return self._stored[name]
 
-    def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def get(self, name: str, build: Callable[[], DataFrame | tuple[DataFrame, Callable[[], None]]]) -> DataFrame:
         """The stored table, built and written first if this run has not done so.
 
-        Tables have a lock each: independent ones may be built side by side.
+        ``build`` gives rows, or rows and what verifies them once written. Tables have a
+        lock each: independent ones may be built side by side.
         """
         with self._lock(name):
-            if name not in self._tables:
-                self.write(name, build())
-            return self._tables[name]
+            if name not in self._stored:
+                made = build()
+                self.write(name, *(made if isinstance(made, tuple) else (made,)))
+            return self.read(name)
 
     def size_in_bytes(self, name: str) -> int:
         """Bytes on storage, from a file listing."""
         if name not in self._bytes:
-            total = file_listing(self.spark, self._paths[name]).agg(F.sum("length")).first()[0]
+            stored = self._stored[name]
+            if stored.listed:
+                total = self.spark.read.parquet(stored.path).agg(F.sum("bytes")).first()[0]
+            else:
+                total = file_listing(self.spark, stored.path).agg(F.sum("length")).first()[0]
             self._bytes[name] = total or 0
         return self._bytes[name]
 
     def register(self, layer: str, database: str) -> None:
         """Make the tables of a layer queryable by SQL as ``database.table``."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        for name, path in sorted(self._paths.items()):
+        for name, stored in sorted(self._stored.items()):
             of_layer, _, table = name.partition(".")
             if of_layer == layer:
                 self.spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-                self.spark.catalog.createTable(f"{database}.{table}", path=path, source="parquet")
+                if stored.listed:
+                    raise ValueError(f"{name} is a list of files, which a database can't name: rewrite it first")
+                self.spark.catalog.createTable(f"{database}.{table}", path=stored.path, source="parquet")
 
 
 def literal_rows(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence]) -> DataFrame:

@@ -14,6 +14,7 @@ from starloom.operators.conform import (
 from starloom.operators.joins import (
     JoinGuardError,
     UnmatchedKeysWarning,
+    guarded_left_join,
     join_guard,
     orphan_rows,
     require_no_orphans,
@@ -114,3 +115,45 @@ def test_orphans_ignore_null_keys(spark, parent, rows):
         require_no_orphans(child, "k", parent, "k", "child to parent")
     kept = child.where("k = 1 OR k IS NULL")
     assert require_no_orphans(kept, "k", parent, "k", "child to parent") is kept
+
+
+def test_guard_while_writing(spark, parent, rows, tmp_path):
+    from starloom.sources.store import TableStore
+
+    store = TableStore(spark, str(tmp_path))
+    child = spark.createDataFrame([("a", 1), ("b", 1), ("c", None)], "id string, k int")
+    made = guarded_left_join(child, parent, "k", "child to parent")
+    assert rows(store.write("gold.t", *made)) == rows(safe_left_join(child, parent, "k", "child to parent"))
+    lost = spark.createDataFrame([("a", 9), ("b", 1), ("c", 8)], "id string, k int")
+    with pytest.raises(JoinGuardError, match="2 rows have a k the parent lacks"):
+        store.write("gold.t", *guarded_left_join(lost, parent, "k", "child to parent"))
+    with pytest.raises(JoinGuardError, match="lacks"):
+        store.get("gold.new", lambda: guarded_left_join(lost, parent, "k", "child to parent"))
+    assert "gold.new" not in store and store.read("gold.t").count() == 3
+    again = TableStore(spark, str(tmp_path), reopen=True)
+    assert "gold.new" not in again and again.read("gold.t").where("id = 'c' AND name IS NULL").count() == 1
+    with pytest.warns(UnmatchedKeysWarning):
+        store.write("gold.w", *guarded_left_join(lost, parent, "k", "child to parent", mandatory=False))
+    assert rows(store.read("gold.w")) == [("a", 9, None), ("b", 1, "one"), ("c", 8, None)]
+    with pytest.raises(JoinGuardError, match="repeat"):
+        guarded_left_join(child, parent.union(parent), "k", "child to parent")
+    store.write("gold.none", *guarded_left_join(child.limit(0), parent, "k", "child to parent"))
+    assert store.read("gold.none").count() == 0
+
+
+def test_guard_while_writing_reads_the_child_once(spark, tmp_path):
+    """The child's file is scanned by one plan node and shuffled by one exchange."""
+    spark.range(1000).select("id", (F.col("id") % 50).alias("k")).write.parquet(f"{tmp_path}/child")
+    spark.range(60).select(F.col("id").alias("k"), F.lit("x").alias("name")).write.parquet(f"{tmp_path}/parent")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        child, parent = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("child", "parent"))
+        made = guarded_left_join(child, parent, "k", "child to parent")
+        plan = made.rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet [id") == 1 and plan.count("Exchange hashpartitioning") == 2
+        assert "CollectMetrics" in plan
+        made.rows.write.parquet(f"{tmp_path}/out")
+        made.verify()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -9,7 +9,10 @@ import pytest
 from starloom.plans.queries import QUERIES
 
 # These run jobs of their own before they return a plan.
-EAGER = {"bronze_load", "silver_load", "gold_load", "clustered_rewrite", "validation_summary"}
+EAGER = {
+    "bronze_load", "silver_load", "gold_load", "quarantine_report", "clustered_rewrite", "compacted_facts",
+    "curve_clustered_scan", "validation_summary",
+}
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "PythonUDF", "InPandas")
 
 
