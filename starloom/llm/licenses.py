@@ -24,26 +24,6 @@ from starloom.llm.shingles import LOWER, UPPER, blocks, hash_at, positions, word
 SHINGLE, CONTAINMENT = 5, 0.8
 BANDS, ROWS = 24, 2
 
-# One-sentence notices by which common licenses are named.
-NOTICES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without "
-    "modification, are permitted provided that the following conditions are met",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 "
-    "International License.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, "
-    "v. 2.0.",
-}
-
-
-def notices(spark: SparkSession) -> DataFrame:
-    """(license_id, text) of ``NOTICES``."""
-    rows = F.array(*(F.struct(F.lit(k).alias("license_id"), F.lit(v).alias("text")) for k, v in NOTICES.items()))
-    return spark.range(0, 1, 1, 1).select(F.inline(rows))
-
 
 def common_licenses(spark: SparkSession) -> DataFrame:
     """(license_id, text, required) of ``license_texts.TEMPLATES``."""

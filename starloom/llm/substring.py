@@ -14,14 +14,13 @@ pre-aggregated, and joined back to the documents that have it too.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.shared import drop_stored, map_texts, stored, texts_of
@@ -85,7 +84,7 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(anchor, doc_id): the distinct anchors of each row of ``docs``."""
+    """(anchor, doc_id, part): the distinct anchors of each row of ``docs`` (doc_id, part, text)."""
 
     def per_batch(batch: pa.RecordBatch) -> dict:
         hashes = [np.unique(anchors_of(word_hashes(t.split()), window)[1]) for t in texts_of(batch)]
@@ -93,9 +92,10 @@ def anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return {
             "anchor": _signed(np.concatenate(hashes)),
             "doc_id": batch.column(0).take(pa.array(owner)),
+            "part": batch.column(1).take(pa.array(owner)),
         }
 
-    return map_texts(docs, per_batch, f"anchor long, doc_id {_kind(docs)}")
+    return map_texts(docs, per_batch, f"anchor long, doc_id {_kind(docs)}, part int")
 
 
 def _kind(docs: DataFrame) -> str:
@@ -103,11 +103,11 @@ def _kind(docs: DataFrame) -> str:
 
 
 def _candidate_windows(docs: DataFrame, window: int) -> DataFrame:
-    """(high, low, doc_id) of the distinct windows around shared anchors of each row."""
+    """(high, low, doc_id, part) of the distinct windows around shared anchors of each row."""
 
     def per_batch(batch: pa.RecordBatch) -> dict:
         high, low = [], []
-        lists = batch.column(2).to_pylist()
+        lists = batch.column(3).to_pylist()
         for text, shared in zip(texts_of(batch), lists):
             hashes = word_hashes(text.split())
             wanted = windows_around(hashes, np.array(shared or [], np.int64).view(np.uint64), window)
@@ -119,9 +119,10 @@ def _candidate_windows(docs: DataFrame, window: int) -> DataFrame:
             "high": _signed(np.concatenate(high)),
             "low": _signed(np.concatenate(low)),
             "doc_id": batch.column(0).take(pa.array(owner)),
+            "part": batch.column(1).take(pa.array(owner)),
         }
 
-    return map_texts(docs, per_batch, f"high long, low long, doc_id {_kind(docs)}")
+    return map_texts(docs, per_batch, f"high long, low long, doc_id {_kind(docs)}, part int")
 
 
 def _later_than_first(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -136,56 +137,54 @@ def _later_than_first(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(shared, keys)
 
 
-def _let_go() -> None:
-    """Let Spark delete the shuffle files of jobs whose results are stored."""
-    from pyspark.sql import SparkSession
+def _part() -> Column:
+    """A number of the text: lists are kept by id and text, so that an id on many rows has many short ones.
 
-    gc.collect()
-    SparkSession.getActiveSession()._jvm.System.gc()
+    Two texts of an id with one number share a list, which changes nothing: whether a window
+    also stands in a document with a smaller id is the same for both.
+    """
+    return F.pmod(F.xxhash64("text"), F.lit((1 << 31) - 1)).cast("int")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, windows, copies): what of a document also starts in one with a smaller id.
+    """(repeating, repeating_part, windows, copies): what of a text also starts under a smaller id.
 
-    ``windows``: hashes of such windows. ``copies``: md5 of the document's texts that
-    are whole texts of a document with a smaller id; their windows are not listed, as
-    all of them repeat. Documents with neither have no row.
+    ``windows``: hashes of such windows. ``copies``: md5 of the text if it is a whole text of
+    a document with a smaller id; its windows are not listed, as all of them repeat. Texts
+    with neither have no row.
     """
-    named = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-    texts = named.select("doc_id", F.md5(F.col("text").cast("binary")).alias("copy"))
+    named = docs.where("doc_id is not null and text is not null").select("doc_id", _part().alias("part"), "text")
+    texts = named.select("doc_id", "part", F.md5(F.col("text").cast("binary")).alias("copy"))
     copies = stored(
-        _later_than_first(texts, ["copy"]).where("doc_id > first").select("doc_id", "copy"), "copies"
+        _later_than_first(texts, ["copy"]).where("doc_id > first").select("doc_id", "part", "copy").distinct(), "copies"
     )
     all_anchors = stored(anchors(named, window), "anchors")
-    shared = _later_than_first(all_anchors, ["anchor"])
-    marks = shared.select("doc_id", "anchor", F.lit(None).cast("string").alias("copy")).union(
-        copies.select("doc_id", F.lit(None).cast("long").alias("anchor"), "copy")
+    shared = _later_than_first(all_anchors, ["anchor"]).select(
+        F.col("doc_id").alias("marked"), F.col("part").alias("marked_part"), "anchor"
     )
-    by_doc = stored(
-        marks.groupBy(F.col("doc_id").alias("marked"))
-        .agg(F.collect_list("anchor").alias("shared"), F.collect_set("copy").alias("copies")),
-        "marks",
+    by_text = shared.groupBy("marked", "marked_part").agg(F.collect_set("anchor").alias("shared"))
+    own = named.join(
+        by_text, (F.col("doc_id") == F.col("marked")) & (F.col("part") == F.col("marked_part"))
+    ).select("doc_id", "part", "text", "shared")
+    copied = copies.select(F.col("doc_id").alias("copy_id"), F.col("part").alias("copy_part"), "copy")
+    is_copy = (
+        (F.col("doc_id") == F.col("copy_id"))
+        & (F.col("part") == F.col("copy_part"))
+        & (F.md5(F.col("text").cast("binary")) == F.col("copy"))
     )
+    windows = stored(_candidate_windows(own.join(copied, is_copy, "left_anti"), window), "windows")
     drop_stored(all_anchors)
-    _let_go()
-    with_marks = named.join(by_doc, F.col("doc_id") == F.col("marked"))
-    own = with_marks.where(~F.array_contains("copies", F.md5(F.col("text").cast("binary"))))
-    windows = stored(
-        _candidate_windows(own.select("doc_id", "text", "shared"), window), "windows"
-    )
-    drop_stored(by_doc)
-    _let_go()
     repeated = _later_than_first(windows, ["high", "low"]).where("doc_id > first")
-    rows = repeated.select("doc_id", "high", F.lit(None).cast("string").alias("copy")).union(
-        copies.select("doc_id", F.lit(None).cast("long").alias("high"), "copy")
+    rows = repeated.select("doc_id", "part", "high", F.lit(None).cast("string").alias("copy")).union(
+        copies.select("doc_id", "part", F.lit(None).cast("long").alias("high"), "copy")
     )
     out = stored(
-        rows.groupBy(F.col("doc_id").alias("repeating"))
-        .agg(F.collect_list("high").alias("windows"), F.collect_set("copy").alias("copies")),
+        rows.groupBy(F.col("doc_id").alias("repeating"), F.col("part").alias("repeating_part")).agg(
+            F.collect_set("high").alias("windows"), F.collect_set("copy").alias("copies")
+        ),
         "repeats",
     )
     drop_stored(windows)
-    _let_go()
     return out
 
 
@@ -216,7 +215,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     found = repeats(docs, window)
     plain = docs.select("doc_id", "text").join(
-        found, F.col("doc_id") == F.col("repeating"), "left"
+        found, (F.col("doc_id") == F.col("repeating")) & (_part() == F.col("repeating_part")), "left"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

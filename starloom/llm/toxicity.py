@@ -14,14 +14,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.shared import stored
+
 #: Hashed subword vectors, their length, and the lengths of n-grams.
 BUCKETS, DIMENSIONS, SHORTEST, LONGEST = 1 << 17, 8, 3, 5
 #: At most so many texts of either label are learned from, and so many words of a text's ends
 #: are one subword run: longer "words" are cut into pieces of this length.
 MAX_TRAIN, LONGEST_WORD = 3_000, 64
+#: Bytes of texts of either label that are learned from, and of the longest such text.
+MAX_BYTES, LONGEST_TEXT = 32 * 1024 * 1024, 256 * 1024
 EPOCHS, BATCH, RATE = 8, 64, 0.5
 #: Words whose subword sums a worker remembers.
 REMEMBERED = 500_000
@@ -157,21 +161,34 @@ class Scorer:
         return float(1 / (1 + np.exp(-min(30.0, max(-30.0, logit)))))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tuple:
-    """About ``max_train`` texts at most of either label, by a hash of the id; labels; shares.
+def _share(column: str | Column, shares: dict[int, float]) -> Column:
+    """Whether the hash of a column falls into the share of a row's label."""
+    hashed = F.pmod(F.xxhash64(column, F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
+    share = F.lit(0.0)
+    for label, part in shares.items():
+        share = F.when(F.col("toxic") == label, part).otherwise(share)
+    return hashed < share
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_bytes: int = MAX_BYTES
+) -> tuple:
+    """About ``max_train`` texts and ``max_bytes`` at most of either label; their labels; shares.
 
-    Labels are counted and sampled by themselves; only the sample, whose size the bound
-    gives, is sent to the texts, which so are read but not shuffled.
+    Labels are counted and sampled by a hash of the id first; only that sample, whose size the
+    bound gives, is sent to the texts, which so are read but not shuffled. An id may still
+    stand on any number of rows: the distinct texts met are stored, counted and sampled again,
+    by a hash of the text, and only what is left by both bounds comes to the driver. Texts
+    longer than ``LONGEST_TEXT`` are not learned from; they are scored as any other.
     """
-    rows = labels.select("doc_id", F.col("toxic").cast("int")).where("toxic in (0, 1)")
+    rows = labels.select("doc_id", F.col("toxic").cast("int")).where("toxic in (0, 1) AND doc_id IS NOT NULL").distinct()
     sizes = dict(rows.groupBy("toxic").count().collect())
-    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.lit(0.0)
-    for label, count in sizes.items():
-        share = F.when(F.col("toxic") == label, min(1.0, max_train / count)).otherwise(share)
-    sample = rows.where(hashed < share)
-    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    pairs = sorted((r.text, r.toxic) for r in found.join(F.broadcast(sample), "doc_id").collect())
+    sample = rows.where(_share("doc_id", {label: min(1.0, max_train / count) for label, count in sizes.items()}))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= LONGEST_TEXT)
+    met = stored(texts.join(F.broadcast(sample), "doc_id").select("text", "toxic").distinct(), "toxicity-sample")
+    found = met.groupBy("toxic").agg(F.count("*").alias("count"), F.sum(F.octet_length("text")).alias("bytes")).collect()
+    kept = {r.toxic: min(1.0, max_train / r["count"], max_bytes / max(1, r.bytes)) for r in found}
+    pairs = sorted((r.text, r.toxic) for r in met.where(_share("text", kept)).collect())
     if not pairs:
         return [], [], None
     total = sum(sizes.values())
@@ -179,12 +196,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
     return [t for t, _ in pairs], [k for _, k in pairs], shares
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
+def learn(
+    docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_bytes: int = MAX_BYTES
+) -> Model:
     """A model from texts (doc_id, text) and labels (doc_id, toxic 0 or 1).
 
-    Other labels, null, and labels without a document are left out.
+    Other labels, null ids, and labels without a document are left out. Every distinct text
+    of an id takes its label; a text under both labels is learned from under both. Repeated
+    rows count once.
     """
-    return train(*labelled_sample(docs, labels, max_train))
+    return train(*labelled_sample(docs, labels, max_train, max_bytes))
 
 
 def scorer(model: Model):

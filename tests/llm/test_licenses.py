@@ -55,7 +55,8 @@ def test_against_all_windows(spark, documents, odd_rows):
 
 def test_notices_and_no_templates(spark, documents):
     docs = documents([(1, "x. Released under the MIT license, y"), (2, "released under")])
-    found = found_of(licenses.license_matches(docs, licenses.notices(spark)))
+    notice = spark.createDataFrame([("MIT", "Released under the MIT License.")], "license_id string, text string")
+    found = found_of(licenses.license_matches(docs, notice))
     assert found == [(1, (("MIT", 1.0),)), (2, ())]
     none = spark.createDataFrame([], "license_id string, text string")
     assert found_of(licenses.license_matches(docs, none)) == [(1, ()), (2, ())]
@@ -67,8 +68,8 @@ def licenses_of(spark, documents, rows):
     return {r.doc_id: [m.license for m in r.matches] for r in found}
 
 
-def test_full_texts_and_versions(spark, documents):
-    """Bodies and headers, edited ones too; versions that differ in a word are told apart."""
+def full_texts():
+    """Texts and the licenses in them: bodies, headers, edited ones, and versions that differ in a word."""
     from starloom.llm import license_texts as t
 
     r = random.Random(9)
@@ -108,8 +109,39 @@ def test_full_texts_and_versions(spark, documents):
         (t._APACHE_OPENING + " " + mit, ["Apache-2.0", "MIT"]),
         ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
     ]
-    rows = [(k, around(text)) for k, (text, _) in enumerate(cases)]
-    assert licenses_of(spark, documents, rows) == {k: names for k, (_, names) in enumerate(cases)}
+    return [(around(text), names) for text, names in cases]
+
+
+def test_full_texts_and_versions(spark, documents):
+    cases = full_texts()
+    found = licenses_of(spark, documents, [(k, text) for k, (text, _) in enumerate(cases)])
+    assert found == {k: names for k, (_, names) in enumerate(cases)}
+
+
+def test_sql_is_of_the_operator(spark, documents, tmp_path):
+    """Both engines agree on full, edited and wrong-version texts, and on every template itself."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from starloom.llm.license_texts import TEMPLATES
+    from starloom.llm.queries import LLM_QUERIES, LLM_SQL
+
+    texts = [text for text, _ in full_texts()] + [t.text for t in TEMPLATES]
+    r = random.Random(3)
+    for t in TEMPLATES:
+        words = t.text.split()
+        for k in range(max(1, len(words) // 9)):
+            words[r.randrange(len(words))] = f"changed{k}"
+        texts.append("before " + " ".join(words) + " after")
+    rows = [*enumerate(texts), (9000, None), (9001, ""), (9002, "gnu general public")]
+    documents(rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    other = duckdb.connect()
+    other.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    right = other.sql(LLM_SQL["op10_licenses"])
+    found = LLM_QUERIES["op10_licenses"](spark, str(tmp_path)).select(*[F.col(c) for c in right.columns]).collect()
+    expected = sorted(right.fetchall())
+    assert sorted(map(tuple, found)) == expected
+    assert sum(n > 0 for _, n, _, _ in expected) > 100
 
 
 def test_one_match_for_a_license_of_several_sizes(spark, documents):
