@@ -89,7 +89,8 @@ def _exploded(df: DataFrame, count: str, name: str) -> DataFrame:
     chunks = df.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     first = F.col("__chunk") * CHUNK + 1
     up_to = F.least(F.col(count).cast("long"), first + (CHUNK - 1))
-    return chunks.withColumn(name, F.explode(F.sequence(first, up_to)).cast("int")).drop("__chunk")
+    numbers = F.sequence(first.cast("int"), up_to.cast("int"))
+    return chunks.withColumn(name, F.explode(numbers)).drop("__chunk")
 
 
 def _named(docs: DataFrame) -> DataFrame:

@@ -75,5 +75,17 @@ def test_against_all_windows(documents, odd_rows, seed):
     assert sorted(map(tuple, found), key=repr) == brute(rows, 50)
 
 
+def test_an_id_on_many_rows(documents):
+    """Two thousand rows of one id, a passage in all of them: lists stay as long as a row's own text."""
+    r = random.Random(4)
+    passage = " ".join(r.choices([f"w{i}" for i in range(900)], k=60))
+    rows = [(5, f"{' '.join(r.choices('abcdefgh', k=60))} {passage} n{i}") for i in range(2_000)]
+    rows += [(1, passage), (9, passage + " end"), (None, passage)]
+    docs = documents(rows)
+    longest = max(len(x.windows) for x in substring.repeats(docs).collect())
+    assert longest <= 60
+    assert sorted(map(tuple, substring.without_repeats(docs).collect()), key=repr) == brute(rows, 50)
+
+
 def test_empty(documents):
     assert substring.without_repeats(documents([])).collect() == []
