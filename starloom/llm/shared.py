@@ -55,6 +55,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return found
 
 
+#: Spark's setting that deletes the shuffle files of a statement when it ends.
+SHUFFLES_END = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored_alone(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, and the shuffle files of the write are deleted when it ends.
+
+    For chains of large intermediate tables: otherwise the files of every step stay until the
+    driver happens to collect its garbage.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLES_END, None)
+    conf.set(SHUFFLES_END, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.set(SHUFFLES_END, before) if before is not None else conf.unset(SHUFFLES_END)
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete the files of a table made by ``stored`` that no later plan reads."""
     spark = df.sparkSession

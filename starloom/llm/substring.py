@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.shared import drop_stored, map_texts, stored, texts_of
+from starloom.llm.shared import drop_stored, map_texts, stored_alone, texts_of
 
 #: A perfect difference set, every difference modulo 31 exactly once.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
@@ -127,7 +127,7 @@ def _candidate_windows(docs: DataFrame, window: int) -> DataFrame:
 
 def _later_than_first(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key also stands in a document with a smaller id, plus that id as ``first``."""
-    shared = stored(
+    shared = stored_alone(
         rows.groupBy(*keys)
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where("first < last")
@@ -155,10 +155,10 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     named = docs.where("doc_id is not null and text is not null").select("doc_id", _part().alias("part"), "text")
     texts = named.select("doc_id", "part", F.md5(F.col("text").cast("binary")).alias("copy"))
-    copies = stored(
+    copies = stored_alone(
         _later_than_first(texts, ["copy"]).where("doc_id > first").select("doc_id", "part", "copy").distinct(), "copies"
     )
-    all_anchors = stored(anchors(named, window), "anchors")
+    all_anchors = stored_alone(anchors(named, window), "anchors")
     shared = _later_than_first(all_anchors, ["anchor"]).select(
         F.col("doc_id").alias("marked"), F.col("part").alias("marked_part"), "anchor"
     )
@@ -172,13 +172,13 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         & (F.col("part") == F.col("copy_part"))
         & (F.md5(F.col("text").cast("binary")) == F.col("copy"))
     )
-    windows = stored(_candidate_windows(own.join(copied, is_copy, "left_anti"), window), "windows")
+    windows = stored_alone(_candidate_windows(own.join(copied, is_copy, "left_anti"), window), "windows")
     drop_stored(all_anchors)
     repeated = _later_than_first(windows, ["high", "low"]).where("doc_id > first")
     rows = repeated.select("doc_id", "part", "high", F.lit(None).cast("string").alias("copy")).union(
         copies.select("doc_id", "part", F.lit(None).cast("long").alias("high"), "copy")
     )
-    out = stored(
+    out = stored_alone(
         rows.groupBy(F.col("doc_id").alias("repeating"), F.col("part").alias("repeating_part")).agg(
             F.collect_set("high").alias("windows"), F.collect_set("copy").alias("copies")
         ),
