@@ -218,12 +218,13 @@ def has_letter(text: str) -> Column:
 
 
 def with_language(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a letter.
+    """The rows of ``docs``, all columns, whose language can be told; a null ``lang`` becomes the predicted one.
 
-    These are the rows that ``identify`` gives a language if any was learned; they stay
-    if none was. Which language, and its cosine, decide nothing.
+    Rows that ``identify`` calls ``und``, without a letter that is, go; a stated language
+    stays as it is. If none was learned, rows with a letter stay, and null languages too.
     """
     if not profiles.languages:
         return docs.where(has_letter("text"))
     found = docs.withColumn("__language", predictor(profiles)("text"))
-    return found.where(F.col("__language.lang_pred") != UNKNOWN).select(*docs.columns)
+    told = found.where(F.col("__language.lang_pred") != UNKNOWN)
+    return told.withColumn("lang", F.coalesce("lang", "__language.lang_pred")).select(*docs.columns)

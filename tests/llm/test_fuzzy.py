@@ -67,3 +67,74 @@ def test_odd_rows(documents, odd_rows):
     assert fuzzy.fingerprints(documents([])).collect() == []
     one = fuzzy.fingerprints(documents([(1, "alone")])).collect()
     assert one[0].near_next == 1.0
+
+
+def plain_print(text):
+    """Chunks found byte by byte, with the rolling hash computed anew at each."""
+    import zlib
+
+    data = text.encode()
+    if not data:
+        return (0, "", "")
+
+    def ones(i):
+        value = 0
+        for back in range(min(7, i + 1)):
+            value = (value + (data[i - back] + 1) * pow(0x01000193, back + 1, 2**32)) % 2**32
+        value ^= value >> 15
+        value = value * 0x2C1B3C6D % 2**32
+        value ^= value >> 13
+        count = 0
+        while value >> count & 1:
+            count += 1
+        return count
+
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+    def letters(power):
+        out, begin = "", 0
+        for i in range(len(data)):
+            length = i + 1 - begin
+            if len(out) < 63 and i + 1 < len(data) and (ones(i) >= power or length == 4 << power):
+                out += alphabet[zlib.crc32(data[begin : i + 1]) >> 7 & 63]
+                begin = i + 1
+        return out + alphabet[zlib.crc32(data[begin:]) >> 7 & 63]
+
+    power = 0
+    while 64 << power < len(data):
+        power += 1
+    return (power, letters(power), letters(power + 1))
+
+
+def odd_texts():
+    r = random.Random(12)
+    texts = ["", "a", "ab", "x" * 64, "x" * 65, "For " * 300, "\x00" * 500, "é" * 200]
+    return texts + ["".join(r.choices("abcdefgh \né", k=r.choice([3, 40, 64, 300, 2_000]))) for _ in range(40)]
+
+
+def test_prints_by_a_plain_chunker():
+    for text in odd_texts():
+        assert tuple(fuzzy.fingerprint(text)) == plain_print(text)
+
+
+def test_likeness_of_rows_by_plain_distances(documents):
+    """near_edited and near_next of the operator, from plain prints and the table of edit distances."""
+    texts = odd_texts()
+    rows = list(enumerate(texts))
+
+    def likeness(a, b):
+        if a == b:
+            return 1.0
+        best = 0.0
+        for p, x in ((a[0], a[1]), (a[0] + 1, a[2])):
+            for q, y in ((b[0], b[1]), (b[0] + 1, b[2])):
+                if p == q and a[1] and b[1]:
+                    best = max(best, 1 - distance(x, y) / max(len(x), len(y)))
+        return best
+
+    for r in fuzzy.fingerprints(documents(rows)).collect():
+        own, after = texts[r.doc_id], texts[(r.doc_id + 1) % len(texts)]
+        cut = len(own) // 4
+        changed = own[: len(own) - cut] + after[:cut]
+        assert r.near_edited == likeness(plain_print(own), plain_print(changed))
+        assert r.near_next == likeness(plain_print(own), plain_print(after))

@@ -86,3 +86,47 @@ def test_letterless_rows_go_whatever_was_learned(documents, odd_rows):
     ]
     assert kept[0] == kept[1] and (98, "٠ ǅ") in kept[0]
     assert not {1, 2, 3, 99} & {d for d, _ in kept[1]}
+
+
+def plain_bundle(text):
+    """Vectors bound, rolled and summed trigram by trigram, in plain Python."""
+    letters = "".join(c if c.isalpha() else " " for c in text.lower())
+    padded = [" ", *" ".join(letters.split()), " "] if letters.strip() else [" "]
+    n, total = language.DIMENSIONS, [0] * language.DIMENSIONS
+    vectors = {c: language._letter_vector(ord(c)).tolist() for c in set(padded)}
+    for a, b, c in zip(padded, padded[1:], padded[2:]):
+        for i in range(n):
+            total[i] += vectors[a][i - 2] * vectors[b][i - 1] * vectors[c][i]
+    return total
+
+
+def test_bundles_by_plain_loops():
+    for text in ["a", "ab", "Guten Tag, schöne Welt 42!", "ñandú   el-niño\n", "ça va? ÇA VA"]:
+        right = np.array(plain_bundle(text), float)
+        assert np.allclose(language.Bundler().unit(text), right / np.sqrt(right @ right), atol=1e-6)
+    assert language.Bundler().unit("12 - 34") is None
+
+
+def test_predictions_by_plain_cosines(documents):
+    r = random.Random(11)
+    rows = [(i, text_of(lang, r), lang, None) for i, lang in enumerate(r.choices(list(SYLLABLES), k=24))]
+    profiles = language.learn(documents(rows))
+    sums = {}
+    for _, text, lang, _ in rows:
+        v = np.array(plain_bundle(text), float)
+        sums[lang] = sums.get(lang, 0) + v / np.sqrt(v @ v)
+    tests = [(100 + k, text_of(lang, r)) for k, lang in enumerate(list(SYLLABLES) * 2)]
+    for x in language.identify(documents(tests), profiles).collect():
+        v = np.array(plain_bundle(x.text), float)
+        cosines = {lang: v @ p / np.sqrt((v @ v) * (p @ p)) for lang, p in sums.items()}
+        best = max(sorted(cosines), key=cosines.get)
+        assert x.language.lang_pred == best and abs(x.language.score - cosines[best]) < 1e-5
+
+
+def test_stage_fills_missing_languages(documents):
+    r = random.Random(5)
+    rows = [(i, text_of(lang, r), lang if i % 4 else None, None) for i, lang in enumerate(list(SYLLABLES) * 20)]
+    rows += [(200, "12 ...", "xa", None), (201, None, None, None), (202, text_of("yb", r), "stated", None)]
+    docs = documents(rows)
+    kept = {x.doc_id: x.lang for x in language.with_language(docs, language.learn(docs.where("doc_id < 100"))).collect()}
+    assert kept == {**{i: list(SYLLABLES)[i % 3] for i in range(60)}, 202: "stated"}
