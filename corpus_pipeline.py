@@ -16,8 +16,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language can be identified (null, or without a letter) go.
 
-    Which language is found, and its cosine, decide nothing; if none was learned, the same
-    documents go.
+    The others stay, whatever language they are in; one without a stated language gets the
+    identified one. If none was learned, the same documents go.
     """
     reach_package(spark)
     profiles = language.learn(docs.select("text", "lang"))
