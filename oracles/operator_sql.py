@@ -550,6 +550,7 @@ def _landing(table: str) -> tuple[str, str, str, str]:
     return null_key, unbound, f"NOT ({null_key}) AND NOT ({unbound})", f"({', '.join(keys)})"
 
 
+CONFORMED_LINES = with_star("SELECT * REPLACE (CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate) FROM li")
 BRONZE_LOAD = union([
     f"SELECT 'raw.{table}' AS table_name, 'landing.{table}' AS source_system, "
     f"'run-0001' AS pipeline_run_id, count(*) AS row_count FROM {table}"
@@ -914,9 +915,8 @@ def operator_sql() -> dict[str, str]:
         "revenue_ytd_daily": YTD_DAILY,
         "revenue_ly_daily": _ly_daily(),
         "revenue_ytd_quarterly": _quarterly(),
-        "conform_dedup": with_star(
-            "SELECT * REPLACE (CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate) FROM li"
-        ),
+        "conform_dedup": CONFORMED_LINES,
+        "incremental_conform": CONFORMED_LINES,
         "sorted_month_labels": with_star(
             f"SELECT month_name, calendar_month, {REVENUE} AS total_revenue "
             f"FROM fact_sales_order_line f {SALES_DATE} GROUP BY 1, 2 ORDER BY 2"

@@ -162,13 +162,30 @@ def file_statistics(store: TableStore, paths: Sequence[str], schema: StructType,
     return by_name.join(ranges, "name").drop("name")
 
 
-def _adopt_list(store: TableStore, name: str, schema: str, files: DataFrame) -> DataFrame:
+def adopt_list(store: TableStore, name: str, schema: str, files: DataFrame) -> DataFrame:
     """Let a list of files be the table ``name``."""
     path = store.new_version(name, "files-")
     files.coalesce(1).write.parquet(path)
     return store.adopt(name, StoredTable(path, schema, listed=True))
 
 
+def listed_files(store: TableStore, name: str) -> DataFrame:
+    """The files of a stored table: path and bytes, and what its list knows besides."""
+    stored = store.stored(name)
+    if stored.listed:
+        return store.spark.read.parquet(stored.path)
+    files = file_listing(store.spark, stored.path).select("path", F.col("length").alias("bytes"))
+    return files.where(F.element_at(F.split("path", "/"), -1).startswith("part-"))
+
+
+def new_files(store: TableStore, folder: str, schema: StructType, like: DataFrame) -> DataFrame:
+    """The files of a folder, with the ranges of the columns that the list ``like`` has ranges of."""
+    if "low" in like.columns:
+        return file_statistics(store, [folder], schema, like.schema["low"].dataType.names)
+    files = file_listing(store.spark, folder).select("path", F.col("length").alias("bytes"))
+    return files.where(F.element_at(F.split("path", "/"), -1).startswith("part-"))
+
+
 def rewrite_curved(
     store: TableStore, name: str, columns: Sequence[str], spread_by: str, into: TableStore | None = None,
     file_bytes: int = TARGET_FILE_BYTES,
@@ -179,7 +196,7 @@ def rewrite_curved(
     beside.write(name, curved(rows, columns, spread_by, files))
     stored = beside.stored(name)
     listed = file_statistics(beside, [stored.path], rows.schema, columns)
-    return _adopt_list(beside, name, stored.schema, listed)
+    return adopt_list(beside, name, stored.schema, listed)
 
 
 def files_where(store: TableStore, name: str, ranges: Mapping[str, tuple[Any, Any]]) -> list[str]:
@@ -248,10 +265,7 @@ def compact(
     had are found again for new files. Rows of one new file are in no order.
     """
     beside, stored = into or store, store.stored(name)
-    if stored.listed:
-        files = store.spark.read.parquet(stored.path)
-    else:
-        files = file_listing(store.spark, stored.path).select("path", F.col("length").alias("bytes"))
+    files = listed_files(store, name)
     listed = sorted(files.select("path", "bytes").collect())
     small = [f for f in listed if f.bytes < SMALL_SHARE * file_bytes]
     bins = [b for b in pack([f.bytes for f in small], file_bytes) if len(b) > 1]
@@ -269,14 +283,8 @@ def compact(
     dealt = rows.withColumn("__name", F.col("_metadata.file_name")).join(target, "__name")
     folder = beside.new_version(name, "p")
     dealt.repartitionById(len(bins), "__target").select(*schema.names).write.parquet(folder)
-    columns = files.schema["low"].dataType.names if "low" in files.columns else []
-    stays = files.where(~F.col("path").isin(*merged)) if len(merged) < 1000 else files.join(
-        spark.createDataFrame([(p,) for p in merged], "path string"), "path", "left_anti"
-    )
-    if columns:
-        new = file_statistics(beside, [folder], schema, columns)
-    else:
-        new = file_listing(spark, folder).select("path", F.col("length").alias("bytes"))
-    new = new.where(F.element_at(F.split("path", "/"), -1).startswith("part-"))
-    _adopt_list(beside, name, schema.json(), stays.unionByName(new))
+    gone = spark.createDataFrame([(p,) for p in merged], "path string")
+    stays = files.join(gone, "path", "left_anti")
+    new = new_files(beside, folder, schema, files)
+    adopt_list(beside, name, schema.json(), stays.unionByName(new))
     return Compaction(len(listed) - len(merged), len(merged), len(bins))

@@ -7,8 +7,8 @@ joining facts. Rows without a dimension match stay under a NULL member.
 
 Join order follows sizes that are checked, not assumed. Dimensions, the calendar among
 them, whose stored size is within ``broadcast_bytes`` are broadcast to the fact. For
-larger ones the fact is first cut to the keys that their filters keep, then aggregated
-by the remaining foreign keys, so a hot key travels as one row per partition and the
+larger ones the fact is first cut, at the scan, to the keys that their filters may keep
+(a Bloom filter of bounded size), then aggregated by the remaining foreign keys, so a hot key travels as one row per partition and the
 join works on partial sums.
 """
 
@@ -18,15 +18,17 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
+from starloom.operators import bloom
 from starloom.operators import time_intelligence as periods
 from starloom.plans.measures import MEASURES, Aggregates, Base, Measure
 from starloom.plans.models import MODEL_TABLES, Relationship, UnrelatedError, path_to
 
 BROADCAST_BYTES = 8 * 1024 * 1024
+#: Calendar members that a value which they don't filter is repeated over, at most.
+MOST_REPEATED = 200_000
 
 Filters = Mapping[str, object]
 
@@ -63,12 +65,11 @@ def condition(column: Column, wanted: object) -> Column:
     return column == wanted
 
 
-def keeps_blank(spark: SparkSession, wanted: object, kind: DataType) -> bool:
-    """Whether a filter keeps the blank member: rows whose key has no match."""
-    if not callable(wanted):
-        return False
-    blank = F.lit(None).cast(kind)
-    return bool(spark.range(0, 1, 1, 1).select(condition(blank, wanted)).first()[0])
+def keeps_blank(parent: DataFrame, limits: Sequence[tuple[str, object]]) -> Column:
+    """Whether filters keep the blank member, rows whose key has no match: a constant that the
+    optimizer folds, as the filters are asked of typed NULLs."""
+    blanks = [condition(F.lit(None).cast(parent.schema[column].dataType), value) for column, value in limits]
+    return reduce(Column.__and__, blanks)
 
 
 def first_stage(base: Base) -> Column:
@@ -372,22 +373,26 @@ class MetricModel:
         edge: Relationship,
         limits: Sequence[tuple[str, object]],
     ) -> DataFrame:
-        """Rows whose key is among those that a far parent's filters keep.
+        """Rows whose key may be among those that a far parent's filters keep.
 
-        The join after the grouping would drop the others; dropped before it, they
-        are neither grouped nor shuffled. Filters that keep the blank member can't
-        be asked of keys alone.
+        The join after the grouping is exact and drops the others; dropped at the scan, they
+        are neither grouped nor shuffled. Kept keys are counted, and a Bloom filter of a size
+        to suit is broadcast; beyond what the largest one takes, a semi join does it. Rows
+        that meet no parent pass if the filters keep the blank member.
         """
-        parent = self.table(edge.parent)
-        refusing = any(
-            not keeps_blank(parent.sparkSession, value, parent.schema[column].dataType)
-            for column, value in limits
-        )
-        if edge.child != home or not refusing:
+        if edge.child != home or not limits:
             return rows
+        parent = self.table(edge.parent)
         kept = reduce(DataFrame.where, [condition(F.col(c), v) for c, v in limits], parent)
         kept = kept.select(F.col(edge.parent_key).alias("kept_key"))
-        return rows.join(kept, F.col(edge.child_key) == F.col("kept_key"), "left_semi")
+        blank, keys = keeps_blank(parent, limits), kept.count()
+        if keys <= bloom.MOST_KEYS:
+            bits = bloom.bits_for(keys)
+            words = bloom.filter_words(kept, "kept_key", bits).scalar()
+            return rows.where(bloom.may_hold(words, F.col(edge.child_key), bits) | blank)
+        if parent.sparkSession.range(0, 1, 1, 1).where(blank).isEmpty():
+            return rows.join(kept, F.col(edge.child_key) == F.col("kept_key"), "left_semi")
+        return rows
 
     def _within_days(
         self, rows: DataFrame, edge: Relationship, limits: Sequence[tuple[str, object]]
@@ -398,18 +403,13 @@ class MetricModel:
         As a range on the fact's own column the filter reaches the scan, which skips
         files written by date.
         """
-        days = self.table("date")
-        refusing = [
-            (column, value)
-            for column, value in limits
-            if not keeps_blank(days.sparkSession, value, days.schema[column].dataType)
-        ]
-        if not refusing:
+        if not limits:
             return rows
-        days = reduce(DataFrame.where, [condition(F.col(c), v) for c, v in limits], days)
+        calendar = self.table("date")
+        days = reduce(DataFrame.where, [condition(F.col(c), v) for c, v in limits], calendar)
         first = days.agg(F.min(edge.parent_key)).scalar()
         last = days.agg(F.max(edge.parent_key)).scalar()
-        return rows.where(F.col(edge.child_key).between(first, last))
+        return rows.where(F.col(edge.child_key).between(first, last) | keeps_blank(calendar, limits))
 
     # -- attributes out of reach ---------------------------------------------
 
@@ -434,9 +434,9 @@ class MetricModel:
     ) -> DataFrame:
         """The frame's values repeated over members that do not filter them.
 
-        A grand total is attached to each member as a scalar. Beside other
-        groups only the calendar repeats, whose members are bounded: they reach
-        the groups as one array of dates to explode.
+        A grand total is attached to each member as a scalar. Beside other groups only the
+        calendar repeats: totals and members stay apart to the end and meet by a broadcast of
+        the members, which are counted first and refused beyond ``MOST_REPEATED``.
         """
         values = [b.name for b in bases]
         calendar = [a for a in apart if a.table == "date"]
@@ -450,13 +450,14 @@ class MetricModel:
             frame = self._members(others, filters).withColumns(totals)
         if calendar:
             members = self._members(calendar, filters)
-            listed = members.agg(F.collect_set(F.struct(*members.columns)).alias("all"))
-            frame = (
-                frame.withColumn("calendar_members", listed.scalar())
-                .withColumn("member", F.explode("calendar_members"))
-                .select("*", "member.*")
-                .drop("calendar_members", "member")
-            )
+            if members.limit(MOST_REPEATED + 1).count() > MOST_REPEATED:
+                raise UnrelatedError(f"{home} would be repeated over more than {MOST_REPEATED} calendar members")
+            # one for every row, but no constant to the planner, which would cross the two sides
+            every = F.pmod(F.xxhash64(*members.columns), F.lit(1))
+            repeated = members.withColumn("__beside", every)
+            groups = [a.label for a in related] or values
+            frame = frame.withColumn("__beside", F.pmod(F.xxhash64(*groups), F.lit(1)))
+            frame = frame.join(F.broadcast(repeated), "__beside").drop("__beside")
         return frame
 
     # -- shifted periods -----------------------------------------------------

@@ -12,16 +12,18 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable, Iterable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import columns as c
-from starloom.operators.calendar import calendar_bounds, date_dimension, date_range
+from starloom.operators.calendar import calendar_bounds, calendar_days, date_range, with_calendar_attributes
 from starloom.operators.joins import Guarded, guarded_left_join, join_guard, safe_left_join
 from starloom.operators.layout import TARGET_FILE_BYTES, compact
 from starloom.sources import landing as bind
+from starloom.sources.footers import from_footers
 from starloom.sources.landing import (
     DATE_COLUMNS,
     ENTITIES,
@@ -181,7 +183,7 @@ class Warehouse:
 
     def _build(self, name: str) -> DataFrame | Guarded:
         if name == "dim_date":
-            return date_dimension(self.calendar_ranges(), self.landing.this_year)
+            return with_calendar_attributes(calendar_days(self.calendar_bounds()))
         return publish_guarded(name, self._bound(GOLD_ENTITIES[name]), self.table)
 
     def publish_all(self) -> None:
@@ -200,12 +202,18 @@ class Warehouse:
         """A store beside this one, for jobs that must not touch the published tables."""
         return TableStore(self.spark, f"{self.store.folder}-{name}")
 
-    def calendar_ranges(self) -> list[DataFrame]:
+    def calendar_bounds(self) -> DataFrame:
+        """First and last day of the calendar, from the footers of all gold tables with dates."""
         published = {entity: gold for gold, entity in GOLD_ENTITIES.items()}
-        return calendar_ranges(lambda entity: self.table(published[entity]))
+        for entity in DATE_COLUMNS:
+            self.table(published[entity])
 
-    def calendar_bounds(self) -> DataFrame:
-        return calendar_bounds(self.calendar_ranges(), self.landing.this_year)
+        def ask(opened: Tables) -> tuple[date, date]:
+            ranges = calendar_ranges(lambda entity: opened(f"gold.{published[entity]}"))
+            return tuple(calendar_bounds(ranges, self.landing.this_year).first())
+
+        start, end = from_footers(self.store, ask)
+        return self.spark.range(0, 1, 1, 1).select(F.lit(start).alias("start_date"), F.lit(end).alias("end_date"))
 
     def join_guards(self) -> DataFrame:
         """What the guards of the six publishing joins count, one row each."""

@@ -18,6 +18,7 @@ from starloom.operators import quality
 from starloom.operators.calendar import calendar_days
 from starloom.operators.conform import duplicate_keys, has_duplicates
 from starloom.operators.formatting import format_metrics, plain
+from starloom.operators.incremental import conform_changes
 from starloom.operators.joins import lookup_join, orphan_rows
 from starloom.operators.layout import compact, read_where, rewrite_clustered, rewrite_curved
 from starloom.operators.rollup import BROADCAST_BYTES, MetricModel
@@ -382,6 +383,18 @@ def conform_dedup(w: Warehouse) -> DataFrame:
     return lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
 
 
+def incremental_conform(w: Warehouse) -> DataFrame:
+    """Conformed lines after two loads: of lines that differ in every hundredth order, then of the lines as they are."""
+    store, raw = w.sibling_store("incremental"), w.landing("lineitem")
+    other = F.when(F.col("l_orderkey") % 100 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    earlier = raw.where("l_orderkey % 100 <> 1 OR l_orderkey IS NULL").withColumn(
+        "l_quantity", other.cast(raw.schema["l_quantity"].dataType)
+    )
+    for rows in (earlier, raw):
+        conform_changes(store, "lineitem", rows, LINE_KEY, bind.bound_codes("lineitem"))
+    return store.read("conformed.lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+
+
 def lineitem_duplicates(w: Warehouse) -> DataFrame:
     return duplicate_keys(w.landing("lineitem"), LINE_KEY)
 
@@ -813,6 +826,7 @@ OPERATORS: dict[str, Query] = {
     "revenue_ly_daily": revenue_ly_daily,
     "revenue_ytd_quarterly": revenue_ytd_quarterly,
     "conform_dedup": conform_dedup,
+    "incremental_conform": incremental_conform,
     "sorted_month_labels": sorted_month_labels,
     "calendar_bounds": Warehouse.calendar_bounds,
     "calendar_days": lambda w: calendar_days(w.calendar_bounds()),

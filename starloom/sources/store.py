@@ -149,7 +149,8 @@ class TableStore:
         schema = StructType.fromJson(json.loads(stored.schema))
         if not stored.listed:
             return self.spark.read.schema(schema).parquet(stored.path)
-        return self.files_as_table([r.path for r in self.spark.read.parquet(stored.path).collect()], schema)
+        listed = self.spark.read.parquet(stored.path).select("path").collect()
+        return self.files_as_table(sorted(r.path for r in listed), schema)
 
     def files_as_table(self, paths: Sequence[str], schema: StructType) -> DataFrame:
         """Files of a table as one DataFrame; none are an empty one."""
@@ -243,6 +244,13 @@ class TableStore:
                 self._tables[name] = self._open(self._stored[name])
             return self._tables[name]
 
+    def paths(self, name: str) -> list[str]:
+        """The folder of a table, or its files if it is a list."""
+        stored = self._stored[name]
+        if stored.listed:
+            return sorted(r.path for r in self.spark.read.parquet(stored.path).select("path").collect())
+        return [stored.path]
+
     def stored(self, name: str) -> StoredTable:
         return self._stored[name]
 

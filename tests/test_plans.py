@@ -11,7 +11,8 @@ from starloom.plans.queries import QUERIES
 # These run jobs of their own before they return a plan.
 EAGER = {
     "bronze_load", "silver_load", "gold_load", "quarantine_report", "clustered_rewrite", "compacted_facts",
-    "curve_clustered_scan", "validation_summary",
+    "curve_clustered_scan", "validation_summary", "calendar_bounds", "calendar_days",
+    "incremental_conform",
 }
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "PythonUDF", "InPandas")
 
@@ -75,7 +76,67 @@ def test_far_filters_come_before_the_grouping(spark, warehouse):
         text = plan(QUERIES["far_filtered_rollup"](warehouse))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    fact = [x for x in text.splitlines() if "FileScan" in x and "line_revenue" in x]
+    assert len(fact) == 1
     lines = text.splitlines()
-    grouped = [i for i, x in enumerate(lines) if "HashAggregate" in x and "customer_key" in x]
-    reached = [i for i, x in enumerate(lines) if "LeftSemi" in x]
-    assert reached and min(reached) > max(grouped)  # below, so before
+    partial = next(i for i, x in enumerate(lines) if "partial_sum(line_revenue" in x)
+    # right below the first partial aggregate is the filter, and below that the scan: no exchange, no join
+    assert "Filter" in lines[partial + 1] and "xxhash64(customer_key" in lines[partial + 1]
+    assert fact[0].index("+- ") - lines[partial + 1].index("+- ") <= 6
+    assert "LeftSemi" not in text
+
+
+def test_filters_on_blanks_are_folded(warehouse):
+    """Whether a filter keeps the blank member costs no job and leaves nothing in the plan."""
+    from starloom.plans.queries import model
+
+    keeping = model(warehouse, "service").rollup(["n_alerts"], ["asset.criticality"], {"date.calendar_year": lambda y: y.isNull()})
+    assert "Subquery" not in plan(keeping)
+    refusing = model(warehouse, "service").rollup(["n_alerts"], ["asset.criticality"], {"date.calendar_year": 1997})
+    assert "Subquery" in plan(refusing)
+
+
+def test_repeated_totals_meet_members_by_a_broadcast(warehouse):
+    text = plan(QUERIES["m_n_assets"](warehouse))
+    assert "collect_set" not in text and "BroadcastHashJoin" in text and "NestedLoop" not in text
+
+
+def test_calendar_bounds_come_from_footers(warehouse):
+    """Least and greatest dates of a fact are asked of file footers: no column is read."""
+    from pyspark.sql import functions as F
+
+    from starloom.operators.calendar import date_range
+    from starloom.sources.footers import footer_session, opened_for_footers
+
+    session = footer_session(warehouse.spark)
+    fact = opened_for_footers(session, warehouse.store, "gold.fact_shipment")
+    asked = date_range(fact, ["ship_date", "promised_delivery_date"], "x")
+    text = plan(asked, "formatted")
+    assert "PushedAggregation: [MIN(ship_date), MIN(promised_delivery_date)" in text
+    schema = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
+    assert schema.startswith("min(ship_date):date")
+    plain = date_range(warehouse.table("fact_shipment"), ["ship_date", "promised_delivery_date"], "x")
+    assert asked.first() == plain.first()
+    counted = fact.agg(F.count("*"))
+    assert "PushedAggregation: [COUNT(*)]" in plan(counted, "formatted")
+
+
+def test_footers_without_values(spark, tmp_path):
+    """A column that holds nothing in a file is read instead; an empty table has no bounds."""
+    from pyspark.sql import functions as F
+
+    from starloom.sources.footers import from_footers
+    from starloom.sources.store import TableStore
+
+    store = TableStore(spark, str(tmp_path))
+    days = spark.range(10).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    store.write("gold.some", days.union(days.select(F.lit(None).cast("date")).limit(1)).repartition(11))
+    store.write("gold.none", days.select(F.lit(None).cast("date").alias("d")))
+    store.write("gold.empty", days.limit(0))
+
+    def ask(opened):
+        return [tuple(opened(f"gold.{n}").agg(F.min("d"), F.max("d"), F.count("*")).first()) for n in ("some", "none", "empty")]
+
+    found = from_footers(store, ask)
+    assert [str(x) for x in found[0]] == ["2020-01-01", "2020-01-10", "11"]
+    assert found[1:] == [(None, None, 10), (None, None, 0)]
