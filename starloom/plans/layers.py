@@ -112,7 +112,7 @@ def load_bronze(landing: Landing, store: TableStore, run_id: str, loaded_at: dat
 
     stored = side_by_side(load, ENTITIES)
     days = date_dimension(calendar_ranges(lambda entity: store.read(f"bronze.{entity}_raw")), landing.this_year)
-    stored.append(_manifest_row(store, "bronze.date_raw", stamp_lineage(days, "calendar", run_id, loaded_at)))
+    stored.append(_manifest_row(store, "bronze.date_raw", stamp_lineage(days, "landing.calendar", run_id, loaded_at)))
     return reduce(DataFrame.unionByName, stored, raw)
 
 

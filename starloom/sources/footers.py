@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import TypeVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -48,7 +49,7 @@ def from_footers(
     session = footer_session(store.spark)
     try:
         return ask(lambda name: opened_for_footers(session, store, name))
-    except PySparkException as refused:
+    except (PySparkException, Py4JJavaError) as refused:
         if "No min/max found" not in str(refused):
             raise
         return ask(store.read)
