@@ -953,6 +953,7 @@ def operator_sql() -> dict[str, str]:
             months=_SALES_MONTHS,
         ),
         "sales_dashboard": _sales_dashboard(),
+        "sales_dashboard_stored": _sales_dashboard(),
         "check_unique": with_star(
             _check("line", "unique_line_key", _dup("lines", "line_key"), "dup", "'duplicates=' || dup")
         ),

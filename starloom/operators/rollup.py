@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import bloom
 from starloom.operators import time_intelligence as periods
+from starloom.operators.lattice import Lattice
 from starloom.plans.measures import MEASURES, Aggregates, Base, Measure
 from starloom.plans.models import MODEL_TABLES, Relationship, UnrelatedError, path_to
 
@@ -92,7 +93,11 @@ def distinct_key(base: Base) -> str:
 
 
 class MetricModel:
-    """One model over published tables. ``sizes`` tells a gold table's bytes on storage."""
+    """One model over published tables. ``sizes`` tells a gold table's bytes on storage.
+
+    With a ``lattice`` of stored aggregates, a pass over a fact reads the smallest of them that
+    has all it needs, if it is of the fact's version (``versions``), and the fact otherwise.
+    """
 
     def __init__(
         self,
@@ -100,11 +105,15 @@ class MetricModel:
         tables: Callable[[str], DataFrame],
         sizes: Callable[[str], int],
         broadcast_bytes: int = BROADCAST_BYTES,
+        lattice: Lattice | None = None,
+        versions: Callable[[str], str] | None = None,
     ):
         self.name = name
         self.tables = tables
         self.sizes = sizes
         self.broadcast_bytes = broadcast_bytes
+        self.lattice = lattice
+        self.versions = versions
 
     def table(self, name: str) -> DataFrame:
         return self.tables(MODEL_TABLES[self.name][name])
@@ -283,11 +292,41 @@ class MetricModel:
             for edge in path_to(self.name, home, table, role) or []:
                 if edge not in edges:
                     edges.append(edge)
+        own = {e.child_key for e in edges if e.child == home} | {a.column for a in axis if a.table == home}
+        own |= {column for column, _ in limits.get(home, [])}
+        frames = [
+            self._aggregate_rows(rows, home, some, axis, levels, wanted, edges, dict(limits))
+            for rows, some in self._sources(home, own, bases)
+        ]
+        labels = [a.label for a in axis] + (["level"] if levels else [])
+        return self._side_by_side(frames, labels)
+
+    def _sources(self, home: str, own: set[str], bases: Sequence[Base]) -> list[tuple[DataFrame, Sequence[Base]]]:
+        """What to read for aggregates of a home table by some of its columns: stored aggregates or its rows."""
+        if self.lattice is not None:
+            fact = MODEL_TABLES[self.name][home]
+            node = self.lattice.covering(home, own, bases, self.versions(fact))
+            if node is not None:
+                return self.lattice.sources(node, bases)
+        return [(self.table(home), bases)]
+
+    def _aggregate_rows(
+        self,
+        rows: DataFrame,
+        home: str,
+        bases: Sequence[Base],
+        axis: Sequence[Attribute],
+        levels: tuple[int, int] | None,
+        wanted: Mapping[str, set[str]],
+        edges: Sequence[Relationship],
+        limits: dict[str, list[tuple[str, object]]],
+    ) -> DataFrame:
+        """Bases over rows that have the home's columns, by related attributes."""
         near = [e for e in edges if self._is_small(e.parent, edges)]
         far = [e for e in edges if e not in near]
 
         at_home = [condition(F.col(column), value) for column, value in limits.pop(home, [])]
-        rows = reduce(DataFrame.where, at_home, self.table(home))
+        rows = reduce(DataFrame.where, at_home, rows)
         for edge in edges:
             if edge.child == home and edge.parent == "date":
                 rows = self._within_days(rows, edge, limits.get("date", []))

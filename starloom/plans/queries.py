@@ -20,6 +20,7 @@ from starloom.operators.conform import duplicate_keys, has_duplicates
 from starloom.operators.formatting import format_metrics, plain
 from starloom.operators.incremental import conform_changes
 from starloom.operators.joins import lookup_join, orphan_rows
+from starloom.operators.lattice import Lattice, build_lattice
 from starloom.operators.layout import compact, read_where, rewrite_clustered, rewrite_curved
 from starloom.operators.rollup import BROADCAST_BYTES, MetricModel
 from starloom.plans.layers import (
@@ -760,6 +761,31 @@ def sales_dashboard(w: Warehouse) -> DataFrame:
     return model(w, "commercial").rollup(names, [*YEAR_MONTH, "customer.customer_segment"])
 
 
+# Columns of facts that dashboards group and filter by: a stored aggregate for each list.
+DASHBOARD_GRAINS = {
+    home: [(day, "customer_key") for day in ("order_date_key", "requested_date_key")] for home in ("orders", "sales")
+}
+
+
+def sales_dashboard_stored(w: Warehouse) -> DataFrame:
+    """The same dashboard from stored aggregates by day and customer: no fact is read."""
+    commercial = model(w, "commercial")
+
+    def version(table: str) -> str:
+        w.table(table)
+        return w.store.stored(f"gold.{table}").path
+
+    stored = build_lattice(
+        Lattice(w.sibling_store("lattice")),
+        commercial.table,
+        lambda home: version(MODEL_TABLES["commercial"][home]),
+        DASHBOARD_GRAINS,
+    )
+    navigated = MetricModel("commercial", w.table, commercial.sizes, lattice=stored, versions=version)
+    names = [m.name for m in MEASURES.values() if m.home in DASHBOARD_GRAINS]
+    return navigated.rollup(names, [*YEAR_MONTH, "customer.customer_segment"])
+
+
 OPERATORS: dict[str, Query] = {
     "flagship": flagship,
     "lineage_stamp": lineage_stamp,
@@ -767,6 +793,7 @@ OPERATORS: dict[str, Query] = {
     "silver_load": silver_load,
     "gold_load": gold_load,
     "quarantine_report": quarantine_report,
+    "sales_dashboard_stored": sales_dashboard_stored,
     "clustered_rewrite": clustered_rewrite,
     "compacted_facts": compacted_facts,
     "curve_clustered_scan": curve_clustered_scan,

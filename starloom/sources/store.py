@@ -29,13 +29,15 @@ SOURCE_FILE = "source_file"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; where it is unset, one in the warehouse.
+    """The folder named in ``spark.checkpoint.dir``; where it is unset and all runs on one machine, one in the warehouse.
 
-    Both are shared by all executors; a machine-local folder would be lost with its machine.
+    On a cluster the warehouse may be a folder of the driver's machine, so the setting is required there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 

@@ -12,7 +12,7 @@ from starloom.plans.queries import QUERIES
 EAGER = {
     "bronze_load", "silver_load", "gold_load", "quarantine_report", "clustered_rewrite", "compacted_facts",
     "curve_clustered_scan", "validation_summary", "calendar_bounds", "calendar_days",
-    "incremental_conform",
+    "incremental_conform", "sales_dashboard_stored",
 }
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "PythonUDF", "InPandas")
 
