@@ -622,6 +622,62 @@ GUARDS = union([
 ])
 
 
+# The five primes of the 64-bit hash.
+XX = (
+    11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261,
+)
+
+
+def _steps(start: str, *steps: str) -> str:
+    """Selects over ``h`` (the hash so far, unsigned) and ``k``, each from the one before."""
+    for step in steps:
+        start = f"(SELECT c_custkey, k, {step} AS h FROM {start})"
+    return start
+
+
+def _mod(product: str) -> str:
+    """A product or sum of 64-bit numbers, of which 64 bits stay."""
+    return f"CAST(({product}) % 18446744073709551616::UHUGEINT AS UBIGINT)"
+
+
+def _times(value: str, prime: int) -> str:
+    return _mod(f"CAST({value} AS UHUGEINT) * {prime}::UHUGEINT")
+
+
+def _turned(value: str, bits: int) -> str:
+    """Rotated to the left."""
+    return _mod(f"CAST({value} AS UHUGEINT) * {1 << bits}::UHUGEINT + CAST({value} AS UHUGEINT) // {1 << 64 - bits}::UHUGEINT")
+
+
+def _plus(value: str, number: int) -> str:
+    return _mod(f"CAST({value} AS UHUGEINT) + {number}::UHUGEINT")
+
+
+_MIXED = (
+    "xor(h, h >> 33)", _times("h", XX[1]), "xor(h, h >> 29)", _times("h", XX[2]), "xor(h, h >> 32)",
+)
+# A long hashed with seed 42, then an int (the salt) seeded with that.
+_SEEDED = (
+    "(SELECT c_custkey, CASE WHEN c_custkey < 0 THEN CAST(c_custkey + 18446744073709551616::HUGEINT AS UBIGINT) "
+    f"ELSE CAST(c_custkey AS UBIGINT) END AS k, CAST({(42 + XX[4] + 8) % 2**64} AS UBIGINT) AS h FROM customer)"
+)
+_HASHED = _steps(
+    _SEEDED,
+    f"xor(h, {_times(_turned(_times('k', XX[1]), 31), XX[0])})",
+    _plus(_times(_turned("h", 27), XX[0]), XX[3]),
+    *_MIXED,
+    _plus("h", XX[4] + 4),
+    f"xor(h, {_mod(f'7::UHUGEINT * {XX[0]}::UHUGEINT')})",
+    _plus(_times(_turned("h", 23), XX[1]), XX[2]),
+    *_MIXED,
+)
+HASH_BUCKET = (
+    "SELECT c_custkey, CAST(((s % 20) + 20) % 20 AS INTEGER) AS bucket FROM (SELECT c_custkey, CASE WHEN h >= "
+    "9223372036854775808 THEN CAST(h AS HUGEINT) - 18446744073709551616::HUGEINT ELSE CAST(h AS HUGEINT) END AS s "
+    f"FROM {_HASHED})"
+)
+
+
 def thousands(value: str, sign: str = "") -> str:
     return f"format('{sign}{{:,.2f}}', {value})"
 
@@ -733,6 +789,7 @@ def operator_sql() -> dict[str, str]:
         "clustered_rewrite": CLUSTERED_REWRITE,
         "compacted_facts": CLUSTERED_REWRITE,
         "curve_clustered_scan": CURVE_SCAN,
+        "hash_bucket_assign": HASH_BUCKET,
         "digest_bucket_assign": "SELECT c_custkey, CAST(CAST('0x' || substr(md5('7:' || c_custkey), 1, 15) AS BIGINT) "
         "% 20 AS INTEGER) AS bucket FROM customer",
         "code_lookup": "SELECT o_orderkey, CASE regexp_extract(o_orderpriority, '^([0-9]+)-', 1) WHEN '1' THEN 'Urgent' "
