@@ -38,6 +38,13 @@ def test_pieces(library):
     assert tokens.PieceCounter(library).count(texts) == [whole(library, t) for t in texts]
 
 
+def test_both_ways_count_the_same_texts_alike(library):
+    r = random.Random(8)
+    texts = ["".join(r.choices(PARTS, k=r.randint(0, 500))) for _ in range(200)] + [" " * 90, "x" * 300, "\n \n" * 50]
+    pieces = tokens.PieceCounter(library).count(texts)
+    assert pieces == [tokens.count_long(library, t, 60, 8) for t in texts] == [whole(library, t) for t in texts]
+
+
 def test_documents(documents, library, odd_rows):
     found = tokens.token_counts(documents(odd_rows), chunk=500, overlap=20).collect()
     expected = [(d, len((t or "").encode()), whole(library, t or "")) for d, t in odd_rows]
