@@ -583,6 +583,27 @@ def _reasons(table: str) -> str:
 
 
 QUARANTINE_REPORT = " UNION ALL ".join(map(_reasons, LANDING))
+_RECEIVED = (
+    "SELECT d.calendar_year AS y, d.calendar_quarter AS q, d.calendar_month AS m, x.supplier_tier AS s, "
+    "f.purchase_order_id AS k, f.received_quantity AS u FROM fact_purchase_order_line f "
+    "LEFT JOIN dim_date d ON f.received_date_key = d.date_key "
+    "LEFT JOIN dim_supplier x ON f.supplier_key = x.supplier_key"
+)
+DISTINCT_YTD = with_star(
+    "SELECT calendar_year, calendar_month, supplier_tier, max(t) AS n_purchase_orders_by_received_date_ytd, "
+    "max(n) AS n_purchase_orders_by_received_date FROM ("
+    "SELECT g.y AS calendar_year, g.m AS calendar_month, g.s AS supplier_tier, count(DISTINCT r.k) AS t, NULL AS n "
+    "FROM (SELECT y, s, unnest(range(min(m), 13)) AS m FROM received WHERE y IS NOT NULL GROUP BY y, s) g "
+    "JOIN received r ON r.y = g.y AND r.s IS NOT DISTINCT FROM g.s AND r.m <= g.m GROUP BY 1, 2, 3 "
+    "UNION ALL SELECT y, m, s, NULL, count(DISTINCT k) FROM received GROUP BY 1, 2, 3) GROUP BY 1, 2, 3",
+    received=_RECEIVED,
+)
+DISTINCT_LY = with_star(
+    "SELECT y + 1 AS calendar_year, s AS supplier_tier, count(DISTINCT k) AS n_purchase_orders_by_received_date_ly, "
+    "CAST(sum(u) AS DOUBLE) AS total_received_quantity_ly FROM received "
+    "WHERE q IN (1, 2) AND y + 1 IN (SELECT calendar_year FROM dim_date) GROUP BY 1, 2",
+    received=_RECEIVED,
+)
 CLUSTERED = {
     "fact_sales_order_line": ("order_date_key", "sales_order_line_key"),
     "fact_purchase_order_line": ("order_date_key", "purchase_order_line_key"),
@@ -1009,6 +1030,8 @@ def operator_sql() -> dict[str, str]:
             "WHERE m <= 6 GROUP BY ALL",
             months=_SALES_MONTHS,
         ),
+        "purchase_orders_ytd": DISTINCT_YTD,
+        "purchase_orders_ly_half": DISTINCT_LY,
         "sales_dashboard": _sales_dashboard(),
         "sales_dashboard_stored": _sales_dashboard(),
         "check_unique": with_star(

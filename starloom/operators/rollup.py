@@ -33,6 +33,10 @@ MOST_REPEATED = 200_000
 
 Filters = Mapping[str, object]
 
+#: Calendar columns from the longest period to the shortest, and the label of counted values.
+_CHRONOLOGICAL = (periods.YEAR, periods.QUARTER, periods.MONTH, periods.DAY)
+_KEY = "__counted_value"
+
 
 @dataclass(frozen=True)
 class Attribute:
@@ -122,7 +126,7 @@ class MetricModel:
 
     def rollup(
         self,
-        measures: Sequence[str],
+        measures: Sequence[str | Measure],
         by: Sequence[str],
         filters: Filters | None = None,
         date_role: str | None = None,
@@ -136,7 +140,7 @@ class MetricModel:
         refused (``"error"``), whether it is grouped by or filtered on. Rows without a
         match are the blank member, which a filter keeps if it holds for NULL.
         """
-        asked = [MEASURES[name] for name in measures]
+        asked = [m if isinstance(m, Measure) else MEASURES[m] for m in measures]
         axis = attributes(by)
         self._check(asked, date_role, [*by, *(filters or {})])
         used, formulas = self._formulas(asked, date_role)
@@ -165,7 +169,7 @@ class MetricModel:
 
     def subtotals(
         self,
-        measures: Sequence[str],
+        measures: Sequence[str | Measure],
         hierarchy: Sequence[str],
         by: Sequence[str] = (),
         filters: Filters | None = None,
@@ -178,7 +182,7 @@ class MetricModel:
         at the end of its period, and a prior year that of its period a year before; both
         are blank where no year is in force.
         """
-        asked = [MEASURES[name] for name in measures]
+        asked = [m if isinstance(m, Measure) else MEASURES[m] for m in measures]
         axis = attributes([*by, *hierarchy])
         self._check(asked, date_role, [*by, *hierarchy, *(filters or {})])
         fixed, steps = len(by), len(hierarchy)
@@ -515,36 +519,84 @@ class MetricModel:
         The shift replaces the date filter by another period, so filters on the
         calendar choose among the shifted periods. Columns they name are grouped by
         along and collapsed again: prior periods add up, a year to date is that of the
-        last period chosen. The name of a month follows its number.
+        last period chosen. The name of a month follows its number. Distinct counts don't
+        add up; they are counted from their keys, see ``_first_seen`` and ``_keyed``.
         """
         on_date = {n.split(".")[1]: v for n, v in filters.items() if n.startswith("date.")}
         others = {n: v for n, v in filters.items() if not n.startswith("date.")}
         asked = {a.column: a.label for a in axis if a.table == "date"}
         rest = [a.label for a in axis if a.table != "date"]
         names = [b.name for b in bases]
+        distincts = [b for b in bases if b.kind == "distinct"]
+        additive = [b for b in bases if b.kind != "distinct"]
         grain = [c for c in dict.fromkeys([*asked, *on_date]) if c != periods.MONTH_NAME]
         if periods.MONTH_NAME in [*asked, *on_date] and periods.MONTH not in grain:
             grain.append(periods.MONTH)
         if shift == "ly" and not grain:
             grain.append(periods.YEAR)
         dated = [Attribute("date", c, c) for c in grain]
-        frame = self._aggregate(home, role, bases, [*dated, *(a for a in axis if a.table != "date")], others)
+        around = [*dated, *(a for a in axis if a.table != "date")]
+        whole = set(grain) <= set(asked) or (
+            periods.MONTH_NAME in asked and set(grain) - {periods.MONTH} <= set(asked)
+        )
+
+        def chosen(frame: DataFrame) -> DataFrame:
+            if periods.MONTH in grain:
+                frame = frame.withColumn(periods.MONTH_NAME, periods.month_name(periods.MONTH))
+            return reduce(DataFrame.where, [condition(F.col(c), v) for c, v in on_date.items()], frame)
+
+        labels = [*(F.col(c).alias(label) for c, label in asked.items()), *(F.col(r) for r in rest)]
         if shift == "ytd":
-            if any(b.kind == "distinct" for b in bases):
-                raise ValueError("a distinct count does not add up over the year to date")
-            frame = periods.year_to_date(frame, grain, rest, names)
-        else:
-            frame = periods.same_period_last_year(frame, grain, self.table("date"))
-        if periods.MONTH in grain:
-            frame = frame.withColumn(periods.MONTH_NAME, periods.month_name(periods.MONTH))
-        for column, value in on_date.items():
-            frame = frame.where(condition(F.col(column), value))
-        if set(grain) <= set(asked) or (periods.MONTH_NAME in asked and set(grain) - {periods.MONTH} <= set(asked)):
-            return frame.select(*(F.col(c).alias(label) for c, label in asked.items()), *rest, *names)
-        if any(b.kind == "distinct" for b in bases):
-            raise ValueError("a distinct count does not add up over the periods of a filter")
-        last = F.struct(*(c for c in (periods.YEAR, periods.QUARTER, periods.MONTH, periods.DAY) if c in grain))
-        kept = [
-            (F.max_by(n, last) if shift == "ytd" else F.sum(n)).alias(n) for n in names
-        ]
-        return frame.groupBy(*(F.col(c).alias(label) for c, label in asked.items()), *rest).agg(*kept)
+            frames = [self._aggregate(home, role, additive, around, others)] if additive else []
+            frames += [self._first_seen(home, role, b, around, grain, rest, others) for b in distincts]
+            frame = chosen(periods.year_to_date(self._side_by_side(frames, [*grain, *rest]), grain, rest, names))
+            if whole:
+                return frame.select(*labels, *names)
+            last = F.struct(*(c for c in _CHRONOLOGICAL if c in grain))
+            return frame.groupBy(*labels).agg(*(F.max_by(n, last).alias(n) for n in names))
+
+        def year_before(frame: DataFrame) -> DataFrame:
+            return chosen(periods.same_period_last_year(frame, grain, self.table("date")))
+
+        if whole:
+            frame = self._aggregate(home, role, bases, around, others)
+            return year_before(frame).select(*labels, *names)
+        frames = []
+        if additive:
+            moved = year_before(self._aggregate(home, role, additive, around, others))
+            frames.append(moved.groupBy(*labels).agg(*(F.sum(b.name).alias(b.name) for b in additive)))
+        for base in distincts:
+            moved = year_before(self._keyed(home, role, base, around, others))
+            counted = F.count_distinct(F.struct(_KEY)).alias(base.name)
+            frames.append(moved.groupBy(*labels).agg(counted))
+        return self._side_by_side(frames, [*asked.values(), *rest])
+
+    def _keyed(
+        self, home: str, role: str | None, base: Base, around: Sequence[Attribute], filters: Filters
+    ) -> DataFrame:
+        """The distinct values that a base counts, by attributes; a value is a row for each member."""
+        column = base.name.rpartition("__distinct_")[2]
+        present = Base("count", f"{home}__{role or 'active'}__count_rows", F.lit(True))
+        keyed = self._aggregate(home, role, [present], [*around, Attribute(home, column, _KEY)], filters)
+        return keyed.drop(present.name)
+
+    def _first_seen(
+        self,
+        home: str,
+        role: str | None,
+        base: Base,
+        around: Sequence[Attribute],
+        grain: Sequence[str],
+        rest: Sequence[str],
+        filters: Filters,
+    ) -> DataFrame:
+        """How many of the values that a base counts are met for the first time in their year, by period.
+
+        These add up: the distinct count of a year to date is the sum of first meetings so far.
+        """
+        keyed = self._keyed(home, role, base, around, filters)
+        keyed = keyed.where(F.col(periods.finest(grain)).isNotNull())
+        year = F.col(periods.YEAR) if periods.YEAR in grain else F.year(periods.DAY)
+        when = F.struct(*(c for c in _CHRONOLOGICAL if c in grain))
+        first = keyed.groupBy(year.alias("__year"), *rest, _KEY).agg(F.min(when).alias("__first"))
+        return first.groupBy("__first", *rest).agg(F.count("*").alias(base.name)).select("__first.*", *rest, base.name)

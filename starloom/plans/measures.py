@@ -16,7 +16,7 @@ duration and meets no target.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -341,3 +341,13 @@ _CATALOGUE = (
 )
 
 MEASURES = {measure.name: measure for measure in _CATALOGUE}
+
+
+def to_date(name: str) -> Measure:
+    """A measure of the catalogue as its year to date."""
+    return replace(MEASURES[name], caption=f"{MEASURES[name].caption} (ytd)", shift="ytd")
+
+
+def last_year(name: str) -> Measure:
+    """A measure of the catalogue as that of the same period a year before."""
+    return replace(MEASURES[name], caption=f"{MEASURES[name].caption} (ly)", shift="ly")

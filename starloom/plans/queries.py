@@ -32,7 +32,7 @@ from starloom.plans.layers import (
     rejected_rows,
     screen_sources,
 )
-from starloom.plans.measures import MEASURES
+from starloom.plans.measures import MEASURES, last_year, to_date
 from starloom.plans.models import MODEL_TABLES, model_table
 from starloom.plans.publish import (
     DIMENSIONS,
@@ -676,6 +676,22 @@ def revenue_ytd_quarterly(w: Warehouse) -> DataFrame:
     )
 
 
+def purchase_orders_ytd(w: Warehouse) -> DataFrame:
+    """Distinct purchase orders received in the year so far: one received in two months counts once."""
+    received = "n_purchase_orders_by_received_date"
+    return model(w, "supply_chain").rollup([to_date(received), received], [*YEAR_MONTH, "supplier.supplier_tier"])
+
+
+def purchase_orders_ly_half(w: Warehouse) -> DataFrame:
+    """Distinct purchase orders received in the first half of the year before, counted over both quarters."""
+    return model(w, "supply_chain").rollup(
+        [last_year("n_purchase_orders_by_received_date"), last_year("total_received_quantity")],
+        ["date.calendar_year", "supplier.supplier_tier"],
+        filters={"date.calendar_quarter": [1, 2]},
+        date_role="received_date_key",
+    )
+
+
 def sorted_month_labels(w: Warehouse) -> DataFrame:
     """Revenue by month name, in the order of the month number."""
     by_month = model(w, "commercial").rollup(
@@ -854,6 +870,8 @@ OPERATORS: dict[str, Query] = {
     "revenue_ytd_quarterly": revenue_ytd_quarterly,
     "conform_dedup": conform_dedup,
     "incremental_conform": incremental_conform,
+    "purchase_orders_ytd": purchase_orders_ytd,
+    "purchase_orders_ly_half": purchase_orders_ly_half,
     "sorted_month_labels": sorted_month_labels,
     "calendar_bounds": Warehouse.calendar_bounds,
     "calendar_days": lambda w: calendar_days(w.calendar_bounds()),
