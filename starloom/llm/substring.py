@@ -159,21 +159,21 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         _later_than_first(texts, ["copy"]).where("doc_id > first").select("doc_id", "part", "copy").distinct(), "copies"
     )
     all_anchors = stored_alone(anchors(named, window), "anchors")
-    shared = _later_than_first(all_anchors, ["anchor"]).select(
-        F.col("doc_id").alias("marked"), F.col("part").alias("marked_part"), "anchor"
+    shared = _later_than_first(all_anchors, ["anchor"])
+    marks = shared.select("doc_id", "part", "anchor", F.lit(None).cast("string").alias("copy")).union(
+        copies.select("doc_id", "part", F.lit(None).cast("long").alias("anchor"), "copy")
     )
-    by_text = shared.groupBy("marked", "marked_part").agg(F.collect_set("anchor").alias("shared"))
-    own = named.join(
-        by_text, (F.col("doc_id") == F.col("marked")) & (F.col("part") == F.col("marked_part"))
-    ).select("doc_id", "part", "text", "shared")
-    copied = copies.select(F.col("doc_id").alias("copy_id"), F.col("part").alias("copy_part"), "copy")
-    is_copy = (
-        (F.col("doc_id") == F.col("copy_id"))
-        & (F.col("part") == F.col("copy_part"))
-        & (F.md5(F.col("text").cast("binary")) == F.col("copy"))
+    by_text = stored_alone(
+        marks.groupBy(F.col("doc_id").alias("marked"), F.col("part").alias("marked_part")).agg(
+            F.collect_set("anchor").alias("shared"), F.collect_set("copy").alias("copies")
+        ),
+        "marks",
     )
-    windows = stored_alone(_candidate_windows(own.join(copied, is_copy, "left_anti"), window), "windows")
     drop_stored(all_anchors)
+    own = named.join(by_text, (F.col("doc_id") == F.col("marked")) & (F.col("part") == F.col("marked_part")))
+    own = own.where(~F.array_contains("copies", F.md5(F.col("text").cast("binary"))))
+    windows = stored_alone(_candidate_windows(own.select("doc_id", "part", "text", "shared"), window), "windows")
+    drop_stored(by_text)
     repeated = _later_than_first(windows, ["high", "low"]).where("doc_id > first")
     rows = repeated.select("doc_id", "part", "high", F.lit(None).cast("string").alias("copy")).union(
         copies.select("doc_id", "part", F.lit(None).cast("long").alias("high"), "copy")
