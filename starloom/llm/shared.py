@@ -28,6 +28,19 @@ def reach_package(spark: SparkSession) -> None:
         known["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+#: Rows of a batch that goes to a Python worker, and the setting that has it.
+BATCH_ROWS, BATCH_SETTING = 2_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Send whole documents to Python workers in smaller batches, unless the session names a size.
+
+    A batch lies in memory several times over (in Spark, on its way, as strings and as results).
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     reach_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
