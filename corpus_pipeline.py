@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import decontaminate, language, mixture, pii, simhash
 from starloom.llm.settings import MIX_SEED, OTHER_WEIGHT, TARGET_WEIGHTS
-from starloom.llm.shared import reach_package, stored, table
+from starloom.llm.shared import modest_batches, reach_package, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -20,6 +20,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     identified one. If none was learned, the same documents go.
     """
     reach_package(spark)
+    modest_batches(spark)
     profiles = language.learn(docs.select("text", "lang"))
     return language.with_language(docs, profiles)
 
@@ -27,6 +28,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that with the smallest doc_id."""
     reach_package(spark)
+    modest_batches(spark)
     return simhash.one_of_each_group(docs, shingle=4, bits=4)
 
 
@@ -38,6 +40,7 @@ def decontaminate_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in texts is replaced by its kind."""
     reach_package(spark)
+    modest_batches(spark)
     return pii.without_personal_data(docs, pii.learn(docs))
 
 
