@@ -65,9 +65,6 @@ LEAST_BITS = 2.5
 #: Who holds a live value at most. A value beyond either is a copied example.
 MAX_OWNERS, MAX_REPOSITORIES = 2, 1_000
 
-Span = tuple[int, int, int]
-
-
 class Found(NamedTuple):
     start: int
     end: int
