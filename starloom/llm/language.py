@@ -225,6 +225,7 @@ def with_language(docs: DataFrame, profiles: Profiles) -> DataFrame:
     """
     if not profiles.languages:
         return docs.where(has_letter("text"))
-    found = docs.withColumn("__language", predictor(profiles)("text"))
+    # not deterministic to the planner, or it would predict once for the filter and once for the column
+    found = docs.withColumn("__language", predictor(profiles).asNondeterministic()("text"))
     told = found.where(F.col("__language.lang_pred") != UNKNOWN)
     return told.withColumn("lang", F.coalesce("lang", "__language.lang_pred")).select(*docs.columns)

@@ -128,5 +128,7 @@ def test_stage_fills_missing_languages(documents):
     rows = [(i, text_of(lang, r), lang if i % 4 else None, None) for i, lang in enumerate(list(SYLLABLES) * 20)]
     rows += [(200, "12 ...", "xa", None), (201, None, None, None), (202, text_of("yb", r), "stated", None)]
     docs = documents(rows)
-    kept = {x.doc_id: x.lang for x in language.with_language(docs, language.learn(docs.where("doc_id < 100"))).collect()}
+    stage = language.with_language(docs, language.learn(docs.where("doc_id < 100")))
+    assert stage._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    kept = {x.doc_id: x.lang for x in stage.collect()}
     assert kept == {**{i: list(SYLLABLES)[i % 3] for i in range(60)}, 202: "stated"}
