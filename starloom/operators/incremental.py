@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.conform import MOST_BROADCAST_KEYS, conform, fault
 from starloom.operators.layout import TARGET_FILE_BYTES, adopt_list, listed_files, new_files
-from starloom.sources.store import TableStore
+from starloom.sources.store import TABLE_CODEC, TableStore
 
 
 class Changes(NamedTuple):
@@ -78,7 +78,7 @@ def replace_keys(
     made = left.unionByName(rows.select(*table.columns))
     parts = max(1, math.ceil(sum(replaced.values()) / file_bytes))
     folder = store.new_version(name, "p")
-    made.repartition(parts).write.parquet(folder)
+    made.repartition(parts).write.parquet(folder, compression=TABLE_CODEC)
     new = new_files(store, folder, table.schema, files)
     gone = store.spark.createDataFrame([(p,) for p in replaced], "path string")
     adopt_list(store, name, stored.schema, files.join(gone, "path", "left_anti").unionByName(new))

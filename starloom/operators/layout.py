@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starloom.sources.store import StoredTable, TableStore, file_listing
+from starloom.sources.store import TABLE_CODEC, StoredTable, TableStore, file_listing
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 #: A file below this share of the target is small.
@@ -282,7 +282,7 @@ def compact(
     rows = spark.read.schema(schema).parquet(*sorted(merged))
     dealt = rows.withColumn("__name", F.col("_metadata.file_name")).join(target, "__name")
     folder = beside.new_version(name, "p")
-    dealt.repartitionById(len(bins), "__target").select(*schema.names).write.parquet(folder)
+    dealt.repartitionById(len(bins), "__target").select(*schema.names).write.parquet(folder, compression=TABLE_CODEC)
     gone = spark.createDataFrame([(p,) for p in merged], "path string")
     stays = files.join(gone, "path", "left_anti")
     new = new_files(beside, folder, schema, files)

@@ -10,6 +10,7 @@ from starloom.operators.conform import (
     duplicate_keys,
     has_duplicates,
     require_unique,
+    screen,
 )
 from starloom.operators.joins import (
     JoinGuardError,
@@ -48,6 +49,24 @@ def test_conform_matches_brute_force_on_a_hot_key(spark, rows):
     assert rows(conform(df.orderBy(F.rand(1)), ["key"])) == rows(found)
 
 
+def test_many_repeated_keys_are_told_by_a_filter_without_a_join(spark, rows, monkeypatch, capsys):
+    data = [(i % 900, None if i % 7 == 0 else i % 5, str(i % 4)) for i in range(1300)]
+    data += [(None, 1, "x"), (7, None, None)] * 3
+    df = spark.createDataFrame(data, "key int, part int, tag string")
+    codes = {"tag": F.col("tag") != "3"}
+    want, screened = rows(conform(df, ["key", "part"], codes)), screen(df, ["key", "part"], codes, lambda _, d: d)
+    monkeypatch.setattr("starloom.operators.conform.MOST_BROADCAST_KEYS", 0)
+    found = conform(df, ["key", "part"], codes)
+    assert rows(found) == want
+    assert len(want) == len({(k, p) for k, p, tag in data if k is not None and p is not None and tag != "3"})
+    again = screen(df, ["key", "part"], codes, lambda _, d: d)
+    assert rows(again.kept) == rows(screened.kept) and rows(again.rejected) == rows(screened.rejected)
+    capsys.readouterr()
+    conform(df, ["key"]).explain()
+    main = capsys.readouterr().out.partition("Subqueries")[0].partition("Initial Plan")[0]
+    assert "Join" not in main.split("Subquery")[0]
+
+
 def test_conform_of_keys_alone(spark, rows):
     df = spark.createDataFrame([(1,), (1,), (None,)], "k int")
     assert rows(conform(df, ["k"])) == [(1,)]

@@ -105,6 +105,37 @@ def test_shuffles_are_sized_for_large_inputs_only(spark):
         spark.conf.unset(setting)
 
 
+def test_tasks_take_modest_parts_unless_the_session_says_more(spark, monkeypatch):
+    from starloom.sources import store
+
+    monkeypatch.setattr(store, "TASK_BYTES", 33 << 20)
+    before = {name: spark.conf.get(name, None) for name in store.TASK_SETTINGS}
+    try:
+        first, second = store.TASK_SETTINGS
+        spark.conf.unset(first)
+        spark.conf.set(second, "48m")
+        size_shuffles(spark, 10**6)
+        assert (spark.conf.get(first), spark.conf.get(second)) == (str(33 << 20), "48m")
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_a_gigabyte_is_shuffled_in_modest_parts(spark):
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        size_shuffles(spark, 10**9)
+        assert int(spark.conf.get(setting)) == 60
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_tables_are_stored_with_the_smaller_codec(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.write("a.t", spark.range(10))
+    assert list(tmp_path.glob("a/t/v*/*.zstd.parquet"))
+
+
 def listing(folder):
     return sorted((str(f), f.stat().st_mtime_ns) for f in folder.rglob("*") if f.is_file())
 
