@@ -39,6 +39,44 @@ def test_publish_refuses_orphans_and_repeated_parents(spark, warehouse):
         p.publish("fact_shipment", lines, lambda name: orders.union(orders))
 
 
+def gold_tables(warehouse):
+    return {name for name in warehouse.store.snapshot() if name.startswith("gold.")}
+
+
+def test_the_calendar_is_published_without_the_facts(spark, warehouse, store):
+    """Its bounds are those of all tables, published or not; each table is written when it is asked for."""
+    alone = p.Warehouse(spark, Landing(spark, warehouse.landing.folder, this_year=2060), store)
+    assert alone.calendar_bounds().first().end_date.year == 2065 and not gold_tables(alone)
+    days = alone.table("dim_date")
+    assert gold_tables(alone) == {"gold.dim_date"}
+    assert content(days.where("calendar_year <= 2052")) == content(warehouse.table("dim_date"))
+
+
+def test_calendar_bounds_see_every_unpublished_entity(spark, warehouse, store, monkeypatch):
+    """A date that one entity alone has moves the calendar, whether its table is stored or not."""
+    late = p.Warehouse(spark, Landing(spark, warehouse.landing.folder), store)
+    bound = late._bound
+    for entity, dates in p.DATE_COLUMNS.items():
+        shift = F.lit("2070-01-01").cast("date")
+        moved = lambda name, e=entity, d=dates: bound(name).withColumn(d[-1], shift) if name == e else bound(name)
+        monkeypatch.setattr(late, "_bound", moved)
+        assert late.calendar_bounds().first().end_date.year == 2070, entity
+    monkeypatch.setattr(late, "_bound", bound)
+    late.table("fact_work_order")
+    assert late.calendar_bounds().first() == warehouse.calendar_bounds().first()
+
+
+def test_the_calendar_still_guards_tables_that_are_not_published(spark, warehouse, store, monkeypatch):
+    lacking = p.Warehouse(spark, Landing(spark, warehouse.landing.folder), store)
+    bound = lacking._bound
+    monkeypatch.setattr(
+        lacking, "_bound", lambda name: bound(name).where("asset_key % 2 = 0") if name == "asset" else bound(name)
+    )
+    with pytest.raises(JoinGuardError, match="to dim_asset: .* lacks"):
+        lacking.table("dim_date")
+    assert not gold_tables(lacking)
+
+
 def test_warehouse_follows_the_files(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/t.parquet")
     before = folder_state(spark, f"{tmp_path}/t.parquet")
