@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_left
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from functools import reduce
 from itertools import accumulate
 from typing import Any, NamedTuple
@@ -45,14 +45,18 @@ def clustered(df: DataFrame, date_key: str, spread_by: str, files: int) -> DataF
 
 
 def rewrite_clustered(
-    store: TableStore, name: str, date_key: str, spread_by: str, into: TableStore | None = None
+    store: TableStore, name: str, date_key: str, spread_by: str, into: TableStore | None = None,
+    made: Collection[str] = (), make: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The rows of stored table ``name`` in files of about 256 MB by date.
 
-    They replace the table, or become the table of that name of another store.
+    They replace the table, or become the table of that name of another store. Columns ``made``
+    follow from the others: they are not shuffled and sorted, ``make`` adds them to the rows in their places.
     """
     files = max(1, math.ceil(store.size_in_bytes(name) / TARGET_FILE_BYTES))
-    return (into or store).write(name, clustered(store.read(name), date_key, spread_by, files))
+    rows = store.read(name)
+    laid = clustered(rows.drop(*made), date_key, spread_by, files)
+    return (into or store).write(name, (make(laid) if make else laid).select(*rows.columns))
 
 
 # -- a curve through several columns -------------------------------------------
