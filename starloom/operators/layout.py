@@ -14,7 +14,7 @@ from functools import reduce
 from itertools import accumulate
 from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,8 +29,8 @@ CURVE_BITS = 18
 MOST_RANK_BITS = 8
 #: Accuracy of the quantiles between ranks: rows over this number, at worst.
 QUANTILE_ACCURACY = 2_000
-#: Lists of files above this are not sent to every task.
-MOST_BROADCAST_FILES = 200_000
+#: Files that one job merges others into, at most: each is a branch of its plan.
+MOST_MERGED_AT_ONCE = 64
 
 
 def clustered(df: DataFrame, date_key: str, spread_by: str, files: int) -> DataFrame:
@@ -258,15 +258,34 @@ class Compaction(NamedTuple):
     written: int
 
 
+def whole_reads(spark: SparkSession) -> SparkSession:
+    """A session with the same settings in which files that are read together are one partition."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            session.conf.set(name, value)
+    for name, value in (("maxPartitionBytes", str(1 << 60)), ("openCostInBytes", "0"), ("minPartitionNum", "1")):
+        session.conf.set(f"spark.sql.files.{name}", value)
+    return session
+
+
+def merge_files(spark: SparkSession, schema: StructType, bins: Sequence[Sequence[str]], folder: str) -> None:
+    """Write one file for each list of files, which one task reads one after the other: no row is shuffled."""
+    session = whole_reads(spark)
+    for first in range(0, len(bins), MOST_MERGED_AT_ONCE):
+        merged = [session.read.schema(schema).parquet(*paths) for paths in bins[first : first + MOST_MERGED_AT_ONCE]]
+        reduce(DataFrame.union, merged).write.mode("append").parquet(folder, compression=TABLE_CODEC)
+
+
 def compact(
     store: TableStore, name: str, into: TableStore | None = None, file_bytes: int = TARGET_FILE_BYTES
 ) -> Compaction:
     """Merge the small files of a stored table into files of up to ``file_bytes``.
 
-    Only rows of small files are read, shuffled once to the file they go into, and written;
-    all other files stay in place, under their names. A small file that finds no other to go
+    Only rows of small files are read and written, each file by the task that writes the one it goes
+    into; all other files stay in place, under their names. A small file that finds no other to go
     with stays as well. The table is then a list of files; ranges of columns that a list
-    had are found again for new files. Rows of one new file are in no order.
+    had are found again for new files.
     """
     beside, stored = into or store, store.stored(name)
     files = listed_files(store, name)
@@ -278,15 +297,9 @@ def compact(
             beside.adopt(name, stored)
         return Compaction(len(listed), 0, 0)
     spark, schema = store.spark, store.read(name).schema
-    targets = [(small[k].path.rpartition("/")[2], at) for at, b in enumerate(bins) for k in b]
     merged = {small[k].path for b in bins for k in b}
-    target = spark.createDataFrame(targets, "__name string, __target int")
-    if len(targets) <= MOST_BROADCAST_FILES:
-        target = F.broadcast(target)
-    rows = spark.read.schema(schema).parquet(*sorted(merged))
-    dealt = rows.withColumn("__name", F.col("_metadata.file_name")).join(target, "__name")
     folder = beside.new_version(name, "p")
-    dealt.repartitionById(len(bins), "__target").select(*schema.names).write.parquet(folder, compression=TABLE_CODEC)
+    merge_files(spark, schema, [[small[k].path for k in b] for b in bins], folder)
     gone = spark.createDataFrame([(p,) for p in merged], "path string")
     stays = files.join(gone, "path", "left_anti")
     new = new_files(beside, folder, schema, files)

@@ -63,6 +63,22 @@ def test_only_small_files_are_rewritten(spark, store):
     assert again.merged == 0 and files_of(store, "gold.t") == after
 
 
+def test_compaction_shuffles_no_row(spark, store, monkeypatch):
+    """A file is read by the task that writes the one it goes into, in several jobs if there are many."""
+
+    def refused(*_):
+        raise AssertionError("rows are shuffled")
+
+    rows = uneven(spark, store)
+    sums = content(rows)
+    for shuffle in ("repartition", "repartitionById", "repartitionByRange"):
+        monkeypatch.setattr(type(rows), shuffle, refused)
+    monkeypatch.setattr(layout, "MOST_MERGED_AT_ONCE", 3, raising=False)
+    made = layout.compact(store, "gold.t", file_bytes=6_000)
+    assert made.kept + made.merged == 42 and made.merged > 30 and made.written > 3
+    assert len(files_of(store, "gold.t")) == made.kept + made.written and content(store.read("gold.t")) == sums
+
+
 def test_compaction_beside_leaves_the_table(spark, store, tmp_path):
     uneven(spark, store)
     other = TableStore(spark, f"{tmp_path}/other")
