@@ -1,4 +1,10 @@
+import os
+import subprocess
+import sys
+import threading
+import time
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -168,6 +174,69 @@ def test_a_gigabyte_is_shuffled_in_modest_parts(spark):
         spark.conf.unset(setting)
 
 
+def test_shuffle_files_go_with_their_job(tmp_path):
+    """In a job of its own: a written table leaves no shuffle files behind, whatever the driver collects."""
+    code = f"""
+import gc, time
+from pathlib import Path
+from pyspark.sql import SparkSession
+from starloom.sources.store import TableStore, size_shuffles
+gc.disable()
+conf = {{"spark.ui.enabled": "false", "spark.local.dir": "{tmp_path}/local", "spark.sql.shuffle.partitions": "3",
+        "spark.sql.warehouse.dir": "{tmp_path}/tables"}}
+spark = SparkSession.builder.master("local[2]").config(map=conf).getOrCreate()
+size_shuffles(spark, 10**6)
+rows = spark.range(0, 100_000, 1, 4).groupBy("id").count()
+stored = TableStore(spark, "{tmp_path}/store").write("a.t", rows)
+until = time.time() + 20
+while time.time() < until and any(Path("{tmp_path}/local").rglob("shuffle_*.data")):
+    time.sleep(0.2)
+print("left", len([*Path("{tmp_path}/local").rglob("shuffle_*.data")]), "rows", stored.count())
+print("again", len(rows.limit(5).collect()), rows.count())
+"""
+    env = {name: value for name, value in os.environ.items() if name != "SPARK_LOCAL_DIRS"}
+    found = subprocess.run(
+        [sys.executable, "-c", code], capture_output=True, text=True, timeout=240, cwd=Path(__file__).parent.parent, env=env
+    )
+    assert "left 0 rows 100000" in found.stdout and "again 5 100000" in found.stdout, found.stderr[-2000:]
+
+
+def test_a_session_may_keep_its_shuffle_files(spark):
+    from starloom.sources.store import SHUFFLE_CLEANUP
+
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    try:
+        spark.conf.set(SHUFFLE_CLEANUP, "false")
+        size_shuffles(spark, 10**6)
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+        spark.conf.unset(SHUFFLE_CLEANUP)
+        size_shuffles(spark, 10**6)
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def test_fewer_jobs_run_at_once_the_more_they_read(spark):
+    from starloom.sources import store
+
+    fills = spark.sparkContext.defaultParallelism * store.TASK_BYTES
+    assert store.jobs_at_once(spark, 0) == store.jobs_at_once(spark, fills) == store.JOBS_AT_ONCE
+    assert store.jobs_at_once(spark, 2 * fills) == store.JOBS_AT_ONCE // 2
+    assert store.jobs_at_once(spark, 10**15) == store.FEWEST_JOBS_AT_ONCE
+    seen, most = [0, 0], threading.Lock()
+
+    def job(name):
+        with most:
+            seen[0] += 1
+            seen[1] = max(seen)
+        time.sleep(0.05)
+        with most:
+            seen[0] -= 1
+        return name
+
+    assert store.side_by_side(job, "abcdef", 2) == list("abcdef") and seen[1] == 2
+
+
 def test_tables_are_stored_with_the_smaller_codec(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.write("a.t", spark.range(10))
