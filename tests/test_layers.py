@@ -36,6 +36,47 @@ def test_layered_load_ends_in_the_same_gold(spark, warehouse, store):
         assert content(store.read(f"gold.{name}")) == content(warehouse.table(name)), name
 
 
+def test_intermediate_tables_of_a_load_are_deleted(spark, warehouse, store, tmp_path):
+    layers.load_bronze(warehouse.landing, store, "run-7", LOADED)
+    layers.load_silver(store)
+    assert [name for name in store.snapshot() if name.startswith("work.")] == ["work.sources"]
+    assert [f.name for f in (tmp_path / "store/work").iterdir() if any(f.iterdir())] == ["sources"]
+
+
+def test_a_table_that_is_large_unpacked_is_not_broadcast(spark, store):
+    """Half a million keys beside repeated texts are a small file, of which the keys count as a small share."""
+    from starloom.sources.store import FILE_FACTOR, size_shuffles
+
+    texts = {f"t{k}": F.repeat(F.lit("text "), 4) for k in range(3)}
+    keys = spark.range(0, 500_000, 1, 1).select(F.xxhash64("id").alias("id"))
+    lookup = store.write("a.lookup", keys.withColumns(texts)).select("id")
+    rows = store.write("a.rows", keys.withColumn("more", F.rand(1)))
+    before = spark.conf.get(FILE_FACTOR, None)
+
+    def plan():
+        return rows.join(lookup, "id")._jdf.queryExecution().sparkPlan().toString()
+
+    try:
+        spark.conf.unset(FILE_FACTOR)
+        assert "Broadcast" in plan()
+        size_shuffles(spark, 10**6)
+        assert "Broadcast" not in plan()
+        spark.conf.set(FILE_FACTOR, "1.0")
+        size_shuffles(spark, 10**6)
+        assert spark.conf.get(FILE_FACTOR) == "1.0"
+    finally:
+        spark.conf.unset(FILE_FACTOR) if before is None else spark.conf.set(FILE_FACTOR, before)
+
+
+def test_few_rows_are_broadcast_by_their_number(spark, monkeypatch):
+    from starloom.operators import joins
+
+    lookup, hinted = spark.range(100), lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(joins.broadcast_if_few(lookup))
+    monkeypatch.setattr(joins, "MOST_BROADCAST_ROWS", 99)
+    assert not hinted(joins.broadcast_if_few(lookup))
+
+
 @pytest.fixture(scope="module")
 def dirty(spark, tmp_path_factory):
     """Landing files: 3 lines without a key, 5 lines too many for theirs, 2 with unknown codes; odd orders."""
