@@ -1,8 +1,8 @@
 """Integrity checks over published tables, as DataFrames of results.
 
 Every check yields a row: table, check, PASS or FAIL, failed rows, details.
-Counts are true counts, and keys are pre-aggregated before any shuffle. One grouping
-checks all references, foreign and calendar keys alike, without a join.
+Counts are true counts, and keys are pre-aggregated before any shuffle. References to parents of
+few keys are looked up in one scan of a child; one grouping checks all others without a join.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType
 
+from starloom.operators import bloom
+from starloom.operators.conform import MOST_BROADCAST_KEYS, duplicate_keys
 from starloom.sources.store import TableStore, literal_rows, moment
 
 Tables = Callable[[str], DataFrame]
@@ -129,10 +131,9 @@ class RowCheck(NamedTuple):
 
 
 def _passes(tables: Tables, keys: Mapping[str, str], checks: Sequence[RowCheck]) -> DataFrame:
-    """Results of all checks, each table read once.
+    """Results of all checks, each table read once, and the key of a keyed one once by itself.
 
-    A keyed table is grouped by its key, which counts repeated and missing keys; the
-    counts of bad rows are summed along. Other tables are summed as they are read.
+    Missing keys and bad rows are summed as they are read; see ``_repeated`` for repeated keys.
     """
     results = []
     for table in dict.fromkeys(c.table for c in checks):
@@ -140,13 +141,9 @@ def _passes(tables: Tables, keys: Mapping[str, str], checks: Sequence[RowCheck])
         bad = {name: F.count_if(value).alias(name) for c in own for name, value in c.bad.items()}
         df = tables(table)
         if table in keys:
-            held = df.groupBy(F.col(keys[table]).alias("key")).agg(F.count("*").alias("held"), *bad.values())
-            no_key = F.when(F.col("key").isNull(), F.col("held"))
-            counts = held.agg(
-                F.count_if(F.col("held") > 1).alias("duplicates"),
-                F.coalesce(F.sum(no_key), F.lit(0)).alias("null_keys"),
-                *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in bad),
-            )
+            key = F.col(keys[table])
+            found = _repeated(df, keys[table])
+            counts = df.agg(F.count_if(key.isNull()).alias("null_keys"), *bad.values()).withColumn("duplicates", found)
         else:
             counts = df.agg(*bad.values())
         shown = F.array(
@@ -162,6 +159,24 @@ def _passes(tables: Tables, keys: Mapping[str, str], checks: Sequence[RowCheck])
 # -- keys --------------------------------------------------------------------
 
 
+def _repeated(df: DataFrame, key: str) -> Column:
+    """How many values of a key, null among them, more than one row holds: exact, by hashes first.
+
+    A key whose 64-bit hash no other row has is held once, so numbers are grouped instead of text. Only if a hash
+    is held twice, rows with such hashes, or their Bloom filter's if these are many, are grouped by the key itself.
+    """
+    keys = df.select(F.col(key).alias("key"))
+    if not isinstance(keys.schema["key"].dataType, StringType):
+        return F.lit(duplicate_keys(keys, ["key"]).count())
+    suspects = duplicate_keys(keys.select(F.xxhash64("key").alias("hashed")), ["hashed"]).select("hashed")
+    count = suspects.count()
+    if not count:
+        return F.lit(0)
+    words = bloom.filter_words(suspects, "hashed", bits := bloom.bits_for(count)).scalar()
+    doubtful = keys.where(bloom.may_hold(words, F.xxhash64("key"), bits))
+    return F.lit(duplicate_keys(doubtful, ["key"]).count())
+
+
 def _dim_key_checks(keys: Mapping[str, str]) -> list[RowCheck]:
     duplicates, nulls = F.col("duplicates"), F.col("null_keys")
     shown = describe(duplicates=duplicates, null_keys=nulls)
@@ -205,91 +220,104 @@ class Reference(NamedTuple):
     problem: str
 
 
-def _key_parts(df: DataFrame, column: str) -> tuple[Column, Column]:
-    """A key as a number or as text, whichever it is; the other one is NULL."""
-    if isinstance(df.schema[column].dataType, StringType):
-        return F.lit(None).cast("bigint"), F.col(column)
-    return F.col(column).cast("bigint"), F.lit(None).cast("string")
+def _is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, StringType)
 
 
 def check_references(
     spark: SparkSession, tables: Tables, references: Sequence[Reference]
 ) -> DataFrame:
-    """Rows per reference whose key the parent lacks, of all references in one grouping.
+    """Rows per reference whose key the parent lacks.
+
+    Parents of few keys, counted first, are broadcast: references to them are looked up as a child
+    is read, in one scan with no shuffle. Those to larger parents are counted in one grouping for
+    numbers and one for text, without a join.
+    """
+    opened = {name: tables(name) for name in dict.fromkeys(n for r in references for n in (r.child, r.parent))}
+    few = {}
+    for parent, key in sorted({(r.parent, r.parent_key) for r in references}):
+        if not _is_text(opened[parent], key):
+            known = opened[parent].select(F.col(key).cast("bigint").alias("known_key")).distinct()
+            if known.limit(MOST_BROADCAST_KEYS + 1).count() <= MOST_BROADCAST_KEYS:
+                few[parent, key] = known
+    near = [r for r in references if (r.parent, r.parent_key) in few and not _is_text(opened[r.child], r.column)]
+    far = [r for r in references if r not in near]
+    missing = [_looked_up(opened[child], few, own) for child, own in _by_child(near).items()]
+    for text in (False, True):
+        own = [r for r in far if _is_text(opened[r.child], r.column) is text]
+        if own:
+            missing.append(_grouped(opened, own, text))
+    numbers = literal_rows(
+        spark, ("name", "child", "problem"), [(_name(r), r.child, r.problem) for r in references]
+    )
+    failed = F.coalesce("missing", F.lit(0)).cast("bigint")
+    return numbers.join(F.broadcast(_stack(missing)), "name", "left").select(
+        F.concat(F.lit("gold."), F.col("child")).alias("table_name"),
+        F.element_at(F.split("name", "/"), -1).alias("validation_name"),
+        F.when(failed == 0, "PASS").otherwise("FAIL").alias("status"),
+        failed.alias("failed_row_count"),
+        F.concat(F.col("problem"), F.lit(": "), failed.cast("string")).alias("details"),
+    )
+
+
+def _name(r: Reference) -> str:
+    return f"{r.child}/{r.name}"
+
+
+def _by_child(references: Sequence[Reference]) -> dict[str, list[Reference]]:
+    return {child: [r for r in references if r.child == child] for child in dict.fromkeys(r.child for r in references)}
+
+
+def _counted(counts: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """(name, missing) rows of one row of counts, by column."""
+    shown = (F.struct(F.lit(name).alias("name"), F.col(column).alias("missing")) for column, name in names.items())
+    return counts.select(F.inline(F.array(*shown)))
+
+
+def _looked_up(child: DataFrame, few: Mapping[tuple[str, str], DataFrame], references: Sequence[Reference]) -> DataFrame:
+    """(name, missing) of references of one child to parents of few keys."""
+    rows, lacking = child.select(*dict.fromkeys(r.column for r in references)), {}
+    for k, r in enumerate(references):
+        known = few[r.parent, r.parent_key].select(F.col("known_key").alias(f"key_{k}"), F.lit(True).alias(f"known_{k}"))
+        rows = rows.join(F.broadcast(known), F.col(r.column).cast("bigint") == F.col(f"key_{k}"), "left")
+        lacking[f"missing_{k}"] = F.count_if(F.col(r.column).isNotNull() & F.col(f"known_{k}").isNull())
+    counts = rows.agg(*(count.alias(name) for name, count in lacking.items()))
+    return _counted(counts, {f"missing_{k}": _name(r) for k, r in enumerate(references)})
+
+
+def _grouped(opened: Mapping[str, DataFrame], references: Sequence[Reference], text: bool) -> DataFrame:
+    """(name, missing) of references whose keys are all numbers, or all text, in one grouping.
 
     Each child is scanned once: its key columns become rows (parent, key) with a
     count in the column of their check, and are summed before the shuffle. Keys of
     parents join the same rows, so one shuffle by (parent, key) brings together what
     a join for each child would, and a hot key is one row from each partition.
     """
-    parents = sorted({(r.parent, r.parent_key) for r in references})
-    numbers = {p: n for n, p in enumerate(parents)}
-    slots: dict[tuple[int, int], Reference] = {}
-    places: list[tuple[Reference, int, int]] = []
+    kind = "string" if text else "bigint"
+    numbers = {p: n for n, p in enumerate(sorted({(r.parent, r.parent_key) for r in references}))}
+    slots: dict[Reference, tuple[int, int]] = {}
     for r in references:
         parent_no = numbers[(r.parent, r.parent_key)]
-        slot = sum(n == parent_no for n, _ in slots)
-        slots[(parent_no, slot)] = r
-        places.append((r, parent_no, slot))
-    width = 1 + max(slot for _, slot in slots)
+        slots[r] = (parent_no, sum(n == parent_no for n, _ in slots.values()))
     rows = []
-    for table in dict.fromkeys(r.child for r in references):
-        child = tables(table)
-        keys = []
-        for r, parent_no, slot in places:
-            if r.child == table:
-                number, text = _key_parts(child, r.column)
-                keys.append(
-                    F.struct(
-                        F.lit(parent_no).alias("parent_no"),
-                        number.alias("number"),
-                        text.alias("text"),
-                        F.lit(slot).alias("slot"),
-                    )
-                )
-        rows.append(
-            child.select(F.inline(F.array(*keys)))
-            .where("number IS NOT NULL OR text IS NOT NULL")
-            .withColumn("known", F.lit(False))
-        )
-    for (parent, key), parent_no in numbers.items():
-        known = tables(parent)
-        number, text = _key_parts(known, key)
-        rows.append(
-            known.select(
-                F.lit(parent_no).alias("parent_no"),
-                number.alias("number"),
-                text.alias("text"),
-                F.lit(-1).alias("slot"),
-                F.lit(True).alias("known"),
+    for child, own in _by_child(references).items():
+        keys = [
+            F.struct(
+                F.lit(slots[r][0]).alias("parent_no"), F.col(r.column).cast(kind).alias("key"), F.lit(slots[r][1]).alias("slot")
             )
-        )
+            for r in own
+        ]
+        rows.append(opened[child].select(F.inline(F.array(*keys))).where("key IS NOT NULL").withColumn("known", F.lit(False)))
+    for (parent, key), parent_no in numbers.items():
+        if _is_text(opened[parent], key) is text:
+            known = (F.lit(parent_no).alias("parent_no"), F.col(key).cast(kind).alias("key"))
+            rows.append(opened[parent].select(*known, F.lit(-1).alias("slot"), F.lit(True).alias("known")))
+    width = 1 + max(slot for _, slot in slots.values())
     held = [F.count_if(F.col("slot") == slot).alias(f"held_{slot}") for slot in range(width)]
-    missing = (
-        _stack(rows)
-        .groupBy("parent_no", "number", "text")
-        .agg(F.bool_or("known").alias("known"), *held)
-        .where("NOT known")
-        .groupBy("parent_no")
-        .agg(*(F.sum(f"held_{slot}").alias(f"held_{slot}") for slot in range(width)))
-    )
-    counts = missing.select(
-        "parent_no",
-        F.posexplode(F.array(*(F.col(f"held_{slot}") for slot in range(width)))).alias("slot", "missing"),
-    )
-    checks = literal_rows(
-        spark,
-        ("parent_no", "slot", "child", "check_name", "problem"),
-        [(parent_no, slot, r.child, r.name, r.problem) for r, parent_no, slot in places],
-    )
-    failed = F.coalesce("missing", F.lit(0)).cast("bigint")
-    return checks.join(F.broadcast(counts), ["parent_no", "slot"], "left").select(
-        F.concat(F.lit("gold."), F.col("child")).alias("table_name"),
-        F.col("check_name").alias("validation_name"),
-        F.when(failed == 0, "PASS").otherwise("FAIL").alias("status"),
-        failed.alias("failed_row_count"),
-        F.concat(F.col("problem"), F.lit(": "), failed.cast("string")).alias("details"),
-    )
+    orphans = _stack(rows).groupBy("parent_no", "key").agg(F.bool_or("known").alias("known"), *held).where("NOT known")
+    sums = {f"missing_{k}": F.when(F.col("parent_no") == slots[r][0], F.col(f"held_{slots[r][1]}")) for k, r in enumerate(references)}
+    counts = orphans.agg(*(F.sum(value).alias(name) for name, value in sums.items()))
+    return _counted(counts, {f"missing_{k}": _name(r) for k, r in enumerate(references)})
 
 
 def foreign_key_references(

@@ -63,6 +63,45 @@ def test_date_key_outside_the_calendar(spark, broken, warehouse):
     assert failing(found) == {("gold.fact_inventory_snapshot", name): fact.count()}
 
 
+def test_references_to_few_keys_are_looked_up_without_a_shuffle(spark, warehouse):
+    plan = quality.check_date_keys(spark, warehouse.table)._jdf.queryExecution().optimizedPlan().toString()
+    assert "slot" not in plan and "HashAggregate [parent_no" not in plan and "rightHint=(strategy=broadcast)" in plan
+
+
+def test_references_count_alike_near_and_far(spark, rows, monkeypatch):
+    """Null, unknown and repeated keys, numbers and text on either side, counted by both ways and by hand."""
+    tables = {
+        "p": spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, None)], "n long, t string"),
+        "c": spark.createDataFrame(
+            [(1, 9, "a"), (2, 2, "x"), (3, None, "x"), (None, 7, None), (3, 2, "1")], "x int, y long, t string"
+        ),
+        "d": spark.createDataFrame([(8, "b")], "x long, t string"),
+        "e": spark.createDataFrame([], "x long"),
+    }
+    wanted = [("c", "x", "n", 2), ("c", "y", "n", 2), ("c", "t", "t", 3), ("d", "x", "n", 1), ("d", "t", "t", 0),
+              ("c", "t", "n", 4), ("d", "x", "t", 1), ("e", "x", "n", 0)]
+    references = [quality.Reference(c, col, "p", key, f"{col}_in_{key}", "rows lost") for c, col, key, _ in wanted]
+    expected = {(f"gold.{c}", f"{col}_in_{key}", lost) for c, col, key, lost in wanted}
+    for most in (quality.MOST_BROADCAST_KEYS, 0):
+        monkeypatch.setattr(quality, "MOST_BROADCAST_KEYS", most)
+        found = quality.check_references(spark, tables.__getitem__, references)
+        assert {(r.table_name, r.validation_name, r.failed_row_count) for r in found.collect()} == expected
+        assert all((r.status == "PASS") == (r.failed_row_count == 0) for r in found.collect())
+
+
+def test_repeated_text_keys_are_exact(spark, monkeypatch):
+    """Keys held twice are told by their hashes first; with none, no text is grouped."""
+    ids = [f"k{n}" for n in range(300)]
+    for held, expected in ((ids, 0), ([*ids, None], 0), ([*ids, "k1", "k1", "k7"], 2), ([*ids, None, None, "k2"], 2)):
+        df = spark.createDataFrame([(x,) for x in held], "id string")
+        row = quality.check_unique(df, "id", "t").first()
+        assert (row.failed_row_count, row.details) == (expected, f"duplicates={expected}")
+    grouped, original = [], quality.duplicate_keys
+    monkeypatch.setattr(quality, "duplicate_keys", lambda df, keys: (grouped.append(df.dtypes), original(df, keys))[1])
+    quality.check_unique(spark.createDataFrame([(x,) for x in ids], "id string"), "id", "t").collect()
+    assert grouped == [[("hashed", "bigint")]]
+
+
 @pytest.mark.parametrize(
     "change, count",
     [
