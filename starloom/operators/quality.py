@@ -18,7 +18,7 @@ from pyspark.sql.types import DecimalType, StringType
 
 from starloom.operators import bloom
 from starloom.operators.conform import MOST_BROADCAST_KEYS, duplicate_keys
-from starloom.sources.store import TableStore, literal_rows, moment
+from starloom.sources.store import TableStore, literal_rows, moment, side_by_side
 
 Tables = Callable[[str], DataFrame]
 
@@ -135,15 +135,17 @@ def _passes(tables: Tables, keys: Mapping[str, str], checks: Sequence[RowCheck])
 
     Missing keys and bad rows are summed as they are read; see ``_repeated`` for repeated keys.
     """
-    results = []
-    for table in dict.fromkeys(c.table for c in checks):
+    names, results = list(dict.fromkeys(c.table for c in checks)), []
+    keyed = [table for table in names if table in keys]
+    repeated = dict(zip(keyed, side_by_side(lambda table: _repeated(tables(table), keys[table]), keyed)))
+    for table in names:
         own = [c for c in checks if c.table == table]
         bad = {name: F.count_if(value).alias(name) for c in own for name, value in c.bad.items()}
         df = tables(table)
         if table in keys:
             key = F.col(keys[table])
-            found = _repeated(df, keys[table])
-            counts = df.agg(F.count_if(key.isNull()).alias("null_keys"), *bad.values()).withColumn("duplicates", found)
+            counts = df.agg(F.count_if(key.isNull()).alias("null_keys"), *bad.values())
+            counts = counts.withColumn("duplicates", F.lit(repeated[table]))
         else:
             counts = df.agg(*bad.values())
         shown = F.array(
@@ -159,7 +161,7 @@ def _passes(tables: Tables, keys: Mapping[str, str], checks: Sequence[RowCheck])
 # -- keys --------------------------------------------------------------------
 
 
-def _repeated(df: DataFrame, key: str) -> Column:
+def _repeated(df: DataFrame, key: str) -> int:
     """How many values of a key, null among them, more than one row holds: exact, by hashes first.
 
     A key whose 64-bit hash no other row has is held once, so numbers are grouped instead of text. Only if a hash
@@ -167,14 +169,14 @@ def _repeated(df: DataFrame, key: str) -> Column:
     """
     keys = df.select(F.col(key).alias("key"))
     if not isinstance(keys.schema["key"].dataType, StringType):
-        return F.lit(duplicate_keys(keys, ["key"]).count())
+        return duplicate_keys(keys, ["key"]).count()
     suspects = duplicate_keys(keys.select(F.xxhash64("key").alias("hashed")), ["hashed"]).select("hashed")
     count = suspects.count()
     if not count:
-        return F.lit(0)
+        return 0
     words = bloom.filter_words(suspects, "hashed", bits := bloom.bits_for(count)).scalar()
     doubtful = keys.where(bloom.may_hold(words, F.xxhash64("key"), bits))
-    return F.lit(duplicate_keys(doubtful, ["key"]).count())
+    return duplicate_keys(doubtful, ["key"]).count()
 
 
 def _dim_key_checks(keys: Mapping[str, str]) -> list[RowCheck]:
@@ -234,12 +236,10 @@ def check_references(
     numbers and one for text, without a join.
     """
     opened = {name: tables(name) for name in dict.fromkeys(n for r in references for n in (r.child, r.parent))}
-    few = {}
-    for parent, key in sorted({(r.parent, r.parent_key) for r in references}):
-        if not _is_text(opened[parent], key):
-            known = opened[parent].select(F.col(key).cast("bigint").alias("known_key")).distinct()
-            if known.limit(MOST_BROADCAST_KEYS + 1).count() <= MOST_BROADCAST_KEYS:
-                few[parent, key] = known
+    parents = sorted({(r.parent, r.parent_key) for r in references if not _is_text(opened[r.parent], r.parent_key)})
+    known = {p: opened[p[0]].select(F.col(p[1]).cast("bigint").alias("known_key")).distinct() for p in parents}
+    counted = side_by_side(lambda p: known[p].limit(MOST_BROADCAST_KEYS + 1).count(), parents)
+    few = {p: known[p] for p, count in zip(parents, counted) if count <= MOST_BROADCAST_KEYS}
     near = [r for r in references if (r.parent, r.parent_key) in few and not _is_text(opened[r.child], r.column)]
     far = [r for r in references if r not in near]
     missing = [_looked_up(opened[child], few, own) for child, own in _by_child(near).items()]
