@@ -1,8 +1,8 @@
 """Integrity checks over published tables, as DataFrames of results.
 
 Every check yields a row: table, check, PASS or FAIL, failed rows, details.
-Counts are true counts, and keys are pre-aggregated before any shuffle. References to parents of
-few keys are looked up in one scan of a child; one grouping checks all others without a join.
+Counts are true counts, and keys are pre-aggregated before any shuffle. A grouping each checks all
+references by number, by text and to the calendar, without a join.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType
 
 from starloom.operators import bloom
-from starloom.operators.conform import MOST_BROADCAST_KEYS, duplicate_keys
+from starloom.operators.conform import duplicate_keys
 from starloom.sources.store import TableStore, literal_rows, moment, side_by_side
 
 Tables = Callable[[str], DataFrame]
@@ -229,24 +229,16 @@ def _is_text(df: DataFrame, column: str) -> bool:
 def check_references(
     spark: SparkSession, tables: Tables, references: Sequence[Reference]
 ) -> DataFrame:
-    """Rows per reference whose key the parent lacks.
+    """Rows per reference whose key the parent lacks, without a join.
 
-    Parents of few keys, counted first, are broadcast: references to them are looked up as a child
-    is read, in one scan with no shuffle. Those to larger parents are counted in one grouping for
-    numbers and one for text, without a join.
+    Numbers, text and days are a grouping each: numbers are not carried as text, and the many
+    references to the calendar, whose keys are few, leave the rows of all other keys narrow.
     """
     opened = {name: tables(name) for name in dict.fromkeys(n for r in references for n in (r.child, r.parent))}
-    parents = sorted({(r.parent, r.parent_key) for r in references if not _is_text(opened[r.parent], r.parent_key)})
-    known = {p: opened[p[0]].select(F.col(p[1]).cast("bigint").alias("known_key")).distinct() for p in parents}
-    counted = side_by_side(lambda p: known[p].limit(MOST_BROADCAST_KEYS + 1).count(), parents)
-    few = {p: known[p] for p, count in zip(parents, counted) if count <= MOST_BROADCAST_KEYS}
-    near = [r for r in references if (r.parent, r.parent_key) in few and not _is_text(opened[r.child], r.column)]
-    far = [r for r in references if r not in near]
-    missing = [_looked_up(opened[child], few, own) for child, own in _by_child(near).items()]
-    for text in (False, True):
-        own = [r for r in far if _is_text(opened[r.child], r.column) is text]
-        if own:
-            missing.append(_grouped(opened, own, text))
+    groups: dict[tuple[bool, bool], list[Reference]] = {}
+    for r in references:
+        groups.setdefault((_is_text(opened[r.child], r.column), r.parent == "dim_date"), []).append(r)
+    missing = [_grouped(opened, own, text) for (text, _), own in groups.items()]
     numbers = literal_rows(
         spark, ("name", "child", "problem"), [(_name(r), r.child, r.problem) for r in references]
     )
@@ -274,17 +266,6 @@ def _counted(counts: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return counts.select(F.inline(F.array(*shown)))
 
 
-def _looked_up(child: DataFrame, few: Mapping[tuple[str, str], DataFrame], references: Sequence[Reference]) -> DataFrame:
-    """(name, missing) of references of one child to parents of few keys."""
-    rows, lacking = child.select(*dict.fromkeys(r.column for r in references)), {}
-    for k, r in enumerate(references):
-        known = few[r.parent, r.parent_key].select(F.col("known_key").alias(f"key_{k}"), F.lit(True).alias(f"known_{k}"))
-        rows = rows.join(F.broadcast(known), F.col(r.column).cast("bigint") == F.col(f"key_{k}"), "left")
-        lacking[f"missing_{k}"] = F.count_if(F.col(r.column).isNotNull() & F.col(f"known_{k}").isNull())
-    counts = rows.agg(*(count.alias(name) for name, count in lacking.items()))
-    return _counted(counts, {f"missing_{k}": _name(r) for k, r in enumerate(references)})
-
-
 def _grouped(opened: Mapping[str, DataFrame], references: Sequence[Reference], text: bool) -> DataFrame:
     """(name, missing) of references whose keys are all numbers, or all text, in one grouping.
 
